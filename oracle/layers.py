@@ -36,6 +36,14 @@ def avg_dec2(expr: str) -> str:
     return (f"CAST(sign({cents}) * ((2 * abs({cents}) + {n}) // (2 * {n})) AS DECIMAL(38,0)) / 100")
 
 
+def avg_exact(expr: str, scale: int = 4) -> str:
+    """Exact average of a column with at most 2 decimals, rounded half away from zero."""
+    f = 10 ** scale
+    num = f"CAST(sum(({expr}) * {f}) AS HUGEINT)"
+    n = f"count({expr})"
+    return (f"CAST(sign({num}) * ((2 * abs({num}) + {n}) // (2 * {n})) AS DOUBLE) / {f}")
+
+
 def _sel(exprs: dict[str, str], types: dict[str, str]) -> str:
     cols = []
     for name, t in types.items():
