@@ -218,3 +218,171 @@ register("G05_recent_fraud_alerts",
             FROM gold_fraud_features WHERE is_fraud = true
             ORDER BY transaction_timestamp DESC, transaction_id DESC LIMIT 20""", ["gold_fraud_features"],
          )(lambda L: reports.recent_fraud_alerts(L["gold_fraud_features"]))
+
+# --- verification reports and quality checks ----------------------------------
+from tallyrisk.plans import source_rules, verify  # noqa: E402
+from tallyrisk.schemas import FOREIGN_KEYS, NULL_CHECKS, PRIMARY_KEYS, VARCHAR_LIMITS  # noqa: E402
+from tallyrisk.sources.raw_files import make_batch_id, with_lineage  # noqa: E402
+
+register("D14_segment_by_risk", "segment:s risk_score:i customer_count:i avg_balance:n avg_credit_score:n",
+         """SELECT segment, risk_score, count(*) AS customer_count, avg(CAST(total_balance AS DOUBLE)) AS avg_balance,
+                   avg(CAST(credit_score AS DOUBLE)) AS avg_credit_score
+            FROM silver_customers GROUP BY segment, risk_score""", ["silver_customers"],
+         )(lambda L: verify.segment_by_risk(L["silver_customers"]))
+
+register("D15_account_type_distribution",
+         "account_type:s account_count:i avg_balance:n active_count:i avg_age_years:n",
+         """SELECT account_type, count(*) AS account_count, avg(CAST(current_balance AS DOUBLE)) AS avg_balance,
+                   sum(CASE WHEN is_active THEN 1 ELSE 0 END) AS active_count,
+                   avg(CAST(account_age_days AS DOUBLE)) / 365 AS avg_age_years
+            FROM silver_accounts GROUP BY account_type""", ["silver_accounts"],
+         )(lambda L: verify.account_type_distribution(L["silver_accounts"]))
+
+register("D16_fraud_statistics", "is_fraud:b transaction_count:i avg_amount:n total_amount:n unique_customers:i",
+         """SELECT is_fraud, count(*) AS transaction_count, avg(CAST(amount_abs AS DOUBLE)) AS avg_amount,
+                   sum(amount_abs) AS total_amount, count(DISTINCT customer_id) AS unique_customers
+            FROM silver_transactions GROUP BY is_fraud""", ["silver_transactions"],
+         )(lambda L: verify.fraud_statistics(L["silver_transactions"]))
+
+register("D17_fraud_by_hour_group", "hour_group:s total_txns:i fraud_txns:i fraud_rate:n",
+         """SELECT hour_group, count(*) AS total_txns, sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS fraud_txns,
+                   round(100.0 * sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) / count(*), 2) AS fraud_rate
+            FROM silver_transactions GROUP BY hour_group""", ["silver_transactions"],
+         )(lambda L: verify.fraud_by_hour_group(L["silver_transactions"]))
+
+_BATCH = make_batch_id(AS_OF, "fixtures")
+
+register("D18_batch_info", "batch_id:s earliest_load:t latest_load:t",
+         f"""SELECT batch_id, min(loaded_at) AS earliest_load, max(loaded_at) AS latest_load
+             FROM (SELECT '{_BATCH}' AS batch_id, {layers.AS_OF} AS loaded_at FROM bronze_transactions) b
+             GROUP BY batch_id""", ["bronze_transactions"],
+         )(lambda L: verify.batch_info(with_lineage(L["bronze_transactions"], AS_OF, _BATCH, "erp_transactions.csv")))
+
+
+def _counts_sql(names):
+    return " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in names)
+
+
+for _key, _names in (("Q01_bronze_row_counts", BRONZE_TABLES), ("Q02_silver_row_counts", SILVER_TABLES),
+                     ("Q03_gold_row_counts", GOLD_TABLES)):
+    register(_key, "table_name:s row_count:i", _counts_sql(_names), list(_names),
+             )(lambda L, _n=_names: quality.row_counts(L, list(_n)))
+
+register("Q04_null_checks", "table_name:s column_name:s null_count:i status:s",
+         " UNION ALL ".join(
+             f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count,
+                        CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'pass' ELSE 'warn' END AS status
+                 FROM {t}""" for t, c in NULL_CHECKS),
+         sorted({t for t, _ in NULL_CHECKS}))(lambda L: quality.null_checks(L))
+
+register("Q05_duplicate_keys", "table_name:s key_columns:s duplicate_keys:i duplicate_rows:i",
+         " UNION ALL ".join(
+             f"""SELECT '{t}' AS table_name, '{",".join(k)}' AS key_columns, count(*) AS duplicate_keys,
+                        coalesce(sum(n), 0) AS duplicate_rows
+                 FROM (SELECT {", ".join(k)}, count(*) AS n FROM {t} GROUP BY {", ".join(k)} HAVING count(*) > 1) d"""
+             for t, k in PRIMARY_KEYS.items()),
+         list(PRIMARY_KEYS))(lambda L: quality.duplicate_keys(L))
+
+register("Q06_foreign_key_orphans", "child_table:s child_column:s parent_table:s orphan_rows:i",
+         " UNION ALL ".join(
+             f"""SELECT '{c}' AS child_table, '{cc}' AS child_column, '{p}' AS parent_table, count(*) AS orphan_rows
+                 FROM {c} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)"""
+             for c, cc, p, pc in FOREIGN_KEYS),
+         sorted({x for c, _, p, _ in FOREIGN_KEYS for x in (c, p)}))(lambda L: quality.foreign_key_orphans(L))
+
+register("Q07_fraud_count", "fraud_count:i",
+         "SELECT count(*) AS fraud_count FROM bronze_transactions WHERE is_fraud = true", ["bronze_transactions"],
+         )(lambda L: verify.fraud_count(L["bronze_transactions"]))
+
+register("Q08_sample_customers", "customer_id:i first_name:s last_name:s income:n credit_score:i",
+         """SELECT customer_id, first_name, last_name, income, credit_score FROM bronze_customers
+            ORDER BY customer_id LIMIT 5""", ["bronze_customers"],
+         )(lambda L: verify.sample(L["bronze_customers"],
+                                   ["customer_id", "first_name", "last_name", "income", "credit_score"],
+                                   "customer_id", 5))
+
+register("Q09_sample_transactions", "transaction_id:i customer_id:i amount:n merchant_name:s is_fraud:b",
+         """SELECT transaction_id, customer_id, amount, merchant_name, is_fraud FROM bronze_transactions
+            ORDER BY transaction_id LIMIT 5""", ["bronze_transactions"],
+         )(lambda L: verify.sample(L["bronze_transactions"],
+                                   ["transaction_id", "customer_id", "amount", "merchant_name", "is_fraud"],
+                                   "transaction_id", 5))
+
+register("Q10_sample_customer_360",
+         "customer_id:i full_name:s demographic_segment:s total_relationship_balance:n is_high_value:b",
+         """SELECT customer_id, full_name, demographic_segment, total_relationship_balance, is_high_value
+            FROM gold_customer_360 ORDER BY customer_id LIMIT 3""", ["gold_customer_360"],
+         )(lambda L: verify.sample(L["gold_customer_360"],
+                                   ["customer_id", "full_name", "demographic_segment",
+                                    "total_relationship_balance", "is_high_value"], "customer_id", 3))
+
+register("Q11_sample_fraud_features",
+         "transaction_id:i customer_id:i amount:n merchant_category:s is_fraud:b fraud_risk_tier:s",
+         """SELECT transaction_id, customer_id, amount, merchant_category, is_fraud, fraud_risk_tier
+            FROM gold_fraud_features WHERE is_fraud = true ORDER BY transaction_id LIMIT 5""",
+         ["gold_fraud_features"],
+         )(lambda L: verify.sample(L["gold_fraud_features"],
+                                   ["transaction_id", "customer_id", "amount", "merchant_category", "is_fraud",
+                                    "fraud_risk_tier"], "transaction_id", 5, where="is_fraud"))
+
+register("Q12_last_days", "summary_date:d total_transactions:i fraudulent_transactions:i fraud_rate:n",
+         """SELECT summary_date, total_transactions, fraudulent_transactions, fraud_rate
+            FROM gold_daily_fraud_summary ORDER BY summary_date DESC LIMIT 5""", ["gold_daily_fraud_summary"],
+         )(lambda L: verify.last_days(L["gold_daily_fraud_summary"]))
+
+register("Q13_length_checks", "table_name:s column_name:s max_length:i too_long:i",
+         " UNION ALL ".join(
+             f"""SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_length,
+                        count(*) FILTER (WHERE length({c}) > {n}) AS too_long FROM {t}"""
+             for t, cols in VARCHAR_LIMITS.items() for c, n in cols.items()),
+         list(VARCHAR_LIMITS))(lambda L: quality.length_violations(L))
+
+# --- source-data rules ---------------------------------------------------------
+
+register("B12_fraud_prone_customers", "customer_id:i",
+         """SELECT customer_id FROM bronze_customers
+            WHERE risk_level = 'High' OR segment IN ('Wealth', 'Corporate')""", ["bronze_customers"],
+         )(lambda L: source_rules.fraud_prone_customers(L["bronze_customers"]))
+
+register("D20_report_type_top3", "report_type:s report_count:i",
+         """SELECT report_type, count(*) AS report_count FROM bronze_fraud_reports GROUP BY report_type
+            ORDER BY report_count DESC, report_type ASC NULLS LAST LIMIT 3""", ["bronze_fraud_reports"],
+         )(lambda L: source_rules.value_counts(L["bronze_fraud_reports"], "report_type", "report_count", 3))
+
+register("D20_account_type_counts", "account_type:s account_count:i",
+         """SELECT account_type, count(*) AS account_count FROM bronze_accounts GROUP BY account_type""",
+         ["bronze_accounts"],
+         )(lambda L: source_rules.value_counts(L["bronze_accounts"], "account_type", "account_count"))
+
+register("D21_global_stats", "statistic:s value:n",
+         """SELECT 'avg_amount_lost' AS statistic, avg(CAST(amount_lost AS DOUBLE)) AS value FROM bronze_fraud_reports
+            UNION ALL SELECT 'avg_balance', avg(CAST(current_balance AS DOUBLE)) FROM bronze_accounts
+            UNION ALL SELECT 'total_amount', CAST(sum(amount) AS DOUBLE) FROM bronze_transactions
+            UNION ALL SELECT 'avg_abs_amount', avg(CAST(abs(amount) AS DOUBLE)) FROM bronze_transactions
+            UNION ALL SELECT 'fraud_count', CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) FROM bronze_transactions
+            UNION ALL SELECT 'fraud_rate', avg(CASE WHEN is_fraud THEN 1.0 ELSE 0.0 END) * 100 FROM bronze_transactions""",
+         ["bronze_fraud_reports", "bronze_accounts", "bronze_transactions"],
+         )(lambda L: source_rules.global_stats(L["bronze_fraud_reports"], L["bronze_accounts"],
+                                               L["bronze_transactions"]))
+
+register("M13_merchant_category_lookup", "transaction_id:i merchant_name_clean:s lookup_category:s",
+         """SELECT transaction_id, merchant_name_clean,
+                   CASE merchant_name_clean WHEN 'Walmart' THEN 'Retail' WHEN 'Target' THEN 'Retail'
+                        WHEN 'Costco' THEN 'Retail' WHEN 'Amazon' THEN 'Online Retail' WHEN 'Netflix' THEN 'Entertainment'
+                        WHEN 'Starbucks' THEN 'Food & Beverage' WHEN 'Uber' THEN 'Transportation' WHEN 'Exxon' THEN 'Fuel'
+                        WHEN 'Apple Store' THEN 'Electronics' WHEN 'International Casino' THEN 'Gambling'
+                        WHEN 'Crypto Exchange' THEN 'Cryptocurrency' ELSE 'Other' END AS lookup_category
+            FROM silver_transactions""", ["silver_transactions"],
+         )(lambda L: source_rules.merchant_category_lookup(L["silver_transactions"].sparkSession,
+                                                           L["silver_transactions"]))
+
+register("M14_signed_amount", "transaction_id:i transaction_type:s signed_amount:n",
+         """SELECT transaction_id, transaction_type,
+                   CASE WHEN transaction_type IN ('ATM Withdrawal', 'POS Purchase', 'Online Payment', 'Bill Payment')
+                        THEN -abs(amount) ELSE amount END AS signed_amount
+            FROM bronze_transactions""", ["bronze_transactions"],
+         )(lambda L: source_rules.signed_amount(L["bronze_transactions"]))
+
+register("M16_clamp_credit_score", "customer_id:i clamped_score:i",
+         "SELECT customer_id, greatest(300, least(850, credit_score)) AS clamped_score FROM bronze_customers",
+         ["bronze_customers"])(lambda L: source_rules.clamp_credit_score(L["bronze_customers"]))
