@@ -33,6 +33,17 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(dim, on, how)
 
 
+def keyed(dim: DataFrame, key: str | list[str]) -> DataFrame:
+    """One row per key (the table's primary key).
+
+    Stating uniqueness lets the optimizer drop this left join from any
+    branch of a plan that reads no column of ``dim`` (for instance the
+    aggregate branches of the feature plan), so the fact table is not
+    joined again there.  Keys are unique by contract, so no row is lost.
+    """
+    return dim.dropDuplicates([key] if isinstance(key, str) else key)
+
+
 def left_join_fill(left: DataFrame, right: DataFrame, on, fills: dict[str, object]) -> DataFrame:
     """Left join a keyed aggregate and replace missing values (no match -> default)."""
     joined = left.join(right, on, "left")

@@ -95,7 +95,10 @@ def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "tr
                  .alias("_mean_gap_hours"))
     aux = aux.join(m, key, "left")
 
-    rows = t.join(aux, [key, "_bucket"], "inner")
+    # Hash rows on (key, bucket) explicitly: otherwise the window would reuse
+    # an upstream partitioning on the key alone (e.g. from a dimension join)
+    # and a hot key would again be a single task.
+    rows = t.repartition(F.col(key), F.col("_bucket")).join(aux, [key, "_bucket"], "inner")
     w = Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
     rows = rows.withColumn("_prev_ts", F.coalesce(F.lag(ts).over(w), F.col("_prev_bucket_last_ts")))
     extra = {f"_is_first_{g}": F.coalesce(F.array_contains(F.col(f"_first_ids_{g}"), F.col(row_id)),

@@ -16,7 +16,7 @@ from tallyrisk.functions import rules
 from tallyrisk.functions.rules import bin_with, flag
 from tallyrisk.functions.temporal import DEFAULT_AS_OF, as_of_date, as_of_ts, hour_angle
 from tallyrisk.operators import aggregates as agg
-from tallyrisk.operators.joins import join_dimension, left_join_fill
+from tallyrisk.operators.joins import join_dimension, keyed, left_join_fill
 from tallyrisk.operators.sequence import with_sequence_features
 
 MONEY = "decimal(12,2)"
@@ -87,7 +87,7 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
         "amount_abs", "merchant_category", "is_fraud", "customer_age", "customer_risk_score",
         "account_balance", "transaction_hour", "is_weekend", "is_night")
     s = with_sequence_features(t, bucket_hours=bucket_hours)
-    s = join_dimension(s, accounts.select("account_id", "account_age_days"), "account_id")
+    s = join_dimension(s, keyed(accounts.select("account_id", "account_age_days"), "account_id"), "account_id")
 
     x = F.col("amount_abs").cast("double")
     mean, std = F.col("_mean_value"), F.col("_std_value")

@@ -1,33 +1,69 @@
-"""Wire the layer builders together lazily (no action, no write)."""
+"""Wire the layer builders together lazily (no action, no write).
+
+``Layers`` builds a table only when it is first asked for, and memoises it,
+so a report that needs one gold table does not construct the others.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame
 
 from tallyrisk.functions.temporal import DEFAULT_AS_OF
 from tallyrisk.plans import gold, silver
 
+BUILDERS: dict[str, Callable[["Layers"], DataFrame]] = {
+    "silver_accounts": lambda L: silver.silver_accounts(
+        L["bronze_accounts"], L["bronze_transactions"], L.as_of),
+    "silver_customers": lambda L: silver.silver_customers(
+        L["bronze_customers"], L["bronze_interactions"], L["bronze_fraud_reports"],
+        L["bronze_accounts"], L.as_of),
+    # Enrichment reads only age/risk score and balance: built from the same
+    # expressions as the silver tables without constructing their whole plans.
+    "silver_transactions": lambda L: silver.silver_transactions(
+        L["bronze_transactions"], L["customer_basics"], L["account_basics"], L.as_of),
+    "customer_basics": lambda L: silver.customer_basics(L["bronze_customers"], L.as_of),
+    "account_basics": lambda L: silver.account_basics(L["bronze_accounts"], L.as_of),
+    "gold_customer_360": lambda L: gold.customer_360(
+        L["silver_customers"], L["silver_transactions"], L.as_of),
+    "gold_fraud_features": lambda L: gold.fraud_features(
+        L["silver_transactions"], L["account_basics"], L.as_of, bucket_hours=L.bucket_hours),
+    "gold_daily_fraud_summary": lambda L: gold.daily_fraud_summary(L["silver_transactions"], L.as_of),
+}
+
+
+class Layers(Mapping):
+    """Read-only mapping table name -> DataFrame, built on first access.
+
+    ``sources`` maps names to DataFrames or to zero-argument callables
+    returning one (e.g. bronze tables read from storage, or stored silver
+    tables, which then take precedence over the builders).
+    """
+
+    def __init__(self, sources: Mapping[str, object], as_of=DEFAULT_AS_OF, bucket_hours: int = 24):
+        self._sources = dict(sources)
+        self._cache: dict[str, DataFrame] = {}
+        self.as_of = as_of
+        self.bucket_hours = bucket_hours
 
-def silver_layer(bronze: dict[str, DataFrame], as_of=DEFAULT_AS_OF) -> dict[str, DataFrame]:
-    accounts = silver.silver_accounts(bronze["bronze_accounts"], bronze["bronze_transactions"], as_of)
-    customers = silver.silver_customers(bronze["bronze_customers"], bronze["bronze_interactions"],
-                                        bronze["bronze_fraud_reports"], bronze["bronze_accounts"], as_of)
-    txns = silver.silver_transactions(bronze["bronze_transactions"], customers, accounts, as_of)
-    return {"silver_customers": customers, "silver_accounts": accounts, "silver_transactions": txns}
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            if name in self._sources:
+                src = self._sources[name]
+                self._cache[name] = src() if callable(src) else src
+            elif name in BUILDERS:
+                self._cache[name] = BUILDERS[name](self)
+            else:
+                raise KeyError(name)
+        return self._cache[name]
 
+    def __iter__(self) -> Iterator[str]:
+        return iter(dict.fromkeys([*self._sources, *BUILDERS]))
 
-def gold_layer(silver_tables: dict[str, DataFrame], as_of=DEFAULT_AS_OF,
-               bucket_hours: int = 24) -> dict[str, DataFrame]:
-    c, a, t = (silver_tables[k] for k in ("silver_customers", "silver_accounts", "silver_transactions"))
-    return {
-        "gold_customer_360": gold.customer_360(c, t, as_of),
-        "gold_fraud_features": gold.fraud_features(t, a, as_of, bucket_hours=bucket_hours),
-        "gold_daily_fraud_summary": gold.daily_fraud_summary(t, as_of),
-    }
+    def __len__(self) -> int:
+        return len(set(self._sources) | set(BUILDERS))
 
 
-def all_layers(bronze: dict[str, DataFrame], as_of=DEFAULT_AS_OF, bucket_hours: int = 24) -> dict[str, DataFrame]:
-    out = dict(bronze)
-    out.update(silver_layer(bronze, as_of))
-    out.update(gold_layer(out, as_of, bucket_hours))
-    return out
+def all_layers(bronze: Mapping[str, object], as_of=DEFAULT_AS_OF, bucket_hours: int = 24) -> Layers:
+    return Layers(bronze, as_of, bucket_hours)

@@ -18,7 +18,7 @@ from tallyrisk.functions.temporal import (
 )
 from tallyrisk.functions.text import digits_only, full_name, location_state, mask_tail, strip_ws
 from tallyrisk.operators import aggregates as agg
-from tallyrisk.operators.joins import join_dimension, left_join_fill
+from tallyrisk.operators.joins import join_dimension, keyed, left_join_fill
 
 MONEY = "decimal(12,2)"
 
@@ -36,6 +36,18 @@ SILVER_CUSTOMER_COLUMNS = [
 ]
 
 
+def customer_basics(customers: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """The customer columns other tables are enriched with (same values as silver)."""
+    return customers.select("customer_id", age_years(as_of, F.col("date_of_birth")).alias("age"),
+                            rules.risk_level_score(F.col("risk_level")).alias("risk_score"))
+
+
+def account_basics(accounts: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """The account columns other tables are enriched with (same values as silver)."""
+    return accounts.select("account_id", "current_balance",
+                           F.datediff(as_of_date(as_of), F.col("opening_date")).alias("account_age_days"))
+
+
 def silver_customers(customers: DataFrame, interactions: DataFrame, fraud_reports: DataFrame,
                      accounts: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Customers with demographics, tiers, contact, fraud and account totals.
@@ -184,8 +196,8 @@ def silver_transactions(transactions: DataFrame, customers: DataFrame, accounts:
     cust = customers.select("customer_id", F.col("age").alias("customer_age"),
                             F.col("risk_score").alias("customer_risk_score"))
     acct = accounts.select("account_id", F.col("current_balance").alias("account_balance"))
-    t = join_dimension(t, cust, "customer_id")
-    t = join_dimension(t, acct, "account_id")
+    t = join_dimension(t, keyed(cust, "customer_id"), "customer_id")
+    t = join_dimension(t, keyed(acct, "account_id"), "account_id")
     return t.select(
         "transaction_id", "account_id", "customer_id", "transaction_timestamp", "transaction_date",
         "transaction_time", "transaction_type", _null_str().alias("transaction_subtype"),

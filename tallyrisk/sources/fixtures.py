@@ -121,24 +121,39 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five bronze entities (without load lineage columns), lazily."""
-    customer = _read(spark, sf_dir, "customer")
-    nation = _read(spark, sf_dir, "nation")
-    orders = _read(spark, sf_dir, "orders")
-    events = _read(spark, sf_dir, "events")
-
-    # nation is a fixed 25-row dimension: broadcasting it is size-safe.
-    customers = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
-    # Up to three accounts per customer: a generator, not a join.
-    accounts = (customer.filter(ACCOUNT_FILTER)
+def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, object]:
+    """The five bronze entities (without load lineage columns).
+
+    Values are zero-argument builders, so a caller that needs one entity
+    only reads the driver tables behind it.
+    """
+    def customers() -> DataFrame:
+        customer, nation = _read(spark, sf_dir, "customer"), _read(spark, sf_dir, "nation")
+        # nation is a fixed 25-row dimension: broadcasting it is size-safe.
+        joined = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
+        return _conform(joined, CUSTOMER_EXPRS, "bronze_customers")
+
+    def accounts() -> DataFrame:
+        # Up to three accounts per customer: a generator, not a join.
+        rows = (_read(spark, sf_dir, "customer").filter(ACCOUNT_FILTER)
                 .withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c_custkey") % 3))))
-    txns = events.withColumn("k", F.expr(TRANSACTION_K))
+        return _conform(rows, ACCOUNT_EXPRS, "bronze_accounts")
+
+    def interactions() -> DataFrame:
+        return _conform(_read(spark, sf_dir, "orders"), INTERACTION_EXPRS, "bronze_interactions")
+
+    def fraud_reports() -> DataFrame:
+        return _conform(_read(spark, sf_dir, "orders").filter(FRAUD_REPORT_FILTER), FRAUD_REPORT_EXPRS,
+                        "bronze_fraud_reports")
+
+    def transactions() -> DataFrame:
+        events = _read(spark, sf_dir, "events").withColumn("k", F.expr(TRANSACTION_K))
+        return _conform(events, TRANSACTION_EXPRS, "bronze_transactions")
+
     return {
-        "bronze_customers": _conform(customers, CUSTOMER_EXPRS, "bronze_customers"),
-        "bronze_interactions": _conform(orders, INTERACTION_EXPRS, "bronze_interactions"),
-        "bronze_fraud_reports": _conform(orders.filter(FRAUD_REPORT_FILTER), FRAUD_REPORT_EXPRS,
-                                         "bronze_fraud_reports"),
-        "bronze_accounts": _conform(accounts, ACCOUNT_EXPRS, "bronze_accounts"),
-        "bronze_transactions": _conform(txns, TRANSACTION_EXPRS, "bronze_transactions"),
+        "bronze_customers": customers,
+        "bronze_interactions": interactions,
+        "bronze_fraud_reports": fraud_reports,
+        "bronze_accounts": accounts,
+        "bronze_transactions": transactions,
     }
