@@ -29,6 +29,8 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
+# Queries checked by row count only (no SQL equivalent); see README.
+NO_ORACLE: set[str] = set()
 
 
 def register(name: str, spec: str, sql: str | None, needs: list[str] | None = None):

@@ -37,7 +37,8 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read.schema(text_schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", None).option("emptyValue", "").csv(path))
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+           .csv(path))
     cols = []
     for f in schema.fields:
         c = F.when(F.col(f.name).isin(NULL_TOKENS), F.lit(None)).otherwise(F.col(f.name))

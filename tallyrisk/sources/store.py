@@ -88,8 +88,13 @@ def cached(df: DataFrame):
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Headered CSV output (one folder of part files)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Headered CSV output (one folder of part files), lossless for text
+    (no whitespace trimming) and for timestamps (microseconds kept)."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+     .csv(path))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
