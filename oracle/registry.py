@@ -388,3 +388,74 @@ register("M14_signed_amount", "transaction_id:i transaction_type:s signed_amount
 register("M16_clamp_credit_score", "customer_id:i clamped_score:i",
          "SELECT customer_id, greatest(300, least(850, credit_score)) AS clamped_score FROM bronze_customers",
          ["bronze_customers"])(lambda L: source_rules.clamp_credit_score(L["bronze_customers"]))
+
+# --- real definitions of reserved columns -------------------------------------
+from tallyrisk.operators import velocity  # noqa: E402
+from oracle.layers import dec  # noqa: E402
+
+
+def _rng(agg: str, part: str, width: str) -> str:
+    return (f"{agg} OVER (PARTITION BY {part} ORDER BY transaction_timestamp "
+            f"RANGE BETWEEN INTERVAL {width} PRECEDING AND CURRENT ROW)")
+
+
+register("E08_E15_velocity_real",
+         "transaction_id:i transaction_count_1h:i transaction_count_24h:i transaction_amount_24h:n "
+         "unique_merchants_24h:i account_transaction_count_7d:i balance_change_24h:n is_new_device:b "
+         "is_new_location:b",
+         f"""SELECT transaction_id,
+                    CAST({_rng('count(*)', 'customer_id', '1 HOUR')} AS INT) AS transaction_count_1h,
+                    CAST({_rng('count(*)', 'customer_id', '24 HOUR')} AS INT) AS transaction_count_24h,
+                    CAST({_rng('sum(amount_abs)', 'customer_id', '24 HOUR')} AS DECIMAL(12,2)) AS transaction_amount_24h,
+                    CAST({_rng('count(DISTINCT merchant_name_clean)', 'customer_id', '24 HOUR')} AS INT) AS unique_merchants_24h,
+                    CAST({_rng('count(*)', 'account_id', '7 DAY')} AS INT) AS account_transaction_count_7d,
+                    CAST({_rng('sum(amount)', 'account_id', '24 HOUR')} AS DECIMAL(12,2)) AS balance_change_24h,
+                    row_number() OVER (PARTITION BY customer_id, device_id ORDER BY transaction_timestamp, transaction_id) = 1 AS is_new_device,
+                    row_number() OVER (PARTITION BY customer_id, merchant_location ORDER BY transaction_timestamp, transaction_id) = 1 AS is_new_location
+             FROM silver_transactions""", ["silver_transactions"],
+         )(lambda L: velocity.velocity_features(L["silver_transactions"]))
+
+register("M23_merchant_risk_score_real",
+         "merchant_category:s txn_count:i fraud_count:i fraud_rate:n merchant_risk_score:i",
+         """SELECT merchant_category, txn_count, fraud_count, fraud_count / txn_count AS fraud_rate,
+                   CAST(least(9, 1 + floor(fraud_count / txn_count * 9)) AS INT) AS merchant_risk_score
+            FROM (SELECT merchant_category, count(*) AS txn_count, count(*) FILTER (WHERE is_fraud) AS fraud_count
+                  FROM silver_transactions GROUP BY 1) g""", ["silver_transactions"],
+         )(lambda L: velocity.merchant_category_risk(L["silver_transactions"]))
+
+_JSON = """(SELECT d AS summary_date, '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' AS {name}
+            FROM (SELECT CAST(transaction_timestamp AS DATE) AS d, coalesce(CAST({col} AS VARCHAR), 'unknown') AS k,
+                         count(*) AS n FROM silver_transactions WHERE is_fraud GROUP BY 1, 2) x GROUP BY d)"""
+
+register("M24_E16_daily_breakdown_real",
+         "summary_date:d fraud_by_channel:s fraud_by_merchant_category:s fraud_by_hour:s repeat_victims:i",
+         f"""SELECT d.summary_date, coalesce(ch.fraud_by_channel, '{{}}') AS fraud_by_channel,
+                    coalesce(mc.fraud_by_merchant_category, '{{}}') AS fraud_by_merchant_category,
+                    coalesce(hr.fraud_by_hour, '{{}}') AS fraud_by_hour,
+                    CAST(coalesce(rv.n, 0) AS INT) AS repeat_victims
+             FROM (SELECT DISTINCT CAST(transaction_timestamp AS DATE) AS summary_date FROM silver_transactions) d
+             LEFT JOIN {_JSON.format(name='fraud_by_channel', col='transaction_channel')} ch USING (summary_date)
+             LEFT JOIN {_JSON.format(name='fraud_by_merchant_category', col='merchant_category')} mc USING (summary_date)
+             LEFT JOIN {_JSON.format(name='fraud_by_hour', col='transaction_hour')} hr USING (summary_date)
+             LEFT JOIN (SELECT v.d AS summary_date, count(*) AS n
+                        FROM (SELECT DISTINCT customer_id, CAST(transaction_timestamp AS DATE) AS d
+                              FROM silver_transactions WHERE is_fraud) v
+                        JOIN (SELECT customer_id, min(CAST(transaction_timestamp AS DATE)) AS m
+                              FROM silver_transactions WHERE is_fraud GROUP BY 1) f USING (customer_id)
+                        WHERE v.d > f.m GROUP BY 1) rv USING (summary_date)""", ["silver_transactions"],
+         )(lambda L: velocity.daily_breakdowns(L["silver_transactions"]))
+
+register("M25_satisfaction_score_real", "customer_id:i satisfaction_score_avg:n",
+         f"""SELECT customer_id, {dec('avg(CAST(satisfaction_score AS DOUBLE))', 3, 2)} AS satisfaction_score_avg
+             FROM bronze_interactions GROUP BY customer_id""", ["bronze_interactions"],
+         )(lambda L: velocity.satisfaction_average(L["bronze_interactions"]))
+
+# A holiday calendar is a user input; the check uses the US federal holidays of early 2024.
+HOLIDAYS = ["2024-01-01", "2024-01-15", "2024-02-19", "2024-05-27", "2024-07-04"]
+
+register("T14_is_holiday_real", "transaction_id:i is_holiday:b",
+         f"""SELECT transaction_id, CAST(transaction_timestamp AS DATE) IN ({", ".join(f"DATE '{d}'" for d in HOLIDAYS)})
+                    AS is_holiday FROM silver_transactions""", ["silver_transactions"],
+         )(lambda L: velocity.holiday_flags(
+             L["silver_transactions"],
+             L["silver_transactions"].sparkSession.createDataFrame([(d,) for d in HOLIDAYS], "holiday_date string")))
