@@ -40,8 +40,21 @@ def register(name: str, spec: str, sql: str | None, needs: list[str] | None = No
     return deco
 
 
-def spark_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return all_layers(bronze_frames(spark, sf_dir), AS_OF)
+_LAYER_CACHE: dict[tuple[int, str], object] = {}
+
+
+def spark_layers(spark: SparkSession, sf_dir: str):
+    """Lazy layer tables over ``sf_dir``, shared by the queries of one session.
+
+    Only the (immutable, unexecuted) plan objects are shared, so a session
+    that runs many queries analyses each layer once; every query still
+    executes in full from the Parquet files.
+    """
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _LAYER_CACHE:
+        _LAYER_CACHE.clear()
+        _LAYER_CACHE[key] = all_layers(bronze_frames(spark, sf_dir), AS_OF)
+    return _LAYER_CACHE[key]
 
 
 def run_spark(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
