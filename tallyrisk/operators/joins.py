@@ -13,22 +13,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast bound (``spark.sql.autoBroadcastJoinThreshold``)."""
+    try:
+        v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+        n = int(str(v).lower().replace("b", "")) if v is not None else DEFAULT_BROADCAST_BYTES
+    except (ValueError, TypeError):
+        n = DEFAULT_BROADCAST_BYTES
+    return n if n > 0 else 0
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan, or None when it is not available."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Join a fact table to a keyed dimension, broadcasting only a proven-small side."""
+                   max_broadcast_bytes: int | None = None) -> DataFrame:
+    """Join a fact table to a keyed dimension, broadcasting only a proven-small side.
+
+    The bound defaults to the session's broadcast threshold; above it (or
+    when the size is unknown) the join is shuffled on the key.
+    """
+    limit = broadcast_limit(fact) if max_broadcast_bytes is None else max_broadcast_bytes
     size = estimated_bytes(dim)
-    if size is not None and size <= max_broadcast_bytes:
+    if size is not None and 0 < limit and size <= limit:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 

@@ -48,6 +48,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
+def sizing_conf(input_bytes: int, executor_cores: int, executors: int,
+                target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition settings for a given input volume (e.g. 100 TB on 1000 executors).
+
+    File splits and shuffle partitions of about ``target_partition_bytes``
+    keep every task's working set well inside executor memory; AQE then
+    coalesces small shuffle partitions and splits skewed join partitions
+    that exceed 5x the median.  The shuffle partition count is at least a
+    few waves of the cluster's cores.
+    """
+    cores = max(1, executor_cores * executors)
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

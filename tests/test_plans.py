@@ -44,3 +44,23 @@ def test_aggregate_branches_do_not_rejoin_dimensions(spark, small_dir):
     # customer-derived dimensions are read only by the row branch (customers, accounts
     # for the enrichment, accounts for the account age): the statistics scan events alone
     assert relations.count("c_custkey") == 3
+
+
+def test_sizing_for_100_tb():
+    from tallyrisk.session import sizing_conf
+    conf = sizing_conf(100 * 1024 ** 4, executor_cores=4, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    small = sizing_conf(10 * 1024 ** 2, executor_cores=4, executors=2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_broadcast_only_under_the_session_bound(spark):
+    from tallyrisk.operators.joins import join_dimension
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    dim = spark.range(10).withColumnRenamed("id", "k")
+    from tallyrisk.operators.joins import estimated_bytes
+    assert estimated_bytes(dim) == 80
+    plan = join_dimension(fact, dim, "k", max_broadcast_bytes=1)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
+    plan = join_dimension(fact, dim, "k", max_broadcast_bytes=10 ** 9)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan.lower()
