@@ -262,7 +262,8 @@ FROM (
   SELECT *, coalesce(date_diff('microsecond', prev_ts, transaction_timestamp) / 3600000000.0, 24.0) AS hours
   FROM (
     SELECT t.*, a.account_age_days,
-      avg(CAST(t.amount_abs AS DOUBLE)) OVER (PARTITION BY t.customer_id) AS m,
+      CAST(sum(t.amount_abs) OVER (PARTITION BY t.customer_id) AS DOUBLE)
+        / count(t.amount_abs) OVER (PARTITION BY t.customer_id) AS m,
       stddev_samp(CAST(t.amount_abs AS DOUBLE)) OVER (PARTITION BY t.customer_id) AS sd,
       count(t.amount_abs) OVER (PARTITION BY t.customer_id) AS n,
       lag(t.transaction_timestamp) OVER (PARTITION BY t.customer_id ORDER BY t.transaction_timestamp, t.transaction_id) AS prev_ts,

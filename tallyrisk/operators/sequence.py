@@ -3,19 +3,21 @@
 A plain ``Window.partitionBy(customer)`` sends all of a customer's rows to one
 task; a customer holding a third of the data would then be one task.  Here
 every row-level step is partitioned by (customer, time bucket) instead, and
-what crosses buckets is carried by small keyed aggregates:
+what crosses buckets is carried by a small (customer, bucket) summary:
 
-* whole-customer statistics (count, mean, sample std, first/last time) are
-  mergeable aggregates, combined map-side before any shuffle;
+* whole-customer statistics (count, exact mean, sample std, first and last
+  time) are merged from per-(customer, bucket) partial aggregates, which
+  Spark combines map-side before any shuffle;
 * the previous event time is the in-bucket ``lag``; the first row of a bucket
   takes the last time of the customer's previous non-empty bucket, found by a
-  ``lag`` over the (customer, bucket) summary, whose size per customer is
-  bounded by the time span, not by the row count;
+  ``lag`` over the summary, whose size per customer is bounded by the time
+  span, not by the row count;
 * "first time this customer uses this category" compares the row with the
   ``min(struct(ts, id))`` aggregate of its (customer, category) group.
 
-The row-level table is shuffled once, on (customer, bucket); the in-bucket
-window reuses that partitioning.
+The fact rows are read three times (rows, summary, first sightings) and
+shuffled once at full width, on (customer, bucket); the in-bucket window
+reuses that partitioning.
 """
 
 from __future__ import annotations
@@ -32,29 +34,52 @@ def time_bucket(ts: Column, bucket_hours: int) -> Column:
     Rows without a time go to one bucket placed after all others, matching a
     nulls-last order of the events.
     """
-    return F.coalesce(F.floor(F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts) / F.lit(bucket_hours)),
-                      F.lit(NO_TIME_BUCKET))
-
-
-def customer_moments(t: DataFrame, key: str, value: str, ts: str) -> DataFrame:
-    """Mergeable per-key statistics of ``value`` and of the event times."""
-    v = F.col(value).cast("double")
-    return t.groupBy(key).agg(
-        F.count(v).alias("_n_value"),
-        F.avg(v).alias("_mean_value"),
-        F.stddev_samp(v).alias("_std_value"),
-        F.count(F.lit(1)).alias("_n_rows"),
-        F.count_if(F.col(ts).isNull()).alias("_n_null_ts"),
-        F.min(ts).alias("_min_ts"),
-        F.max(ts).alias("_max_ts"),
-    )
+    hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.coalesce(F.floor(hours / F.lit(bucket_hours)), F.lit(NO_TIME_BUCKET))
+
 
+def bucket_summary(t: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+    """One row per (key, bucket) carrying everything that crosses buckets.
 
-def bucket_chain(t: DataFrame, key: str, ts: str) -> DataFrame:
-    """(key, bucket) -> last time of the previous non-empty bucket of the key."""
-    last = t.groupBy(key, "_bucket").agg(F.max(ts).alias("_bucket_last_ts"))
-    w = Window.partitionBy(key).orderBy(F.col("_bucket"))
-    return last.select(key, "_bucket", F.lag("_bucket_last_ts").over(w).alias("_prev_bucket_last_ts"))
+    Per bucket: last time, row counts, the exact (decimal) sum of ``value``
+    and its within-bucket squared deviations.  Per key, by windows over this
+    summary: the previous bucket's last time, the count, the exact mean, the
+    sample standard deviation (bucket parts merged with the parallel
+    variance formula) and the mean gap between events.
+    """
+    v = F.col(value)
+    vd = v.cast("double")
+    b = t.groupBy(key, "_bucket").agg(
+        F.max(ts).alias("_bucket_last_ts"),
+        F.min(ts).alias("_bucket_first_ts"),
+        F.count(F.lit(1)).alias("_rows_b"),
+        F.count_if(F.col(ts).isNull()).alias("_null_ts_b"),
+        F.count(v).alias("_n_b"),
+        F.sum(v).alias("_sum_b"),
+        (F.var_pop(vd) * F.count(v)).alias("_m2_b"),
+    )
+    by_key = Window.partitionBy(key)
+    in_order = Window.partitionBy(key).orderBy(F.col("_bucket"))
+    n = F.sum("_n_b").over(by_key)
+    b = b.select("*",
+                 F.lag("_bucket_last_ts").over(in_order).alias("_prev_bucket_last_ts"),
+                 n.alias("_n_value"),
+                 (F.sum("_sum_b").over(by_key).cast("double") / n).alias("_mean_value"),
+                 F.sum("_rows_b").over(by_key).alias("_n_rows"),
+                 F.sum("_null_ts_b").over(by_key).alias("_n_null_ts"),
+                 F.min("_bucket_first_ts").over(by_key).alias("_min_ts"),
+                 F.max("_bucket_last_ts").over(by_key).alias("_max_ts"))
+    bucket_mean = F.col("_sum_b").cast("double") / F.col("_n_b")
+    m2 = F.sum(F.col("_m2_b") + F.col("_n_b") * F.pow(bucket_mean - F.col("_mean_value"), 2)).over(by_key)
+    # Sum of gaps telescopes: 24 h for each row without a predecessor
+    # (the first timed row and every untimed row) plus last - first.
+    span_h = F.timestamp_diff("MICROSECOND", F.col("_min_ts"), F.col("_max_ts")) / F.lit(3.6e9)
+    starts = F.col("_n_null_ts") + F.when(F.col("_n_rows") > F.col("_n_null_ts"), 1).otherwise(0)
+    return b.select(
+        key, "_bucket", "_prev_bucket_last_ts", "_n_value", "_mean_value",
+        F.when(F.col("_n_value") > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (F.col("_n_value") - 1)))
+        .alias("_std_value"),
+        ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows")).alias("_mean_gap_hours"))
 
 
 def first_seen_ids(t: DataFrame, key: str, group: str, ts: str, row_id: str,
@@ -82,18 +107,9 @@ def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "tr
     where the mean gap treats a missing previous event as 24 hours.
     """
     t = t.withColumn("_bucket", time_bucket(F.col(ts), bucket_hours))
-    aux = bucket_chain(t, key, ts)
+    aux = bucket_summary(t, key, ts, value)
     for g in first_of:
         aux = aux.join(first_seen_ids(t, key, g, ts, row_id, bucket_hours), [key, "_bucket"], "left")
-    m = customer_moments(t, key, value, ts)
-    # Sum of gaps telescopes: 24 h for each row without a predecessor
-    # (the first timed row and every untimed row) plus last - first.
-    span_h = F.timestamp_diff("MICROSECOND", F.col("_min_ts"), F.col("_max_ts")) / F.lit(3.6e9)
-    starts = F.col("_n_null_ts") + F.when(F.col("_n_rows") > F.col("_n_null_ts"), 1).otherwise(0)
-    m = m.select(key, "_n_value", "_mean_value", "_std_value",
-                 ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows"))
-                 .alias("_mean_gap_hours"))
-    aux = aux.join(m, key, "left")
 
     # Hash rows on (key, bucket) explicitly: otherwise the window would reuse
     # an upstream partitioning on the key alone (e.g. from a dimension join)
