@@ -116,3 +116,16 @@ def recent_fraud_alerts(features: DataFrame, k: int = 20) -> DataFrame:
                     "merchant_category", "fraud_risk_tier", "amount_z_score")
             .orderBy(F.col("transaction_timestamp").desc_nulls_first(), F.col("transaction_id").desc())
             .limit(k))
+
+
+def dashboard_pack(features: DataFrame, daily: DataFrame, as_of=DEFAULT_AS_OF, days: int = 30) -> dict[str, DataFrame]:
+    """The five dashboard queries for the default date range (lazy)."""
+    start, end = default_window(as_of, days)
+    spark = features.sparkSession
+    return {
+        "kpi_cards": kpi_cards(spark, features, start, end),
+        "fraud_by_hour": fraud_by_hour(features),
+        "risky_merchant_categories": risky_merchant_categories(features),
+        "daily_trend": daily_trend(daily),
+        "recent_fraud_alerts": recent_fraud_alerts(features),
+    }

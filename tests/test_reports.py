@@ -61,3 +61,15 @@ def test_layer_invariants(spark, small_dir):
              .agg(F.abs(F.avg(F.col("amount_z_score").cast("double"))).alias("m"))
              .agg(F.max("m")).first()[0])
     assert worst < 1e-3
+
+
+def test_dashboard_pack_matches_registered_queries(spark, small_dir):
+    from oracle import registry
+    L = registry.spark_layers(spark, small_dir)
+    pack = reports.dashboard_pack(L["gold_fraud_features"], L["gold_daily_fraud_summary"])
+    assert set(pack) == {"kpi_cards", "fraud_by_hour", "risky_merchant_categories", "daily_trend",
+                         "recent_fraud_alerts"}
+    assert pack["kpi_cards"].first().total_txns > 0
+    assert pack["recent_fraud_alerts"].count() <= 20
+    with __import__("tallyrisk.sources.store", fromlist=["cached"]).cached(pack["fraud_by_hour"]) as hourly:
+        assert hourly.count() == hourly.count() <= 24
