@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,9 +66,7 @@ def read_entity_files(spark: SparkSession, raw_dir: str, as_of=DEFAULT_AS_OF,
     for file_name, table in FILE_TO_TABLE.items():
         path = f"{raw_dir.rstrip('/')}/{file_name}"
         try:
-            df = read_raw_csv(spark, path, RAW_SCHEMAS[table])
-            df.schema  # resolve now: a missing path fails here
-            spark.read.text(path).limit(1).collect()
+            df = read_raw_csv(spark, path, RAW_SCHEMAS[table])  # a missing path fails here
         except AnalysisException:
             log.warning("file not found, skipped: %s", path)
             continue
@@ -87,29 +86,49 @@ def key_checked_new_rows(batch: DataFrame, existing: DataFrame | None, table: st
     return batch.join(existing.select(*key).distinct(), key, "left_anti")
 
 
-def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail") -> int:
+def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail",
+                   staging: str | None = None) -> int:
     """Append a bronze batch to the table stored at ``target``.
 
     ``mode="fail"``: any key already stored, or repeated inside the batch,
     rejects the whole batch (nothing is appended).  ``mode="skip"``: rows
-    with a stored key are left out, the others are appended.  Returns the
-    number of rows appended.
+    with a stored key are left out (and in-batch repeats keep one row), the
+    others are appended.  Returns the number of rows appended.
+
+    The batch is first written once to ``staging`` (default: next to the
+    target on the same storage), so the raw files are parsed once; the key
+    checks are then a single aggregate job over the staged Parquet.
     """
     spark = batch.sparkSession
     key = PRIMARY_KEYS[table]
+    staging = staging or f"{target.rstrip('/')}_staging/{uuid.uuid4().hex}"
+    batch.write.mode("overwrite").parquet(staging)
+    staged = spark.read.parquet(staging)
     try:
-        existing = spark.read.parquet(target)
+        stored = spark.read.parquet(target).select(*key).distinct().withColumn("_stored", F.lit(True))
     except AnalysisException:
-        existing = None
-    fresh = key_checked_new_rows(batch, existing, table)
-    stats = batch.agg(F.count(F.lit(1)).alias("n"),
-                      F.count_distinct(*[F.col(k) for k in key]).alias("keys")).first()
-    new_n = fresh.count()
-    if mode == "fail" and (new_n != stats["n"] or stats["keys"] != stats["n"]):
-        raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys; nothing appended")
-    if mode == "skip":
-        fresh = fresh.dropDuplicates(key)
-        new_n = fresh.count()
-    if new_n:
-        fresh.write.mode("append").parquet(target)
-    return new_n
+        stored = None
+    flagged = staged.join(stored, key, "left") if stored is not None else staged.withColumn("_stored", F.lit(None))
+    stats = flagged.agg(F.count(F.lit(1)).alias("n"),
+                        F.count_distinct(*[F.col(k) for k in key]).alias("keys"),
+                        F.count_if(F.col("_stored").isNull()).alias("new")).first()
+    try:
+        if mode == "fail":
+            if stats["new"] != stats["n"] or stats["keys"] != stats["n"]:
+                raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys; nothing appended")
+            fresh, new_n = staged, stats["n"]
+        else:
+            fresh = flagged.filter(F.col("_stored").isNull()).drop("_stored").dropDuplicates(key)
+            new_n = fresh.count() if stats["new"] else 0
+        if new_n:
+            fresh.select(*batch.columns).write.mode("append").parquet(target)
+        return new_n
+    finally:
+        _drop_path(spark, staging)
+
+
+def _drop_path(spark: SparkSession, path: str) -> None:
+    """Remove the staging folder this module created (and nothing else)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,8 +1,8 @@
 """Layer table store on shared storage (Parquet), with safe replacement.
 
 A10: ``publish`` writes a complete new version of a table under
-``<root>/<table>/v=<version>/`` and readers take the newest version that has
-Spark's ``_SUCCESS`` marker.  A job that dies half-way leaves the previous
+``<root>/<table>/v=<version>/`` and marks it ``_PUBLISHED`` once it is
+complete and non-empty; readers take the newest marked version.  A job that dies half-way leaves the previous
 version readable; nothing is truncated first.  An empty result is not
 published (the previous version stays), like the source system's guard.
 A06/A07/A09/A11/A12: scans, SQL over registered views, caching, JDBC and CSV.
@@ -31,11 +31,19 @@ def _versions(spark: SparkSession, table_dir: str) -> list[str]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+        if name.startswith("v=") and fs.exists(st.getPath().suffix("/" + PUBLISHED)):
             out.append(name[2:])
     return sorted(out)
 
 
+def _mark(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path + "/" + PUBLISHED)
+    fs.create(p, True).close()
+
+
+PUBLISHED = "_PUBLISHED"
+
+
 class LayerStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -56,14 +64,21 @@ class LayerStore:
         return self.spark.read.parquet(self.path(table, v))
 
     def publish(self, table: str, df: DataFrame, version: str, partition_by: list[str] | None = None) -> bool:
-        """A10: write a full new version; skip (keep the old one) when ``df`` is empty."""
-        if df.isEmpty():
-            log.warning("no rows for %s; previous version kept", table)
-            return False
+        """A10: write a full new version, then mark it published.
+
+        The plan runs once (no emptiness probe before the write).  A version
+        that came out empty is left unmarked, so readers keep the previous
+        one; a job that dies mid-write leaves an unmarked version too.
+        """
+        path = self.path(table, version)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(table, version))
+        w.parquet(path)
+        if self.spark.read.parquet(path).isEmpty():   # reads one row group of the written files
+            log.warning("no rows for %s; previous version kept", table)
+            return False
+        _mark(self.spark, path)
         return True
 
 
