@@ -11,8 +11,8 @@ from tallyrisk.functions.rules import (
     merchant_risk_level, occupation_category, risk_level_score, flag,
 )
 from tallyrisk.functions.temporal import (
-    as_of_ts, as_of_date, midnight_days_ago, instant_days_ago, days_between,
-    elapsed_days_floor, elapsed_hours, age_years, is_weekend, is_night,
+    as_of_ts, as_of_date, midnight_days_ago, instant_days_ago,
+    elapsed_days_floor, age_years, is_weekend, is_night,
     is_business_hours, time_of_day, hour_angle,
 )
 from tallyrisk.functions.text import (

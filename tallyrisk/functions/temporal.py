@@ -37,21 +37,12 @@ def instant_days_ago(as_of, days: int) -> Column:
     return as_of_ts(as_of) - F.make_dt_interval(F.lit(days))
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    """Calendar day difference of two dates."""
-    return F.datediff(later, earlier)
-
-
 def elapsed_days_floor(later: Column, earlier: Column) -> Column:
     """Whole elapsed 24-hour periods (floor), not calendar days."""
     micros = F.timestamp_diff("MICROSECOND", earlier, later)
     return F.floor(micros / F.lit(86_400_000_000)).cast("int")
 
 
-def elapsed_hours(later: Column, earlier: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(3_600_000_000.0)
-
-
 def age_years(as_of, birth: Column) -> Column:
     """floor(days / 365), the 365-day year of the contract."""
     return F.floor(F.datediff(as_of_date(as_of), birth) / F.lit(365)).cast("int")

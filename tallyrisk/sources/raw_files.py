@@ -78,14 +78,6 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def key_checked_new_rows(batch: DataFrame, existing: DataFrame | None, table: str) -> DataFrame:
-    """Rows of ``batch`` whose key is not already stored (anti join on the key)."""
-    key = PRIMARY_KEYS[table]
-    if existing is None:
-        return batch
-    return batch.join(existing.select(*key).distinct(), key, "left_anti")
-
-
 def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail",
                    staging: str | None = None) -> int:
     """Append a bronze batch to the table stored at ``target``.

@@ -73,3 +73,17 @@ def test_dashboard_pack_matches_registered_queries(spark, small_dir):
     assert pack["recent_fraud_alerts"].count() <= 20
     with __import__("tallyrisk.sources.store", fromlist=["cached"]).cached(pack["fraud_by_hour"]) as hourly:
         assert hourly.count() == hourly.count() <= 24
+
+
+def test_sql_over_registered_views(spark, small_dir):
+    """SQL text over registered views, with named parameters."""
+    import datetime as _dt
+
+    from oracle import registry
+    from tallyrisk.sources.store import register_views, sql_scan
+    L = registry.spark_layers(spark, small_dir)
+    register_views(spark, {"features_view": L["gold_fraud_features"]})
+    n = sql_scan(spark, "SELECT count(*) AS n FROM features_view WHERE to_date(transaction_timestamp) "
+                        "BETWEEN :start AND :end", {"start": _dt.date(2024, 1, 1), "end": _dt.date(2024, 1, 10)}).first().n
+    direct = L["gold_fraud_features"].filter(F.to_date("transaction_timestamp") <= "2024-01-10").count()
+    assert n == direct > 0
