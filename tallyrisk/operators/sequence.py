@@ -12,12 +12,14 @@ what crosses buckets is carried by a small (customer, bucket) summary:
   takes the last time of the customer's previous non-empty bucket, found by a
   ``lag`` over the summary, whose size per customer is bounded by the time
   span, not by the row count;
-* "first time this customer uses this category" compares the row with the
-  ``min(struct(ts, id))`` aggregate of its (customer, category) group.
-
-The fact rows are read three times (rows, summary, first sightings) and
-shuffled once at full width, on (customer, bucket); the in-bucket window
-reuses that partitioning.
+* "first time this customer uses this category": the category has not
+  appeared earlier in the row's bucket (a running set over the same sort as
+  the ``lag``) and the bucket is the category's first one for the customer
+  (a hash aggregate ``min(bucket)`` per (customer, category)).
+
+The fact rows are read three times (rows, summary, first buckets) and
+shuffled once at full width, on (customer, bucket); the in-bucket windows
+reuse that partitioning and one sort.  Every aggregate is a hash aggregate.
 """
 
 from __future__ import annotations
@@ -82,17 +84,14 @@ def bucket_summary(t: DataFrame, key: str, ts: str, value: str) -> DataFrame:
         ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows")).alias("_mean_gap_hours"))
 
 
-def first_seen_ids(t: DataFrame, key: str, group: str, ts: str, row_id: str,
-                   bucket_hours: int) -> DataFrame:
-    """(key, bucket) -> ids of rows that are the first of their (key, group) pair.
-
-    NULL ``group`` values form one group, as equal values.  The list per
-    (key, bucket) holds at most one id per distinct group value of the key.
-    """
-    firsts = t.groupBy(key, group).agg(F.min(F.struct(F.col(ts), F.col(row_id))).alias("_f"))
-    return (firsts.select(key, time_bucket(F.col("_f")[ts], bucket_hours).alias("_bucket"),
-                          F.col("_f")[row_id].alias("_first_id"))
-            .groupBy(key, "_bucket").agg(F.collect_list("_first_id").alias(f"_first_ids_{group}")))
+def first_buckets(t: DataFrame, key: str, group: str) -> DataFrame:
+    """(key, bucket) -> the ``group`` values whose first appearance for the key is
+    in that bucket (NULL flagged separately).  Hash aggregates only; the list
+    holds at most one entry per distinct value of the key's groups."""
+    firsts = t.groupBy(key, group).agg(F.min("_bucket").alias("_bucket"))
+    return firsts.groupBy(key, "_bucket").agg(
+        F.collect_list(group).alias(f"_new_{group}"),
+        F.max(F.col(group).isNull()).alias(f"_new_null_{group}"))
 
 
 def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "transaction_timestamp",
@@ -109,15 +108,23 @@ def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "tr
     t = t.withColumn("_bucket", time_bucket(F.col(ts), bucket_hours))
     aux = bucket_summary(t, key, ts, value)
     for g in first_of:
-        aux = aux.join(first_seen_ids(t, key, g, ts, row_id, bucket_hours), [key, "_bucket"], "left")
+        aux = aux.join(first_buckets(t, key, g), [key, "_bucket"], "left")
 
     # Hash rows on (key, bucket) explicitly: otherwise the window would reuse
     # an upstream partitioning on the key alone (e.g. from a dimension join)
     # and a hot key would again be a single task.
     rows = t.repartition(F.col(key), F.col("_bucket")).join(aux, [key, "_bucket"], "inner")
     w = Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
-    rows = rows.withColumn("_prev_ts", F.coalesce(F.lag(ts).over(w), F.col("_prev_bucket_last_ts")))
-    extra = {f"_is_first_{g}": F.coalesce(F.array_contains(F.col(f"_first_ids_{g}"), F.col(row_id)),
-                                          F.lit(False))
-             for g in first_of}
-    return rows.withColumns(extra)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    cols = {"_prev_ts": F.coalesce(F.lag(ts).over(w), F.col("_prev_bucket_last_ts"))}
+    for g in first_of:
+        # New = not seen earlier in this bucket (same sort as the lag) and this
+        # bucket is where the value first appears for the key.
+        seen = F.collect_set(g).over(earlier)
+        null_seen = F.max(F.col(g).isNull()).over(earlier)
+        first_in_bucket = F.when(F.col(g).isNull(), ~F.coalesce(null_seen, F.lit(False))) \
+            .otherwise(~F.coalesce(F.array_contains(seen, F.col(g)), F.lit(False)))
+        first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
+            .otherwise(F.coalesce(F.array_contains(F.col(f"_new_{g}"), F.col(g)), F.lit(False)))
+        cols[f"_is_first_{g}"] = first_in_bucket & first_bucket
+    return rows.withColumns(cols)
