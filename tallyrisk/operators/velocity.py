@@ -10,37 +10,57 @@ bucket's own rows are kept.  Cost: the rows are shuffled twice as large
 once per bucket width (1 day for the customer frames, 7 days for the
 account frame); no pairs of rows are ever produced.
 
-First sightings (E14, E15) reuse the min(struct) aggregate of
-:mod:`tallyrisk.operators.sequence`.  Daily breakdowns (M-24) and repeat
-victims (E16) are keyed aggregates.
+First sightings (E14, E15) ride on the customer pass: a running set on the
+same window sort plus the per-(key, value) first bucket of
+:mod:`tallyrisk.operators.sequence` (hash aggregates only).  Daily
+breakdowns (M-24) and repeat victims (E16) are keyed aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrisk.operators.joins import join_dimension
-
-EPOCH = "1970-01-01 00:00:00"
-
-
-def _bucket(ts: str, hours: int):
-    return F.floor(F.timestamp_diff("HOUR", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts)) / F.lit(hours))
+from tallyrisk.operators.sequence import first_buckets, time_bucket
 
 
 def with_halo(df: DataFrame, ts: str, bucket_hours: int) -> DataFrame:
     """Each row once in its own bucket (``_own``) and once as context in the next."""
-    b = _bucket(ts, bucket_hours)
+    b = time_bucket(F.col(ts), bucket_hours)
     return df.withColumn("_b", F.explode(F.array(
         F.struct(b.alias("bucket"), F.lit(True).alias("own")),
         F.struct((b + 1).alias("bucket"), F.lit(False).alias("own"))))).select(
         "*", F.col("_b.bucket").alias("_bucket"), F.col("_b.own").alias("_own")).drop("_b")
 
 
-def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str, tuple[str, object]]) -> DataFrame:
-    """Range-frame aggregates per row. ``aggs``: name -> (frame interval SQL, Column aggregate)."""
+def _first_flag(g: str, earlier) -> "F.Column":
+    seen = F.collect_set(g).over(earlier)
+    null_seen = F.max(F.col(g).isNull()).over(earlier)
+    first_in_bucket = F.when(F.col(g).isNull(), ~F.coalesce(null_seen, F.lit(False))) \
+        .otherwise(~F.coalesce(F.array_contains(seen, F.col(g)), F.lit(False)))
+    first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
+        .otherwise(F.coalesce(F.array_contains(F.col(f"_new_{g}"), F.col(g)), F.lit(False)))
+    return first_in_bucket & first_bucket
+
+
+def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str, tuple[str, str]],
+            row_id: str | None = None, first_of: tuple[str, ...] = ()) -> DataFrame:
+    """Range-frame aggregates per row. ``aggs``: name -> (frame interval SQL, aggregate SQL).
+
+    ``first_of``: columns whose first appearance per key is flagged
+    (``_is_first_<col>``), on the same partitioning and sort: the value was
+    not seen earlier in the bucket (halo rows included, which can only
+    precede its first bucket) and the bucket is its first one for the key.
+    """
     h = with_halo(df, ts, bucket_hours).repartition(F.col(key), F.col("_bucket"))
+    if first_of:
+        bucketed = df.withColumn("_bucket", time_bucket(F.col(ts), bucket_hours))
+        aux = None
+        for g in first_of:
+            fb = first_buckets(bucketed, key, g)
+            aux = fb if aux is None else aux.join(fb, [key, "_bucket"], "full")
+        h = h.join(aux, [key, "_bucket"], "left")
     cols = []
     for name, (interval, agg) in aggs.items():
         # RANGE frames on TIMESTAMP_NTZ need an interval bound, given in SQL.
@@ -49,14 +69,11 @@ def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str,
         # ``agg`` names the window slot as {w}, e.g. "size(collect_set(x) {w})".
         text_ = agg.format(w=over) if "{w}" in agg else f"{agg} {over}"
         cols.append(F.expr(text_).alias(name))
-    return h.select("*", *cols).filter("_own").drop("_bucket", "_own")
-
-
-def first_sighting(df: DataFrame, key: str, value: str, ts: str, row_id: str) -> DataFrame:
-    """row_id -> True when it is the first (ts, id) of its (key, value) pair."""
-    firsts = (df.groupBy(key, value).agg(F.min(F.struct(F.col(ts), F.col(row_id))).alias("_f"))
-              .select(F.col("_f")[row_id].alias(row_id), F.lit(True).alias("_first")))
-    return firsts
+    if first_of:
+        earlier = (Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        cols += [_first_flag(g, earlier).alias(f"_is_first_{g}") for g in first_of]
+    return h.select(*df.columns, "_own", *cols).filter("_own").drop("_own")
 
 
 def velocity_features(t: DataFrame) -> DataFrame:
@@ -69,16 +86,15 @@ def velocity_features(t: DataFrame) -> DataFrame:
         "transaction_count_24h": ("24 HOURS", "count(1)"),
         "transaction_amount_24h": ("24 HOURS", "sum(amount_abs)"),
         "unique_merchants_24h": ("24 HOURS", "size(collect_set(merchant_name_clean) {w})"),
-    }).select("transaction_id", "transaction_count_1h", "transaction_count_24h",
-              "transaction_amount_24h", "unique_merchants_24h")
+    }, row_id="transaction_id", first_of=("device_id", "merchant_location")).select(
+        "transaction_id", "transaction_count_1h", "transaction_count_24h", "transaction_amount_24h",
+        "unique_merchants_24h", F.col("_is_first_device_id").alias("is_new_device"),
+        F.col("_is_first_merchant_location").alias("is_new_location"))
     acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, 24 * 7, {
         "account_transaction_count_7d": ("7 DAYS", "count(1)"),
         "balance_change_24h": ("24 HOURS", "sum(amount)"),
     }).select("transaction_id", "account_transaction_count_7d", "balance_change_24h")
-    dev = first_sighting(base, "customer_id", "device_id", ts, "transaction_id").withColumnRenamed("_first", "is_new_device")
-    loc = first_sighting(base, "customer_id", "merchant_location", ts, "transaction_id").withColumnRenamed("_first", "is_new_location")
-    out = (base.select("transaction_id").join(cust, "transaction_id", "left").join(acct, "transaction_id", "left")
-           .join(dev, "transaction_id", "left").join(loc, "transaction_id", "left"))
+    out = base.select("transaction_id").join(cust, "transaction_id", "left").join(acct, "transaction_id", "left")
     return out.select(
         "transaction_id",
         F.col("transaction_count_1h").cast("int").alias("transaction_count_1h"),
