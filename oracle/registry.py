@@ -408,8 +408,8 @@ from oracle.layers import dec  # noqa: E402
 
 
 def _rng(agg: str, part: str, width: str) -> str:
-    return (f"{agg} OVER (PARTITION BY {part} ORDER BY transaction_timestamp "
-            f"RANGE BETWEEN INTERVAL {width} PRECEDING AND CURRENT ROW)")
+    return (f"CASE WHEN {part} IS NOT NULL THEN {agg} OVER (PARTITION BY {part} ORDER BY transaction_timestamp "
+            f"RANGE BETWEEN INTERVAL {width} PRECEDING AND CURRENT ROW) END")
 
 
 register("E08_E15_velocity_real",
@@ -423,8 +423,10 @@ register("E08_E15_velocity_real",
                     CAST({_rng('count(DISTINCT merchant_name_clean)', 'customer_id', '24 HOUR')} AS INT) AS unique_merchants_24h,
                     CAST({_rng('count(*)', 'account_id', '7 DAY')} AS INT) AS account_transaction_count_7d,
                     CAST({_rng('sum(amount)', 'account_id', '24 HOUR')} AS DECIMAL(12,2)) AS balance_change_24h,
-                    row_number() OVER (PARTITION BY customer_id, device_id ORDER BY transaction_timestamp, transaction_id) = 1 AS is_new_device,
-                    row_number() OVER (PARTITION BY customer_id, merchant_location ORDER BY transaction_timestamp, transaction_id) = 1 AS is_new_location
+                    coalesce(customer_id IS NOT NULL AND row_number() OVER (PARTITION BY customer_id, device_id
+                             ORDER BY transaction_timestamp, transaction_id) = 1, false) AS is_new_device,
+                    coalesce(customer_id IS NOT NULL AND row_number() OVER (PARTITION BY customer_id, merchant_location
+                             ORDER BY transaction_timestamp, transaction_id) = 1, false) AS is_new_location
              FROM silver_transactions""", ["silver_transactions"],
          )(lambda L: velocity.velocity_features(L["silver_transactions"]))
 
