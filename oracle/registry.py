@@ -474,3 +474,9 @@ register("T14_is_holiday_real", "transaction_id:i is_holiday:b",
          )(lambda L: velocity.holiday_flags(
              L["silver_transactions"],
              L["silver_transactions"].sparkSession.createDataFrame([(d,) for d in HOLIDAYS], "holiday_date string")))
+
+register("D08_daily_fraud_victims_corrected", "summary_date:d fraud_victims:i",
+         """SELECT CAST(transaction_timestamp AS DATE) AS summary_date,
+                   count(DISTINCT CASE WHEN is_fraud THEN customer_id END) AS fraud_victims
+            FROM silver_transactions GROUP BY 1""", ["silver_transactions"],
+         )(lambda L: agg.daily_fraud_victims(L["silver_transactions"]))

@@ -88,3 +88,18 @@ def daily_fraud_totals(txns: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("is_fraud"), F.col("amount_abs")).otherwise(F.lit(0))).alias("fraud_amount"),
         F.count_distinct("customer_id").alias("affected_customers"),
     ))
+
+
+def daily_fraud_victims(txns: DataFrame) -> DataFrame:
+    """D08 corrected (S19): customers with at least one fraud that day.
+
+    The source's ``affected_customers`` counts every customer active on the
+    day; this is the number of fraud victims.  Exact distinct count, planned
+    as a two-level aggregate on (day, customer).
+    """
+    fraud = txns.filter(F.col("is_fraud"))
+    days = txns.select(F.to_date("transaction_timestamp").alias("summary_date")).distinct()
+    victims = fraud.groupBy(F.to_date("transaction_timestamp").alias("summary_date")).agg(
+        F.count_distinct("customer_id").alias("fraud_victims"))
+    return days.join(victims, "summary_date", "left").select(
+        "summary_date", F.coalesce(F.col("fraud_victims"), F.lit(0)).alias("fraud_victims"))
