@@ -25,12 +25,19 @@ def row_counts(tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
 
 
 def null_checks(tables: dict[str, DataFrame], checks=NULL_CHECKS) -> DataFrame:
-    """NULL count per (table, column) with pass/warn status."""
-    frames = []
+    """NULL count per (table, column) with pass/warn status.
+
+    One aggregate (one scan) per table, whatever the number of columns checked.
+    """
+    by_table: dict[str, list[str]] = {}
     for table, column in checks:
-        frames.append(tables[table].agg(F.count_if(F.col(column).isNull()).alias("null_count"))
-                      .select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                              "null_count"))
+        by_table.setdefault(table, []).append(column)
+    frames = []
+    for table, columns in by_table.items():
+        wide = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+        frames.append(wide.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, null_count)")
+                      .select(F.lit(table).alias("table_name"), "column_name", "null_count"))
     out = _union(frames)
     return out.withColumn("status", F.when(F.col("null_count") == 0, "pass").otherwise("warn"))
 
