@@ -16,7 +16,7 @@ from tallyrisk.functions import rules
 from tallyrisk.functions.rules import bin_with, flag
 from tallyrisk.functions.temporal import DEFAULT_AS_OF, as_of_date, as_of_ts, hour_angle
 from tallyrisk.operators import aggregates as agg
-from tallyrisk.operators.joins import join_dimension, keyed, left_join_fill
+from tallyrisk.operators.joins import broadcast_limit, estimated_bytes, join_dimension, keyed, left_join_fill
 from tallyrisk.operators.sequence import with_sequence_features
 
 MONEY = "decimal(12,2)"
@@ -73,13 +73,19 @@ FEATURE_COLUMNS = [
 
 
 def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_AS_OF,
-                   bucket_hours: int = 24) -> DataFrame:
+                   bucket_hours: int = 24, parity: bool = True,
+                   holidays: DataFrame | None = None) -> DataFrame:
     """H06 (flagship): one feature row per silver transaction.
 
     ``transactions`` is silver_transactions, ``accounts`` silver_accounts
     (only ``account_id, account_age_days`` are read).  Rows without a
     customer cannot be placed in a customer sequence; they are left to the
     orphan check (:func:`tallyrisk.operators.quality.rejected_feature_rows`).
+
+    ``parity=False`` fills the reserved columns with their real definitions
+    (rolling counts and sums, first device/location, category risk score,
+    and holidays when a ``holiday_date`` table is given); this adds the
+    passes of :mod:`tallyrisk.operators.velocity`.
     """
     now = as_of_ts(as_of)
     t = transactions.filter(F.col("customer_id").isNotNull()).select(
@@ -95,7 +101,7 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
                        / F.lit(3.6e9), F.lit(24.0))
     hour = F.col("transaction_hour")
     zero_money = F.lit(0).cast(MONEY)
-    return s.select(
+    out = s.select(
         "transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
         bin_with(F.col("amount_abs"), rules.AMOUNT_BINS).alias("amount_category"),
         "customer_age",
@@ -135,6 +141,22 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
         now.alias("prediction_timestamp"),
         now.alias("created_at"),
     )
+    return out if parity else _with_real_columns(out, transactions, holidays)
+
+
+def _with_real_columns(features: DataFrame, transactions: DataFrame, holidays: DataFrame | None) -> DataFrame:
+    from tallyrisk.operators import velocity
+
+    real = velocity.velocity_features(transactions)
+    out = features.drop(*[c for c in real.columns if c != "transaction_id"]).join(real, "transaction_id", "left")
+    risk = velocity.merchant_category_risk(transactions).select(
+        F.col("merchant_category").alias("_cat"), F.col("merchant_risk_score").alias("_mrs"))
+    out = out.join(F.broadcast(risk) if (estimated_bytes(risk) or 1 << 62) <= broadcast_limit(out) else risk,
+                   out["merchant_category"].eqNullSafe(risk["_cat"]), "left")
+    out = out.withColumn("merchant_risk_score", F.col("_mrs")).drop("_cat", "_mrs")
+    if holidays is not None:
+        out = out.drop("is_holiday").join(velocity.holiday_flags(transactions, holidays), "transaction_id", "left")
+    return out.select(*FEATURE_COLUMNS)
 
 
 DAILY_COLUMNS = [

@@ -131,3 +131,21 @@ def test_placeholder_ranges(spark):
         assert 0 <= float(r.distance_from_home_km) <= 100
         assert 0 <= float(r.velocity_kmh) <= 120
         assert float(r.fraud_probability) == (1.0 if r.is_fraud else 0.0)
+
+
+def test_real_reserved_columns(spark, small_dir):
+    from oracle import registry
+    from tallyrisk.operators import velocity
+    L = registry.spark_layers(spark, small_dir)
+    t, a = L["silver_transactions"], L["account_basics"]
+    real = fraud_features(t, a, parity=False).collect()
+    parity = {r.transaction_id: r for r in fraud_features(t, a).collect()}
+    vel = {r.transaction_id: r for r in velocity.velocity_features(t).collect()}
+    risk = {r.merchant_category: r.merchant_risk_score for r in velocity.merchant_category_risk(t).collect()}
+    assert len(real) == len(parity)
+    for r in real:
+        v = vel[r.transaction_id]
+        assert (r.transaction_count_24h, r.unique_merchants_24h, r.is_new_device, r.account_transaction_count_7d) == \
+               (v.transaction_count_24h, v.unique_merchants_24h, v.is_new_device, v.account_transaction_count_7d)
+        assert r.merchant_risk_score == risk[r.merchant_category]
+        assert r.amount_z_score == parity[r.transaction_id].amount_z_score
