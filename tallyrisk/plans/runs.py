@@ -60,7 +60,8 @@ def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, vers
                   version)
     store.publish("silver_transactions", silver.silver_transactions(
         b["bronze_transactions"], store.read("silver_customers"), store.read("silver_accounts"), as_of),
-        version, partition_by=["transaction_date"])
+        version, partition_by=["transaction_date"],
+        sort_within=["transaction_date", "customer_id", "transaction_timestamp"])
     return verify(spark, store, SILVER_TABLES)
 
 
@@ -70,7 +71,8 @@ def run_gold(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, versio
     version = version or make_batch_id(as_of, "gold")
     c, a, t = (store.read(n) for n in SILVER_TABLES)
     store.publish("gold_customer_360", gold.customer_360(c, t, as_of), version)
-    store.publish("gold_fraud_features", gold.fraud_features(t, a, as_of, bucket_hours=bucket_hours), version)
+    store.publish("gold_fraud_features", gold.fraud_features(t, a, as_of, bucket_hours=bucket_hours), version,
+                  sort_within=["transaction_timestamp"])
     store.publish("gold_daily_fraud_summary", gold.daily_fraud_summary(t, as_of), version)
     return verify(spark, store, GOLD_TABLES)
 

@@ -63,7 +63,8 @@ class LayerStore:
             raise FileNotFoundError(f"no published version of {table} under {self.root}")
         return self.spark.read.parquet(self.path(table, v))
 
-    def publish(self, table: str, df: DataFrame, version: str, partition_by: list[str] | None = None) -> bool:
+    def publish(self, table: str, df: DataFrame, version: str, partition_by: list[str] | None = None,
+                sort_within: list[str] | None = None) -> bool:
         """A10: write a full new version, then mark it published.
 
         The plan runs once (no emptiness probe before the write).  A version
@@ -71,6 +72,10 @@ class LayerStore:
         one; a job that dies mid-write leaves an unmarked version too.
         """
         path = self.path(table, version)
+        if sort_within:
+            # Local sort inside each write task (no shuffle): tight Parquet
+            # row-group min/max on these columns, so range filters skip data.
+            df = df.sortWithinPartitions(*sort_within)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
