@@ -88,13 +88,19 @@ def main(argv=None) -> None:
     p.add_argument("--store", required=True, help="shared root folder of the layer tables")
     p.add_argument("--as-of", default=DEFAULT_AS_OF)
     p.add_argument("--mode", default="fail", choices=["fail", "skip"])
+    p.add_argument("--input-bytes", type=int, default=0, help="approximate input volume, for partition sizing")
+    p.add_argument("--executors", type=int, default=0)
+    p.add_argument("--executor-cores", type=int, default=4)
+    p.add_argument("--bucket-hours", type=int, default=24, help="time bucket of the sequence features")
     args = p.parse_args(argv)
-    from tallyrisk.session import build_session
-    spark = build_session(master=None)
+    from tallyrisk.session import build_session, sizing_conf
+    extra = (sizing_conf(args.input_bytes, args.executor_cores, args.executors)
+             if args.input_bytes and args.executors else None)
+    spark = build_session(master=None, extra=extra)
     store = LayerStore(spark, args.store)
     log.warning("bronze appended: %s", run_bronze(spark, args.raw, store, args.as_of, args.mode))
     run_silver(spark, store, args.as_of).show()
-    run_gold(spark, store, args.as_of).show()
+    run_gold(spark, store, args.as_of, bucket_hours=args.bucket_hours).show()
 
 
 if __name__ == "__main__":
