@@ -35,3 +35,15 @@ def test_full_run_matches_lazy_layers(spark, small_dir):
         raised = True
     assert raised
     assert runs.run_bronze(spark, raw, store, mode="skip") == {t: 0 for t in FILE_TO_TABLE.values()}
+
+
+def test_cli_entry_point(spark, small_dir):
+    raw = tempfile.mkdtemp(prefix="tallyrisk-raw-cli-")
+    frames = bronze_frames(spark, small_dir)
+    for file_name, table in FILE_TO_TABLE.items():
+        write_csv(frames[table](), os.path.join(raw, file_name))
+    root = tempfile.mkdtemp(prefix="tallyrisk-store-cli-")
+    runs.main(["--raw", raw, "--store", root, "--bucket-hours", "6"])
+    store = LayerStore(spark, root)
+    assert store.read("gold_fraud_features").count() == frames["bronze_transactions"]().count()
+    assert store.read("gold_daily_fraud_summary").count() > 0
