@@ -84,8 +84,8 @@ def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail"
 
     ``mode="fail"``: any key already stored, or repeated inside the batch,
     rejects the whole batch (nothing is appended).  ``mode="skip"``: rows
-    with a stored key are left out (and in-batch repeats keep one row), the
-    others are appended.  Returns the number of rows appended.
+    with a stored or missing key are left out (and in-batch repeats keep one
+    row), the others are appended.  Returns the number of rows appended.
 
     The batch is first written once to ``staging`` (default: next to the
     target on the same storage), so the raw files are parsed once; the key
@@ -93,30 +93,37 @@ def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail"
     """
     spark = batch.sparkSession
     key = PRIMARY_KEYS[table]
+    own_staging = staging is None
     staging = staging or f"{target.rstrip('/')}_staging/{uuid.uuid4().hex}"
     batch.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    try:
-        stored = spark.read.parquet(target).select(*key).distinct().withColumn("_stored", F.lit(True))
-    except AnalysisException:
-        stored = None
-    flagged = staged.join(stored, key, "left") if stored is not None else staged.withColumn("_stored", F.lit(None))
-    stats = flagged.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_distinct(*[F.col(k) for k in key]).alias("keys"),
-                        F.count_if(F.col("_stored").isNull()).alias("new")).first()
     try:
+        staged = spark.read.parquet(staging)
+        try:
+            stored = spark.read.parquet(target).select(*key).distinct().withColumn("_stored", F.lit(True))
+        except AnalysisException:
+            stored = None
+        flagged = (staged.join(stored, key, "left") if stored is not None
+                   else staged.withColumn("_stored", F.lit(None).cast("boolean")))
+        has_key = F.lit(True)
+        for k in key:
+            has_key = has_key & F.col(k).isNotNull()
+        stats = flagged.agg(F.count(F.lit(1)).alias("n"),
+                            F.count_distinct(*[F.col(k) for k in key]).alias("keys"),
+                            F.count_if(F.col("_stored").isNull() & has_key).alias("new")).first()
         if mode == "fail":
+            # A stored key, a repeated key or a missing key rejects the batch.
             if stats["new"] != stats["n"] or stats["keys"] != stats["n"]:
                 raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys; nothing appended")
             fresh, new_n = staged, stats["n"]
         else:
-            fresh = flagged.filter(F.col("_stored").isNull()).drop("_stored").dropDuplicates(key)
+            fresh = flagged.filter(F.col("_stored").isNull() & has_key).drop("_stored").dropDuplicates(key)
             new_n = fresh.count() if stats["new"] else 0
         if new_n:
             fresh.select(*batch.columns).write.mode("append").parquet(target)
         return new_n
     finally:
-        _drop_path(spark, staging)
+        if own_staging:
+            _drop_path(spark, staging)
 
 
 def _drop_path(spark: SparkSession, path: str) -> None:

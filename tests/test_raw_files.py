@@ -81,3 +81,14 @@ def test_store_keeps_previous_version(spark):
     assert store.latest("t") == "0001" and store.read("t").count() == 5
     assert store.publish("t", df.filter("x < 2"), "0003")
     assert store.read("t").count() == 2
+
+
+def test_skip_mode_drops_null_keys(spark, small_dir):
+    target = os.path.join(tempfile.mkdtemp(prefix="tallyrisk-bronze-"), "bronze_accounts")
+    batch = with_lineage(bronze_frames(spark, small_dir)["bronze_accounts"](), batch_id="b1",
+                         source_file="erp_accounts.csv")
+    nulls = batch.limit(3).withColumn("account_id", F.lit(None).cast("int"))
+    with pytest.raises(DuplicateKeyError):
+        append_checked(batch.unionByName(nulls), target, "bronze_accounts", mode="fail")
+    assert append_checked(batch.unionByName(nulls), target, "bronze_accounts", mode="skip") == batch.count()
+    assert spark.read.parquet(target).filter("account_id IS NULL").count() == 0
