@@ -17,6 +17,7 @@ that comes out empty is not published (the previous version stays).
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,13 @@ from tallyrisk.sources.store import LayerStore
 log = logging.getLogger(__name__)
 
 
+def new_version(as_of=DEFAULT_AS_OF) -> str:
+    """Version id ordered by as_of, then by run time: a rerun never overwrites
+    the version readers currently use."""
+    as_of_part = dt.datetime.fromisoformat(str(as_of)).strftime("%Y%m%d_%H%M%S")
+    return f"{as_of_part}_{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%d%H%M%S%f')}"
+
+
 def bronze_path(store: LayerStore, table: str) -> str:
     return f"{store.root}/{table}/current"
 
@@ -51,7 +59,7 @@ def read_bronze(spark: SparkSession, store: LayerStore) -> dict[str, DataFrame]:
 
 def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, version: str | None = None) -> DataFrame:
     """Customers, accounts, then transactions enriched from the published pair."""
-    version = version or make_batch_id(as_of, "silver")
+    version = version or new_version(as_of)
     b = read_bronze(spark, store)
     store.publish("silver_customers", silver.silver_customers(
         b["bronze_customers"], b["bronze_interactions"], b["bronze_fraud_reports"], b["bronze_accounts"], as_of),
@@ -68,7 +76,7 @@ def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, vers
 def run_gold(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, version: str | None = None,
              bucket_hours: int = 24) -> DataFrame:
     """Customer profile, per-transaction features, daily summary."""
-    version = version or make_batch_id(as_of, "gold")
+    version = version or new_version(as_of)
     c, a, t = (store.read(n) for n in SILVER_TABLES)
     store.publish("gold_customer_360", gold.customer_360(c, t, as_of), version)
     store.publish("gold_fraud_features", gold.fraud_features(t, a, as_of, bucket_hours=bucket_hours), version,
