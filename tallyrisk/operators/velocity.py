@@ -10,9 +10,9 @@ bucket's own rows are kept.  Cost: the rows are shuffled twice as large
 once per bucket width (1 day for the customer frames, 7 days for the
 account frame); no pairs of rows are ever produced.
 
-First sightings (E14, E15) ride on the customer pass: a running set on the
-same window sort plus the per-(key, value) first bucket of
-:mod:`tallyrisk.operators.sequence` (hash aggregates only).  Daily
+First sightings (E14, E15) ride on the customer pass: ``row_number`` per
+(key, bucket, value) inside the hashed partitions plus the per-(key, value)
+first bucket of :mod:`tallyrisk.operators.sequence` (hash aggregates only).  Daily
 breakdowns (M-24) and repeat victims (E16) are keyed aggregates.
 """
 
@@ -34,11 +34,12 @@ def with_halo(df: DataFrame, ts: str, bucket_hours: int) -> DataFrame:
         "*", F.col("_b.bucket").alias("_bucket"), F.col("_b.own").alias("_own")).drop("_b")
 
 
-def _first_flag(g: str, earlier) -> "F.Column":
-    seen = F.collect_set(g).over(earlier)
-    null_seen = F.max(F.col(g).isNull()).over(earlier)
-    first_in_bucket = F.when(F.col(g).isNull(), ~F.coalesce(null_seen, F.lit(False))) \
-        .otherwise(~F.coalesce(F.array_contains(seen, F.col(g)), F.lit(False)))
+def _first_flag(key: str, g: str, ts: str, row_id: str) -> "F.Column":
+    """First (ts, id) of its (key, bucket, value) group, halo rows included, and the
+    bucket is the value's first one for the key.  ``row_number`` costs a sort in
+    the already-hashed partition, independent of how many distinct values exist."""
+    w = Window.partitionBy(key, "_bucket", g).orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
+    first_in_bucket = F.row_number().over(w) == 1
     first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
         .otherwise(F.coalesce(F.array_contains(F.col(f"_new_{g}"), F.col(g)), F.lit(False)))
     return first_in_bucket & first_bucket
@@ -69,10 +70,7 @@ def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str,
         # ``agg`` names the window slot as {w}, e.g. "size(collect_set(x) {w})".
         text_ = agg.format(w=over) if "{w}" in agg else f"{agg} {over}"
         cols.append(F.expr(text_).alias(name))
-    if first_of:
-        earlier = (Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        cols += [_first_flag(g, earlier).alias(f"_is_first_{g}") for g in first_of]
+    cols += [_first_flag(key, g, ts, row_id).alias(f"_is_first_{g}") for g in first_of]
     return h.select(*df.columns, "_own", *cols).filter("_own").drop("_own")
 
 
