@@ -74,6 +74,51 @@ def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str,
     return h.select(*df.columns, "_own", *cols).filter("_own").drop("_own")
 
 
+def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
+                      width_hours: int) -> DataFrame:
+    """Per row: number of distinct non-NULL ``value`` of its key over
+    [ts - width, ts] (ties included), by sorting only.
+
+    Each distinct time p of a (key, value) opens an interval that ends at the
+    value's next time (exclusive) or at p + width (inclusive), whichever is
+    first; the count at t is the number of intervals covering t: a running sum
+    of +1/-1 events, read at each row's time.  Every step is partitioned by
+    (key, time bucket of width ``width_hours``) with a one-bucket halo, so a
+    busy key is spread over tasks and no pairs of rows are built.
+    """
+    width = F.make_dt_interval(F.lit(0), F.lit(width_hours))
+    pts = df.filter(F.col(value).isNotNull() & F.col(ts).isNotNull()).select(
+        key, value, F.col(ts).alias("_p")).distinct()
+    pb = time_bucket(F.col("_p"), width_hours)
+    # Next time of the same (key, value): needed only within ``width``, so in
+    # the point's bucket or the next; points are also placed, as context, in
+    # the previous bucket's partition.
+    fwd = pts.withColumn("_h", F.explode(F.array(
+        F.struct(pb.alias("b"), F.lit(True).alias("own")),
+        F.struct((pb - 1).alias("b"), F.lit(False).alias("own")))))
+    w_next = Window.partitionBy(key, value, F.col("_h.b")).orderBy("_p")
+    pts = (fwd.select(key, "_p", F.col("_h.own").alias("_own"), F.lead("_p").over(w_next).alias("_next"))
+           .filter("_own"))
+    closes_early = F.col("_next").isNotNull() & (F.col("_next") <= F.col("_p") + width)
+    events = pts.select(key, "_p", F.explode(F.array(
+        F.struct(F.col("_p").alias("t"), F.lit(0).alias("ord"), F.lit(1).alias("d")),
+        F.when(closes_early, F.struct(F.col("_next").alias("t"), F.lit(0).alias("ord"), F.lit(-1).alias("d")))
+         .otherwise(F.struct((F.col("_p") + width).alias("t"), F.lit(2).alias("ord"), F.lit(-1).alias("d")))
+    )).alias("e"))
+    eb = time_bucket(F.col("_p"), width_hours)
+    events = events.select(key, F.col("e.t").alias("_t"), F.col("e.ord").alias("_ord"), F.col("e.d").alias("_d"),
+                           F.explode(F.array(eb, eb + 1)).alias("_bucket"),
+                           F.lit(None).cast(df.schema[row_id].dataType).alias("_row"))
+    queries = df.filter(F.col(ts).isNotNull()).select(
+        key, F.col(ts).alias("_t"), F.lit(1).alias("_ord"), F.lit(0).alias("_d"),
+        time_bucket(F.col(ts), width_hours).alias("_bucket"), F.col(row_id).alias("_row"))
+    sweep = events.unionByName(queries).repartition(F.col(key), F.col("_bucket"))
+    w = (Window.partitionBy(key, "_bucket").orderBy("_t", "_ord")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (sweep.select("_row", "_ord", F.sum("_d").over(w).alias("_n")).filter(F.col("_ord") == 1)
+            .select(F.col("_row").alias(row_id), F.col("_n").alias(f"distinct_{value}")))
+
+
 def velocity_features(t: DataFrame) -> DataFrame:
     """E08-E15 per transaction of silver_transactions."""
     base = t.select("transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
@@ -83,16 +128,19 @@ def velocity_features(t: DataFrame) -> DataFrame:
         "transaction_count_1h": ("1 HOUR", "count(1)"),
         "transaction_count_24h": ("24 HOURS", "count(1)"),
         "transaction_amount_24h": ("24 HOURS", "sum(amount_abs)"),
-        "unique_merchants_24h": ("24 HOURS", "size(collect_set(merchant_name_clean) {w})"),
     }, row_id="transaction_id", first_of=("device_id", "merchant_location")).select(
         "transaction_id", "transaction_count_1h", "transaction_count_24h", "transaction_amount_24h",
-        "unique_merchants_24h", F.col("_is_first_device_id").alias("is_new_device"),
+        F.col("_is_first_device_id").alias("is_new_device"),
         F.col("_is_first_merchant_location").alias("is_new_location"))
+    uniq = distinct_in_range(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts,
+                             "merchant_name_clean", "transaction_id", 24).select(
+        "transaction_id", F.col("distinct_merchant_name_clean").alias("unique_merchants_24h"))
     acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, 24 * 7, {
         "account_transaction_count_7d": ("7 DAYS", "count(1)"),
         "balance_change_24h": ("24 HOURS", "sum(amount)"),
     }).select("transaction_id", "account_transaction_count_7d", "balance_change_24h")
-    out = base.select("transaction_id").join(cust, "transaction_id", "left").join(acct, "transaction_id", "left")
+    out = (base.select("transaction_id").join(cust, "transaction_id", "left")
+           .join(uniq, "transaction_id", "left").join(acct, "transaction_id", "left"))
     return out.select(
         "transaction_id",
         F.col("transaction_count_1h").cast("int").alias("transaction_count_1h"),
