@@ -8,7 +8,9 @@ one, so each row is also copied, as read-only context, into the next
 bucket ("halo").  Frames are evaluated per (key, bucket) and only a
 bucket's own rows are kept.  Cost: the rows are shuffled twice as large
 once per bucket width (1 day for the customer frames, 7 days for the
-account frame); no pairs of rows are ever produced.
+account frame); no pairs of rows are ever produced.  The distinct-merchant
+count (E11) is an exact interval sweep (:func:`distinct_in_range`): sorting
+and running sums only, no set per row.
 
 First sightings (E14, E15) ride on the customer pass: ``row_number`` per
 (key, bucket, value) inside the hashed partitions plus the per-(key, value)
@@ -67,7 +69,8 @@ def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str,
         # RANGE frames on TIMESTAMP_NTZ need an interval bound, given in SQL.
         over = (f"OVER (PARTITION BY `{key}`, _bucket ORDER BY `{ts}` "
                 f"RANGE BETWEEN INTERVAL {interval} PRECEDING AND CURRENT ROW)")
-        # ``agg`` names the window slot as {w}, e.g. "size(collect_set(x) {w})".
+        # ``agg`` may name the window slot as {w} when the OVER clause must sit
+        # inside the expression, e.g. "coalesce(sum(x) {w}, 0)".
         text_ = agg.format(w=over) if "{w}" in agg else f"{agg} {over}"
         cols.append(F.expr(text_).alias(name))
     cols += [_first_flag(key, g, ts, row_id).alias(f"_is_first_{g}") for g in first_of]
