@@ -1,21 +1,19 @@
 """Real definitions of the columns the source system only reserved.
 
-Rolling windows (E08-E13) are RANGE frames on the event time that include
-the current row and every row with the same time.  To keep one busy key
-from becoming one task, rows are split into time buckets at least as wide
-as the frame: a row's frame then lies in its own bucket or the previous
-one, so each row is also copied, as read-only context, into the next
-bucket ("halo").  Frames are evaluated per (key, bucket) and only a
-bucket's own rows are kept.  Cost: the rows are shuffled twice as large
-once per bucket width (1 day for the customer frames, 7 days for the
-account frame); no pairs of rows are ever produced.  The distinct-merchant
-count (E11) is an exact interval sweep (:func:`distinct_in_range`): sorting
-and running sums only, no set per row.
-
-First sightings (E14, E15) ride on the customer pass: ``row_number`` per
+Rolling counts and sums (E08-E13) over RANGE frames on the event time
+(current row and its time peers included) are computed as sweeps: +value at
+each row's time, -value just after its frame ends, and a running sum read
+at each row.  A sliding frame would be re-aggregated whenever rows leave it
+(quadratic in a dense bucket); the sweep is one sort per (key, bucket) and
+linear work.  Buckets are at least as wide as the frame and every row's
+events are also placed, as context, in the next bucket, so one busy key is
+spread over tasks and no pairs of rows are built.  The distinct-merchant
+count (E11) is an interval sweep as well (:func:`distinct_in_range`).
+
+First sightings (E14, E15) ride on the customer sweep: ``row_number`` per
 (key, bucket, value) inside the hashed partitions plus the per-(key, value)
-first bucket of :mod:`tallyrisk.operators.sequence` (hash aggregates only).  Daily
-breakdowns (M-24) and repeat victims (E16) are keyed aggregates.
+first bucket of :mod:`tallyrisk.operators.sequence` (hash aggregates only).
+Daily breakdowns (M-24) and repeat victims (E16) are keyed aggregates.
 """
 
 from __future__ import annotations
@@ -27,54 +25,68 @@ from tallyrisk.operators.joins import join_dimension
 from tallyrisk.operators.sequence import first_buckets, time_bucket
 
 
-def with_halo(df: DataFrame, ts: str, bucket_hours: int) -> DataFrame:
-    """Each row once in its own bucket (``_own``) and once as context in the next."""
-    b = time_bucket(F.col(ts), bucket_hours)
-    return df.withColumn("_b", F.explode(F.array(
-        F.struct(b.alias("bucket"), F.lit(True).alias("own")),
-        F.struct((b + 1).alias("bucket"), F.lit(False).alias("own"))))).select(
-        "*", F.col("_b.bucket").alias("_bucket"), F.col("_b.own").alias("_own")).drop("_b")
-
-
-def _first_flag(key: str, g: str, ts: str, row_id: str) -> "F.Column":
-    """First (ts, id) of its (key, bucket, value) group, halo rows included, and the
-    bucket is the value's first one for the key.  ``row_number`` costs a sort in
-    the already-hashed partition, independent of how many distinct values exist."""
-    w = Window.partitionBy(key, "_bucket", g).orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
+def _first_flag(key: str, g: str, row_id: str) -> "F.Column":
+    """First (ts, id) of its (key, bucket, value) among the bucket's own rows, and
+    the bucket is the value's first one for the key.  ``row_number`` costs a sort
+    in the already-hashed partition, whatever the number of distinct values."""
+    w = (Window.partitionBy(key, "_bucket", "_own_row", g)
+         .orderBy(F.col("_t").asc_nulls_last(), F.col("_row")))
     first_in_bucket = F.row_number().over(w) == 1
     first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
         .otherwise(F.coalesce(F.array_contains(F.col(f"_new_{g}"), F.col(g)), F.lit(False)))
     return first_in_bucket & first_bucket
 
 
-def rolling(df: DataFrame, key: str, ts: str, bucket_hours: int, aggs: dict[str, tuple[str, str]],
-            row_id: str | None = None, first_of: tuple[str, ...] = ()) -> DataFrame:
-    """Range-frame aggregates per row. ``aggs``: name -> (frame interval SQL, aggregate SQL).
+def rolling(df: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int,
+            measures: dict[str, tuple[int, object]], first_of: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: RANGE-frame sums over [ts - width, ts] of the key (ties included).
+
+    ``measures``: name -> (width in hours, value Column, or None to count rows).
+    Computed as a sweep: each row adds +value at its time and -value one
+    microsecond after its frame ends (ts + width); a running sum ordered by
+    time that includes the current time's peers is then exactly the frame
+    sum.  Rows are bucketed by ``bucket_hours`` (>= every width); each row's
+    events also go to the next bucket as context, so a bucket holds every
+    event its own rows need.  One sort per (key, bucket), linear afterwards.
 
-    ``first_of``: columns whose first appearance per key is flagged
-    (``_is_first_<col>``), on the same partitioning and sort: the value was
-    not seen earlier in the bucket (halo rows included, which can only
-    precede its first bucket) and the bucket is its first one for the key.
+    ``first_of``: columns whose first appearance per key is flagged as
+    ``_is_first_<col>`` on the same partitions.
     """
-    h = with_halo(df, ts, bucket_hours).repartition(F.col(key), F.col("_bucket"))
+    widths = sorted({w for w, _ in measures.values()})
+    if widths[-1] > bucket_hours:
+        raise ValueError("bucket must be at least as wide as every frame")
+    vals = {n: (F.lit(1).cast("long") if v is None else v) for n, (w, v) in measures.items()}
+    row_type = df.schema[row_id].dataType
+    start = F.struct(F.col(ts).alias("t"), F.col(row_id).alias("row"),
+                     *[vals[n].alias(n) for n in measures],
+                     *[F.col(g).alias(g) for g in first_of])
+    one_micro = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
+    ends = [F.struct((F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(w)) + one_micro).alias("t"),
+                     F.lit(None).cast(row_type).alias("row"),
+                     *[(-vals[n] if measures[n][0] == w else F.lit(0).cast(df.select(vals[n]).schema[0].dataType))
+                       .alias(n) for n in measures],
+                     *[F.lit(None).cast(df.schema[g].dataType).alias(g) for g in first_of])
+            for w in widths]
+    home = time_bucket(F.col(ts), bucket_hours)
+    ev = (df.filter(F.col(ts).isNotNull())
+          .select(key, home.alias("_home"), F.explode(F.array(start, *ends)).alias("e"))
+          .select(key, "_home", "e.*", F.explode(F.array(F.col("_home"), F.col("_home") + 1)).alias("_bucket"))
+          .withColumn("_own_row", F.col("row").isNotNull() & (F.col("_bucket") == F.col("_home")))
+          .withColumnsRenamed({"t": "_t", "row": "_row"}))
     if first_of:
-        bucketed = df.withColumn("_bucket", time_bucket(F.col(ts), bucket_hours))
+        bucketed = df.withColumn("_bucket", home)
         aux = None
         for g in first_of:
             fb = first_buckets(bucketed, key, g)
             aux = fb if aux is None else aux.join(fb, [key, "_bucket"], "full")
-        h = h.join(aux, [key, "_bucket"], "left")
-    cols = []
-    for name, (interval, agg) in aggs.items():
-        # RANGE frames on TIMESTAMP_NTZ need an interval bound, given in SQL.
-        over = (f"OVER (PARTITION BY `{key}`, _bucket ORDER BY `{ts}` "
-                f"RANGE BETWEEN INTERVAL {interval} PRECEDING AND CURRENT ROW)")
-        # ``agg`` may name the window slot as {w} when the OVER clause must sit
-        # inside the expression, e.g. "coalesce(sum(x) {w}, 0)".
-        text_ = agg.format(w=over) if "{w}" in agg else f"{agg} {over}"
-        cols.append(F.expr(text_).alias(name))
-    cols += [_first_flag(key, g, ts, row_id).alias(f"_is_first_{g}") for g in first_of]
-    return h.select(*df.columns, "_own", *cols).filter("_own").drop("_own")
+        ev = ev.join(aux, [key, "_bucket"], "left")
+    ev = ev.repartition(F.col(key), F.col("_bucket"))
+    w = (Window.partitionBy(key, "_bucket").orderBy("_t")
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    cols = [F.sum(n).over(w).alias(n) for n in measures]
+    cols += [_first_flag(key, g, "_row").alias(f"_is_first_{g}") for g in first_of]
+    return (ev.select("_row", "_own_row", *cols).filter("_own_row")
+            .select(F.col("_row").alias(row_id), *measures, *[f"_is_first_{g}" for g in first_of]))
 
 
 def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
@@ -127,21 +139,21 @@ def velocity_features(t: DataFrame) -> DataFrame:
     base = t.select("transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
                     "amount_abs", "merchant_name_clean", "device_id", "merchant_location")
     ts = "transaction_timestamp"
-    cust = rolling(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts, 24, {
-        "transaction_count_1h": ("1 HOUR", "count(1)"),
-        "transaction_count_24h": ("24 HOURS", "count(1)"),
-        "transaction_amount_24h": ("24 HOURS", "sum(amount_abs)"),
-    }, row_id="transaction_id", first_of=("device_id", "merchant_location")).select(
+    cust = rolling(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts, "transaction_id", 24, {
+        "transaction_count_1h": (1, None),
+        "transaction_count_24h": (24, None),
+        "transaction_amount_24h": (24, F.col("amount_abs")),
+    }, first_of=("device_id", "merchant_location")).select(
         "transaction_id", "transaction_count_1h", "transaction_count_24h", "transaction_amount_24h",
         F.col("_is_first_device_id").alias("is_new_device"),
         F.col("_is_first_merchant_location").alias("is_new_location"))
     uniq = distinct_in_range(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts,
                              "merchant_name_clean", "transaction_id", 24).select(
         "transaction_id", F.col("distinct_merchant_name_clean").alias("unique_merchants_24h"))
-    acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, 24 * 7, {
-        "account_transaction_count_7d": ("7 DAYS", "count(1)"),
-        "balance_change_24h": ("24 HOURS", "sum(amount)"),
-    }).select("transaction_id", "account_transaction_count_7d", "balance_change_24h")
+    acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, "transaction_id", 24 * 7, {
+        "account_transaction_count_7d": (24 * 7, None),
+        "balance_change_24h": (24, F.col("amount")),
+    })
     out = (base.select("transaction_id").join(cust, "transaction_id", "left")
            .join(uniq, "transaction_id", "left").join(acct, "transaction_id", "left"))
     return out.select(
