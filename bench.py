@@ -42,7 +42,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    shuffle = int(os.environ.get("BENCH_SHUFFLE", str(max(8, cpus * 2))))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     runs = int(os.environ.get("BENCH_RUNS", "3"))

@@ -92,3 +92,14 @@ def test_skip_mode_drops_null_keys(spark, small_dir):
         append_checked(batch.unionByName(nulls), target, "bronze_accounts", mode="fail")
     assert append_checked(batch.unionByName(nulls), target, "bronze_accounts", mode="skip") == batch.count()
     assert spark.read.parquet(target).filter("account_id IS NULL").count() == 0
+
+
+def test_unfinished_version_is_never_read(spark):
+    """A version written without its completion marker (a job that died) is ignored."""
+    root = tempfile.mkdtemp(prefix="tallyrisk-store-")
+    store = LayerStore(spark, root)
+    df = spark.range(4).withColumnRenamed("id", "x")
+    assert store.publish("t", df, "20240101_000000_a")
+    # a later version whose writer died before publishing: files but no marker
+    df.filter("x < 1").write.parquet(store.path("t", "20240102_000000_b"))
+    assert store.latest("t") == "20240101_000000_a" and store.read("t").count() == 4
