@@ -40,6 +40,34 @@ def time_bucket(ts: Column, bucket_hours: int) -> Column:
     return F.coalesce(F.floor(hours / F.lit(bucket_hours)), F.lit(NO_TIME_BUCKET))
 
 
+def assign_buckets(t: DataFrame, key: str, ts: str, bucket_hours: int,
+                   rows_per_bucket: int | None = None, max_hot: int = 10_000) -> DataFrame:
+    """Add ``_bucket``: the key's time bucket.
+
+    Default width ``bucket_hours``.  With ``rows_per_bucket``, keys with more
+    rows than that (the ``max_hot`` largest, a bounded and therefore
+    broadcast-safe list) get a finer width of their own, about
+    span x rows_per_bucket / rows, so a burst of one key is spread over many
+    (key, bucket) tasks too.  Every later step is correct for any bucket
+    function that is monotone in time within a key, so this changes only how
+    the work is split, never the result.
+    """
+    default = time_bucket(F.col(ts), bucket_hours)
+    if not rows_per_bucket:
+        return t.withColumn("_bucket", default)
+    span_us = F.timestamp_diff("MICROSECOND", F.col("_min"), F.col("_max"))
+    hot = (t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min"), F.max(ts).alias("_max"))
+           .filter(F.col("_n") > rows_per_bucket)
+           .orderBy(F.col("_n").desc()).limit(max_hot)
+           .select(key, F.greatest(F.lit(1), F.floor(span_us * F.lit(rows_per_bucket) / F.col("_n")))
+                   .cast("long").alias("_width_us")))
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    fine = F.coalesce(F.floor(micros / F.col("_width_us")), F.lit(NO_TIME_BUCKET))
+    return (t.join(F.broadcast(hot), key, "left")
+            .withColumn("_bucket", F.when(F.col("_width_us").isNotNull(), fine).otherwise(default))
+            .drop("_width_us"))
+
+
 def bucket_summary(t: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """One row per (key, bucket) carrying everything that crosses buckets.
 
@@ -97,15 +125,17 @@ def first_buckets(t: DataFrame, key: str, group: str) -> DataFrame:
 def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "transaction_timestamp",
                            row_id: str = "transaction_id", value: str = "amount_abs",
                            first_of: tuple[str, ...] = ("merchant_category",),
-                           bucket_hours: int = 24) -> DataFrame:
+                           bucket_hours: int = 24, rows_per_bucket: int | None = None) -> DataFrame:
     """Add per-row sequence columns to ``t``.
 
     Adds ``_prev_ts`` (previous event time of the key, ties ordered by
     ``row_id``), ``_is_first_<g>`` for each column in ``first_of``, and the
     key statistics ``_n_value, _mean_value, _std_value, _mean_gap_hours``
     where the mean gap treats a missing previous event as 24 hours.
+    ``rows_per_bucket`` makes very large keys use finer buckets
+    (:func:`assign_buckets`).
     """
-    t = t.withColumn("_bucket", time_bucket(F.col(ts), bucket_hours))
+    t = assign_buckets(t, key, ts, bucket_hours, rows_per_bucket)
     aux = bucket_summary(t, key, ts, value)
     for g in first_of:
         aux = aux.join(first_buckets(t, key, g), [key, "_bucket"], "left")

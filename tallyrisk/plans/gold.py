@@ -74,7 +74,7 @@ FEATURE_COLUMNS = [
 
 def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_AS_OF,
                    bucket_hours: int = 24, parity: bool = True,
-                   holidays: DataFrame | None = None) -> DataFrame:
+                   holidays: DataFrame | None = None, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
     """H06 (flagship): one feature row per silver transaction.
 
     ``transactions`` is silver_transactions, ``accounts`` silver_accounts
@@ -86,13 +86,16 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
     (rolling counts and sums, first device/location, category risk score,
     and holidays when a ``holiday_date`` table is given); this adds the
     passes of :mod:`tallyrisk.operators.velocity`.
+
+    ``rows_per_bucket``: customers with more transactions than this get finer
+    time buckets of their own, so a burst of one customer is split over tasks.
     """
     now = as_of_ts(as_of)
     t = transactions.filter(F.col("customer_id").isNotNull()).select(
         "transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
         "amount_abs", "merchant_category", "is_fraud", "customer_age", "customer_risk_score",
         "account_balance", "transaction_hour", "is_weekend", "is_night")
-    s = with_sequence_features(t, bucket_hours=bucket_hours)
+    s = with_sequence_features(t, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket)
     s = join_dimension(s, keyed(accounts.select("account_id", "account_age_days"), "account_id"), "account_id")
 
     x = F.col("amount_abs").cast("double")

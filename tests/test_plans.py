@@ -39,8 +39,9 @@ def test_aggregate_branches_do_not_rejoin_dimensions(spark, small_dir):
     df = registry.REGISTRY["H06_gold_fraud_features"].build(registry.spark_layers(spark, small_dir))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     relations = re.findall(r"Relation \[([a-z_]+)", plan)
-    # events: the rows plus two aggregate branches ((customer, bucket) summary, first sightings)
-    assert relations.count("event_id") == 3
+    # events: the rows plus two aggregate branches ((customer, bucket) summary, first
+    # sightings); each branch also reads (customer, time) for the hot-customer list
+    assert relations.count("event_id") == 6
     # customer-derived dimensions are read only by the row branch (customers, accounts
     # for the enrichment, accounts for the account age): the statistics scan events alone
     assert relations.count("c_custkey") == 3

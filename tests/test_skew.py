@@ -27,3 +27,33 @@ def test_hot_customer_is_spread_over_tasks(spark):
     assert sizes.n == n
     # with plain per-customer partitioning one task would hold >= 1/3 of the rows
     assert sizes.mx < n / 4
+
+
+def test_burst_of_one_customer_is_split_with_adaptive_buckets(spark):
+    """A third of the rows from one customer inside a single day."""
+    n = 30_000
+    base = spark.range(n).select(
+        F.col("id").cast("int").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(1 + F.col("id") % 500).cast("int").alias("customer_id"),
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("id") * 7) % 80_000)).alias("transaction_timestamp"),
+        (F.col("id") % 1000 / 10).cast("decimal(12,2)").alias("amount_abs"),
+        F.lit("A").alias("merchant_category"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fixed = with_sequence_features(base, bucket_hours=24)
+        adaptive = with_sequence_features(base, bucket_hours=24, rows_per_bucket=500)
+        share = {}
+        for name, out in (("fixed", fixed), ("adaptive", adaptive)):
+            share[name] = (out.groupBy(F.spark_partition_id().alias("p")).count()
+                           .agg(F.max("count")).first()[0]) / n
+        cols = ["transaction_id", "_prev_ts", "_is_first_merchant_category", "_mean_value", "_std_value"]
+        a = {r[0]: r for r in adaptive.select(*cols).collect()}
+        b = {r[0]: r for r in fixed.select(*cols).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert share["fixed"] > 1 / 3 - 0.01           # the day of the hot customer is one task
+    assert share["adaptive"] < 1 / 4               # finer buckets spread it
+    for k, r in a.items():                          # same results either way
+        assert r[1] == b[k][1] and r[2] == b[k][2]
+        assert abs(r[3] - b[k][3]) < 1e-9 and (r[4] is None and b[k][4] is None or abs(r[4] - b[k][4]) < 1e-9)
