@@ -40,34 +40,52 @@ def time_bucket(ts: Column, bucket_hours: int) -> Column:
     return F.coalesce(F.floor(hours / F.lit(bucket_hours)), F.lit(NO_TIME_BUCKET))
 
 
-def assign_buckets(t: DataFrame, key: str, ts: str, bucket_hours: int,
-                   rows_per_bucket: int | None = None, max_hot: int = 10_000) -> DataFrame:
-    """Add ``_bucket``: the key's time bucket.
+def hot_widths(t: DataFrame, key: str, ts: str, rows_per_bucket: int, max_hot: int = 10_000) -> DataFrame:
+    """Keys with more than ``rows_per_bucket`` rows and the finer bucket width
+    (microseconds) each one gets: about span x rows_per_bucket / rows.
 
-    Default width ``bucket_hours``.  With ``rows_per_bucket``, keys with more
-    rows than that (the ``max_hot`` largest, a bounded and therefore
-    broadcast-safe list) get a finer width of their own, about
-    span x rows_per_bucket / rows, so a burst of one key is spread over many
-    (key, bucket) tasks too.  Every later step is correct for any bucket
-    function that is monotone in time within a key, so this changes only how
-    the work is split, never the result.
+    A top-k capped at ``max_hot`` rows: bounded by construction, so it is
+    safe to broadcast.  Keys beyond the cap keep the default width; results
+    never depend on bucket widths, only the split of the work does.
     """
-    default = time_bucket(F.col(ts), bucket_hours)
-    if not rows_per_bucket:
-        return t.withColumn("_bucket", default)
     span_us = F.timestamp_diff("MICROSECOND", F.col("_min"), F.col("_max"))
-    hot = (t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min"), F.max(ts).alias("_max"))
-           .filter(F.col("_n") > rows_per_bucket)
-           .orderBy(F.col("_n").desc()).limit(max_hot)
-           .select(key, F.greatest(F.lit(1), F.floor(span_us * F.lit(rows_per_bucket) / F.col("_n")))
-                   .cast("long").alias("_width_us")))
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    return (t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min"), F.max(ts).alias("_max"))
+            .filter(F.col("_n") > rows_per_bucket)
+            .orderBy(F.col("_n").desc()).limit(max_hot)
+            .select(key, F.greatest(F.lit(1), F.floor(span_us * F.lit(rows_per_bucket) / F.col("_n")))
+                    .cast("long").alias("_width_us")))
+
+
+def with_bucket(df: DataFrame, key: str, time_col: str, bucket_hours: int,
+                widths: DataFrame | None = None) -> DataFrame:
+    """Add ``_bucket`` of ``time_col``: the key's own width from ``widths``
+    (broadcast; see :func:`hot_widths`) or ``bucket_hours``.  Monotone in time
+    within a key."""
+    default = time_bucket(F.col(time_col), bucket_hours)
+    if widths is None:
+        return df.withColumn("_bucket", default)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_col))
     fine = F.coalesce(F.floor(micros / F.col("_width_us")), F.lit(NO_TIME_BUCKET))
-    return (t.join(F.broadcast(hot), key, "left")
+    return (df.join(F.broadcast(widths), key, "left")
             .withColumn("_bucket", F.when(F.col("_width_us").isNotNull(), fine).otherwise(default))
             .drop("_width_us"))
 
 
+def assign_buckets(t: DataFrame, key: str, ts: str, bucket_hours: int,
+                   rows_per_bucket: int | None = None, max_hot: int = 10_000) -> DataFrame:
+    """Add ``_bucket``: the key's time bucket.
+
+    Default width ``bucket_hours``.  With ``rows_per_bucket``, keys with more
+    rows than that get a finer width of their own (:func:`hot_widths`), so a
+    burst of one key is spread over many (key, bucket) tasks too.  Every
+    later step is correct for any bucket function that is monotone in time
+    within a key, so this changes only how the work is split, never the
+    result.
+    """
+    widths = hot_widths(t, key, ts, rows_per_bucket, max_hot) if rows_per_bucket else None
+    return with_bucket(t, key, ts, bucket_hours, widths)
+
+
 def bucket_summary(t: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """One row per (key, bucket) carrying everything that crosses buckets.
 

@@ -1,16 +1,18 @@
 """Real definitions of the columns the source system only reserved.
 
 Rolling counts and sums (E08-E13) over RANGE frames on the event time
-(current row and its time peers included) are computed as sweeps: +value at
-each row's time, -value just after its frame ends, and a running sum read
-at each row.  A sliding frame would be re-aggregated whenever rows leave it
-(quadratic in a dense bucket); the sweep is one sort per (key, bucket) and
-linear work.  Buckets are at least as wide as the frame and every row's
-events are also placed, as context, in the next bucket, so one busy key is
-spread over tasks and no pairs of rows are built.  The distinct-merchant
-count (E11) is an interval sweep as well (:func:`distinct_in_range`).
-
-First sightings (E14, E15) ride on the customer sweep: ``row_number`` per
+(current row and its time peers included) are prefix sums along each key's
+timeline: every row adds +value at its time and -value just after its frame
+ends, and the frame sum is the running sum at the row's time.  A sliding
+frame would be re-aggregated whenever rows leave it (quadratic in a dense
+stretch); here each running sum is the total of the key's earlier buckets
+(a window over the bounded per-bucket summary) plus a running sum inside the
+bucket: one shuffle on (key, time bucket), one sort per bucket, and any
+bucket width works, including the finer widths given to very large keys.
+The distinct-merchant count (E11) uses +1/-1 interval events the same way.
+No pairs of rows are ever built.
+
+First sightings (E14, E15) ride on the customer pass: ``row_number`` per
 (key, bucket, value) inside the hashed partitions plus the per-(key, value)
 first bucket of :mod:`tallyrisk.operators.sequence` (hash aggregates only).
 Daily breakdowns (M-24) and repeat victims (E16) are keyed aggregates.
@@ -22,14 +24,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrisk.operators.joins import join_dimension
-from tallyrisk.operators.sequence import first_buckets, time_bucket
+from tallyrisk.operators.sequence import first_buckets, hot_widths, with_bucket
 
 
-def _first_flag(key: str, g: str, row_id: str) -> "F.Column":
-    """First (ts, id) of its (key, bucket, value) among the bucket's own rows, and
-    the bucket is the value's first one for the key.  ``row_number`` costs a sort
-    in the already-hashed partition, whatever the number of distinct values."""
-    w = (Window.partitionBy(key, "_bucket", "_own_row", g)
+ONE_MICRO = "INTERVAL '0.000001' SECOND"
+
+
+def cumulative(events: DataFrame, key: str, measures: list[str]) -> DataFrame:
+    """Running sums of ``measures`` along each key's timeline (``_t``), peers included.
+
+    ``events`` carries ``_bucket`` (monotone in ``_t`` within a key).  Sum =
+    total of all earlier buckets of the key (a window over the per-(key,
+    bucket) totals: at most one row per bucket) + running sum inside the
+    bucket.  One shuffle of the events on (key, bucket), one sort per bucket.
+    """
+    totals = events.groupBy(key, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "_bucket", *[F.sum(m).over(before).alias(f"_off_{m}") for m in measures])
+    ev = events.repartition(F.col(key), F.col("_bucket")).join(offsets, [key, "_bucket"], "left")
+    w = (Window.partitionBy(key, "_bucket").orderBy("_t")
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return ev.select("*", *[(F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.sum(m).over(w)).alias(f"_cum_{m}")
+                            for m in measures]).drop(*[f"_off_{m}" for m in measures])
+
+
+def _first_flag(key: str, g: str) -> "F.Column":
+    """First (ts, id) of its (key, bucket, value), and the bucket is the value's
+    first one for the key.  ``row_number`` costs a sort in the already-hashed
+    partition, whatever the number of distinct values."""
+    w = (Window.partitionBy(key, "_bucket", "_is_row", g)
          .orderBy(F.col("_t").asc_nulls_last(), F.col("_row")))
     first_in_bucket = F.row_number().over(w) == 1
     first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
@@ -37,123 +60,110 @@ def _first_flag(key: str, g: str, row_id: str) -> "F.Column":
     return first_in_bucket & first_bucket
 
 
-def rolling(df: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int,
-            measures: dict[str, tuple[int, object]], first_of: tuple[str, ...] = ()) -> DataFrame:
+def rolling(df: DataFrame, key: str, ts: str, row_id: str, measures: dict[str, tuple[int, object]],
+            first_of: tuple[str, ...] = (), bucket_hours: int = 24,
+            rows_per_bucket: int | None = None) -> DataFrame:
     """Per row: RANGE-frame sums over [ts - width, ts] of the key (ties included).
 
     ``measures``: name -> (width in hours, value Column, or None to count rows).
-    Computed as a sweep: each row adds +value at its time and -value one
-    microsecond after its frame ends (ts + width); a running sum ordered by
-    time that includes the current time's peers is then exactly the frame
-    sum.  Rows are bucketed by ``bucket_hours`` (>= every width); each row's
-    events also go to the next bucket as context, so a bucket holds every
-    event its own rows need.  One sort per (key, bucket), linear afterwards.
+    Each row adds +value at its time and -value one microsecond after its
+    frame ends; the running sum of these events at the row's time (peers
+    included) is exactly the frame sum.  Running sums come from
+    :func:`cumulative`, so any bucket width works, including the finer
+    widths given to very large keys (``rows_per_bucket``).
 
     ``first_of``: columns whose first appearance per key is flagged as
     ``_is_first_<col>`` on the same partitions.
     """
-    widths = sorted({w for w, _ in measures.values()})
-    if widths[-1] > bucket_hours:
-        raise ValueError("bucket must be at least as wide as every frame")
+    widths_h = sorted({w for w, _ in measures.values()})
     vals = {n: (F.lit(1).cast("long") if v is None else v) for n, (w, v) in measures.items()}
-    row_type = df.schema[row_id].dataType
+    types = {n: df.select(vals[n]).schema[0].dataType for n in measures}
     start = F.struct(F.col(ts).alias("t"), F.col(row_id).alias("row"),
-                     *[vals[n].alias(n) for n in measures],
-                     *[F.col(g).alias(g) for g in first_of])
-    one_micro = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
-    ends = [F.struct((F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(w)) + one_micro).alias("t"),
-                     F.lit(None).cast(row_type).alias("row"),
-                     *[(-vals[n] if measures[n][0] == w else F.lit(0).cast(df.select(vals[n]).schema[0].dataType))
-                       .alias(n) for n in measures],
+                     *[vals[n].alias(n) for n in measures], *[F.col(g).alias(g) for g in first_of])
+    ends = [F.struct((F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(w)) + F.expr(ONE_MICRO)).alias("t"),
+                     F.lit(None).cast(df.schema[row_id].dataType).alias("row"),
+                     *[(-vals[n] if measures[n][0] == w else F.lit(0).cast(types[n])).alias(n) for n in measures],
                      *[F.lit(None).cast(df.schema[g].dataType).alias(g) for g in first_of])
-            for w in widths]
-    home = time_bucket(F.col(ts), bucket_hours)
-    ev = (df.filter(F.col(ts).isNotNull())
-          .select(key, home.alias("_home"), F.explode(F.array(start, *ends)).alias("e"))
-          .select(key, "_home", "e.*", F.explode(F.array(F.col("_home"), F.col("_home") + 1)).alias("_bucket"))
-          .withColumn("_own_row", F.col("row").isNotNull() & (F.col("_bucket") == F.col("_home")))
-          .withColumnsRenamed({"t": "_t", "row": "_row"}))
+            for w in widths_h]
+    rows = df.filter(F.col(ts).isNotNull())
+    widths = hot_widths(rows, key, ts, rows_per_bucket) if rows_per_bucket else None
+    ev = (rows.select(key, F.explode(F.array(start, *ends)).alias("e")).select(key, "e.*")
+          .withColumnsRenamed({"t": "_t", "row": "_row"})
+          .withColumn("_is_row", F.col("_row").isNotNull()))
+    ev = with_bucket(ev, key, "_t", bucket_hours, widths)
+    ev = cumulative(ev, key, list(measures))
     if first_of:
-        bucketed = df.withColumn("_bucket", home)
+        bucketed = with_bucket(rows, key, ts, bucket_hours, widths)
         aux = None
         for g in first_of:
             fb = first_buckets(bucketed, key, g)
             aux = fb if aux is None else aux.join(fb, [key, "_bucket"], "full")
         ev = ev.join(aux, [key, "_bucket"], "left")
-    ev = ev.repartition(F.col(key), F.col("_bucket"))
-    w = (Window.partitionBy(key, "_bucket").orderBy("_t")
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    cols = [F.sum(n).over(w).alias(n) for n in measures]
-    cols += [_first_flag(key, g, "_row").alias(f"_is_first_{g}") for g in first_of]
-    return (ev.select("_row", "_own_row", *cols).filter("_own_row")
+    flags = [_first_flag(key, g).alias(f"_is_first_{g}") for g in first_of]
+    return (ev.select("_row", "_is_row", *[F.col(f"_cum_{n}").alias(n) for n in measures], *flags)
+            .filter("_is_row")
             .select(F.col("_row").alias(row_id), *measures, *[f"_is_first_{g}" for g in first_of]))
 
 
 def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
-                      width_hours: int) -> DataFrame:
+                      width_hours: int, bucket_hours: int = 24,
+                      rows_per_bucket: int | None = None) -> DataFrame:
     """Per row: number of distinct non-NULL ``value`` of its key over
-    [ts - width, ts] (ties included), by sorting only.
-
-    Each distinct time p of a (key, value) opens an interval that ends at the
-    value's next time (exclusive) or at p + width (inclusive), whichever is
-    first; the count at t is the number of intervals covering t: a running sum
-    of +1/-1 events, read at each row's time.  Every step is partitioned by
-    (key, time bucket of width ``width_hours``) with a one-bucket halo, so a
-    busy key is spread over tasks and no pairs of rows are built.
+    [ts - width, ts] (ties included), by sorting and running sums only.
+
+    Each distinct time p of a (key, value) opens an interval that closes at
+    the value's next time (exclusive) or just after p + width, whichever is
+    first: +1 at p, -1 at the close.  The count at t is the running sum of
+    these events at t (:func:`cumulative`).  The next time of a (key, value)
+    is a ``lead`` inside its (key, value, bucket), or else the first time of
+    its next non-empty bucket (a ``lead`` over the per-bucket firsts).
     """
-    width = F.make_dt_interval(F.lit(0), F.lit(width_hours))
-    pts = df.filter(F.col(value).isNotNull() & F.col(ts).isNotNull()).select(
-        key, value, F.col(ts).alias("_p")).distinct()
-    pb = time_bucket(F.col("_p"), width_hours)
-    # Next time of the same (key, value): needed only within ``width``, so in
-    # the point's bucket or the next; points are also placed, as context, in
-    # the previous bucket's partition.
-    fwd = pts.withColumn("_h", F.explode(F.array(
-        F.struct(pb.alias("b"), F.lit(True).alias("own")),
-        F.struct((pb - 1).alias("b"), F.lit(False).alias("own")))))
-    w_next = Window.partitionBy(key, value, F.col("_h.b")).orderBy("_p")
-    pts = (fwd.select(key, "_p", F.col("_h.own").alias("_own"), F.lead("_p").over(w_next).alias("_next"))
-           .filter("_own"))
-    closes_early = F.col("_next").isNotNull() & (F.col("_next") <= F.col("_p") + width)
-    events = pts.select(key, "_p", F.explode(F.array(
-        F.struct(F.col("_p").alias("t"), F.lit(0).alias("ord"), F.lit(1).alias("d")),
-        F.when(closes_early, F.struct(F.col("_next").alias("t"), F.lit(0).alias("ord"), F.lit(-1).alias("d")))
-         .otherwise(F.struct((F.col("_p") + width).alias("t"), F.lit(2).alias("ord"), F.lit(-1).alias("d")))
-    )).alias("e"))
-    eb = time_bucket(F.col("_p"), width_hours)
-    events = events.select(key, F.col("e.t").alias("_t"), F.col("e.ord").alias("_ord"), F.col("e.d").alias("_d"),
-                           F.explode(F.array(eb, eb + 1)).alias("_bucket"),
-                           F.lit(None).cast(df.schema[row_id].dataType).alias("_row"))
-    queries = df.filter(F.col(ts).isNotNull()).select(
-        key, F.col(ts).alias("_t"), F.lit(1).alias("_ord"), F.lit(0).alias("_d"),
-        time_bucket(F.col(ts), width_hours).alias("_bucket"), F.col(row_id).alias("_row"))
-    sweep = events.unionByName(queries).repartition(F.col(key), F.col("_bucket"))
-    w = (Window.partitionBy(key, "_bucket").orderBy("_t", "_ord")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (sweep.select("_row", "_ord", F.sum("_d").over(w).alias("_n")).filter(F.col("_ord") == 1)
-            .select(F.col("_row").alias(row_id), F.col("_n").alias(f"distinct_{value}")))
-
-
-def velocity_features(t: DataFrame) -> DataFrame:
-    """E08-E15 per transaction of silver_transactions."""
+    rows = df.filter(F.col(ts).isNotNull())
+    widths = hot_widths(rows, key, ts, rows_per_bucket) if rows_per_bucket else None
+    pts = (rows.filter(F.col(value).isNotNull()).select(key, value, F.col(ts).alias("_p")).distinct())
+    pts = with_bucket(pts, key, "_p", bucket_hours, widths)
+    pts = pts.withColumn("_lead", F.lead("_p").over(Window.partitionBy(key, value, "_bucket").orderBy("_p")))
+    firsts = pts.groupBy(key, value, "_bucket").agg(F.min("_p").alias("_first"))
+    chain = firsts.select(key, value, "_bucket", F.lead("_first").over(
+        Window.partitionBy(key, value).orderBy("_bucket")).alias("_next_bucket_first"))
+    pts = pts.join(chain, [key, value, "_bucket"], "left")
+    close = F.least(F.coalesce(F.col("_lead"), F.col("_next_bucket_first"), F.lit(None).cast("timestamp_ntz")),
+                    F.col("_p") + F.make_dt_interval(F.lit(0), F.lit(width_hours)) + F.expr(ONE_MICRO))
+    events = pts.select(key, F.explode(F.array(
+        F.struct(F.col("_p").alias("_t"), F.lit(1).alias("_d")),
+        F.struct(close.alias("_t"), F.lit(-1).alias("_d")))).alias("e")).select(
+        key, "e.*", F.lit(None).cast(df.schema[row_id].dataType).alias("_row"))
+    queries = rows.select(key, F.col(ts).alias("_t"), F.lit(0).alias("_d"), F.col(row_id).alias("_row"))
+    sweep = with_bucket(events.unionByName(queries), key, "_t", bucket_hours, widths)
+    out = cumulative(sweep, key, ["_d"])
+    return (out.filter(F.col("_row").isNotNull())
+            .select(F.col("_row").alias(row_id), F.col("_cum__d").alias(f"distinct_{value}")))
+
+
+def velocity_features(t: DataFrame, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
+    """E08-E15 per transaction of silver_transactions.
+
+    ``rows_per_bucket``: customers/accounts with more transactions get finer
+    time buckets of their own (the result does not change)."""
     base = t.select("transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
                     "amount_abs", "merchant_name_clean", "device_id", "merchant_location")
     ts = "transaction_timestamp"
-    cust = rolling(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts, "transaction_id", 24, {
+    cust = rolling(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts, "transaction_id", {
         "transaction_count_1h": (1, None),
         "transaction_count_24h": (24, None),
         "transaction_amount_24h": (24, F.col("amount_abs")),
-    }, first_of=("device_id", "merchant_location")).select(
+    }, first_of=("device_id", "merchant_location"), rows_per_bucket=rows_per_bucket).select(
         "transaction_id", "transaction_count_1h", "transaction_count_24h", "transaction_amount_24h",
         F.col("_is_first_device_id").alias("is_new_device"),
         F.col("_is_first_merchant_location").alias("is_new_location"))
     uniq = distinct_in_range(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts,
-                             "merchant_name_clean", "transaction_id", 24).select(
+                             "merchant_name_clean", "transaction_id", 24,
+                             rows_per_bucket=rows_per_bucket).select(
         "transaction_id", F.col("distinct_merchant_name_clean").alias("unique_merchants_24h"))
-    acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, "transaction_id", 24 * 7, {
+    acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, "transaction_id", {
         "account_transaction_count_7d": (24 * 7, None),
         "balance_change_24h": (24, F.col("amount")),
-    })
+    }, rows_per_bucket=rows_per_bucket)
     out = (base.select("transaction_id").join(cust, "transaction_id", "left")
            .join(uniq, "transaction_id", "left").join(acct, "transaction_id", "left"))
     return out.select(

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from tallyrisk.operators.velocity import distinct_in_range
 
 T0 = dt.datetime(2024, 1, 1, 0, 0)
@@ -16,7 +18,8 @@ def brute(rows, width):
     return out
 
 
-def test_distinct_in_range_matches_brute_force(spark):
+@pytest.mark.parametrize("rows_per_bucket", [None, 7])
+def test_distinct_in_range_matches_brute_force(spark, rows_per_bucket):
     rnd = random.Random(5)
     rows = []
     for i in range(600):
@@ -28,11 +31,13 @@ def test_distinct_in_range_matches_brute_force(spark):
             t = rows[-1][2] + dt.timedelta(hours=24)          # exactly one frame later
         rows.append((i, c, t, rnd.choice(["a", "b", "c", "d", None])))
     df = spark.createDataFrame(rows, "id int, c int, t timestamp_ntz, m string")
-    got = {r.id: r.distinct_m for r in distinct_in_range(df, "c", "t", "m", "id", 24).collect()}
+    got = {r.id: r.distinct_m
+           for r in distinct_in_range(df, "c", "t", "m", "id", 24, rows_per_bucket=rows_per_bucket).collect()}
     assert got == brute(rows, dt.timedelta(hours=24))
 
 
-def test_rolling_sweep_matches_brute_force(spark):
+@pytest.mark.parametrize("rows_per_bucket", [None, 7])
+def test_rolling_sweep_matches_brute_force(spark, rows_per_bucket):
     from pyspark.sql import functions as F
 
     from tallyrisk.operators.velocity import rolling
@@ -48,8 +53,9 @@ def test_rolling_sweep_matches_brute_force(spark):
         rows.append((i, c, t, round(rnd.uniform(0, 100), 2)))
     df = spark.createDataFrame(rows, "id int, c int, t timestamp_ntz, v double").withColumn(
         "v", F.col("v").cast("decimal(12,2)"))
-    got = {r.id: r for r in rolling(df, "c", "t", "id", 24, {"n1": (1, None), "n24": (24, None),
-                                                             "s24": (24, F.col("v"))}).collect()}
+    got = {r.id: r for r in rolling(df, "c", "t", "id", {"n1": (1, None), "n24": (24, None),
+                                                         "s24": (24, F.col("v"))},
+                                    rows_per_bucket=rows_per_bucket).collect()}
     for i, c, t, v in rows:
         w1 = [x for x in rows if x[1] == c and t - dt.timedelta(hours=1) <= x[2] <= t]
         w24 = [x for x in rows if x[1] == c and t - dt.timedelta(hours=24) <= x[2] <= t]
