@@ -51,12 +51,16 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
 def keyed(dim: DataFrame, key: str | list[str]) -> DataFrame:
     """One row per key (the table's primary key).
 
-    Stating uniqueness lets the optimizer drop this left join from any
-    branch of a plan that reads no column of ``dim`` (for instance the
-    aggregate branches of the feature plan), so the fact table is not
-    joined again there.  Keys are unique by contract, so no row is lost.
+    Stating uniqueness (a group-by on the key) lets the optimizer drop this
+    left join from any branch of a plan that reads no column of ``dim`` (for
+    instance the aggregate branches of the feature plan), so the fact table
+    is not joined again there.  Keys are unique by contract, so no row is
+    lost.  ``any_value`` is used rather than ``dropDuplicates``: the latter
+    trips a Spark 4.1 optimizer error in EXCEPT ALL / INTERSECT ALL over the
+    joined plan (tests/test_plans.py).
     """
-    return dim.dropDuplicates([key] if isinstance(key, str) else key)
+    keys = [key] if isinstance(key, str) else list(key)
+    return dim.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in dim.columns if c not in keys])
 
 
 def left_join_fill(left: DataFrame, right: DataFrame, on, fills: dict[str, object]) -> DataFrame:

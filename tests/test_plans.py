@@ -65,3 +65,10 @@ def test_broadcast_only_under_the_session_bound(spark):
     assert "broadcast" not in plan.lower()
     plan = join_dimension(fact, dim, "k", max_broadcast_bytes=10 ** 9)._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_set_operations_over_lazy_silver(spark, small_dir):
+    """EXCEPT ALL / INTERSECT ALL over the lazily joined silver table work."""
+    st = registry.spark_layers(spark, small_dir)["silver_transactions"]
+    assert st.exceptAll(st).count() == 0
+    assert st.intersectAll(st).count() == st.count()
