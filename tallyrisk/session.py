@@ -34,6 +34,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM; Spark's 1 GB default
+        # is too small for the wider plans.  Effective only before JVM start.
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
