@@ -6,6 +6,6 @@ incrementally: new files in a landing folder are picked up once each, with
 progress kept in a checkpoint on shared storage.
 """
 
-from tallyrisk.streaming.ingest import start_ingest
+from tallyrisk.streaming.ingest import start_ingest, start_ingest_all
 
-__all__ = ["start_ingest"]
+__all__ = ["start_ingest", "start_ingest_all"]

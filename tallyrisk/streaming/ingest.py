@@ -37,6 +37,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, table: str, target: str,
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     stream = (spark.readStream.schema(text_schema).option("header", True)
               .option("maxFilesPerTrigger", max_files)
+              .option("recursiveFileLookup", True)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
               .csv(landing_dir))
     rows = _normalise(stream, schema)
@@ -52,3 +53,22 @@ def start_ingest(spark: SparkSession, landing_dir: str, table: str, target: str,
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def start_ingest_all(spark: SparkSession, landing_root: str, store_root: str, checkpoint_root: str,
+                     as_of=DEFAULT_AS_OF, available_now: bool = False) -> dict[str, StreamingQuery]:
+    """One incremental load per entity: ``<landing_root>/<file stem>/`` -> bronze.
+
+    Each entity has its own checkpoint under ``checkpoint_root`` (shared
+    storage) and appends to ``<store_root>/<table>/current``, the path the
+    layer runs read.
+    """
+    from tallyrisk.schemas import FILE_TO_TABLE
+
+    queries = {}
+    for file_name, table in FILE_TO_TABLE.items():
+        stem = file_name.rsplit(".", 1)[0]
+        queries[table] = start_ingest(
+            spark, f"{landing_root.rstrip('/')}/{stem}", table, f"{store_root.rstrip('/')}/{table}/current",
+            f"{checkpoint_root.rstrip('/')}/{table}", as_of=as_of, available_now=available_now)
+    return queries

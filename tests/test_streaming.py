@@ -23,3 +23,24 @@ def test_incremental_ingest(spark, small_dir):
     stored = spark.read.parquet(target)
     assert stored.count() == txns.count()
     assert stored.select(*txns.columns).exceptAll(txns).count() == 0
+
+
+def test_ingest_all_entities_then_layer_runs(spark, small_dir):
+    from tallyrisk.plans import runs
+    from tallyrisk.schemas import FILE_TO_TABLE
+    from tallyrisk.sources.store import LayerStore
+    from tallyrisk.streaming import start_ingest_all
+    root = tempfile.mkdtemp(prefix="tallyrisk-stream-all-")
+    frames = bronze_frames(spark, small_dir)
+    for file_name, table in FILE_TO_TABLE.items():
+        write_csv(frames[table](), os.path.join(root, "landing", file_name.rsplit(".", 1)[0], "batch1"))
+    store_root = os.path.join(root, "store")
+    qs = start_ingest_all(spark, os.path.join(root, "landing"), store_root, os.path.join(root, "ckpt"),
+                          available_now=True)
+    for q in qs.values():
+        q.awaitTermination(300)
+    store = LayerStore(spark, store_root)
+    for table in FILE_TO_TABLE.values():
+        assert spark.read.parquet(runs.bronze_path(store, table)).count() == frames[table]().count()
+    counts = {r.table_name: r.row_count for r in runs.run_silver(spark, store, version="v1").collect()}
+    assert counts["silver_transactions"] == frames["bronze_transactions"]().count()
