@@ -143,7 +143,8 @@ def first_buckets(t: DataFrame, key: str, group: str) -> DataFrame:
 def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "transaction_timestamp",
                            row_id: str = "transaction_id", value: str = "amount_abs",
                            first_of: tuple[str, ...] = ("merchant_category",),
-                           bucket_hours: int = 24, rows_per_bucket: int | None = None) -> DataFrame:
+                           bucket_hours: int = 24, rows_per_bucket: int | None = None,
+                           bucket_col: str | None = None, prehashed: bool = False) -> DataFrame:
     """Add per-row sequence columns to ``t``.
 
     Adds ``_prev_ts`` (previous event time of the key, ties ordered by
@@ -151,9 +152,15 @@ def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "tr
     key statistics ``_n_value, _mean_value, _std_value, _mean_gap_hours``
     where the mean gap treats a missing previous event as 24 hours.
     ``rows_per_bucket`` makes very large keys use finer buckets
-    (:func:`assign_buckets`).
+    (:func:`assign_buckets`).  ``bucket_col`` uses a stored, non-NULL column
+    that is monotone in time (e.g. the event day) as the bucket instead; with
+    ``prehashed`` the rows are taken as already hashed on (key, bucket_col),
+    as in a table bucketed on those columns, and are not shuffled again.
     """
-    t = assign_buckets(t, key, ts, bucket_hours, rows_per_bucket)
+    if bucket_col:
+        t = t.withColumn("_bucket", F.col(bucket_col))
+    else:
+        t = assign_buckets(t, key, ts, bucket_hours, rows_per_bucket)
     aux = bucket_summary(t, key, ts, value)
     for g in first_of:
         aux = aux.join(first_buckets(t, key, g), [key, "_bucket"], "left")
@@ -161,7 +168,8 @@ def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "tr
     # Hash rows on (key, bucket) explicitly: otherwise the window would reuse
     # an upstream partitioning on the key alone (e.g. from a dimension join)
     # and a hot key would again be a single task.
-    rows = t.repartition(F.col(key), F.col("_bucket")).join(aux, [key, "_bucket"], "inner")
+    hashed = t if prehashed else t.repartition(F.col(key), F.col("_bucket"))
+    rows = hashed.join(aux, [key, "_bucket"], "inner")
     w = Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     cols = {"_prev_ts": F.coalesce(F.lag(ts).over(w), F.col("_prev_bucket_last_ts"))}

@@ -74,7 +74,8 @@ FEATURE_COLUMNS = [
 
 def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_AS_OF,
                    bucket_hours: int = 24, parity: bool = True,
-                   holidays: DataFrame | None = None, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
+                   holidays: DataFrame | None = None, rows_per_bucket: int | None = 2_000_000,
+                   bucket_col: str | None = None, prehashed: bool = False) -> DataFrame:
     """H06 (flagship): one feature row per silver transaction.
 
     ``transactions`` is silver_transactions, ``accounts`` silver_accounts
@@ -89,13 +90,18 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
 
     ``rows_per_bucket``: customers with more transactions than this get finer
     time buckets of their own, so a burst of one customer is split over tasks.
+    ``bucket_col`` / ``prehashed``: read from a table bucketed on
+    (customer_id, bucket_col), the sequence step reuses that layout instead of
+    shuffling the rows (:func:`tallyrisk.plans.runs.run_gold`).
     """
     now = as_of_ts(as_of)
     t = transactions.filter(F.col("customer_id").isNotNull()).select(
         "transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
         "amount_abs", "merchant_category", "is_fraud", "customer_age", "customer_risk_score",
-        "account_balance", "transaction_hour", "is_weekend", "is_night")
-    s = with_sequence_features(t, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket)
+        "account_balance", "transaction_hour", "is_weekend", "is_night",
+        *([bucket_col] if bucket_col else []))
+    s = with_sequence_features(t, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket,
+                               bucket_col=bucket_col, prehashed=prehashed)
     s = join_dimension(s, keyed(accounts.select("account_id", "account_age_days"), "account_id"), "account_id")
 
     x = F.col("amount_abs").cast("double")

@@ -42,6 +42,27 @@ def _mark(spark: SparkSession, path: str) -> None:
 
 
 PUBLISHED = "_PUBLISHED"
+BUCKETS = "_BUCKETS"
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream))
+        return reader.readLine()
+    finally:
+        stream.close()
 
 
 class LayerStore:
@@ -57,14 +78,39 @@ class LayerStore:
         return v[-1] if v else None
 
     def read(self, table: str) -> DataFrame:
-        """Scan the newest complete version of a table."""
+        """Scan the newest complete version of a table.
+
+        A bucketed version is registered as a bucketed catalog table first,
+        so joins and windows on its bucket columns need no shuffle.
+        """
         v = self.latest(table)
         if v is None:
             raise FileNotFoundError(f"no published version of {table} under {self.root}")
-        return self.spark.read.parquet(self.path(table, v))
+        path = self.path(table, v)
+        spec = self.bucketing(table)
+        if spec is None:
+            return self.spark.read.parquet(path)
+        n, cols = spec
+        name = f"{table}__v{v}"
+        if not self.spark.catalog.tableExists(name):
+            schema = self.spark.read.parquet(path).schema
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet "
+                           f"CLUSTERED BY ({', '.join(cols)}) INTO {n} BUCKETS LOCATION '{path}'")
+        return self.spark.table(name)
+
+    def bucketing(self, table: str) -> tuple[int, list[str]] | None:
+        """(bucket count, bucket columns) of the newest version, if bucketed."""
+        v = self.latest(table)
+        text = _read_text(self.spark, f"{self.path(table, v)}/{BUCKETS}") if v else None
+        if not text:
+            return None
+        n, cols = text.split(":", 1)
+        return int(n), cols.split(",")
 
     def publish(self, table: str, df: DataFrame, version: str, partition_by: list[str] | None = None,
-                sort_within: list[str] | None = None) -> bool:
+                sort_within: list[str] | None = None,
+                bucket_by: tuple[int, list[str]] | None = None) -> bool:
         """A10: write a full new version, then mark it published.
 
         The plan runs once (no emptiness probe before the write).  A version
@@ -72,6 +118,8 @@ class LayerStore:
         one; a job that dies mid-write leaves an unmarked version too.
         """
         path = self.path(table, version)
+        if bucket_by:
+            return self._publish_bucketed(table, df, version, bucket_by, sort_within or [])
         if sort_within:
             # Local sort inside each write task (no shuffle): tight Parquet
             # row-group min/max on these columns, so range filters skip data.
@@ -87,6 +135,24 @@ class LayerStore:
         return True
 
 
+    def _publish_bucketed(self, table: str, df: DataFrame, version: str, bucket_by, sort_within) -> bool:
+        """Write one file per bucket (hash of ``cols``), sorted inside the bucket."""
+        n, cols = bucket_by
+        path = self.path(table, version)
+        name = f"{table}__v{version}"
+        w = (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
+             .bucketBy(n, *cols).option("path", path))
+        if sort_within:
+            w = w.sortBy(*sort_within)
+        w.saveAsTable(name)
+        if self.spark.read.parquet(path).isEmpty():
+            log.warning("no rows for %s; previous version kept", table)
+            return False
+        _write_text(self.spark, f"{path}/{BUCKETS}", f"{n}:{','.join(cols)}")
+        _mark(self.spark, path)
+        return True
+
+
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

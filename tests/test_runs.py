@@ -47,3 +47,28 @@ def test_cli_entry_point(spark, small_dir):
     store = LayerStore(spark, root)
     assert store.read("gold_fraud_features").count() == frames["bronze_transactions"]().count()
     assert store.read("gold_daily_fraud_summary").count() > 0
+
+
+def test_bucketed_silver_gives_same_features_without_row_shuffle(spark, small_dir):
+    frames = bronze_frames(spark, small_dir)
+    results = {}
+    for label, buckets in (("plain", None), ("bucketed", 4)):
+        store = LayerStore(spark, tempfile.mkdtemp(prefix=f"tallyrisk-store-{label}-"))
+        for table, build in frames.items():
+            from tallyrisk.sources.raw_files import with_lineage
+            with_lineage(build(), batch_id="b", source_file=table).write.parquet(runs.bronze_path(store, table))
+        runs.run_silver(spark, store, version="v1", buckets=buckets)
+        runs.run_gold(spark, store, version="v1")
+        feats = store.read("gold_fraud_features")
+        cols = [c for c in feats.columns if c not in ("prediction_timestamp", "created_at")]
+        results[label] = feats.select(*cols)
+        if buckets:
+            assert store.bucketing("silver_transactions") == (4, ["customer_id", "_day_bucket"])
+            from tallyrisk.plans import gold
+            t = store.read("silver_transactions")
+            plan = gold.fraud_features(t, store.read("silver_accounts"), bucket_col="_day_bucket",
+                                       prehashed=True)._jdf.queryExecution().executedPlan().toString()
+            assert "REPARTITION_BY_COL" not in plan
+            assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+    assert results["plain"].count() == results["bucketed"].count()
+    assert results["plain"].exceptAll(results["bucketed"]).count() == 0
