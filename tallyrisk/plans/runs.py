@@ -21,10 +21,10 @@ import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyrisk.functions.temporal import DEFAULT_AS_OF
 from tallyrisk.operators import quality
+from tallyrisk.operators.sequence import assign_buckets
 from tallyrisk.plans import gold, silver
 from tallyrisk.schemas import BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES
 from tallyrisk.sources.raw_files import append_checked, make_batch_id, read_entity_files
@@ -58,17 +58,19 @@ def read_bronze(spark: SparkSession, store: LayerStore) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(bronze_path(store, t)) for t in BRONZE_TABLES}
 
 
-DAY_BUCKET = "_day_bucket"
+DAY_BUCKET = "_seq_bucket"
 
 
 def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, version: str | None = None,
-               buckets: int | None = None) -> DataFrame:
+               buckets: int | None = None, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
     """Customers, accounts, then transactions enriched from the published pair.
 
-    ``buckets``: publish the transactions bucketed on (customer_id, day) into
-    that many buckets (one file each), with the day as a stored non-NULL
-    column; the gold run then reads them co-located and skips its
-    full-width shuffle.  Otherwise they are partitioned by transaction date.
+    ``buckets``: publish the transactions bucketed on (customer_id, time
+    bucket) into that many buckets (one file each).  The time bucket is stored
+    as a non-NULL column: the day, or a finer width for the largest customers
+    (:func:`tallyrisk.operators.sequence.assign_buckets`), NULL times last.
+    The gold run then reads the rows co-located and skips its full-width
+    shuffle.  Otherwise the transactions are partitioned by transaction date.
     """
     version = version or new_version(as_of)
     b = read_bronze(spark, store)
@@ -80,8 +82,8 @@ def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, vers
     txns = silver.silver_transactions(
         b["bronze_transactions"], store.read("silver_customers"), store.read("silver_accounts"), as_of)
     if buckets:
-        day = F.coalesce(F.col("transaction_date"), F.lit("9999-12-31").cast("date"))   # NULL times last
-        store.publish("silver_transactions", txns.withColumn(DAY_BUCKET, day), version,
+        seq = assign_buckets(txns, "customer_id", "transaction_timestamp", 24, rows_per_bucket)
+        store.publish("silver_transactions", seq.withColumnRenamed("_bucket", DAY_BUCKET), version,
                       bucket_by=(buckets, ["customer_id", DAY_BUCKET]),
                       sort_within=["customer_id", DAY_BUCKET, "transaction_timestamp"])
     else:

@@ -63,10 +63,10 @@ def test_bucketed_silver_gives_same_features_without_row_shuffle(spark, small_di
         cols = [c for c in feats.columns if c not in ("prediction_timestamp", "created_at")]
         results[label] = feats.select(*cols)
         if buckets:
-            assert store.bucketing("silver_transactions") == (4, ["customer_id", "_day_bucket"])
+            assert store.bucketing("silver_transactions") == (4, ["customer_id", "_seq_bucket"])
             from tallyrisk.plans import gold
             t = store.read("silver_transactions")
-            plan = gold.fraud_features(t, store.read("silver_accounts"), bucket_col="_day_bucket",
+            plan = gold.fraud_features(t, store.read("silver_accounts"), bucket_col="_seq_bucket",
                                        prehashed=True)._jdf.queryExecution().executedPlan().toString()
             assert "REPARTITION_BY_COL" not in plan
             assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
