@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,8 @@ from tallyrisk.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", shuffle_partitions=8)
+    s = build_session("local[*]", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tallyrisk-warehouse-")})
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s
