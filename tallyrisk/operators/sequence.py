@@ -52,8 +52,9 @@ def hot_widths(t: DataFrame, key: str, ts: str, rows_per_bucket: int, max_hot: i
     return (t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min"), F.max(ts).alias("_max"))
             .filter(F.col("_n") > rows_per_bucket)
             .orderBy(F.col("_n").desc()).limit(max_hot)
-            .select(key, F.greatest(F.lit(1), F.floor(span_us * F.lit(rows_per_bucket) / F.col("_n")))
-                    .cast("long").alias("_width_us")))
+            # double arithmetic: span (µs) x rows_per_bucket overflows a long
+            .select(key, F.greatest(F.lit(1), F.floor(span_us.cast("double") * F.lit(float(rows_per_bucket))
+                                                      / F.col("_n"))).cast("long").alias("_width_us")))
 
 
 def with_bucket(df: DataFrame, key: str, time_col: str, bucket_hours: int,

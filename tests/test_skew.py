@@ -57,3 +57,17 @@ def test_burst_of_one_customer_is_split_with_adaptive_buckets(spark):
     for k, r in a.items():                          # same results either way
         assert r[1] == b[k][1] and r[2] == b[k][2]
         assert abs(r[3] - b[k][3]) < 1e-9 and (r[4] is None and b[k][4] is None or abs(r[4] - b[k][4]) < 1e-9)
+
+
+def test_hot_width_over_a_long_span(spark):
+    """span (µs) x rows_per_bucket exceeds a long for multi-year histories."""
+    from tallyrisk.operators.sequence import hot_widths
+    n = 2_000_100
+    df = spark.range(n).select(
+        F.lit(1).alias("customer_id"),
+        (F.lit(dt.datetime(1994, 1, 1)).cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") * 480)).alias("transaction_timestamp"))
+    w = hot_widths(df, "customer_id", "transaction_timestamp", rows_per_bucket=2_000_000).first()
+    span_us = (n - 1) * 480 * 1_000_000          # about 30 years: x 2e6 overflows a long
+    assert span_us * 2_000_000 > 2 ** 63
+    assert abs(w._width_us - span_us * 2_000_000 / n) <= 1
