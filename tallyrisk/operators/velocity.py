@@ -168,12 +168,12 @@ def velocity_features(t: DataFrame, rows_per_bucket: int | None = 2_000_000) ->
            .join(uniq, "transaction_id", "left").join(acct, "transaction_id", "left"))
     return out.select(
         "transaction_id",
-        F.col("transaction_count_1h").cast("int").alias("transaction_count_1h"),
-        F.col("transaction_count_24h").cast("int").alias("transaction_count_24h"),
-        F.col("transaction_amount_24h").cast("decimal(12,2)").alias("transaction_amount_24h"),
-        F.col("unique_merchants_24h").cast("int").alias("unique_merchants_24h"),
-        F.col("account_transaction_count_7d").cast("int").alias("account_transaction_count_7d"),
-        F.col("balance_change_24h").cast("decimal(12,2)").alias("balance_change_24h"),
+        F.col("transaction_count_1h").cast("bigint").alias("transaction_count_1h"),
+        F.col("transaction_count_24h").cast("bigint").alias("transaction_count_24h"),
+        F.col("transaction_amount_24h").cast("decimal(22,2)").alias("transaction_amount_24h"),
+        F.col("unique_merchants_24h").cast("bigint").alias("unique_merchants_24h"),
+        F.col("account_transaction_count_7d").cast("bigint").alias("account_transaction_count_7d"),
+        F.col("balance_change_24h").cast("decimal(22,2)").alias("balance_change_24h"),
         F.coalesce(F.col("is_new_device"), F.lit(False)).alias("is_new_device"),
         F.coalesce(F.col("is_new_location"), F.lit(False)).alias("is_new_location"),
     )
@@ -228,4 +228,4 @@ def daily_breakdowns(t: DataFrame) -> DataFrame:
                       F.coalesce("fraud_by_channel", F.lit("{}")).alias("fraud_by_channel"),
                       F.coalesce("fraud_by_merchant_category", F.lit("{}")).alias("fraud_by_merchant_category"),
                       F.coalesce("fraud_by_hour", F.lit("{}")).alias("fraud_by_hour"),
-                      F.coalesce("repeat_victims", F.lit(0)).cast("int").alias("repeat_victims"))
+                      F.coalesce("repeat_victims", F.lit(0)).cast("bigint").alias("repeat_victims"))

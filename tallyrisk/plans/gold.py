@@ -20,6 +20,9 @@ from tallyrisk.operators.joins import broadcast_limit, estimated_bytes, join_dim
 from tallyrisk.operators.sequence import with_sequence_features
 
 MONEY = "decimal(12,2)"
+# Wider than the source DDL where 100 TB values would not fit (see silver.py).
+COUNT = "bigint"
+SUM_MONEY = "decimal(22,2)"
 MODEL_VERSION = "v1.0"
 
 
@@ -36,9 +39,9 @@ def customer_360(customers: DataFrame, transactions: DataFrame, as_of=DEFAULT_AS
         F.col("location_state").alias("location_tier"),
         F.col("total_balance").alias("total_relationship_balance"),
         "avg_account_balance", "credit_score_tier", "income_bucket",
-        F.col("transaction_count_30d").cast("int").alias("transaction_count_30d"),
-        F.col("total_spent_30d").cast(MONEY).alias("total_spent_30d"),
-        F.col("avg_transaction_value").cast("decimal(10,2)").alias("avg_transaction_value"),
+        F.col("transaction_count_30d").cast(COUNT).alias("transaction_count_30d"),
+        F.col("total_spent_30d").cast(SUM_MONEY).alias("total_spent_30d"),
+        F.col("avg_transaction_value").cast(MONEY).alias("avg_transaction_value"),
         F.col("risk_score").alias("overall_risk_score"),
         F.col("tenure_group").alias("risk_tier"),
         (F.col("fraud_report_count") / F.lit(10.0)).cast("decimal(5,4)").alias("fraud_probability"),
@@ -109,7 +112,8 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
     hours = F.coalesce(F.timestamp_diff("MICROSECOND", F.col("_prev_ts"), F.col("transaction_timestamp"))
                        / F.lit(3.6e9), F.lit(24.0))
     hour = F.col("transaction_hour")
-    zero_money = F.lit(0).cast(MONEY)
+    zero_money = F.lit(0).cast(SUM_MONEY)
+    zero_count = F.lit(0).cast(COUNT)
     out = s.select(
         "transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
         bin_with(F.col("amount_abs"), rules.AMOUNT_BINS).alias("amount_category"),
@@ -117,10 +121,10 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
         F.col("account_age_days").alias("customer_tenure_days"),
         "customer_risk_score",
         (mean / F.lit(30.0)).cast(MONEY).alias("customer_avg_daily_spend"),
-        (F.col("_n_value") / F.lit(30.0)).cast("decimal(10,2)").alias("customer_transaction_frequency"),
+        (F.col("_n_value") / F.lit(30.0)).cast("decimal(20,2)").alias("customer_transaction_frequency"),
         "account_age_days", "account_balance",
         zero_money.alias("balance_change_24h"),
-        F.lit(0).alias("account_transaction_count_7d"),
+        zero_count.alias("account_transaction_count_7d"),
         "merchant_category",
         (F.lit(1) + F.pmod(F.xxhash64("transaction_id", F.lit("merchant_risk")), F.lit(9)))
         .cast("int").alias("merchant_risk_score"),
@@ -132,16 +136,16 @@ def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_A
         F.round(hours / F.lit(24.0)).cast("int").alias("days_since_last_transaction"),
         hour_angle(hour, "sin").cast("decimal(10,8)").alias("hour_of_day_sin"),
         hour_angle(hour, "cos").cast("decimal(10,8)").alias("hour_of_day_cos"),
-        F.lit(0).alias("transaction_count_1h"),
-        F.lit(0).alias("transaction_count_24h"),
+        zero_count.alias("transaction_count_1h"),
+        zero_count.alias("transaction_count_24h"),
         zero_money.alias("transaction_amount_24h"),
-        F.lit(0).alias("unique_merchants_24h"),
+        zero_count.alias("unique_merchants_24h"),
         F.lit(False).alias("is_new_device"),
         F.lit(False).alias("is_new_location"),
         (_unit_hash(F.col("transaction_id"), "distance") * 100).cast("decimal(10,2)").alias("distance_from_home_km"),
         (_unit_hash(F.col("transaction_id"), "velocity") * 120).cast("decimal(10,2)").alias("velocity_kmh"),
-        F.when(std > 0, (x - mean) / std).otherwise(F.lit(0.0)).cast("decimal(10,4)").alias("amount_z_score"),
-        (hours / F.col("_mean_gap_hours")).cast("decimal(10,2)").alias("time_since_avg"),
+        F.when(std > 0, (x - mean) / std).otherwise(F.lit(0.0)).cast("decimal(16,4)").alias("amount_z_score"),
+        (hours / F.col("_mean_gap_hours")).cast("decimal(20,2)").alias("time_since_avg"),
         (x - mean).cast(MONEY).alias("amount_deviation_from_avg"),
         "is_fraud",
         F.when(F.col("is_fraud"), 1.0).otherwise(0.0).cast("decimal(5,4)").alias("fraud_probability"),
@@ -183,20 +187,20 @@ def daily_fraud_summary(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFra
     fraud_n = F.col("fraudulent_transactions")
     return d.select(
         "summary_date",
-        F.col("total_transactions").cast("int").alias("total_transactions"),
-        fraud_n.cast("int").alias("fraudulent_transactions"),
+        F.col("total_transactions").cast(COUNT).alias("total_transactions"),
+        fraud_n.cast(COUNT).alias("fraudulent_transactions"),
         F.try_divide(fraud_n, F.col("total_transactions")).cast("decimal(5,4)").alias("fraud_rate"),
-        F.col("total_amount").cast("decimal(15,2)").alias("total_amount"),
-        F.col("fraud_amount").cast("decimal(15,2)").alias("fraud_amount"),
+        F.col("total_amount").cast(SUM_MONEY).alias("total_amount"),
+        F.col("fraud_amount").cast(SUM_MONEY).alias("fraud_amount"),
         F.try_divide(F.col("fraud_amount"), F.nullif(fraud_n, F.lit(0)))
         .cast(MONEY).alias("avg_fraud_amount"),
         F.lit("{}").alias("fraud_by_channel"),
         F.lit("{}").alias("fraud_by_merchant_category"),
         F.lit("{}").alias("fraud_by_hour"),
-        F.col("affected_customers").cast("int").alias("affected_customers"),
-        F.lit(0).alias("repeat_victims"),
-        F.expr("fraudulent_transactions div 2").cast("int").alias("auto_detected_count"),
-        F.expr("fraudulent_transactions div 2").cast("int").alias("reported_count"),
+        F.col("affected_customers").cast(COUNT).alias("affected_customers"),
+        F.lit(0).cast(COUNT).alias("repeat_victims"),
+        F.expr("fraudulent_transactions div 2").cast(COUNT).alias("auto_detected_count"),
+        F.expr("fraudulent_transactions div 2").cast(COUNT).alias("reported_count"),
         F.lit(0).cast("decimal(10,2)").alias("detection_lag_hours"),
         now.alias("created_at"), now.alias("updated_at"),
     )

@@ -21,6 +21,11 @@ from tallyrisk.operators import aggregates as agg
 from tallyrisk.operators.joins import join_dimension, keyed, left_join_fill
 
 MONEY = "decimal(12,2)"
+# Counts and sums are wider than the source DDL (INTEGER, NUMERIC(12,2)):
+# at 100 TB a busy customer, account or day exceeds those ranges, and an
+# overflow under ANSI would stop the job.  Values that fit are unchanged.
+COUNT = "bigint"
+SUM_MONEY = "decimal(22,2)"
 
 
 def _null_str():
@@ -84,15 +89,15 @@ def silver_customers(customers: DataFrame, interactions: DataFrame, fraud_report
         "age", "age_group", "occupation_category", "income_bucket", "credit_score",
         "credit_score_tier", "customer_tenure_days", "tenure_group", "segment", "risk_score",
         _null_str().alias("risk_tier"), "kyc_verified",
-        F.col("total_accounts").cast("int").alias("total_accounts"),
-        F.col("total_balance").cast(MONEY).alias("total_balance"),
+        F.col("total_accounts").cast(COUNT).alias("total_accounts"),
+        F.col("total_balance").cast(SUM_MONEY).alias("total_balance"),
         F.col("avg_account_balance").cast(MONEY).alias("avg_account_balance"),
         F.to_date("last_interaction_date").alias("last_interaction_date"),
-        F.col("total_interactions").cast("int").alias("total_interactions"),
-        F.col("complaint_count").cast("int").alias("complaint_count"),
+        F.col("total_interactions").cast(COUNT).alias("total_interactions"),
+        F.col("complaint_count").cast(COUNT).alias("complaint_count"),
         (F.col("fraud_report_count") > 0).alias("has_fraud_history"),
-        F.col("fraud_report_count").cast("int").alias("fraud_report_count"),
-        F.col("total_fraud_loss").cast(MONEY).alias("total_fraud_loss"),
+        F.col("fraud_report_count").cast(COUNT).alias("fraud_report_count"),
+        F.col("total_fraud_loss").cast(SUM_MONEY).alias("total_fraud_loss"),
         now.alias("created_at"), now.alias("updated_at"),
         F.col("customer_id").alias("source_customer_id"),
     )
@@ -142,12 +147,12 @@ def silver_accounts(accounts: DataFrame, transactions: DataFrame, as_of=DEFAULT_
         _null_str().alias("balance_trend"), "has_overdraft",
         F.col("overdraft_utilization").cast("decimal(5,3)").alias("overdraft_utilization"),
         "interest_rate_tier", "account_status", "is_active",
-        F.col("avg_daily_transactions").cast("decimal(10,2)").alias("avg_daily_transactions"),
-        F.col("total_transactions_30d").cast("int").alias("total_transactions_30d"),
+        F.col("avg_daily_transactions").cast(MONEY).alias("avg_daily_transactions"),
+        F.col("total_transactions_30d").cast(COUNT).alias("total_transactions_30d"),
         F.to_date(last_ts).alias("last_transaction_date"),
         F.coalesce(elapsed_days_floor(now, last_ts), F.lit(999)).alias("days_since_last_transaction"),
-        F.col("fraud_transaction_count").cast("int").alias("fraud_transaction_count"),
-        F.col("fraud_amount_total").cast(MONEY).alias("fraud_amount_total"),
+        F.col("fraud_transaction_count").cast(COUNT).alias("fraud_transaction_count"),
+        F.col("fraud_amount_total").cast(SUM_MONEY).alias("fraud_amount_total"),
         now.alias("created_at"), now.alias("updated_at"),
     )
 
