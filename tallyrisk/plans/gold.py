@@ -44,7 +44,8 @@ def customer_360(customers: DataFrame, transactions: DataFrame, as_of=DEFAULT_AS
         F.col("avg_transaction_value").cast(MONEY).alias("avg_transaction_value"),
         F.col("risk_score").alias("overall_risk_score"),
         F.col("tenure_group").alias("risk_tier"),
-        (F.col("fraud_report_count") / F.lit(10.0)).cast("decimal(5,4)").alias("fraud_probability"),
+        # reports / 10 (a placeholder score): (12,4) so 100+ reports cannot overflow
+        (F.col("fraud_report_count") / F.lit(10.0)).cast("decimal(12,4)").alias("fraud_probability"),
         F.col("last_interaction_date").alias("last_support_call"),
         F.col("complaint_count").alias("complaint_count_90d"),
         F.lit(None).cast("decimal(3,2)").alias("satisfaction_score_avg"),
