@@ -52,23 +52,23 @@ def _sel(exprs: dict[str, str], types: dict[str, str]) -> str:
     return ", ".join(cols)
 
 
-CUST_T = {"customer_id": "INT", "first_name": "VARCHAR", "last_name": "VARCHAR", "email": "VARCHAR",
+CUST_T = {"customer_id": "BIGINT", "first_name": "VARCHAR", "last_name": "VARCHAR", "email": "VARCHAR",
           "phone": "VARCHAR", "address": "VARCHAR", "city": "VARCHAR", "state": "VARCHAR",
           "zip_code": "VARCHAR", "date_of_birth": "DATE", "occupation": "VARCHAR",
           "income": "DECIMAL(12,2)", "credit_score": "INT", "customer_since": "DATE",
           "account_manager": "VARCHAR", "segment": "VARCHAR", "risk_level": "VARCHAR",
           "kyc_status": "VARCHAR", "last_updated": "TIMESTAMP"}
-INTER_T = {"interaction_id": "INT", "customer_id": "INT", "interaction_type": "VARCHAR",
-           "channel": "VARCHAR", "agent_id": "INT", "date_time": "TIMESTAMP", "duration_minutes": "INT",
+INTER_T = {"interaction_id": "BIGINT", "customer_id": "BIGINT", "interaction_type": "VARCHAR",
+           "channel": "VARCHAR", "agent_id": "BIGINT", "date_time": "TIMESTAMP", "duration_minutes": "INT",
            "notes": "VARCHAR", "outcome": "VARCHAR", "satisfaction_score": "INT"}
-REPORT_T = {"report_id": "INT", "customer_id": "INT", "report_date": "DATE", "report_type": "VARCHAR",
+REPORT_T = {"report_id": "BIGINT", "customer_id": "BIGINT", "report_date": "DATE", "report_type": "VARCHAR",
             "description": "VARCHAR", "status": "VARCHAR", "amount_lost": "DECIMAL(12,2)",
             "recovery_amount": "DECIMAL(12,2)", "investigator": "VARCHAR", "notes": "VARCHAR"}
-ACCT_T = {"account_id": "INT", "customer_id": "INT", "account_number": "VARCHAR", "account_type": "VARCHAR",
+ACCT_T = {"account_id": "BIGINT", "customer_id": "BIGINT", "account_number": "VARCHAR", "account_type": "VARCHAR",
           "opening_date": "DATE", "current_balance": "DECIMAL(12,2)", "available_balance": "DECIMAL(12,2)",
           "currency": "VARCHAR", "status": "VARCHAR", "overdraft_limit": "DECIMAL(12,2)",
           "interest_rate": "DECIMAL(5,3)", "last_updated": "TIMESTAMP"}
-TXN_T = {"transaction_id": "INT", "account_id": "INT", "customer_id": "INT", "transaction_date": "TIMESTAMP",
+TXN_T = {"transaction_id": "BIGINT", "account_id": "BIGINT", "customer_id": "BIGINT", "transaction_date": "TIMESTAMP",
          "transaction_type": "VARCHAR", "amount": "DECIMAL(12,2)", "currency": "VARCHAR",
          "merchant_name": "VARCHAR", "merchant_category": "VARCHAR", "merchant_location": "VARCHAR",
          "transaction_channel": "VARCHAR", "device_id": "VARCHAR", "ip_address": "VARCHAR",

@@ -36,26 +36,26 @@ def _schema(spec: str) -> T.StructType:
 # inferred, so codes such as zip "01234" keep their leading zeros.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "bronze_customers": _schema(
-        "customer_id INT, first_name STRING, last_name STRING, email STRING, phone STRING, "
+        "customer_id BIGINT, first_name STRING, last_name STRING, email STRING, phone STRING, "
         "address STRING, city STRING, state STRING, zip_code STRING, date_of_birth DATE, "
         "occupation STRING, income DECIMAL(12,2), credit_score INT, customer_since DATE, "
         "account_manager STRING, segment STRING, risk_level STRING, kyc_status STRING, "
         "last_updated TIMESTAMP_NTZ"),
     "bronze_interactions": _schema(
-        "interaction_id INT, customer_id INT, interaction_type STRING, channel STRING, "
-        "agent_id INT, date_time TIMESTAMP_NTZ, duration_minutes INT, notes STRING, "
+        "interaction_id BIGINT, customer_id BIGINT, interaction_type STRING, channel STRING, "
+        "agent_id BIGINT, date_time TIMESTAMP_NTZ, duration_minutes INT, notes STRING, "
         "outcome STRING, satisfaction_score INT"),
     "bronze_fraud_reports": _schema(
-        "report_id INT, customer_id INT, report_date DATE, report_type STRING, "
+        "report_id BIGINT, customer_id BIGINT, report_date DATE, report_type STRING, "
         "description STRING, status STRING, amount_lost DECIMAL(12,2), "
         "recovery_amount DECIMAL(12,2), investigator STRING, notes STRING"),
     "bronze_accounts": _schema(
-        "account_id INT, customer_id INT, account_number STRING, account_type STRING, "
+        "account_id BIGINT, customer_id BIGINT, account_number STRING, account_type STRING, "
         "opening_date DATE, current_balance DECIMAL(12,2), available_balance DECIMAL(12,2), "
         "currency STRING, status STRING, overdraft_limit DECIMAL(12,2), "
         "interest_rate DECIMAL(5,3), last_updated TIMESTAMP_NTZ"),
     "bronze_transactions": _schema(
-        "transaction_id INT, account_id INT, customer_id INT, transaction_date TIMESTAMP_NTZ, "
+        "transaction_id BIGINT, account_id BIGINT, customer_id BIGINT, transaction_date TIMESTAMP_NTZ, "
         "transaction_type STRING, amount DECIMAL(12,2), currency STRING, merchant_name STRING, "
         "merchant_category STRING, merchant_location STRING, transaction_channel STRING, "
         "device_id STRING, ip_address STRING, is_fraud BOOLEAN, status STRING, "

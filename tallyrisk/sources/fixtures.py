@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyrisk.schemas import RAW_SCHEMAS
 
 CUSTOMER_EXPRS = {
-    "customer_id": "cast(c_custkey as int)",
+    "customer_id": "cast(c_custkey as bigint)",
     "first_name": "case when c_custkey % 103 = 0 then null else 'Customer' end",
     "last_name": "substr(c_name, 10)",
     "email": "concat(lower(c_name), '@example.com')",
@@ -39,8 +39,8 @@ CUSTOMER_EXPRS = {
 }
 
 ACCOUNT_EXPRS = {
-    "account_id": "cast(c_custkey * 10 + j as int)",
-    "customer_id": "cast(c_custkey as int)",
+    "account_id": "cast(c_custkey * 10 + j as bigint)",
+    "customer_id": "cast(c_custkey as bigint)",
     "account_number": "concat('ACCT', lpad(cast(c_custkey * 10 + j as string), 10, '0'))",
     "account_type": "case (c_custkey + j) % 4 when 0 then 'Checking' when 1 then 'Savings' "
                     "when 2 then 'Money Market' else 'Certificate of Deposit' end",
@@ -55,9 +55,9 @@ ACCOUNT_EXPRS = {
 ACCOUNT_FILTER = "c_custkey % 71 <> 0"
 
 TRANSACTION_EXPRS = {
-    "transaction_id": "cast(event_id as int)",
-    "account_id": "cast(user_id * 10 + event_id % (1 + user_id % 3) as int)",
-    "customer_id": "cast(user_id as int)",
+    "transaction_id": "cast(event_id as bigint)",
+    "account_id": "cast(user_id * 10 + event_id % (1 + user_id % 3) as bigint)",
+    "customer_id": "cast(user_id as bigint)",
     "transaction_date": "ts",
     "transaction_type": "case event_type when 'purchase' then 'POS Purchase' when 'click' then 'Online Payment' "
                         "when 'error' then 'ATM Withdrawal' when 'view' then 'Transfer' else 'Deposit' end",
@@ -86,8 +86,8 @@ TRANSACTION_EXPRS = {
 TRANSACTION_K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 
 INTERACTION_EXPRS = {
-    "interaction_id": "cast(o_orderkey as int)",
-    "customer_id": "cast(o_custkey as int)",
+    "interaction_id": "cast(o_orderkey as bigint)",
+    "customer_id": "cast(o_custkey as bigint)",
     "interaction_type": "case o_orderpriority when '1-URGENT' then 'complaint' when '2-HIGH' then 'account_issue' "
                         "when '3-MEDIUM' then 'product_inquiry' else 'support_call' end",
     "channel": "case o_orderkey % 3 when 0 then 'Phone' when 1 then 'Email' else 'Chat' end",
@@ -97,8 +97,8 @@ INTERACTION_EXPRS = {
 }
 
 FRAUD_REPORT_EXPRS = {
-    "report_id": "cast(o_orderkey as int)",
-    "customer_id": "cast(o_custkey as int)",
+    "report_id": "cast(o_orderkey as bigint)",
+    "customer_id": "cast(o_custkey as bigint)",
     "report_date": "cast(o_orderdate as date)",
     "report_type": "case o_orderkey % 3 when 0 then 'Stolen Card' when 1 then 'Phishing' else 'Online Fraud' end",
     "status": "case o_orderstatus when 'F' then 'Closed' else 'Open' end",

@@ -13,7 +13,7 @@ def _plan(df) -> str:
 def test_feature_rows_hashed_on_customer_and_bucket(spark, small_dir):
     df = registry.REGISTRY["H06_gold_fraud_features"].build(registry.spark_layers(spark, small_dir))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"hashpartitioning\(customer_id#\d+, _bucket#\d+", plan)
+    assert re.search(r"hashpartitioning\(customer_id#\d+L?, _bucket#\d+", plan)
     # the row-level window is partitioned by (customer, bucket), never by customer alone
     for m in re.finditer(r"Window \[.*?\], \[(.*?)\], \[", plan):
         assert "_bucket" in m.group(1) or "transaction_id" not in plan[m.start():m.start() + 400]
