@@ -64,6 +64,7 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 
 LINEAGE_COLUMNS = ["loaded_at", "source_file", "batch_id"]
 
+# --- Fixed values: source file names (must equal the source system's) ------
 # Source file -> bronze table.
 FILE_TO_TABLE = {
     "crm_customers.csv": "bronze_customers",
@@ -72,6 +73,7 @@ FILE_TO_TABLE = {
     "erp_accounts.csv": "bronze_accounts",
     "erp_transactions.csv": "bronze_transactions",
 }
+# ---------------------------------------------------------------------------
 
 PRIMARY_KEYS: dict[str, list[str]] = {
     "bronze_customers": ["customer_id"],
