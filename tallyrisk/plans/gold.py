@@ -23,7 +23,9 @@ MONEY = "decimal(12,2)"
 # Wider than the source DDL where 100 TB values would not fit (see silver.py).
 COUNT = "bigint"
 SUM_MONEY = "decimal(22,2)"
+# --- Fixed values (must equal the source system's) --------------------------
 MODEL_VERSION = "v1.0"
+# ---------------------------------------------------------------------------
 
 
 def customer_360(customers: DataFrame, transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:

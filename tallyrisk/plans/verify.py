@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- Fixed values (must equal the source system's) --------------------------
 HOUR_GROUP_ORDER = ["Late Night", "Morning", "Afternoon", "Evening", "Night"]
+# ---------------------------------------------------------------------------
 
 
 def segment_by_risk(customers: DataFrame) -> DataFrame:
