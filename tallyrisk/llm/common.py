@@ -140,7 +140,7 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = True):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(unsliced(texts).cast(pa.large_string()), "")
         if lower:
             texts = pc.ascii_lower(texts)
         parts = pc.ascii_split_whitespace(texts)
@@ -181,7 +181,8 @@ def window_hashes(word_hashes: np.ndarray, bounds: np.ndarray, size: int) -> tup
 
 def ngram_hashes(values: pa.Array, low: int, high: int, buckets: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte n-grams (``low`` to ``high``) of each string within <...>, and each one's string."""
-    marked = pc.binary_join_element_wise("<", values.cast(pa.large_string()), ">", "").cast(pa.large_binary())
+    left, right, nothing = (pa.scalar(x, pa.large_string()) for x in ("<", ">", ""))
+    marked = pc.binary_join_element_wise(left, values.cast(pa.large_string()), right, nothing).cast(pa.large_binary())
     buffers = marked.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[marked.offset:marked.offset + len(marked) + 1]
     if not len(marked):
@@ -202,8 +203,14 @@ def ngram_hashes(values: pa.Array, low: int, high: int, buckets: int, seed: int
     return np.concatenate(grams), np.concatenate(owners)
 
 
+def unsliced(texts: pa.Array) -> pa.Array:
+    """The same values from offset 0 (some string kernels misread arrays that begin within their buffers)."""
+    return texts if texts.offset == 0 else texts.take(pa.array(np.arange(len(texts))))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``; empty batches are left out."""
+    """The same rows in batches of at most ``rows``, each from offset 0; empty batches are left out."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
+            part = b.slice(i, rows)
+            yield b if part.num_rows == b.num_rows else part.take(pa.array(np.arange(part.num_rows)))

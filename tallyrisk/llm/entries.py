@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import crc_bucket, read_table
+from .language import identify_language
 from .packing import pack_documents
+from .quality import score_quality
 from .sharding import shard_documents
+from .toxicity import score_toxicity
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +29,33 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from labelled rows outside the held-out fifth."""
+    scored = score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                            learn_from=crc_bucket("doc_id", 5) != 0)
+    return scored.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learnt outside the held-out quarter."""
+    found = identify_language(read_table(spark, sf_dir, "documents"), learn_from=crc_bucket("doc_id", 4) != 2)
+    return found.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, the fixed rules on them, and the classifier's verdict on what passes."""
+    scored = score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "quality")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op5_toxicity": op5_toxicity,
+    "op6_language": op6_language,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
