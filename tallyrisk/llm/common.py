@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one rank block; a block is the most that one task has to sort at once.
-RANK_BLOCK_ROWS = 50_000
+RANK_BLOCK_ROWS = 10_000
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
@@ -214,3 +214,42 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.R
         for i in range(0, b.num_rows, rows):
             part = b.slice(i, rows)
             yield b if part.num_rows == b.num_rows else part.take(pa.array(np.arange(part.num_rows)))
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 4000) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of batches sorted by ``key``: (table, group bounds), at least ``rows`` at a time.
+
+    A group that goes on in the next batch is held back until it is complete.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.num_rows
+        if size < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        cuts = _cuts(table[key])
+        if len(cuts) > 2:
+            yield table.slice(0, cuts[-2]), cuts[:-1]
+            rest = table.slice(cuts[-2])
+            held, size = rest.take(pa.array(np.arange(rest.num_rows))).to_batches(), rest.num_rows
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, _cuts(table[key])
+
+
+def _cuts(key: pa.ChunkedArray) -> np.ndarray:
+    codes = key.combine_chunks().dictionary_encode()
+    codes = (codes.chunk(0) if isinstance(codes, pa.ChunkedArray) else codes).indices.to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1, [len(codes)]])
+
+
+def flat_array(column: pa.ChunkedArray) -> pa.Array:
+    """One contiguous array from offset 0."""
+    array = column.combine_chunks()
+    if isinstance(array, pa.ChunkedArray):
+        array = array.chunk(0) if array.num_chunks else pa.array([], array.type)
+    return unsliced(array)

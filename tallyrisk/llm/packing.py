@@ -27,8 +27,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .common import gapless_rank, ship_package, slices, stored
 
@@ -254,8 +256,6 @@ def pack_documents(docs: DataFrame, window: int = 1024, tokenizer: str = TOKENIZ
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType
     schema = PIECES.format(id=kind.simpleString())
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     pieces = stored(rows.mapInArrow(lambda it: _cut(it, window, tokenizer, arrow), schema), "pack-pieces")
     pieces = pieces.withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")})
@@ -299,9 +299,10 @@ def pack_documents(docs: DataFrame, window: int = 1024, tokenizer: str = TOKENIZ
 
     # Full windows: numbered after the tails' sequences, by file and row.
     full = pieces.filter(F.col("length") == window)
-    files = full.groupBy("file").agg((F.max("row") + 1).alias("rows"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    files = files.select(F.col("file").alias("file_r"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    files = full.groupBy("file").agg((F.max("row") + 1).alias("rows")).orderBy("file").toPandas()  # one row a file
+    files["base"] = files["rows"].cumsum() - files["rows"]
+    bases = spark.createDataFrame(files[["file", "base"]], "file_r string, base long")
+    files = F.broadcast(bases) if len(files) <= 200_000 else bases  # beyond, a shuffled join
     full = full.join(files, F.col("file") == F.col("file_r")).select(
         "doc_id", "start", "length", "ids", "doc_tokens",
         (F.lit(sequences) + F.col("base") + F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
