@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_bucket, read_table
+from .decontamination import find_contamination
 from .language import identify_language
+from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
 from .sharding import shard_documents
@@ -29,6 +31,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that its tiles cover."""
+    found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("matches") > 0).alias("contaminated"),
+        F.sort_array(F.transform("matches", lambda m: m["item_id"])).alias("item_ids"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0)).alias("coverage"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt from labelled rows outside the held-out fifth."""
     scored = score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
@@ -42,6 +53,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components on 4-word shingles at 80 per cent."""
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, similarity=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics, the fixed rules on them, and the classifier's verdict on what passes."""
     scored = score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -53,8 +70,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
+    "op8_near_dup": op8_near_dup,
     "op10_quality": op10_quality,
 }
 
