@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import crc_bucket, read_table
 from .decontamination import find_contamination
 from .language import identify_language
+from .lines import dedup_lines
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
@@ -40,6 +41,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0)).alias("coverage"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one, exactly or nearly."""
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "dropped", "text")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt from labelled rows outside the held-out fifth."""
     scored = score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op8_near_dup": op8_near_dup,

@@ -46,6 +46,7 @@ from pyspark.sql.types import StructType
 
 from .common import Words, flat_array, groups, mix64, ship_package, slices, stored, window_hashes
 from .components import connected_components
+from .linking import small, spanning_links, units
 
 TREES = 16
 DEPTH = 8
@@ -115,26 +116,6 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> It
             pa.array(sketches, pa.binary()), lists.cast(schema.field(5).type)], schema=schema)
 
 
-def spanning_links(n: int, linked) -> list[tuple[int, int]]:
-    """Edges that span the components: ``linked(i, others)`` tells which of ``others`` node i is linked with.
-
-    Every node asks once, for the nodes not reached yet, so each pair that
-    could still join two components is decided.
-    """
-    edges = []
-    left = np.arange(n)
-    while len(left) > 1:
-        queue, left = [int(left[0])], left[1:]
-        while queue and len(left):
-            i = queue.pop()
-            yes = linked(i, left)
-            reached = left[yes]
-            left = left[~yes]
-            edges += [(i, int(j)) for j in reached]
-            queue += reached.tolist()
-    return edges
-
-
 def _estimated(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Spanning links of each region (rows: region, node, sketch) by the share of equal signature bytes."""
     width = len(MULTIPLIERS)
@@ -261,21 +242,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
         lambda it: _estimated(it, similarity / 100 - 0.2, pair_arrow), pair), "near")
     candidates = stored(connected_components(near), "candidates")
 
-    # Units of confirmation: a component, or the regions of one that is too large.
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > COMPONENT).select("root")
-    units = candidates.select(F.col("root").alias("unit"), "node")
-    if not large.isEmpty():
-        within = candidates.join(large, "root").select("node")
-        units = candidates.join(large, "root", "left_anti").select(F.col("root").alias("unit"), "node").unionByName(
-            regions.join(within, "node").select(
-                F.unhex(F.hex("region")).alias("unit"), "node"))
-    ids = candidates.join(nodes.select("node", "row"), "node").select(
-        "node", F.col("row.doc_id").alias("id_r"), F.col("row.text_hash").alias("hash_r"))
-    texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r"))).select(
-        "node", "text")
-    texts = units.join(texts, "node").repartition(width, "unit").sortWithinPartitions("unit", "node")
-    links = stored(texts.select("unit", "node", "text").mapInArrow(
+    ids = units(candidates, regions, COMPONENT).join(nodes.select("node", "row"), "node").select(
+        "unit", "node", F.col("row.doc_id").alias("id_r"), F.col("row.text_hash").alias("hash_r"))
+    texts = rows.join(small(stored(ids, "wanted")),
+                      F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")))
+    texts = texts.select("unit", "node", "text").repartition(width, "unit").sortWithinPartitions("unit", "node")
+    links = stored(texts.mapInArrow(
         lambda it: _confirmed(it, shingle, similarity, pair_arrow), pair), "links")
     roots = connected_components(links)
 
