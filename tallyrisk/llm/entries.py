@@ -14,6 +14,7 @@ from .lines import dedup_lines
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
+from .pii import KINDS, find_pii
 from .sharding import shard_documents
 from .toxicity import score_toxicity
 
@@ -65,6 +66,20 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: counts and digest of the patterns' spans, and all spans."""
+    found = find_pii(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["added"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[number(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics, the fixed rules on them, and the classifier's verdict on what passes."""
     scored = score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -81,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op8_near_dup": op8_near_dup,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
 
