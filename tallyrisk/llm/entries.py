@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import crc_bucket, read_table
 from .decontamination import find_contamination
 from .language import identify_language
+from .language_model import score_documents
 from .lines import dedup_lines
 from .near_dup import near_duplicates
 from .packing import pack_documents
@@ -60,6 +61,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every whole text, learnt outside the held-out seventh."""
+    return score_documents(read_table(spark, sf_dir, "documents"), held_out=crc_bucket("doc_id", 7) == 2)
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components on 4-word shingles at 80 per cent."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, similarity=80)
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_near_dup": op8_near_dup,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
