@@ -187,6 +187,22 @@ def identify_language(docs: DataFrame, learn_from: Column | None = None, per_lab
     return rows.select("doc_id", "text").mapInArrow(label, schema)
 
 
+def drop_unidentified(docs: DataFrame, least: float = 0.3, per_label: int = 300, id_col: str = "doc_id",
+                      text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is found with a score of at least ``least``."""
+    model = learn(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                              F.col(lang_col).alias("label")), None, per_label)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            names, score, _ = label_texts(batch.column(at), shared.value)
+            yield batch.filter(pa.array((np.array(names) != UNKNOWN) & (score >= least)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def learn(rows: DataFrame, learn_from: Column | None, per_label: int) -> tuple:
     """(languages, state weights, transitions, lexicon), from rows of doc_id, text, label."""
     ship_package(rows.sparkSession)

@@ -325,6 +325,41 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
     return _of(rows, small(drops), "left").select("doc_id", "text", "dropped").mapInArrow(cut, schema)
 
 
+def drop_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
+                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, without their repeated lines.
+
+    Rows of which no word is left go; an ``n_chars`` column follows the text.
+    """
+    drops = repeated_lines(docs, similarity, min_words, id_col, text_col).select(
+        F.col("id_r").alias("__id"), F.col("hash_r").alias("__hash_r"), F.col("dropped").alias("__dropped"))
+    rows = docs.withColumn("__hash", F.xxhash64(F.col(text_col).cast("string")))
+    joined = rows.join(small(drops), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__hash_r")), "left")
+    at, number = docs.columns.index(text_col), len(docs.columns)
+    names = docs.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            columns = [batch.column(i) for i in range(number)]
+            gone = batch.column(number).to_pylist()
+            some = [i for i, g in enumerate(gone) if g]
+            if some:
+                texts, keep = columns[at].to_pylist(), np.ones(batch.num_rows, bool)
+                for i in some:
+                    texts[i] = without(texts[i], gone[i])
+                    keep[i] = bool(texts[i].split())
+                columns[at] = pa.array(texts, columns[at].type)
+                if "n_chars" in names:
+                    k = names.index("n_chars")
+                    sizes = [len(texts[i]) if gone[i] else n for i, n in enumerate(columns[k].to_pylist())]
+                    columns[k] = pa.array(sizes, columns[k].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
+            else:
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return joined.select(*docs.columns, "__dropped").mapInArrow(cut, docs.schema)
+
+
 def without(text: str | None, dropped: list[int] | None) -> str | None:
     if text is None or not dropped:
         return text

@@ -214,7 +214,7 @@ def _regions(nodes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
 
     Documents are linked from ``similarity`` per cent Jaccard on; a component
     is named by its least id, and that row is kept.
@@ -254,7 +254,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
     named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = stored(named.join(names, "root").select(F.col("node").alias("node_r"), "component_id"), "components")
-    out = signed.select("doc_id", "n_shingles", "node").join(named, F.col("node") == F.col("node_r"), "left")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "node").join(named, F.col("node") == F.col("node_r"), "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are kept: one of each component.
+
+    Of rows equal in id and text one is kept, rows without a word excepted.
+    """
+    found = stored(near_duplicates(docs, shingle, similarity, id_col, text_col), "near-duplicates")
+    mine = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash_r")]
+    gone = found.filter(~F.col("kept")).select(*mine).distinct()
+    rows = docs.withColumn("__hash", F.xxhash64(F.col(text_col).cast("string")))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__hash_r"))
+    out = rows.join(small(stored(gone, "gone")), same, "left_anti")
+    twice = found.filter(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id", "text_hash").count()
+    twice = stored(twice.filter(F.col("count") > 1).select(*mine), "twice")
+    if not twice.isEmpty():
+        single = out.join(small(twice), same, "left_anti")
+        out = single.unionByName(out.join(small(twice), same, "left_semi").dropDuplicates([id_col, "__hash"]))
+    return out.select(*docs.columns)
