@@ -124,9 +124,11 @@ def matches(texts: pa.Array, seeds: Seeds, coverage: float) -> dict[int, list[tu
     doc, word, item, place = seeds.hits(*tokens(texts))
     sizes = np.diff(seeds.bounds)
     found: dict[int, list[tuple[int, float, list]]] = {}
+    if not len(doc):
+        return found
     order = np.lexsort((item, doc))
     doc, word, item, place = doc[order], word[order], item[order], place[order]
-    cuts = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0)])) if len(doc) else []
+    cuts = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0)]))
     for a, b in zip(cuts, [*cuts[1:], len(doc)], strict=True):
         # Too few distinct item words can't reach the threshold: no need to tile.
         reach = np.unique(place[a:b][:, None] + np.arange(seeds.min_match)).size
