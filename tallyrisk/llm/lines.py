@@ -197,9 +197,9 @@ def _near(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
             partner[hit + lag] = True
         some = np.flatnonzero(partner)
         group = np.searchsorted(cuts, some, side="right")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(group) != 0])) if len(some) else np.empty(0, int)
+        first = np.flatnonzero(np.diff(group, prepend=-1))
         a, b = [], []
-        for start, stop in zip(first, [*first[1:], len(some)], strict=True):
+        for start, stop in zip(first, np.append(first[1:], len(some)) if len(first) else first, strict=True):
             rows = some[start:stop]
             own = h[rows]
             for i, j in spanning_links(len(rows), lambda i, others, own=own: np.bitwise_count(own[others] ^ own[i]) <= BITS):
