@@ -1,18 +1,17 @@
-"""Raw entity files -> bronze: typed CSV scan, lineage columns, key-checked append."""
+"""Raw entity files -> bronze: typed CSV scan, load lineage, rejects, key-checked append."""
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import logging
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from tallyrisk.functions.temporal import DEFAULT_AS_OF, as_of_ts
+from tallyrisk.functions.temporal import as_of_ts
 from tallyrisk.schemas import FILE_TO_TABLE, PRIMARY_KEYS, RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
@@ -22,55 +21,111 @@ NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 # ---------------------------------------------------------------------------
 
+REASONS = "_reject_reasons"
+RAW = "_raw"
+MALFORMED = "_malformed"
 
-def make_batch_id(as_of=DEFAULT_AS_OF, salt: str = "") -> str:
-    """yyyyMMdd_HHmmss_ + 8 hex chars; deterministic for a given as_of and salt."""
-    ts = dt.datetime.fromisoformat(str(as_of))
-    tail = hashlib.sha1(f"{ts.isoformat()}|{salt}".encode()).hexdigest()[:8]
-    return ts.strftime("%Y%m%d_%H%M%S_") + tail
 
+def new_load_id(at: dt.datetime | None = None) -> str:
+    """yyyyMMdd_HHmmss_ + 8 hex characters, of this load alone."""
+    at = at or dt.datetime.now(dt.timezone.utc)
+    return at.strftime("%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:8]
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV read as text, missing-value tokens -> NULL, then typed.
 
-    Nothing is inferred.  A value that does not parse as its declared type
-    becomes NULL (``try_cast``) rather than failing the whole file.
+def load_time() -> str:
+    """The wall clock (UTC) as text, taken once at the start of a load."""
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def csv_options(multi_line: bool = True) -> dict[str, object]:
+    """The source's dialect: quotes doubled inside quotes, line breaks allowed in them.
+
+    Quoted line breaks keep Spark from splitting a file; deliver large entities
+    as several files.  Without ``multi_line`` files are split, and a row that
+    holds a line break is rejected as malformed instead of being read.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.schema(text_schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .csv(path))
-    cols = []
-    for f in schema.fields:
-        c = F.when(F.col(f.name).isin(NULL_TOKENS), F.lit(None)).otherwise(F.col(f.name))
-        cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
-    return raw.select(*cols)
-
-
-def with_lineage(df: DataFrame, as_of=DEFAULT_AS_OF, batch_id: str | None = None,
+    return {"header": True, "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": multi_line,
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "columnNameOfCorruptRecord": MALFORMED}
+
+
+def text_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*[T.StructField(f.name, T.StringType(), True) for f in schema.fields],
+                         T.StructField(MALFORMED, T.StringType(), True)])
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """The value, or NULL where the text is none of the kind.  Whole numbers may be written as floats (4.0)."""
+    if isinstance(kind, T.IntegralType):
+        number = F.trim(text).try_cast("decimal(38,6)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
+
+
+def parse(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed columns, the reasons to reject the row (empty: none) and, for those rows, its texts.
+
+    Missing-value tokens are NULL.  A value that is none of its column's type
+    rejects the row ("column: not a TYPE"), as does a row of the wrong shape.
+    """
+    texts = {f.name: F.when(F.col(f.name).isin(NULL_TOKENS), F.lit(None)).otherwise(F.col(f.name)) for f in schema.fields}
+    typed = {f.name: _typed(texts[f.name], f.dataType) for f in schema.fields}
+    wrong = [F.when(texts[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}"))
+             for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    malformed = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed row"))
+    reasons = F.when(F.col(MALFORMED).isNotNull(), F.array(malformed)).otherwise(
+        F.filter(F.array(*wrong), lambda r: r.isNotNull()))
+    values = F.map_from_arrays(F.array(*[F.lit(f.name) for f in schema.fields], F.lit("line")),
+                               F.array(*[F.col(f.name) for f in schema.fields], F.col(MALFORMED)))
+    out = raw.select(*[typed[f.name].alias(f.name) for f in schema.fields], reasons.alias(REASONS), values.alias(RAW),
+                     F.col("_metadata.file_name").alias("source_file"))
+    return out.withColumn(RAW, F.when(F.size(REASONS) > 0, F.col(RAW)))
+
+
+def scan_raw_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Headered CSV read as text and parsed; nothing is inferred, nothing is lost (:func:`parse`)."""
+    return parse(spark.read.schema(text_schema(schema)).options(**csv_options(multi_line)).csv(path), schema)
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """The rows that parse, typed."""
+    return scan_raw_csv(spark, path, schema, multi_line).filter(F.size(REASONS) == 0).select(*schema.fieldNames())
+
+
+def with_lineage(df: DataFrame, loaded_at: str | None = None, batch_id: str | None = None,
                  source_file: str | None = None) -> DataFrame:
-    """loaded_at, source_file (file base name), batch_id."""
-    src = F.lit(source_file) if source_file is not None else F.col("_metadata.file_name")
+    """loaded_at, source_file (file base name), batch_id, one value of each time and id a load."""
+    src = F.lit(source_file) if source_file is not None else F.col("source_file")
     return df.withColumns({
-        "loaded_at": as_of_ts(as_of),
+        "loaded_at": as_of_ts(loaded_at or load_time()),
         "source_file": src,
-        "batch_id": F.lit(batch_id or make_batch_id(as_of)),
+        "batch_id": F.lit(batch_id or new_load_id()),
     })
 
 
-def read_entity_files(spark: SparkSession, raw_dir: str, as_of=DEFAULT_AS_OF,
-                      batch_id: str | None = None) -> dict[str, DataFrame]:
-    """Route each known file to its bronze table; a missing file is skipped."""
-    batch_id = batch_id or make_batch_id(as_of)
+def _missing(error: AnalysisException) -> bool:
+    return (error.getCondition() or "") == "PATH_NOT_FOUND"
+
+
+def read_entity_files(spark: SparkSession, raw_dir: str, loaded_at: str | None = None,
+                      batch_id: str | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
+    """Route each known file to its bronze table; a missing file is skipped, any other error is raised.
+
+    The frames also carry the reasons and texts of rows to reject (:func:`append_checked` takes them out).
+    """
+    loaded_at, batch_id = loaded_at or load_time(), batch_id or new_load_id()
     out = {}
     for file_name, table in FILE_TO_TABLE.items():
         path = f"{raw_dir.rstrip('/')}/{file_name}"
         try:
-            df = read_raw_csv(spark, path, RAW_SCHEMAS[table])  # a missing path fails here
-        except AnalysisException:
+            df = scan_raw_csv(spark, path, RAW_SCHEMAS[table], multi_line)
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
             log.warning("file not found, skipped: %s", path)
             continue
-        out[table] = with_lineage(df, as_of, batch_id)
+        lineage = with_lineage(df, loaded_at, batch_id)
+        names = [*RAW_SCHEMAS[table].fieldNames(), "loaded_at", "source_file", "batch_id"]
+        out[table] = lineage.select(*names, REASONS, RAW)
     return out
 
 
@@ -78,52 +133,107 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class Appended(int):
+    """Rows appended; ``rejects`` has the rejected ones by reason."""
+
+    rejects: dict[str, int]
+
+    def __new__(cls, rows: int, rejects: dict[str, int]):
+        out = super().__new__(cls, rows)
+        out.rejects = rejects
+        return out
+
+
+def rejects_path(target: str) -> str:
+    return f"{target.rstrip('/')}_rejects"
+
+
+def _stored_keys(batch: DataFrame, target: str, key: list[str]) -> DataFrame | None:
+    """The batch's keys that are stored already; only files whose key range can match are read."""
+    spark = batch.sparkSession
+    try:
+        stored = spark.read.parquet(target)
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        return None
+    span = batch.agg(F.min(key[0]).alias("lo"), F.max(key[0]).alias("hi")).first()
+    if span["lo"] is None:
+        return None
+    near = stored.filter(F.col(key[0]).between(F.lit(span["lo"]), F.lit(span["hi"]))).select(*key)
+    return batch.select(*key).join(near, key, "left_semi")
+
+
 def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail",
-                   staging: str | None = None) -> int:
+                   staging: str | None = None) -> Appended:
     """Append a bronze batch to the table stored at ``target``.
 
-    ``mode="fail"``: any key already stored, or repeated inside the batch,
-    rejects the whole batch (nothing is appended).  ``mode="skip"``: rows
-    with a stored or missing key are left out (and in-batch repeats keep one
-    row), the others are appended.  Returns the number of rows appended.
-
-    The batch is first written once to ``staging`` (default: next to the
-    target on the same storage), so the raw files are parsed once; the key
-    checks are then a single aggregate job over the staged Parquet.
+    Rows that did not parse go to ``<target>_rejects`` with their texts and
+    reasons.  ``mode="fail"``: a key already stored, repeated inside the batch
+    or missing rejects the whole batch (nothing is appended).  ``mode="skip"``:
+    such rows go to the rejects too (of repeated rows one is appended), the
+    others are appended.  Returns the number of rows appended, with the rejects
+    counted by reason.
+
+    The batch is written once to ``staging`` (default: next to the target on
+    the same storage), so the raw files are parsed once.  Stored keys are found
+    by one semi-join of the batch's keys, without touching key ranges that
+    can't match.
     """
     spark = batch.sparkSession
     key = PRIMARY_KEYS[table]
     own_staging = staging is None
     staging = staging or f"{target.rstrip('/')}_staging/{uuid.uuid4().hex}"
+    names = [c for c in batch.columns if c not in (REASONS, RAW)]
+    if REASONS not in batch.columns:
+        batch = batch.withColumns({REASONS: F.array().cast("array<string>"),
+                                   RAW: F.lit(None).cast("map<string,string>")})
     batch.write.mode("overwrite").parquet(staging)
     try:
         staged = spark.read.parquet(staging)
-        try:
-            stored = spark.read.parquet(target).select(*key).distinct().withColumn("_stored", F.lit(True))
-        except AnalysisException:
-            stored = None
-        flagged = (staged.join(stored, key, "left") if stored is not None
-                   else staged.withColumn("_stored", F.lit(None).cast("boolean")))
+        unparsed = staged.filter(F.size(REASONS) > 0)
+        parsed = staged.filter(F.size(REASONS) == 0)
         has_key = F.lit(True)
         for k in key:
             has_key = has_key & F.col(k).isNotNull()
-        stats = flagged.agg(F.count(F.lit(1)).alias("n"),
-                            F.count_distinct(*[F.col(k) for k in key]).alias("keys"),
-                            F.count_if(F.col("_stored").isNull() & has_key).alias("new")).first()
+        keyed = parsed.filter(has_key)
+        stored = _stored_keys(keyed, target, key)
         if mode == "fail":
-            # A stored key, a repeated key or a missing key rejects the batch.
-            if stats["new"] != stats["n"] or stats["keys"] != stats["n"]:
-                raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys; nothing appended")
-            fresh, new_n = staged, stats["n"]
+            stats = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*key).alias("keys")).first()
+            # A missing key is not counted among the distinct ones.
+            if stats["keys"] != stats["n"] or (stored is not None and not stored.isEmpty()):
+                raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys, or misses one; nothing appended")
+            fresh, rejected = parsed, [unparsed]
         else:
-            fresh = flagged.filter(F.col("_stored").isNull() & has_key).drop("_stored").dropDuplicates(key)
-            new_n = fresh.count() if stats["new"] else 0
-        if new_n:
-            fresh.select(*batch.columns).write.mode("append").parquet(target)
-        return new_n
+            place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*[F.col(c) for c in names]), *names))
+            numbered = keyed.withColumn("_place", place)
+            known = (keyed.limit(0).select(*key) if stored is None else stored).distinct().withColumn("_known", F.lit(True))
+            flagged = numbered.join(known, key, "left")
+            fresh = flagged.filter(F.col("_known").isNull() & (F.col("_place") == 1))
+            again = flagged.filter(F.col("_known").isNotNull() | (F.col("_place") > 1)).withColumn(
+                REASONS, F.array(F.when(F.col("_known").isNotNull(), F.lit("stored key")).otherwise(F.lit("repeated key"))))
+            lost = parsed.filter(~has_key).withColumn(REASONS, F.array(F.lit("missing key")))
+            rejected = [unparsed, again, lost]
+        rejects = rejected[0].select(*names, REASONS, RAW)
+        for r in rejected[1:]:
+            rejects = rejects.unionByName(r.select(*names, REASONS, RAW))
+        # Written beside the staged batch first: the appends below are files of known rows.
+        ready = f"{staging}_ready"
+        fresh.select(*names).write.mode("overwrite").parquet(f"{ready}/rows")
+        rejects.write.mode("overwrite").parquet(f"{ready}/rejects")
+        rows, lost = spark.read.parquet(f"{ready}/rows"), spark.read.parquet(f"{ready}/rejects")
+        count = rows.count()
+        reasons = {r[0]: r[1] for r in lost.select(F.explode(REASONS).alias("reason")).groupBy("reason").count().collect()}
+        if count:
+            rows.write.mode("append").parquet(target)
+        if reasons:
+            log.warning("%s: rejected %s", table, reasons)
+            lost.write.mode("append").parquet(rejects_path(target))
+        return Appended(count, reasons)
     finally:
         if own_staging:
             _drop_path(spark, staging)
+            _drop_path(spark, f"{staging}_ready")
 
 
 def _drop_path(spark: SparkSession, path: str) -> None:

@@ -9,46 +9,32 @@ key is already stored are skipped, so a replayed batch appends nothing).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyrisk.functions.temporal import DEFAULT_AS_OF
-from tallyrisk.schemas import PRIMARY_KEYS, RAW_SCHEMAS
-from tallyrisk.sources.raw_files import NULL_TOKENS, append_checked, make_batch_id
-
-
-def _normalise(df: DataFrame, schema: T.StructType) -> DataFrame:
-    cols = []
-    for f in schema.fields:
-        c = F.when(F.col(f.name).isin(NULL_TOKENS), F.lit(None)).otherwise(F.col(f.name))
-        cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
-    return df.select(*cols, F.col("_metadata.file_name").alias("source_file"))
+from tallyrisk.schemas import RAW_SCHEMAS
+from tallyrisk.sources.raw_files import (
+    RAW, REASONS, append_checked, csv_options, load_time, new_load_id, parse, text_schema, with_lineage,
+)
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, table: str, target: str, checkpoint: str,
-                 as_of=DEFAULT_AS_OF, available_now: bool = False, max_files: int = 100) -> StreamingQuery:
+                 available_now: bool = False, max_files: int = 100, multi_line: bool = True) -> StreamingQuery:
     """Start streaming ``landing_dir`` (CSV files of one entity) into ``target``.
 
     ``checkpoint`` must be on shared storage.  ``available_now=True``
-    processes what is there and stops (a scheduled incremental run).
+    processes what is there and stops (a scheduled incremental run).  Every
+    micro-batch is a load with its own id and time; what it can't load goes to
+    the target's rejects with its reason.
     """
     schema = RAW_SCHEMAS[table]
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    stream = (spark.readStream.schema(text_schema).option("header", True)
-              .option("maxFilesPerTrigger", max_files)
-              .option("recursiveFileLookup", True)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .csv(landing_dir))
-    rows = _normalise(stream, schema)
-    key = PRIMARY_KEYS[table]
+    stream = (spark.readStream.schema(text_schema(schema)).options(**csv_options(multi_line))
+              .option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", True).csv(landing_dir))
+    rows = parse(stream, schema)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        stamped = batch.withColumns({
-            "loaded_at": F.lit(str(as_of)).cast("timestamp_ntz"),
-            "batch_id": F.lit(f"{make_batch_id(as_of, table)}_{epoch_id}"),
-        }).select(*[f.name for f in schema.fields], "loaded_at", "source_file", "batch_id")
-        append_checked(stamped.dropDuplicates(key), target, table, mode="skip")
+        stamped = with_lineage(batch, load_time(), f"{new_load_id()}_{epoch_id}").select(
+            *schema.fieldNames(), "loaded_at", "source_file", "batch_id", REASONS, RAW)
+        append_checked(stamped, target, table, mode="skip")
 
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -56,7 +42,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, table: str, target: str,
 
 
 def start_ingest_all(spark: SparkSession, landing_root: str, store_root: str, checkpoint_root: str,
-                     as_of=DEFAULT_AS_OF, available_now: bool = False) -> dict[str, StreamingQuery]:
+                     available_now: bool = False) -> dict[str, StreamingQuery]:
     """One incremental load per entity: ``<landing_root>/<file stem>/`` -> bronze.
 
     Each entity has its own checkpoint under ``checkpoint_root`` (shared
@@ -70,5 +56,5 @@ def start_ingest_all(spark: SparkSession, landing_root: str, store_root: str, ch
         stem = file_name.rsplit(".", 1)[0]
         queries[table] = start_ingest(
             spark, f"{landing_root.rstrip('/')}/{stem}", table, f"{store_root.rstrip('/')}/{table}/current",
-            f"{checkpoint_root.rstrip('/')}/{table}", as_of=as_of, available_now=available_now)
+            f"{checkpoint_root.rstrip('/')}/{table}", available_now=available_now)
     return queries

@@ -6,6 +6,7 @@ import tempfile
 from tallyrisk.sources.fixtures import bronze_frames
 from tallyrisk.sources.store import write_csv
 from tallyrisk.streaming import start_ingest
+from oracle.registry import AS_OF
 
 
 def test_incremental_ingest(spark, small_dir):
@@ -42,5 +43,5 @@ def test_ingest_all_entities_then_layer_runs(spark, small_dir):
     store = LayerStore(spark, store_root)
     for table in FILE_TO_TABLE.values():
         assert spark.read.parquet(runs.bronze_path(store, table)).count() == frames[table]().count()
-    counts = {r.table_name: r.row_count for r in runs.run_silver(spark, store, version="v1").collect()}
+    counts = {r.table_name: r.row_count for r in runs.run_silver(spark, store, AS_OF, version="v1").collect()}
     assert counts["silver_transactions"] == frames["bronze_transactions"]().count()
