@@ -14,14 +14,13 @@ import json
 import os
 import re
 import statistics
-import tempfile
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import registry  # noqa: E402
-from tallyrisk.session import build_session  # noqa: E402
+from tallyrisk.session import build_session, shared_dir  # noqa: E402
 
 HEADLINE = [
     "H06_gold_fraud_features",
@@ -36,6 +35,7 @@ HEADLINE = [
     "D11_fraud_by_hour",
     "D12_risky_merchant_categories",
     "Q06_foreign_key_orphans",
+    "E08_E15_velocity_real",
 ]
 
 
@@ -85,8 +85,7 @@ def run_pipeline(spark, sf_dir: str) -> dict[str, float]:
     from tallyrisk.sources.raw_files import with_lineage
     from tallyrisk.sources.store import LayerStore
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyrisk-bench-")
-    store = LayerStore(spark, f"{base.rstrip('/')}/bench-store-{os.getpid()}-{int(time.time())}")
+    store = LayerStore(spark, f"{shared_dir(spark)}/bench-store-{os.getpid()}-{int(time.time())}")
     out = {}
     t0 = time.perf_counter()
     for table, build in bronze_frames(spark, sf_dir).items():
@@ -94,10 +93,10 @@ def run_pipeline(spark, sf_dir: str) -> dict[str, float]:
             runs.bronze_path(store, table))
     out["bronze"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    runs.run_silver(spark, store, version="v1").collect()
+    runs.run_silver(spark, store, registry.AS_OF, version="v1").collect()
     out["silver"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    runs.run_gold(spark, store, version="v1").collect()
+    runs.run_gold(spark, store, registry.AS_OF, version="v1").collect()
     out["gold"] = round(time.perf_counter() - t0, 3)
     out["total"] = round(sum(out.values()), 3)
     return out

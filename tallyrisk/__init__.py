@@ -15,7 +15,7 @@ Main entry points::
 
 from tallyrisk.plans import gold, reports, runs, silver, verify
 from tallyrisk.operators import quality, velocity
-from tallyrisk.session import build_session, ensure_checkpoint_dir, sizing_conf
+from tallyrisk.session import build_session, shared_dir, sizing_conf
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "sizing_conf", "silver", "gold", "reports", "runs",
+__all__ = ["build_session", "shared_dir", "sizing_conf", "silver", "gold", "reports", "runs",
            "verify", "quality", "velocity"]

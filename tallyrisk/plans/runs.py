@@ -22,18 +22,17 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrisk.functions.temporal import DEFAULT_AS_OF
 from tallyrisk.operators import quality
 from tallyrisk.operators.sequence import assign_buckets
 from tallyrisk.plans import gold, silver
 from tallyrisk.schemas import BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES
-from tallyrisk.sources.raw_files import append_checked, make_batch_id, read_entity_files
+from tallyrisk.sources.raw_files import Appended, append_checked, load_time, new_load_id, read_entity_files
 from tallyrisk.sources.store import LayerStore
 
 log = logging.getLogger(__name__)
 
 
-def new_version(as_of=DEFAULT_AS_OF) -> str:
+def new_version(as_of) -> str:
     """Version id ordered by as_of, then by run time: a rerun never overwrites
     the version readers currently use."""
     as_of_part = dt.datetime.fromisoformat(str(as_of)).strftime("%Y%m%d_%H%M%S")
@@ -44,14 +43,15 @@ def bronze_path(store: LayerStore, table: str) -> str:
     return f"{store.root}/{table}/current"
 
 
-def run_bronze(spark: SparkSession, raw_dir: str, store: LayerStore, as_of=DEFAULT_AS_OF,
-               mode: str = "fail") -> dict[str, int]:
-    """Load every present raw file; returns rows appended per table."""
-    batch_id = make_batch_id(as_of, raw_dir)
-    appended = {}
-    for table, df in read_entity_files(spark, raw_dir, as_of, batch_id).items():
-        appended[table] = append_checked(df, bronze_path(store, table), table, mode=mode)
-    return appended
+def run_bronze(spark: SparkSession, raw_dir: str, store: LayerStore, mode: str = "fail",
+               load_id: str | None = None, loaded_at: str | None = None) -> dict[str, Appended]:
+    """Load every present raw file; returns rows appended (and rejected, by reason) per table.
+
+    Every run is a load of its own: one id, one time, taken from the clock at its start.
+    """
+    load_id, loaded_at = load_id or new_load_id(), loaded_at or load_time()
+    return {table: append_checked(df, bronze_path(store, table), table, mode=mode)
+            for table, df in read_entity_files(spark, raw_dir, loaded_at, load_id).items()}
 
 
 def read_bronze(spark: SparkSession, store: LayerStore) -> dict[str, DataFrame]:
@@ -59,9 +59,10 @@ def read_bronze(spark: SparkSession, store: LayerStore) -> dict[str, DataFrame]:
 
 
 DAY_BUCKET = "_seq_bucket"
+REJECTED = "gold_rejected_transactions"
 
 
-def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, version: str | None = None,
+def run_silver(spark: SparkSession, store: LayerStore, as_of, version: str | None = None,
                buckets: int | None = None, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
     """Customers, accounts, then transactions enriched from the published pair.
 
@@ -82,7 +83,7 @@ def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, vers
     txns = silver.silver_transactions(
         b["bronze_transactions"], store.read("silver_customers"), store.read("silver_accounts"), as_of)
     if buckets:
-        seq = assign_buckets(txns, "customer_id", "transaction_timestamp", 24, rows_per_bucket)
+        seq = assign_buckets(txns, "customer_id", "transaction_timestamp", "transaction_id", 24, rows_per_bucket)
         store.publish("silver_transactions", seq.withColumnRenamed("_bucket", DAY_BUCKET), version,
                       bucket_by=(buckets, ["customer_id", DAY_BUCKET]),
                       sort_within=["customer_id", DAY_BUCKET, "transaction_timestamp"])
@@ -92,9 +93,10 @@ def run_silver(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, vers
     return verify(spark, store, SILVER_TABLES)
 
 
-def run_gold(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, version: str | None = None,
+def run_gold(spark: SparkSession, store: LayerStore, as_of, version: str | None = None,
              bucket_hours: int = 24) -> DataFrame:
-    """Customer profile, per-transaction features, daily summary."""
+    """Customer profile, per-transaction features, daily summary; transactions without a customer
+    are published as ``gold_rejected_transactions`` with the reason."""
     version = version or new_version(as_of)
     c, a, t = (store.read(n) for n in SILVER_TABLES)
     bucketed = (store.bucketing("silver_transactions") or (0, []))[1] == ["customer_id", DAY_BUCKET]
@@ -102,6 +104,7 @@ def run_gold(spark: SparkSession, store: LayerStore, as_of=DEFAULT_AS_OF, versio
     features = (gold.fraud_features(t, a, as_of, bucket_col=DAY_BUCKET, prehashed=True) if bucketed
                 else gold.fraud_features(t, a, as_of, bucket_hours=bucket_hours))
     store.publish("gold_fraud_features", features, version, sort_within=["transaction_timestamp"])
+    store.publish(REJECTED, quality.rejected_feature_rows(t), version)
     store.publish("gold_daily_fraud_summary", gold.daily_fraud_summary(t, as_of), version)
     return verify(spark, store, GOLD_TABLES)
 
@@ -115,23 +118,26 @@ def main(argv=None) -> None:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--raw", required=True, help="folder with the raw entity CSV files")
     p.add_argument("--store", required=True, help="shared root folder of the layer tables")
-    p.add_argument("--as-of", default=DEFAULT_AS_OF)
+    p.add_argument("--as-of", help="the instant that ages, tenures and windows count from; the clock at the start if not given")
+    p.add_argument("--keep", type=int, default=0, help="published versions of a table that stay (0: all)")
     p.add_argument("--mode", default="fail", choices=["fail", "skip"])
     p.add_argument("--input-bytes", type=int, default=0, help="approximate input volume, for partition sizing")
     p.add_argument("--executors", type=int, default=0)
     p.add_argument("--executor-cores", type=int, default=4)
     p.add_argument("--bucket-hours", type=int, default=24, help="time bucket of the sequence features")
     p.add_argument("--buckets", type=int, default=0,
-                   help="publish silver transactions bucketed on (customer, day) into this many buckets")
+                   help="buckets of the silver transactions (by default about a gigabyte each, from --input-bytes)")
     args = p.parse_args(argv)
-    from tallyrisk.session import build_session, sizing_conf
+    from tallyrisk.session import build_session, silver_buckets, sizing_conf
     extra = (sizing_conf(args.input_bytes, args.executor_cores, args.executors)
              if args.input_bytes and args.executors else None)
     spark = build_session(master=None, extra=extra)
-    store = LayerStore(spark, args.store)
-    log.warning("bronze appended: %s", run_bronze(spark, args.raw, store, args.as_of, args.mode))
-    run_silver(spark, store, args.as_of, buckets=args.buckets or None).show()
-    run_gold(spark, store, args.as_of, bucket_hours=args.bucket_hours).show()
+    as_of = args.as_of or load_time()
+    store = LayerStore(spark, args.store, args.keep)
+    for table, n in run_bronze(spark, args.raw, store, args.mode).items():
+        log.warning("%s: %d rows appended, rejected %s", table, n, n.rejects)
+    run_silver(spark, store, as_of, buckets=args.buckets or (silver_buckets(args.input_bytes) if args.input_bytes else None)).show()
+    run_gold(spark, store, as_of, bucket_hours=args.bucket_hours).show()
 
 
 if __name__ == "__main__":

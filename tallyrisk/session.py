@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Joins on (key, bucket, value) keep rows that are hashed on (key, bucket) where they are.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -54,37 +56,43 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
 
 
 def sizing_conf(input_bytes: int, executor_cores: int, executors: int,
-                target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                shuffle_share: float = 0.4, target_partition_bytes: int = 1536 * 1024 * 1024) -> dict[str, str]:
     """Partition settings for a given input volume (e.g. 100 TB on 1000 executors).
 
-    File splits and shuffle partitions of about ``target_partition_bytes``
-    keep every task's working set well inside executor memory; AQE then
-    coalesces small shuffle partitions and splits skewed join partitions
-    that exceed 5x the median.  The shuffle partition count is at least a
-    few waves of the cluster's cores.
+    The widest shuffle carries the pruned columns, about ``shuffle_share`` of
+    the input; it is cut into partitions of about ``target_partition_bytes``,
+    which spill rather than multiply the blocks (their number is map tasks times
+    partitions).  AQE coalesces small partitions and splits skewed join
+    partitions that exceed 5x the median.  At least a few waves of the cores.
     """
     cores = max(1, executor_cores * executors)
-    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    parts = max(3 * cores, -(-int(input_bytes * shuffle_share) // target_partition_bytes))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 4),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, for tables that a job writes and reads again.
 
-    On a cluster that setting points to shared storage and is used as is.
-    Only when it is unset (local tests) is a private folder created.
+    On a cluster the setting is used as it is and must be there.  Only a local
+    session (tests, bench) without it gets a folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="tallyrisk-ckpt-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="tallyrisk-shared-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    return current.rstrip("/")
+
+
+def silver_buckets(input_bytes: int, shuffle_share: float = 0.4, bucket_bytes: int = 1024 * 1024 * 1024) -> int:
+    """Buckets of the silver transactions for a volume: about a gigabyte each."""
+    return max(8, -(-int(input_bytes * shuffle_share) // bucket_bytes))

@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import contextlib
 import logging
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +35,12 @@ def _versions(spark: SparkSession, table_dir: str) -> list[str]:
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(st.getPath().suffix("/" + PUBLISHED)):
             out.append(name[2:])
-    return sorted(out)
+    return sorted(out, key=_order)
+
+
+def _order(version: str) -> list[tuple[int, int, str]]:
+    """Numbers in a version name compare as numbers: v9 before v10."""
+    return [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"([0-9]+)", version) if x]
 
 
 def _mark(spark: SparkSession, path: str) -> None:
@@ -66,9 +73,12 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 class LayerStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """``keep``: published versions of a table that stay after a new one (0: all)."""
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     def path(self, table: str, version: str) -> str:
         return f"{self.root}/{table}/v={version}"
@@ -115,42 +125,49 @@ class LayerStore:
 
         The plan runs once (no emptiness probe before the write).  A version
         that came out empty is left unmarked, so readers keep the previous
-        one; a job that dies mid-write leaves an unmarked version too.
+        one; a job that dies mid-write leaves an unmarked version too.  A
+        version that is published already is refused.  ``partition_by``: rows
+        are gathered by these columns first (a rebalance: a large value is cut
+        into several files, small ones share tasks), so a value has few files
+        and not one from every task.
         """
         path = self.path(table, version)
+        if version in _versions(self.spark, f"{self.root}/{table}"):
+            raise ValueError(f"{table}: version {version} is published already")
         if bucket_by:
-            return self._publish_bucketed(table, df, version, bucket_by, sort_within or [])
-        if sort_within:
-            # Local sort inside each write task (no shuffle): tight Parquet
-            # row-group min/max on these columns, so range filters skip data.
-            df = df.sortWithinPartitions(*sort_within)
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+            n, cols = bucket_by
+            w = (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
+                 .bucketBy(n, *cols).option("path", path))
+            if sort_within:
+                w = w.sortBy(*sort_within)
+            w.saveAsTable(f"{table}__v{version}")
+        else:
+            if partition_by:
+                df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+            if sort_within:
+                # Local sort inside each write task (no shuffle): tight Parquet
+                # row-group min/max on these columns, so range filters skip data.
+                df = df.sortWithinPartitions(*sort_within)
+            w = df.write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
         if self.spark.read.parquet(path).isEmpty():   # reads one row group of the written files
             log.warning("no rows for %s; previous version kept", table)
             return False
+        if bucket_by:
+            _write_text(self.spark, f"{path}/{BUCKETS}", f"{n}:{','.join(cols)}")
         _mark(self.spark, path)
+        if self.keep:
+            self._expire(table)
         return True
 
-
-    def _publish_bucketed(self, table: str, df: DataFrame, version: str, bucket_by, sort_within) -> bool:
-        """Write one file per bucket (hash of ``cols``), sorted inside the bucket."""
-        n, cols = bucket_by
-        path = self.path(table, version)
-        name = f"{table}__v{version}"
-        w = (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
-             .bucketBy(n, *cols).option("path", path))
-        if sort_within:
-            w = w.sortBy(*sort_within)
-        w.saveAsTable(name)
-        if self.spark.read.parquet(path).isEmpty():
-            log.warning("no rows for %s; previous version kept", table)
-            return False
-        _write_text(self.spark, f"{path}/{BUCKETS}", f"{n}:{','.join(cols)}")
-        _mark(self.spark, path)
-        return True
+    def _expire(self, table: str) -> None:
+        """Remove published versions beyond the ``keep`` newest, the mark first."""
+        for old in _versions(self.spark, f"{self.root}/{table}")[:-self.keep]:
+            fs, p = _fs(self.spark, self.path(table, old))
+            fs.delete(p.suffix("/" + PUBLISHED), False)
+            fs.delete(p, True)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
@@ -184,14 +201,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
-              partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Optional relational store.  Give a numeric ``partition_column`` and
-    bounds so the read is split into ``num_partitions`` parallel range scans."""
-    if partition_column:
-        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
-                               upperBound=upper, numPartitions=num_partitions, properties=properties)
-    return spark.read.jdbc(url, table, properties=properties)
+              partition_column: str, lower: int, upper: int, num_partitions: int) -> DataFrame:
+    """Optional relational store, read as ``num_partitions`` parallel range scans of a numeric column."""
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
+                           numPartitions=num_partitions, properties=properties)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str = "append") -> None:

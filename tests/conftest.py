@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tallyrisk.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from tallyrisk.session import build_session, shared_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,7 +14,7 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8,
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tallyrisk-warehouse-")})
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    shared_dir(s)
     yield s
 
 

@@ -8,6 +8,7 @@ from tallyrisk.plans.layers import all_layers
 from tallyrisk.schemas import FILE_TO_TABLE
 from tallyrisk.sources.fixtures import bronze_frames
 from tallyrisk.sources.store import LayerStore, write_csv
+from oracle.registry import AS_OF
 
 
 def test_full_run_matches_lazy_layers(spark, small_dir):
@@ -18,9 +19,9 @@ def test_full_run_matches_lazy_layers(spark, small_dir):
     store = LayerStore(spark, tempfile.mkdtemp(prefix="tallyrisk-store-"))
     appended = runs.run_bronze(spark, raw, store)
     assert appended["bronze_transactions"] == frames["bronze_transactions"]().count()
-    silver_counts = {r.table_name: r.row_count for r in runs.run_silver(spark, store, version="v1").collect()}
-    gold_counts = {r.table_name: r.row_count for r in runs.run_gold(spark, store, version="v1").collect()}
-    lazy = all_layers(frames)
+    silver_counts = {r.table_name: r.row_count for r in runs.run_silver(spark, store, AS_OF, version="v1").collect()}
+    gold_counts = {r.table_name: r.row_count for r in runs.run_gold(spark, store, AS_OF, version="v1").collect()}
+    lazy = all_layers(frames, AS_OF)
     for name, n in {**silver_counts, **gold_counts}.items():
         assert n == lazy[name].count(), name
     cols = [c for c in store.read("gold_fraud_features").columns
@@ -43,9 +44,12 @@ def test_cli_entry_point(spark, small_dir):
     for file_name, table in FILE_TO_TABLE.items():
         write_csv(frames[table](), os.path.join(raw, file_name))
     root = tempfile.mkdtemp(prefix="tallyrisk-store-cli-")
-    runs.main(["--raw", raw, "--store", root, "--bucket-hours", "6"])
+    runs.main(["--raw", raw, "--store", root, "--bucket-hours", "6", "--as-of", AS_OF])
     store = LayerStore(spark, root)
-    assert store.read("gold_fraud_features").count() == frames["bronze_transactions"]().count()
+    t = frames["bronze_transactions"]()
+    lost = t.filter("customer_id IS NULL").count()
+    assert lost > 0 and store.read("gold_fraud_features").count() == t.count() - lost
+    assert store.read(runs.REJECTED).count() == lost
     assert store.read("gold_daily_fraud_summary").count() > 0
 
 
@@ -57,8 +61,8 @@ def test_bucketed_silver_gives_same_features_without_row_shuffle(spark, small_di
         for table, build in frames.items():
             from tallyrisk.sources.raw_files import with_lineage
             with_lineage(build(), batch_id="b", source_file=table).write.parquet(runs.bronze_path(store, table))
-        runs.run_silver(spark, store, version="v1", buckets=buckets)
-        runs.run_gold(spark, store, version="v1")
+        runs.run_silver(spark, store, AS_OF, version="v1", buckets=buckets)
+        runs.run_gold(spark, store, AS_OF, version="v1")
         feats = store.read("gold_fraud_features")
         cols = [c for c in feats.columns if c not in ("prediction_timestamp", "created_at")]
         results[label] = feats.select(*cols)
@@ -66,7 +70,7 @@ def test_bucketed_silver_gives_same_features_without_row_shuffle(spark, small_di
             assert store.bucketing("silver_transactions") == (4, ["customer_id", "_seq_bucket"])
             from tallyrisk.plans import gold
             t = store.read("silver_transactions")
-            plan = gold.fraud_features(t, store.read("silver_accounts"), bucket_col="_seq_bucket",
+            plan = gold.fraud_features(t, store.read("silver_accounts"), AS_OF, bucket_col="_seq_bucket",
                                        prehashed=True)._jdf.queryExecution().executedPlan().toString()
             assert "REPARTITION_BY_COL" not in plan
             assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan

@@ -14,7 +14,7 @@ from contextlib import redirect_stdout
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from oracle import registry  # noqa: E402
-from tallyrisk.session import build_session  # noqa: E402
+from tallyrisk.session import build_session, shared_dir  # noqa: E402
 
 KEYS = ["H06_gold_fraud_features", "H02_silver_customers", "H04_silver_transactions",
         "H09_customer_risk_dashboard", "D10_kpi_cards", "E08_E15_velocity_real", "Q06_foreign_key_orphans"]
@@ -22,20 +22,19 @@ KEYS = ["H06_gold_fraud_features", "H02_silver_customers", "H04_silver_transacti
 
 def bucketed_section(spark, sf_dir: str) -> list[str]:
     """Feature plan over silver transactions published bucketed on (customer, day)."""
-    import tempfile
 
     from tallyrisk.plans import gold, runs
     from tallyrisk.sources.fixtures import bronze_frames
     from tallyrisk.sources.raw_files import with_lineage
     from tallyrisk.sources.store import LayerStore
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyrisk-plans-")
-    store = LayerStore(spark, os.path.join(base, f"plans-store-{os.getpid()}"))
+
+    store = LayerStore(spark, f"{shared_dir(spark)}/plans-store-{os.getpid()}")
     for table, build in bronze_frames(spark, sf_dir).items():
         with_lineage(build(), batch_id="plans", source_file=table).write.mode("overwrite").parquet(
             runs.bronze_path(store, table))
-    runs.run_silver(spark, store, version="v1", buckets=16)
-    df = gold.fraud_features(store.read("silver_transactions"), store.read("silver_accounts"),
+    runs.run_silver(spark, store, registry.AS_OF, version="v1", buckets=16)
+    df = gold.fraud_features(store.read("silver_transactions"), store.read("silver_accounts"), registry.AS_OF,
                              bucket_col=runs.DAY_BUCKET, prehashed=True)
     buf = io.StringIO()
     with redirect_stdout(buf):
