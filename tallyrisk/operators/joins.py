@@ -3,9 +3,10 @@
 Dimension joins let Spark decide the strategy: the optimizer broadcasts a
 side whose *estimated* size is under ``spark.sql.autoBroadcastJoinThreshold``
 and AQE re-plans from the real shuffle size at run time; otherwise the join
-is a sort-merge join, whose skewed partitions AQE splits.  ``join_dimension``
-makes that decision explicit and checked: a broadcast hint is only added when
-the optimizer's size estimate of the small side is known and under the bound.
+is a sort-merge join, whose skewed partitions AQE splits as long as both sides
+come straight from their exchanges (tests/test_skew.py).  ``join_dimension``
+makes the broadcast explicit and checked: a hint is only added when the
+optimizer's size estimate of the small side is known and under the bound.
 """
 
 from __future__ import annotations
@@ -13,17 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
-
 
 def broadcast_limit(df: DataFrame) -> int:
-    """The session's broadcast bound (``spark.sql.autoBroadcastJoinThreshold``)."""
-    try:
-        v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-        n = int(str(v).lower().replace("b", "")) if v is not None else DEFAULT_BROADCAST_BYTES
-    except (ValueError, TypeError):
-        n = DEFAULT_BROADCAST_BYTES
-    return n if n > 0 else 0
+    """The session's broadcast bound, as Spark itself reads ``spark.sql.autoBroadcastJoinThreshold`` ("64MB", ...)."""
+    n = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return max(n, 0)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -48,21 +43,6 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(dim, on, how)
 
 
-def keyed(dim: DataFrame, key: str | list[str]) -> DataFrame:
-    """One row per key (the table's primary key).
-
-    Stating uniqueness (a group-by on the key) lets the optimizer drop this
-    left join from any branch of a plan that reads no column of ``dim`` (for
-    instance the aggregate branches of the feature plan), so the fact table
-    is not joined again there.  Keys are unique by contract, so no row is
-    lost.  ``any_value`` is used rather than ``dropDuplicates``: the latter
-    trips a Spark 4.1 optimizer error in EXCEPT ALL / INTERSECT ALL over the
-    joined plan (tests/test_plans.py).
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    return dim.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in dim.columns if c not in keys])
-
-
 def left_join_fill(left: DataFrame, right: DataFrame, on, fills: dict[str, object]) -> DataFrame:
     """Left join a keyed aggregate and replace missing values (no match -> default)."""
     joined = left.join(right, on, "left")

@@ -57,22 +57,39 @@ def duplicate_keys(tables: dict[str, DataFrame], keys=PRIMARY_KEYS) -> DataFrame
 
 
 def orphan_rows(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Rows whose non-NULL foreign key has no parent (anti join, no pairs built)."""
-    keys = parent.select(F.col(parent_col).alias("_k")).distinct()
+    """Rows whose non-NULL foreign key has no parent (anti join, no pairs built; parent keys as they are)."""
+    keys = parent.select(F.col(parent_col).alias("_k"))
     return (child.filter(F.col(child_col).isNotNull())
             .join(keys, F.col(child_col) == F.col("_k"), "left_anti"))
 
 
 def foreign_key_orphans(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
-    """Q06: orphan count per foreign key."""
-    frames = []
-    for child, ccol, parent, pcol in fks:
-        if child not in tables or parent not in tables:
-            continue
-        n = orphan_rows(tables[child], ccol, tables[parent], pcol).agg(F.count(F.lit(1)).alias("orphan_rows"))
-        frames.append(n.select(F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-                               F.lit(parent).alias("parent_table"), "orphan_rows"))
-    return _union(frames)
+    """Q06: orphan count per foreign key.
+
+    A child is read once for all its foreign keys and counted by (foreign key,
+    value), map-side, so a hot key is one row by the time it is joined.  Only
+    these counts meet the parents' keys, each parent being read once.
+    """
+    fks = [f for f in fks if f[0] in tables and f[2] in tables]
+    parents = list(dict.fromkeys((parent, pcol) for _, _, parent, pcol in fks))
+    counts = []
+    for child in dict.fromkeys(f[0] for f in fks):
+        refs = F.array(*[F.struct(F.lit(n).alias("_fk"), F.lit(parents.index((parent, pcol))).alias("_parent"),
+                                  F.col(ccol).cast("bigint").alias("_v"))
+                         for n, (c, ccol, parent, pcol) in enumerate(fks) if c == child])
+        counts.append(tables[child].select(F.explode(refs).alias("_p")).select("_p.*").filter(F.col("_v").isNotNull())
+                      .groupBy("_fk", "_parent", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    keys = _union([tables[parent].select(F.lit(n).alias("_k"), F.col(pcol).cast("bigint").alias("_kv"))
+                   for n, (parent, pcol) in enumerate(parents)])
+    # An outer join and a test, as an anti join would be copied into every branch of the union, parents included.
+    lost = _union(counts).join(keys, (F.col("_parent") == F.col("_k")) & (F.col("_v") == F.col("_kv")), "left").filter(
+        F.col("_kv").isNull())
+    totals = lost.agg(*[F.coalesce(F.sum(F.when(F.col("_fk") == n, F.col("_n"))), F.lit(0)).alias(f"_{n}")
+                        for n in range(len(fks))])
+    rows = F.array(*[F.struct(F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
+                              F.lit(parent).alias("parent_table"), F.col(f"_{n}").alias("orphan_rows"))
+                     for n, (child, ccol, parent, _) in enumerate(fks)])
+    return totals.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def length_violations(tables: dict[str, DataFrame], limits=VARCHAR_LIMITS) -> DataFrame:
@@ -91,5 +108,6 @@ def length_violations(tables: dict[str, DataFrame], limits=VARCHAR_LIMITS) -> Da
 
 
 def rejected_feature_rows(transactions: DataFrame) -> DataFrame:
-    """Transactions that cannot enter a customer sequence (no customer id)."""
-    return transactions.filter(F.col("customer_id").isNull())
+    """Transactions that cannot enter a customer sequence, with the reason."""
+    return transactions.filter(F.col("customer_id").isNull()).select(
+        "transaction_id", "account_id", "transaction_timestamp", "amount", F.lit("no customer").alias("reject_reason"))

@@ -2,32 +2,40 @@
 
 A plain ``Window.partitionBy(customer)`` sends all of a customer's rows to one
 task; a customer holding a third of the data would then be one task.  Here
-every row-level step is partitioned by (customer, time bucket) instead, and
-what crosses buckets is carried by a small (customer, bucket) summary:
-
-* whole-customer statistics (count, exact mean, sample std, first and last
-  time) are merged from per-(customer, bucket) partial aggregates, which
-  Spark combines map-side before any shuffle;
-* the previous event time is the in-bucket ``lag``; the first row of a bucket
-  takes the last time of the customer's previous non-empty bucket, found by a
-  ``lag`` over the summary, whose size per customer is bounded by the time
-  span, not by the row count;
-* "first time this customer uses this category": the category has not
-  appeared earlier in the row's bucket (a running set over the same sort as
-  the ``lag``) and the bucket is the category's first one for the customer
-  (a hash aggregate ``min(bucket)`` per (customer, category)).
-
-The fact rows are read three times (rows, summary, first buckets) and
-shuffled once at full width, on (customer, bucket); the in-bucket windows
-reuse that partitioning and one sort.  Every aggregate is a hash aggregate.
+every row-level step is partitioned by (customer, bucket) instead, a bucket
+being a stretch of the customer's (time, id) order, and what crosses buckets is
+carried by a small summary:
+
+* buckets are days (or ``bucket_hours``); a bucket that measures more than
+  ``rows_per_bucket`` rows is cut into shorter stretches of time, these again
+  where needed, and rows of one instant, or without a time, into ranges of the
+  id (:func:`split_cells`), so a burst, a batch posting and an untimed load are
+  all split, whatever else the customer's history holds;
+* one aggregate over (customer, bucket, category), combined map-side, gives the
+  whole-customer statistics (count, exact mean, sample std, first and last
+  time), the last time before each bucket, and the bucket in which a category
+  first appears for the customer, by windows over the summary;
+* inside a bucket the previous time is a ``lag`` and the first row of a
+  category a ``row_number``.
+
+The fact rows are read twice (rows, summary), and once more, two columns wide,
+when buckets are measured.  They are shuffled once at full width, on
+(customer, bucket); joins and windows reuse that partitioning.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NO_TIME_BUCKET = 2 ** 62
+#: A crowded stretch is cut into this many at a time.
+FAN_OUT = 64
+#: Lists of crowded stretches up to this length are broadcast; longer ones are joined by a shuffle.
+BROADCAST_CELLS = 100_000
 
 
 def time_bucket(ts: Column, bucket_hours: int) -> Column:
@@ -40,148 +48,190 @@ def time_bucket(ts: Column, bucket_hours: int) -> Column:
     return F.coalesce(F.floor(hours / F.lit(bucket_hours)), F.lit(NO_TIME_BUCKET))
 
 
-def hot_widths(t: DataFrame, key: str, ts: str, rows_per_bucket: int, max_hot: int = 10_000) -> DataFrame:
-    """Keys with more than ``rows_per_bucket`` rows and the finer bucket width
-    (microseconds) each one gets: about span x rows_per_bucket / rows.
+@dataclass
+class Cells:
+    """Crowded stretches by level: ("time" or "id", width or None, rows of key, b, s, i[, low])."""
+
+    bucket_hours: int
+    levels: list[tuple[str, int, DataFrame]] = field(default_factory=list)
+
+
+def _offset(ts: Column, bucket_hours: int) -> Column:
+    """Microseconds from the start of the time's bucket (0 without a time)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.coalesce(F.pmod(micros, F.lit(bucket_hours * 3_600_000_000)), F.lit(0).cast("long"))
+
+
+def _base(t: DataFrame, ts: str, bucket_hours: int) -> DataFrame:
+    return t.withColumns({"_b": time_bucket(F.col(ts), bucket_hours), "_s": F.lit(0).cast("long"),
+                          "_i": F.lit(0).cast("long")})
+
+
+def _narrow(t: DataFrame, key: str, level: tuple[str, int, DataFrame], ts: str, row_id: str, bucket_hours: int) -> DataFrame:
+    """One level down for the rows of the level's crowded stretches."""
+    kind, width, crowded = level
+    c = crowded.select(F.col(key).alias("_ck"), F.col("_b").alias("_cb"), F.col("_s").alias("_cs"), F.col("_i").alias("_ci"),
+                       F.col("_low").alias("_cl"), F.col("_width").alias("_cw"))
+    inside = (F.col(key).eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb")) & (F.col("_s") == F.col("_cs"))
+              & (F.col("_i") == F.col("_ci")))
+    hit = F.col("_cb").isNotNull()
+    at = _offset(F.col(ts), bucket_hours) if kind == "time" else F.col(row_id).cast("long") - F.col("_cl")
+    start = F.floor(at / F.col("_cw")).cast("long") * F.col("_cw")
+    new = F.when(hit, start if kind == "time" else start + 1).otherwise(F.col("_s" if kind == "time" else "_i"))
+    return t.join(c, inside, "left").withColumn("_s" if kind == "time" else "_i", new).drop(
+        "_ck", "_cb", "_cs", "_ci", "_cl", "_cw")
+
+
+def split_cells(t: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int, rows_per_bucket: int) -> Cells:
+    """Measure the buckets and find how the crowded ones are cut.
 
-    A top-k capped at ``max_hot`` rows: bounded by construction, so it is
-    safe to broadcast.  Keys beyond the cap keep the default width; results
-    never depend on bucket widths, only the split of the work does.
+    Level by level: the stretches of a key with more than ``rows_per_bucket``
+    rows (at most total rows / ``rows_per_bucket`` of them, whatever the data)
+    are cut into FAN_OUT shorter ones, first by time, down to one microsecond,
+    then by the integer ``row_id``, down to one id.  Ends when none is crowded.
+    One counting pass over (key, time) where nothing is; a further one over the
+    crowded stretches' rows for each level.
     """
-    span_us = F.timestamp_diff("MICROSECOND", F.col("_min"), F.col("_max"))
-    return (t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min"), F.max(ts).alias("_max"))
-            .filter(F.col("_n") > rows_per_bucket)
-            .orderBy(F.col("_n").desc()).limit(max_hot)
-            # double arithmetic: span (µs) x rows_per_bucket overflows a long
-            .select(key, F.greatest(F.lit(1), F.floor(span_us.cast("double") * F.lit(float(rows_per_bucket))
-                                                      / F.col("_n"))).cast("long").alias("_width_us")))
-
-
-def with_bucket(df: DataFrame, key: str, time_col: str, bucket_hours: int,
-                widths: DataFrame | None = None) -> DataFrame:
-    """Add ``_bucket`` of ``time_col``: the key's own width from ``widths``
-    (broadcast; see :func:`hot_widths`) or ``bucket_hours``.  Monotone in time
-    within a key."""
-    default = time_bucket(F.col(time_col), bucket_hours)
-    if widths is None:
-        return df.withColumn("_bucket", default)
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_col))
-    fine = F.coalesce(F.floor(micros / F.col("_width_us")), F.lit(NO_TIME_BUCKET))
-    return (df.join(F.broadcast(widths), key, "left")
-            .withColumn("_bucket", F.when(F.col("_width_us").isNotNull(), fine).otherwise(default))
-            .drop("_width_us"))
-
-
-def assign_buckets(t: DataFrame, key: str, ts: str, bucket_hours: int,
-                   rows_per_bucket: int | None = None, max_hot: int = 10_000) -> DataFrame:
-    """Add ``_bucket``: the key's time bucket.
-
-    Default width ``bucket_hours``.  With ``rows_per_bucket``, keys with more
-    rows than that get a finer width of their own (:func:`hot_widths`), so a
-    burst of one key is spread over many (key, bucket) tasks too.  Every
-    later step is correct for any bucket function that is monotone in time
-    within a key, so this changes only how the work is split, never the
-    result.
+    cells = Cells(bucket_hours)
+    spark = t.sparkSession
+    integral = isinstance(t.schema[row_id].dataType, T.IntegralType)
+    rows = _base(t.select(key, ts, row_id), ts, bucket_hours)
+    where = [key, "_b", "_s", "_i"]
+    kind_of = t.schema[key].dataType.simpleString()
+    schema = f"{key} {kind_of}, _b long, _s long, _i long, _low long, _width long"
+    width, kind = bucket_hours * 3_600_000_000, "time"
+    ids = [F.min(F.col(row_id).cast("long")).alias("_lo"), F.max(F.col(row_id).cast("long")).alias("_hi")] if integral else []
+    while True:
+        counted = rows.groupBy(*where).agg(F.count(F.lit(1)).alias("_n"), *ids).filter(F.col("_n") > rows_per_bucket)
+        crowded = counted.collect()
+        if kind == "time" and crowded and (width == 1 or all(r["_b"] == NO_TIME_BUCKET for r in crowded)):
+            kind, width = "id", None
+        if not crowded or (kind == "id" and not integral):
+            return cells
+        found = []
+        for r in crowded:
+            if kind == "time":
+                found.append((r[key], r["_b"], r["_s"], r["_i"], 0, max(1, width // FAN_OUT)))
+            elif r["_hi"] is not None and r["_hi"] > r["_lo"]:
+                found.append((r[key], r["_b"], r["_s"], r["_i"], r["_lo"], max(1, -(-(r["_hi"] - r["_lo"] + 1) // FAN_OUT))))
+        if not found:
+            return cells  # rows equal in time and id
+        table = spark.createDataFrame(found, schema)
+        if len(found) <= BROADCAST_CELLS:
+            table = F.broadcast(table)
+        cells.levels.append((kind, width or 0, table))
+        if kind == "time":
+            width = max(1, width // FAN_OUT)
+        inside = table.select(*[F.col(c).alias(f"_in{n}") for n, c in enumerate(where)])
+        same = F.lit(True)
+        for n, c in enumerate(where):
+            same = same & F.col(c).eqNullSafe(F.col(f"_in{n}"))
+        rows = _narrow(rows.join(inside, same, "left_semi"), key, cells.levels[-1], ts, row_id, bucket_hours)
+
+
+def with_cells(t: DataFrame, key: str, ts: str, row_id: str, cells: Cells) -> DataFrame:
+    """Add ``_bucket``: a struct that is monotone in (time, id) within a key."""
+    out = _base(t, ts, cells.bucket_hours)
+    for level in cells.levels:
+        out = _narrow(out, key, level, ts, row_id, cells.bucket_hours)
+    return out.withColumn("_bucket", F.struct("_b", "_s", "_i")).drop("_b", "_s", "_i")
+
+
+def assign_buckets(t: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int,
+                   rows_per_bucket: int | None = None) -> DataFrame:
+    """Add ``_bucket``: days (``bucket_hours``), crowded ones cut by :func:`split_cells`.
+
+    Every later step is right for any bucket that is monotone in (time, id)
+    within a key, so this changes only how the work is split, never a result.
     """
-    widths = hot_widths(t, key, ts, rows_per_bucket, max_hot) if rows_per_bucket else None
-    return with_bucket(t, key, ts, bucket_hours, widths)
+    cells = split_cells(t, key, ts, row_id, bucket_hours, rows_per_bucket) if rows_per_bucket else Cells(bucket_hours)
+    return with_cells(t, key, ts, row_id, cells)
 
 
-def bucket_summary(t: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """One row per (key, bucket) carrying everything that crosses buckets.
+def group_summary(t: DataFrame, key: str, ts: str, value: str, group: str) -> DataFrame:
+    """One row per (key, bucket, group) carrying everything that crosses buckets.
 
-    Per bucket: last time, row counts, the exact (decimal) sum of ``value``
-    and its within-bucket squared deviations.  Per key, by windows over this
-    summary: the previous bucket's last time, the count, the exact mean, the
-    sample standard deviation (bucket parts merged with the parallel
-    variance formula) and the mean gap between events.
+    One aggregate, then windows over it.  Per key: the count, the exact mean,
+    the sample standard deviation (parts merged with the parallel variance
+    formula, and 0 where least and greatest value are the same) and the mean
+    gap between events; per bucket: the last time before it; per row: whether
+    the group appears in this bucket first (``_new_group``).
     """
     v = F.col(value)
     vd = v.cast("double")
-    b = t.groupBy(key, "_bucket").agg(
-        F.max(ts).alias("_bucket_last_ts"),
-        F.min(ts).alias("_bucket_first_ts"),
-        F.count(F.lit(1)).alias("_rows_b"),
-        F.count_if(F.col(ts).isNull()).alias("_null_ts_b"),
-        F.count(v).alias("_n_b"),
-        F.sum(v).alias("_sum_b"),
-        (F.var_pop(vd) * F.count(v)).alias("_m2_b"),
-    )
+    g = t.groupBy(key, "_bucket", F.col(group).alias("_group")).agg(
+        F.max(ts).alias("_last"), F.min(ts).alias("_first"),
+        F.count(F.lit(1)).alias("_rows"), F.count_if(F.col(ts).isNull()).alias("_untimed"),
+        F.count(v).alias("_n"), F.sum(v).alias("_sum"), F.min(v).alias("_least"), F.max(v).alias("_most"),
+        (F.var_pop(vd) * F.count(v)).alias("_m2"))
     by_key = Window.partitionBy(key)
-    in_order = Window.partitionBy(key).orderBy(F.col("_bucket"))
-    n = F.sum("_n_b").over(by_key)
-    b = b.select("*",
-                 F.lag("_bucket_last_ts").over(in_order).alias("_prev_bucket_last_ts"),
-                 n.alias("_n_value"),
-                 (F.sum("_sum_b").over(by_key).cast("double") / n).alias("_mean_value"),
-                 F.sum("_rows_b").over(by_key).alias("_n_rows"),
-                 F.sum("_null_ts_b").over(by_key).alias("_n_null_ts"),
-                 F.min("_bucket_first_ts").over(by_key).alias("_min_ts"),
-                 F.max("_bucket_last_ts").over(by_key).alias("_max_ts"))
-    bucket_mean = F.col("_sum_b").cast("double") / F.col("_n_b")
-    m2 = F.sum(F.col("_m2_b") + F.col("_n_b") * F.pow(bucket_mean - F.col("_mean_value"), 2)).over(by_key)
+    by_bucket = Window.partitionBy(key).orderBy("_bucket")
+    n = F.sum("_n").over(by_key)
+    g = g.select("*", F.dense_rank().over(by_bucket).alias("_place"), n.alias("_n_value"),
+                 (F.sum("_sum").over(by_key).cast("double") / n).alias("_mean_value"),
+                 F.sum("_rows").over(by_key).alias("_n_rows"), F.sum("_untimed").over(by_key).alias("_n_untimed"),
+                 F.min("_first").over(by_key).alias("_from"), F.max("_last").over(by_key).alias("_to"),
+                 (F.min("_least").over(by_key) == F.max("_most").over(by_key)).alias("_constant"))
+    earlier = Window.partitionBy(key).orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
+    part_mean = F.col("_sum").cast("double") / F.col("_n")
+    m2 = F.sum(F.col("_m2") + F.col("_n") * F.pow(part_mean - F.col("_mean_value"), 2)).over(by_key)
     # Sum of gaps telescopes: 24 h for each row without a predecessor
     # (the first timed row and every untimed row) plus last - first.
-    span_h = F.timestamp_diff("MICROSECOND", F.col("_min_ts"), F.col("_max_ts")) / F.lit(3.6e9)
-    starts = F.col("_n_null_ts") + F.when(F.col("_n_rows") > F.col("_n_null_ts"), 1).otherwise(0)
-    return b.select(
-        key, "_bucket", "_prev_bucket_last_ts", "_n_value", "_mean_value",
-        F.when(F.col("_n_value") > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (F.col("_n_value") - 1)))
-        .alias("_std_value"),
-        ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows")).alias("_mean_gap_hours"))
+    span_h = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col("_to")) / F.lit(3.6e9)
+    starts = F.col("_n_untimed") + F.when(F.col("_n_rows") > F.col("_n_untimed"), 1).otherwise(0)
+    std = F.when(F.col("_constant"), F.lit(0.0)).otherwise(F.sqrt(F.greatest(m2, F.lit(0.0)) / (F.col("_n_value") - 1)))
+    return g.select(
+        key, "_bucket", "_group",
+        F.max("_last").over(earlier).alias("_prev_bucket_last_ts"), "_n_value", "_mean_value",
+        F.when(F.col("_n_value") > 1, std).alias("_std_value"),
+        ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows")).alias("_mean_gap_hours"),
+        (F.min("_place").over(Window.partitionBy(key, "_group")) == F.col("_place")).alias("_new_group"))
 
 
 def first_buckets(t: DataFrame, key: str, group: str) -> DataFrame:
-    """(key, bucket) -> the ``group`` values whose first appearance for the key is
-    in that bucket (NULL flagged separately).  Hash aggregates only; the list
-    holds at most one entry per distinct value of the key's groups."""
-    firsts = t.groupBy(key, group).agg(F.min("_bucket").alias("_bucket"))
-    return firsts.groupBy(key, "_bucket").agg(
-        F.collect_list(group).alias(f"_new_{group}"),
-        F.max(F.col(group).isNull()).alias(f"_new_null_{group}"))
+    """(key, bucket, group): the bucket in which the group value (NULL being one) first appears for the key."""
+    return t.groupBy(key, F.col(group).alias("_group")).agg(F.min("_bucket").alias("_bucket"))
 
 
 def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "transaction_timestamp",
                            row_id: str = "transaction_id", value: str = "amount_abs",
-                           first_of: tuple[str, ...] = ("merchant_category",),
+                           group: str = "merchant_category",
                            bucket_hours: int = 24, rows_per_bucket: int | None = None,
-                           bucket_col: str | None = None, prehashed: bool = False) -> DataFrame:
+                           bucket_col: str | None = None, prehashed: bool = False,
+                           basics: DataFrame | None = None) -> DataFrame:
     """Add per-row sequence columns to ``t``.
 
     Adds ``_prev_ts`` (previous event time of the key, ties ordered by
-    ``row_id``), ``_is_first_<g>`` for each column in ``first_of``, and the
-    key statistics ``_n_value, _mean_value, _std_value, _mean_gap_hours``
-    where the mean gap treats a missing previous event as 24 hours.
-    ``rows_per_bucket`` makes very large keys use finer buckets
-    (:func:`assign_buckets`).  ``bucket_col`` uses a stored, non-NULL column
-    that is monotone in time (e.g. the event day) as the bucket instead; with
-    ``prehashed`` the rows are taken as already hashed on (key, bucket_col),
-    as in a table bucketed on those columns, and are not shuffled again.
+    ``row_id``), ``_is_first_group`` (the key's first row with this ``group``)
+    and the key statistics ``_n_value, _mean_value, _std_value,
+    _mean_gap_hours`` where the mean gap treats a missing previous event as 24
+    hours.  ``rows_per_bucket``: buckets with more rows are cut
+    (:func:`split_cells`).  ``bucket_col`` uses a stored, non-NULL column that
+    is monotone in (time, id) as the bucket instead; with ``prehashed`` the
+    rows are taken as already hashed on (key, bucket_col), as in a table
+    bucketed on those columns, and are not shuffled again.  ``basics``: the
+    same rows before any enrichment, for the passes that only read key, time,
+    value and group.
     """
+    basics = t if basics is None else basics
     if bucket_col:
-        t = t.withColumn("_bucket", F.col(bucket_col))
+        t, basics = (d.withColumn("_bucket", F.col(bucket_col)) for d in (t, basics))
     else:
-        t = assign_buckets(t, key, ts, bucket_hours, rows_per_bucket)
-    aux = bucket_summary(t, key, ts, value)
-    for g in first_of:
-        aux = aux.join(first_buckets(t, key, g), [key, "_bucket"], "left")
+        cells = split_cells(basics, key, ts, row_id, bucket_hours, rows_per_bucket) if rows_per_bucket \
+            else Cells(bucket_hours)
+        t, basics = (with_cells(d, key, ts, row_id, cells) for d in (t, basics))
+    aux = group_summary(basics, key, ts, value, group).withColumnsRenamed({key: "_k", "_bucket": "_kb"})
 
     # Hash rows on (key, bucket) explicitly: otherwise the window would reuse
     # an upstream partitioning on the key alone (e.g. from a dimension join)
-    # and a hot key would again be a single task.
+    # and a hot key would again be a single task.  The join on (key, bucket,
+    # group) keeps that partitioning (spark.sql.requireAllClusterKeysForCoPartition
+    # is off, see tallyrisk.session).
     hashed = t if prehashed else t.repartition(F.col(key), F.col("_bucket"))
-    rows = hashed.join(aux, [key, "_bucket"], "inner")
-    w = Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_last(), F.col(row_id))
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    cols = {"_prev_ts": F.coalesce(F.lag(ts).over(w), F.col("_prev_bucket_last_ts"))}
-    for g in first_of:
-        # New = not seen earlier in this bucket (same sort as the lag) and this
-        # bucket is where the value first appears for the key.
-        seen = F.collect_set(g).over(earlier)
-        null_seen = F.max(F.col(g).isNull()).over(earlier)
-        first_in_bucket = F.when(F.col(g).isNull(), ~F.coalesce(null_seen, F.lit(False))) \
-            .otherwise(~F.coalesce(F.array_contains(seen, F.col(g)), F.lit(False)))
-        first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
-            .otherwise(F.coalesce(F.array_contains(F.col(f"_new_{g}"), F.col(g)), F.lit(False)))
-        cols[f"_is_first_{g}"] = first_in_bucket & first_bucket
-    return rows.withColumns(cols)
+    rows = hashed.join(aux, (F.col(key) == F.col("_k")) & (F.col("_bucket") == F.col("_kb"))
+                       & F.col(group).eqNullSafe(F.col("_group"))).drop("_k", "_kb", "_group")
+    order = [F.col(ts).asc_nulls_last(), F.col(row_id)]
+    w = Window.partitionBy(key, "_bucket").orderBy(*order)
+    first = F.row_number().over(Window.partitionBy(key, "_bucket", group).orderBy(*order)) == 1
+    return rows.withColumns({"_prev_ts": F.coalesce(F.lag(ts).over(w), F.col("_prev_bucket_last_ts")),
+                             "_is_first_group": F.col("_new_group") & first})

@@ -5,123 +5,61 @@ Rolling counts and sums (E08-E13) over RANGE frames on the event time
 timeline: every row adds +value at its time and -value just after its frame
 ends, and the frame sum is the running sum at the row's time.  A sliding
 frame would be re-aggregated whenever rows leave it (quadratic in a dense
-stretch); here each running sum is the total of the key's earlier buckets
-(a window over the bounded per-bucket summary) plus a running sum inside the
-bucket: one shuffle on (key, time bucket), one sort per bucket, and any
-bucket width works, including the finer widths given to very large keys.
-The distinct-merchant count (E11) uses +1/-1 interval events the same way.
-No pairs of rows are ever built.
-
-First sightings (E14, E15) ride on the customer pass: ``row_number`` per
-(key, bucket, value) inside the hashed partitions plus the per-(key, value)
-first bucket of :mod:`tallyrisk.operators.sequence` (hash aggregates only).
-Daily breakdowns (M-24) and repeat victims (E16) are keyed aggregates.
+stretch); here the changes are first added up by (key, time), map-side, so a
+thousand postings of one instant are one entry, and the running sum is the
+total of the key's earlier buckets (a window over the bounded per-bucket
+totals) plus a running sum inside the bucket.  The distinct-merchant count
+(E11) is one more measure of the customer's changes.  No pairs of rows are ever
+built, and nothing is joined on the row id: rows meet their running sums by
+(key, time).
+
+First sightings (E14, E15) are a ``row_number`` per (key, bucket, value) in the
+rows hashed on (key, bucket), where the bucket is the value's first one for the
+key (an aggregate joined on key, bucket and value).  Daily breakdowns (M-24)
+and repeat victims (E16) are keyed aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrisk.operators.joins import join_dimension
-from tallyrisk.operators.sequence import first_buckets, hot_widths, with_bucket
-
+from tallyrisk.operators.sequence import Cells, first_buckets, split_cells, with_cells
 
 ONE_MICRO = "INTERVAL '0.000001' SECOND"
 
 
-def cumulative(events: DataFrame, key: str, measures: list[str]) -> DataFrame:
-    """Running sums of ``measures`` along each key's timeline (``_t``), peers included.
+def _by_time(cells: Cells) -> Cells:
+    """The cells without their cuts by id: entries of one time stay together."""
+    return Cells(cells.bucket_hours, [level for level in cells.levels if level[0] == "time"])
 
-    ``events`` carries ``_bucket`` (monotone in ``_t`` within a key).  Sum =
-    total of all earlier buckets of the key (a window over the per-(key,
-    bucket) totals: at most one row per bucket) + running sum inside the
-    bucket.  One shuffle of the events on (key, bucket), one sort per bucket.
-    """
-    totals = events.groupBy(key, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_bucket", *[F.sum(m).over(before).alias(f"_off_{m}") for m in measures])
-    ev = events.repartition(F.col(key), F.col("_bucket")).join(offsets, [key, "_bucket"], "left")
-    w = (Window.partitionBy(key, "_bucket").orderBy("_t")
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return ev.select("*", *[(F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.sum(m).over(w)).alias(f"_cum_{m}")
-                            for m in measures]).drop(*[f"_off_{m}" for m in measures])
-
-
-def _first_flag(key: str, g: str) -> "F.Column":
-    """First (ts, id) of its (key, bucket, value), and the bucket is the value's
-    first one for the key.  ``row_number`` costs a sort in the already-hashed
-    partition, whatever the number of distinct values."""
-    w = (Window.partitionBy(key, "_bucket", "_is_row", g)
-         .orderBy(F.col("_t").asc_nulls_last(), F.col("_row")))
-    first_in_bucket = F.row_number().over(w) == 1
-    first_bucket = F.when(F.col(g).isNull(), F.coalesce(F.col(f"_new_null_{g}"), F.lit(False))) \
-        .otherwise(F.coalesce(F.array_contains(F.col(f"_new_{g}"), F.col(g)), F.lit(False)))
-    return first_in_bucket & first_bucket
-
-
-def rolling(df: DataFrame, key: str, ts: str, row_id: str, measures: dict[str, tuple[int, object]],
-            first_of: tuple[str, ...] = (), bucket_hours: int = 24,
-            rows_per_bucket: int | None = None) -> DataFrame:
-    """Per row: RANGE-frame sums over [ts - width, ts] of the key (ties included).
 
-    ``measures``: name -> (width in hours, value Column, or None to count rows).
-    Each row adds +value at its time and -value one microsecond after its
-    frame ends; the running sum of these events at the row's time (peers
-    included) is exactly the frame sum.  Running sums come from
-    :func:`cumulative`, so any bucket width works, including the finer
-    widths given to very large keys (``rows_per_bucket``).
-
-    ``first_of``: columns whose first appearance per key is flagged as
-    ``_is_first_<col>`` on the same partitions.
-    """
-    widths_h = sorted({w for w, _ in measures.values()})
+def changes(rows: DataFrame, key: str, ts: str, measures: dict[str, tuple[int, Column | None]]) -> DataFrame:
+    """(key, _t, measures): +value at each row's time, -value just after its frame ends."""
     vals = {n: (F.lit(1).cast("long") if v is None else v) for n, (w, v) in measures.items()}
-    types = {n: df.select(vals[n]).schema[0].dataType for n in measures}
-    start = F.struct(F.col(ts).alias("t"), F.col(row_id).alias("row"),
-                     *[vals[n].alias(n) for n in measures], *[F.col(g).alias(g) for g in first_of])
-    ends = [F.struct((F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(w)) + F.expr(ONE_MICRO)).alias("t"),
-                     F.lit(None).cast(df.schema[row_id].dataType).alias("row"),
-                     *[(-vals[n] if measures[n][0] == w else F.lit(0).cast(types[n])).alias(n) for n in measures],
-                     *[F.lit(None).cast(df.schema[g].dataType).alias(g) for g in first_of])
-            for w in widths_h]
-    rows = df.filter(F.col(ts).isNotNull())
-    widths = hot_widths(rows, key, ts, rows_per_bucket) if rows_per_bucket else None
-    ev = (rows.select(key, F.explode(F.array(start, *ends)).alias("e")).select(key, "e.*")
-          .withColumnsRenamed({"t": "_t", "row": "_row"})
-          .withColumn("_is_row", F.col("_row").isNotNull()))
-    ev = with_bucket(ev, key, "_t", bucket_hours, widths)
-    ev = cumulative(ev, key, list(measures))
-    if first_of:
-        bucketed = with_bucket(rows, key, ts, bucket_hours, widths)
-        aux = None
-        for g in first_of:
-            fb = first_buckets(bucketed, key, g)
-            aux = fb if aux is None else aux.join(fb, [key, "_bucket"], "full")
-        ev = ev.join(aux, [key, "_bucket"], "left")
-    flags = [_first_flag(key, g).alias(f"_is_first_{g}") for g in first_of]
-    return (ev.select("_row", "_is_row", *[F.col(f"_cum_{n}").alias(n) for n in measures], *flags)
-            .filter("_is_row")
-            .select(F.col("_row").alias(row_id), *measures, *[f"_is_first_{g}" for g in first_of]))
+    types = {n: rows.select(vals[n]).schema[0].dataType for n in measures}
+    steps = [F.struct(F.col(ts).alias("_t"), *[vals[n].alias(n) for n in measures])]
+    for w in sorted({w for w, _ in measures.values()}):
+        end = F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(w)) + F.expr(ONE_MICRO)
+        steps.append(F.struct(end.alias("_t"), *[
+            (-vals[n] if measures[n][0] == w else F.lit(0)).cast(types[n]).alias(n) for n in measures]))
+    return rows.select(key, F.explode(F.array(*steps)).alias("e")).select(key, "e.*")
 
 
-def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
-                      width_hours: int, bucket_hours: int = 24,
-                      rows_per_bucket: int | None = None) -> DataFrame:
-    """Per row: number of distinct non-NULL ``value`` of its key over
-    [ts - width, ts] (ties included), by sorting and running sums only.
+def distinct_changes(rows: DataFrame, key: str, ts: str, row_id: str, value: str, width_hours: int, cells: Cells,
+                     name: str) -> DataFrame:
+    """(key, _t, name): changes of the number of distinct non-NULL ``value`` in the frame.
 
     Each distinct time p of a (key, value) opens an interval that closes at
     the value's next time (exclusive) or just after p + width, whichever is
-    first: +1 at p, -1 at the close.  The count at t is the running sum of
-    these events at t (:func:`cumulative`).  The next time of a (key, value)
-    is a ``lead`` inside its (key, value, bucket), or else the first time of
-    its next non-empty bucket (a ``lead`` over the per-bucket firsts).
+    first.  The next time of a (key, value) is a ``lead`` inside its (key,
+    value, bucket), or else the first time of its next non-empty bucket.
     """
-    rows = df.filter(F.col(ts).isNotNull())
-    widths = hot_widths(rows, key, ts, rows_per_bucket) if rows_per_bucket else None
-    pts = (rows.filter(F.col(value).isNotNull()).select(key, value, F.col(ts).alias("_p")).distinct())
-    pts = with_bucket(pts, key, "_p", bucket_hours, widths)
+    pts = rows.filter(F.col(value).isNotNull()).groupBy(key, value, F.col(ts).alias("_p")).agg(F.min(row_id).alias("_id"))
+    pts = with_cells(pts, key, "_p", "_id", _by_time(cells))
     pts = pts.withColumn("_lead", F.lead("_p").over(Window.partitionBy(key, value, "_bucket").orderBy("_p")))
     firsts = pts.groupBy(key, value, "_bucket").agg(F.min("_p").alias("_first"))
     chain = firsts.select(key, value, "_bucket", F.lead("_first").over(
@@ -129,54 +67,127 @@ def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
     pts = pts.join(chain, [key, value, "_bucket"], "left")
     close = F.least(F.coalesce(F.col("_lead"), F.col("_next_bucket_first"), F.lit(None).cast("timestamp_ntz")),
                     F.col("_p") + F.make_dt_interval(F.lit(0), F.lit(width_hours)) + F.expr(ONE_MICRO))
-    events = pts.select(key, F.explode(F.array(
-        F.struct(F.col("_p").alias("_t"), F.lit(1).alias("_d")),
-        F.struct(close.alias("_t"), F.lit(-1).alias("_d")))).alias("e")).select(
-        key, "e.*", F.lit(None).cast(df.schema[row_id].dataType).alias("_row"))
-    queries = rows.select(key, F.col(ts).alias("_t"), F.lit(0).alias("_d"), F.col(row_id).alias("_row"))
-    sweep = with_bucket(events.unionByName(queries), key, "_t", bucket_hours, widths)
-    out = cumulative(sweep, key, ["_d"])
-    return (out.filter(F.col("_row").isNotNull())
-            .select(F.col("_row").alias(row_id), F.col("_cum__d").alias(f"distinct_{value}")))
+    one = F.lit(1).cast("long")
+    return pts.select(key, F.explode(F.array(
+        F.struct(F.col("_p").alias("_t"), one.alias(name)), F.struct(close.alias("_t"), (-one).alias(name)))).alias("e")
+    ).select(key, "e.*")
 
 
-def velocity_features(t: DataFrame, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
-    """E08-E15 per transaction of silver_transactions.
+def cumulative(events: DataFrame, key: str, measures: list[str], cells: Cells) -> DataFrame:
+    """(key, _t, _cum_<measure>): running sums along each key's timeline, one row a distinct time.
+
+    Changes are added up by (key, time) first; that aggregate feeds both the
+    per-bucket totals and the running sums inside buckets.
+    """
+    ev = with_cells(events.withColumn("_id", F.lit(0).cast("long")), key, "_t", "_id", _by_time(cells))
+    a = ev.groupBy(key, "_bucket", "_t").agg(*[F.sum(m).alias(m) for m in measures])
+    totals = a.groupBy(key, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col(key).alias("_k"), F.col("_bucket").alias("_kb"),
+                            *[F.sum(m).over(before).alias(f"_off_{m}") for m in measures])
+    a = a.join(offsets, (F.col(key) == F.col("_k")) & (F.col("_bucket") == F.col("_kb")))
+    w = Window.partitionBy(key, "_bucket").orderBy("_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return a.select(key, "_t", *[(F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.sum(m).over(w)).alias(f"_cum_{m}")
+                                 for m in measures])
+
+
+def _at(rows: DataFrame, key: str, ts: str, sums: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``rows`` with the running sums (column -> measure) of their key and time; NULL without key or time."""
+    right = sums.select(F.col(key).alias("_k"), F.col("_t").alias("_kt"),
+                        *[F.col(f"_cum_{m}").alias(c) for c, m in names.items()])
+    return rows.join(right, (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_kt")), "left").drop("_k", "_kt")
+
+
+def _cells_of(rows: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int, rows_per_bucket: int | None) -> Cells:
+    return split_cells(rows, key, ts, row_id, bucket_hours, rows_per_bucket) if rows_per_bucket else Cells(bucket_hours)
 
-    ``rows_per_bucket``: customers/accounts with more transactions get finer
-    time buckets of their own (the result does not change)."""
+
+def rolling(df: DataFrame, key: str, ts: str, row_id: str, measures: dict[str, tuple[int, Column | None]],
+            bucket_hours: int = 24, rows_per_bucket: int | None = None) -> DataFrame:
+    """Per row: RANGE-frame sums over [ts - width, ts] of the key (ties included).
+
+    ``measures``: name -> (width in hours, value Column, or None to count rows).
+    Returns ``row_id`` and the measures.
+    """
+    rows = df.filter(F.col(ts).isNotNull())
+    cells = _cells_of(rows, key, ts, row_id, bucket_hours, rows_per_bucket)
+    sums = cumulative(changes(rows, key, ts, measures), key, list(measures), cells)
+    return _at(rows.select(key, ts, row_id), key, ts, sums, {m: m for m in measures}).select(row_id, *measures)
+
+
+def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
+                      width_hours: int, bucket_hours: int = 24,
+                      rows_per_bucket: int | None = None) -> DataFrame:
+    """Per row: number of distinct non-NULL ``value`` of its key over [ts - width, ts] (ties included)."""
+    rows = df.filter(F.col(ts).isNotNull())
+    cells = _cells_of(rows, key, ts, row_id, bucket_hours, rows_per_bucket)
+    name = f"distinct_{value}"
+    # Every row's time is an entry, also where nothing changes.
+    still = rows.select(key, F.col(ts).alias("_t"), F.lit(0).cast("long").alias(name))
+    moves = distinct_changes(rows, key, ts, row_id, value, width_hours, cells, name).unionByName(still)
+    return _at(rows.select(key, ts, row_id), key, ts, cumulative(moves, key, [name], cells), {name: name}).select(row_id, name)
+
+
+def with_first_sightings(rows: DataFrame, key: str, ts: str, row_id: str, columns: dict[str, str], cells: Cells) -> DataFrame:
+    """Add flags (name -> column): the key's first row, by (ts, row_id), with this value of the column."""
+    t = with_cells(rows, key, ts, row_id, cells)
+    out = t.repartition(F.col(key), F.col("_bucket"))
+    order = [F.col(ts).asc_nulls_last(), F.col(row_id)]
+    for name, column in columns.items():
+        first = first_buckets(t, key, column).select(
+            F.col(key).alias("_k"), F.col("_bucket").alias("_kb"), F.col("_group").alias("_v"), F.lit(True).alias("_new"))
+        out = out.join(first, (F.col(key) == F.col("_k")) & (F.col("_bucket") == F.col("_kb"))
+                       & F.col(column).eqNullSafe(F.col("_v")), "left").drop("_k", "_kb", "_v")
+        place = F.row_number().over(Window.partitionBy(key, "_bucket", column).orderBy(*order))
+        out = out.withColumn(name, F.coalesce(F.col("_new"), F.lit(False)) & (place == 1)).drop("_new")
+    return out.drop("_bucket")
+
+
+VELOCITY_COLUMNS = ["transaction_count_1h", "transaction_count_24h", "transaction_amount_24h", "unique_merchants_24h",
+                    "account_transaction_count_7d", "balance_change_24h", "is_new_device", "is_new_location"]
+
+
+def with_velocity(t: DataFrame, rows_per_bucket: int | None = 2_000_000, bucket_hours: int = 24) -> DataFrame:
+    """E08-E15 added to every row of silver_transactions (its other columns ride along).
+
+    Rows without a customer, account or time have NULL in that key's sums and
+    False in the sightings.  ``rows_per_bucket`` only splits the work.
+    """
+    ts, row = "transaction_timestamp", "transaction_id"
+    timed = t.filter(F.col(ts).isNotNull())
+    of_customer, of_account = timed.filter(F.col("customer_id").isNotNull()), timed.filter(F.col("account_id").isNotNull())
+    c_cells = _cells_of(of_customer, "customer_id", ts, row, bucket_hours, rows_per_bucket)
+    a_cells = _cells_of(of_account, "account_id", ts, row, bucket_hours, rows_per_bucket)
+
+    rolled = {"n1": (1, None), "n24": (24, None), "sum24": (24, F.col("amount_abs"))}
+    moves = changes(of_customer, "customer_id", ts, rolled)
+    merchants = distinct_changes(of_customer, "customer_id", ts, row, "merchant_name_clean", 24, c_cells, "merchants")
+    zero = {n: F.lit(0).cast(moves.schema[n].dataType).alias(n) for n in rolled}
+    both = moves.select("customer_id", "_t", *rolled, F.lit(0).cast("long").alias("merchants")).unionByName(
+        merchants.select("customer_id", "_t", *zero.values(), "merchants"))
+    customer = cumulative(both, "customer_id", [*rolled, "merchants"], c_cells)
+    account = cumulative(changes(of_account, "account_id", ts, {"n7d": (24 * 7, None), "balance": (24, F.col("amount"))}),
+                         "account_id", ["n7d", "balance"], a_cells)
+
+    seen = with_first_sightings(of_customer, "customer_id", ts, row,
+                                {"is_new_device": "device_id", "is_new_location": "merchant_location"}, c_cells)
+    no = {"is_new_device": F.lit(False), "is_new_location": F.lit(False)}
+    rest = t.filter(F.col("customer_id").isNull() | F.col(ts).isNull()).withColumns(no)
+    out = reduce(DataFrame.unionByName, [seen, rest])
+    out = _at(out, "customer_id", ts, customer, {
+        "transaction_count_1h": "n1", "transaction_count_24h": "n24", "transaction_amount_24h": "sum24",
+        "unique_merchants_24h": "merchants"})
+    out = _at(out, "account_id", ts, account, {"account_transaction_count_7d": "n7d", "balance_change_24h": "balance"})
+    kinds = {c: "decimal(22,2)" if c in ("transaction_amount_24h", "balance_change_24h") else "bigint"
+             for c in VELOCITY_COLUMNS[:6]}
+    return out.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+
+
+def velocity_features(t: DataFrame, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
+    """E08-E15 per transaction of silver_transactions."""
     base = t.select("transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
                     "amount_abs", "merchant_name_clean", "device_id", "merchant_location")
-    ts = "transaction_timestamp"
-    cust = rolling(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts, "transaction_id", {
-        "transaction_count_1h": (1, None),
-        "transaction_count_24h": (24, None),
-        "transaction_amount_24h": (24, F.col("amount_abs")),
-    }, first_of=("device_id", "merchant_location"), rows_per_bucket=rows_per_bucket).select(
-        "transaction_id", "transaction_count_1h", "transaction_count_24h", "transaction_amount_24h",
-        F.col("_is_first_device_id").alias("is_new_device"),
-        F.col("_is_first_merchant_location").alias("is_new_location"))
-    uniq = distinct_in_range(base.filter(F.col("customer_id").isNotNull()), "customer_id", ts,
-                             "merchant_name_clean", "transaction_id", 24,
-                             rows_per_bucket=rows_per_bucket).select(
-        "transaction_id", F.col("distinct_merchant_name_clean").alias("unique_merchants_24h"))
-    acct = rolling(base.filter(F.col("account_id").isNotNull()), "account_id", ts, "transaction_id", {
-        "account_transaction_count_7d": (24 * 7, None),
-        "balance_change_24h": (24, F.col("amount")),
-    }, rows_per_bucket=rows_per_bucket)
-    out = (base.select("transaction_id").join(cust, "transaction_id", "left")
-           .join(uniq, "transaction_id", "left").join(acct, "transaction_id", "left"))
-    return out.select(
-        "transaction_id",
-        F.col("transaction_count_1h").cast("bigint").alias("transaction_count_1h"),
-        F.col("transaction_count_24h").cast("bigint").alias("transaction_count_24h"),
-        F.col("transaction_amount_24h").cast("decimal(22,2)").alias("transaction_amount_24h"),
-        F.col("unique_merchants_24h").cast("bigint").alias("unique_merchants_24h"),
-        F.col("account_transaction_count_7d").cast("bigint").alias("account_transaction_count_7d"),
-        F.col("balance_change_24h").cast("decimal(22,2)").alias("balance_change_24h"),
-        F.coalesce(F.col("is_new_device"), F.lit(False)).alias("is_new_device"),
-        F.coalesce(F.col("is_new_location"), F.lit(False)).alias("is_new_location"),
-    )
+    return with_velocity(base, rows_per_bucket).select("transaction_id", *VELOCITY_COLUMNS)
 
 
 def merchant_category_risk(t: DataFrame) -> DataFrame:
@@ -194,38 +205,42 @@ def satisfaction_average(interactions: DataFrame) -> DataFrame:
         F.avg(F.col("satisfaction_score").cast("double")).cast("decimal(3,2)").alias("satisfaction_score_avg"))
 
 
-def holiday_flags(t: DataFrame, holidays: DataFrame) -> DataFrame:
-    """T-14 (real): transaction falls on a date of the given calendar."""
-    days = holidays.select(F.col("holiday_date").cast("date").alias("_d")).distinct()
-    j = join_dimension(t.select("transaction_id", F.to_date("transaction_timestamp").alias("_d")), days.withColumn("_h", F.lit(True)), "_d")
-    return j.select("transaction_id", F.coalesce(F.col("_h"), F.lit(False)).alias("is_holiday"))
+def with_holidays(t: DataFrame, holidays: DataFrame) -> DataFrame:
+    """T-14 (real): ``is_holiday``, whether the row's date is in the given calendar (joined on the date)."""
+    days = holidays.select(F.col("holiday_date").cast("date").alias("_d")).distinct().withColumn("_h", F.lit(True))
+    j = join_dimension(t.withColumn("_d", F.to_date("transaction_timestamp")), days, "_d")
+    return j.withColumn("is_holiday", F.coalesce(F.col("_h"), F.lit(False))).drop("_h", "_d")
 
 
-def _json_counts(df: DataFrame, key_expr, name: str) -> DataFrame:
-    """Per day: {"key": count, ...} of frauds, keys sorted; NULL key -> "unknown"."""
-    k = F.coalesce(key_expr.cast("string"), F.lit("unknown"))
-    per = df.groupBy("summary_date", k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    return per.groupBy("summary_date").agg(
-        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_n"))))).alias(name))
+def holiday_flags(t: DataFrame, holidays: DataFrame) -> DataFrame:
+    """T-14 (real) as (transaction_id, is_holiday)."""
+    return with_holidays(t.select("transaction_id", "transaction_timestamp"), holidays).select("transaction_id", "is_holiday")
 
 
 def daily_breakdowns(t: DataFrame) -> DataFrame:
     """M-24 and E16 (real): fraud counts by channel, category and hour per day,
-    and customers defrauded that day who were already defrauded on an earlier day."""
-    days = t.select(F.to_date("transaction_timestamp").alias("summary_date")).distinct()
-    fraud = t.filter(F.col("is_fraud")).withColumn("summary_date", F.to_date("transaction_timestamp"))
-    victim_days = fraud.select("customer_id", "summary_date").distinct()
-    first = victim_days.groupBy("customer_id").agg(F.min("summary_date").alias("_first"))
-    repeat = (victim_days.join(first, "customer_id").filter(F.col("summary_date") > F.col("_first"))
+    and customers defrauded that day who were already defrauded on an earlier day.
+
+    One grouped pass serves the three breakdowns and the list of days, one the
+    victims.  A list collected for a day has one entry a channel, hour or
+    category, so its length depends on their number alone.
+    """
+    day = F.to_date("transaction_timestamp").alias("summary_date")
+    keys = {"fraud_by_channel": "transaction_channel", "fraud_by_merchant_category": "merchant_category",
+            "fraud_by_hour": "transaction_hour"}
+    entries = F.array(*[F.struct(F.lit(n).alias("kind"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("k"))
+                        for n, c in keys.items()])
+    nothing = F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("k")))  # the day stays
+    counts = (t.select(day, F.explode(F.when(F.col("is_fraud"), entries).otherwise(nothing)).alias("e"))
+              .select("summary_date", "e.*").groupBy("summary_date", "kind", "k").agg(F.count(F.lit(1)).alias("n")))
+    json = counts.groupBy("summary_date", "kind").agg(F.to_json(F.map_from_entries(F.array_sort(
+        F.collect_list(F.struct("k", "n"))))).alias("json"))
+    out = json.groupBy("summary_date").agg(*[
+        F.coalesce(F.max(F.when(F.col("kind") == n, F.col("json"))), F.lit("{}")).alias(n) for n in keys])
+
+    victim_days = t.filter(F.col("is_fraud") & F.col("customer_id").isNotNull()).select("customer_id", day).distinct()
+    first = F.min("summary_date").over(Window.partitionBy("customer_id"))  # a row a day
+    repeat = (victim_days.withColumn("_first", first).filter(F.col("summary_date") > F.col("_first"))
               .groupBy("summary_date").agg(F.count(F.lit(1)).alias("repeat_victims")))
-    out = days
-    for key, name in ((F.col("transaction_channel"), "fraud_by_channel"),
-                      (F.col("merchant_category"), "fraud_by_merchant_category"),
-                      (F.col("transaction_hour"), "fraud_by_hour")):
-        out = out.join(_json_counts(fraud, key, name), "summary_date", "left")
-    out = out.join(repeat, "summary_date", "left")
-    return out.select("summary_date",
-                      F.coalesce("fraud_by_channel", F.lit("{}")).alias("fraud_by_channel"),
-                      F.coalesce("fraud_by_merchant_category", F.lit("{}")).alias("fraud_by_merchant_category"),
-                      F.coalesce("fraud_by_hour", F.lit("{}")).alias("fraud_by_hour"),
-                      F.coalesce("repeat_victims", F.lit(0)).cast("bigint").alias("repeat_victims"))
+    return out.join(repeat, "summary_date", "left").select(
+        "summary_date", *keys, F.coalesce("repeat_victims", F.lit(0)).cast("bigint").alias("repeat_victims"))
