@@ -1,7 +1,8 @@
 """Shared output spec for a query: names and comparison kinds of its columns.
 
 Kinds: ``i`` integer (compared as BIGINT), ``n`` number (DOUBLE rounded to 4
-places), ``s`` text, ``b`` boolean, ``d`` date, ``t`` timestamp.  The same
+places; ``n2``, ``n8``: to that many), ``m`` money (exact decimal of two
+places, compared as text), ``s`` text, ``b`` boolean, ``d`` date, ``t`` timestamp.  The same
 spec projects the Spark result and the DuckDB result, so both have the same
 column names, order and types.
 """
@@ -26,8 +27,10 @@ def spark_project(df: DataFrame, spec: str) -> DataFrame:
         c = F.col(name)
         if kind == "i":
             c = c.cast("bigint")
-        elif kind == "n":
-            c = F.round(c.cast("double"), 4)
+        elif kind == "m":
+            c = c.cast("decimal(38,2)").cast("string")
+        elif kind[0] == "n":
+            c = F.round(c.cast("double"), int(kind[1:] or 4))
         cols.append(c.alias(name))
     return df.select(*cols)
 
@@ -38,7 +41,9 @@ def sql_project(spec: str, src: str = "q") -> str:
         c = f"{src}.{name}"
         if kind == "i":
             c = f"CAST({c} AS BIGINT)"
-        elif kind == "n":
-            c = f"round(CAST({c} AS DOUBLE), 4)"
+        elif kind == "m":
+            c = f"CAST(CAST({c} AS DECIMAL(38,2)) AS VARCHAR)"
+        elif kind[0] == "n":
+            c = f"round(CAST({c} AS DOUBLE), {int(kind[1:] or 4)})"
         cols.append(f"{c} AS {name}")
     return ", ".join(cols)

@@ -10,13 +10,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oracle import compare, layers, tables
-from tallyrisk.functions.temporal import DEFAULT_AS_OF
+from tallyrisk.functions import text
 from tallyrisk.plans.layers import all_layers
 from tallyrisk.sources.fixtures import bronze_frames
 
-AS_OF = DEFAULT_AS_OF
+AS_OF = "2024-02-03 12:00:00"  # the same instant as oracle.layers.AS_OF
 
 
 @dataclass
@@ -129,12 +130,12 @@ register("D06_customer_spend_30d",
                     {avg_exact('amount_abs')} AS avg_transaction_value,
                     max(transaction_timestamp) AS last_transaction_date
              FROM silver_transactions WHERE transaction_timestamp > {midnight_minus(30)} GROUP BY customer_id""",
-         ["silver_transactions"])(lambda L: agg.customer_spend_window(L["silver_transactions"], AS_OF))
+         ["silver_transactions"])(lambda L: agg.customer_spend_window(L["transaction_basics"], AS_OF))
 
 register("D07_customer_fraud_90d", "customer_id:i fraud_count_90d:i",
          f"""SELECT customer_id, count(*) AS fraud_count_90d FROM silver_transactions
              WHERE is_fraud = true AND transaction_timestamp > {midnight_minus(90)} GROUP BY customer_id""",
-         ["silver_transactions"])(lambda L: agg.customer_fraud_window(L["silver_transactions"], AS_OF))
+         ["silver_transactions"])(lambda L: agg.customer_fraud_window(L["transaction_basics"], AS_OF))
 
 register("D08_daily_totals",
          "summary_date:d total_transactions:i fraudulent_transactions:i total_amount:n fraud_amount:n affected_customers:i",
@@ -144,7 +145,7 @@ register("D08_daily_totals",
                    sum(CASE WHEN is_fraud THEN amount_abs ELSE 0 END) AS fraud_amount,
                    count(DISTINCT customer_id) AS affected_customers
             FROM silver_transactions GROUP BY 1""", ["silver_transactions"],
-         )(lambda L: agg.daily_fraud_totals(L["silver_transactions"]))
+         )(lambda L: agg.daily_fraud_totals(L["transaction_basics"]))
 
 # --- reports ------------------------------------------------------------------
 
@@ -160,7 +161,7 @@ register("H08_current_fraud_alerts",
              JOIN silver_accounts a ON f.account_id = a.account_id
              WHERE f.is_fraud = true AND f.transaction_timestamp > {instant_minus(7)}""",
          ["gold_fraud_features", "gold_customer_360", "silver_accounts"],
-         )(lambda L: reports.current_fraud_alerts(L["gold_fraud_features"], L["gold_customer_360"],
+         )(lambda L: reports.current_fraud_alerts(L.features(*reports.ALERT_FEATURES), L["gold_customer_360"],
                                                   L["silver_accounts"], AS_OF))
 
 _DASH_SPEC = ("customer_id:i full_name:s demographic_segment:s total_relationship_balance:n "
@@ -180,7 +181,7 @@ register("H09_customer_risk_dashboard", _DASH_SPEC,
              GROUP BY 1, 2, 3, 4, 5, 6, 7""",
          ["gold_customer_360", "silver_accounts", "silver_transactions"],
          )(lambda L: reports.customer_risk_dashboard(L["gold_customer_360"], L["silver_accounts"],
-                                                     L["silver_transactions"], AS_OF, compat=True))
+                                                     L["transaction_basics"], AS_OF, compat=True))
 
 register("H09_customer_risk_dashboard_corrected", _DASH_SPEC,
          f"""SELECT {_DASH_KEYS}, coalesce(a.n, 0) AS account_count, coalesce(f.frauds, 0) AS fraud_count_90d,
@@ -194,7 +195,7 @@ register("H09_customer_risk_dashboard_corrected", _DASH_SPEC,
                   ON c.customer_id = f.customer_id""",
          ["gold_customer_360", "silver_accounts", "silver_transactions"],
          )(lambda L: reports.customer_risk_dashboard(L["gold_customer_360"], L["silver_accounts"],
-                                                     L["silver_transactions"], AS_OF, compat=False))
+                                                     L["transaction_basics"], AS_OF, compat=False))
 
 _START, _END = reports.default_window(AS_OF)
 
@@ -205,7 +206,7 @@ register("D10_kpi_cards", "total_txns:i fraud_txns:i fraud_rate:n unique_custome
              FROM gold_fraud_features
              WHERE CAST(transaction_timestamp AS DATE) BETWEEN DATE '{_START}' AND DATE '{_END}'""",
          ["gold_fraud_features"],
-         )(lambda L: reports.kpi_cards(L["gold_fraud_features"].sparkSession, L["gold_fraud_features"],
+         )(lambda L: reports.kpi_cards(L.features(*reports.RATE_FEATURES),
                                        _START, _END))
 
 _RATE = """count(*) AS total, sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS fraud,
@@ -213,12 +214,12 @@ _RATE = """count(*) AS total, sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS fraud
 
 register("D11_fraud_by_hour", "transaction_hour:i total:i fraud:i fraud_rate:n",
          f"SELECT transaction_hour, {_RATE} FROM gold_fraud_features GROUP BY transaction_hour",
-         ["gold_fraud_features"])(lambda L: reports.fraud_by_hour(L["gold_fraud_features"]))
+         ["gold_fraud_features"])(lambda L: reports.fraud_by_hour(L.features(*reports.RATE_FEATURES)))
 
 register("D12_risky_merchant_categories", "merchant_category:s total:i fraud:i fraud_rate:n",
          f"""SELECT merchant_category, {_RATE} FROM gold_fraud_features GROUP BY merchant_category
              HAVING count(*) > 10 ORDER BY fraud_rate DESC, merchant_category ASC NULLS LAST LIMIT 10""",
-         ["gold_fraud_features"])(lambda L: reports.risky_merchant_categories(L["gold_fraud_features"]))
+         ["gold_fraud_features"])(lambda L: reports.risky_merchant_categories(L.features(*reports.RATE_FEATURES)))
 
 register("B19_daily_trend", "summary_date:d total_transactions:i fraudulent_transactions:i fraud_rate:n",
          """SELECT summary_date, total_transactions, fraudulent_transactions, fraud_rate
@@ -232,12 +233,12 @@ register("G05_recent_fraud_alerts",
                    fraud_risk_tier, amount_z_score
             FROM gold_fraud_features WHERE is_fraud = true
             ORDER BY transaction_timestamp DESC, transaction_id DESC LIMIT 20""", ["gold_fraud_features"],
-         )(lambda L: reports.recent_fraud_alerts(L["gold_fraud_features"]))
+         )(lambda L: reports.recent_fraud_alerts_lazy(L.features(*reports.ALERT_FEATURES), L["transaction_basics"]))
 
 # --- verification reports and quality checks ----------------------------------
 from tallyrisk.plans import source_rules, verify  # noqa: E402
 from tallyrisk.schemas import FOREIGN_KEYS, NULL_CHECKS, PRIMARY_KEYS, VARCHAR_LIMITS  # noqa: E402
-from tallyrisk.sources.raw_files import make_batch_id, with_lineage  # noqa: E402
+from oracle import loads  # noqa: E402
 
 register("D14_segment_by_risk", "segment:s risk_score:i customer_count:i avg_balance:n avg_credit_score:n",
          """SELECT segment, risk_score, count(*) AS customer_count, avg(CAST(total_balance AS DOUBLE)) AS avg_balance,
@@ -257,21 +258,20 @@ register("D16_fraud_statistics", "is_fraud:b transaction_count:i avg_amount:n to
          """SELECT is_fraud, count(*) AS transaction_count, avg(CAST(amount_abs AS DOUBLE)) AS avg_amount,
                    sum(amount_abs) AS total_amount, count(DISTINCT customer_id) AS unique_customers
             FROM silver_transactions GROUP BY is_fraud""", ["silver_transactions"],
-         )(lambda L: verify.fraud_statistics(L["silver_transactions"]))
+         )(lambda L: verify.fraud_statistics(L["transaction_basics"]))
 
 register("D17_fraud_by_hour_group", "hour_group:s total_txns:i fraud_txns:i fraud_rate:n",
          """SELECT hour_group, count(*) AS total_txns, sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS fraud_txns,
                    round(100.0 * sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) / count(*), 2) AS fraud_rate
             FROM silver_transactions GROUP BY hour_group""", ["silver_transactions"],
-         )(lambda L: verify.fraud_by_hour_group(L["silver_transactions"]))
-
-_BATCH = make_batch_id(AS_OF, "fixtures")
+         )(lambda L: verify.fraud_by_hour_group(L["transaction_basics"]))
 
+_LOADED = "\n".join(f"WHEN {n} THEN TIMESTAMP '{at}'" for n, at in enumerate(loads.LOAD_TIMES))
 register("D18_batch_info", "batch_id:s earliest_load:t latest_load:t",
-         f"""SELECT batch_id, min(loaded_at) AS earliest_load, max(loaded_at) AS latest_load
-             FROM (SELECT '{_BATCH}' AS batch_id, {layers.AS_OF} AS loaded_at FROM bronze_transactions) b
-             GROUP BY batch_id""", ["bronze_transactions"],
-         )(lambda L: verify.batch_info(with_lineage(L["bronze_transactions"], AS_OF, _BATCH, "erp_transactions.csv")))
+         f"""SELECT 'load_' || transaction_id % 2 AS batch_id, CASE transaction_id % 2 {_LOADED} END AS earliest_load,
+                    CASE transaction_id % 2 {_LOADED} END AS latest_load
+             FROM bronze_transactions GROUP BY transaction_id % 2""", ["bronze_transactions"],
+         )(lambda L: verify.batch_info(loads.two_loads(L)))
 
 
 def _counts_sql(names):
@@ -281,7 +281,7 @@ def _counts_sql(names):
 for _key, _names in (("Q01_bronze_row_counts", BRONZE_TABLES), ("Q02_silver_row_counts", SILVER_TABLES),
                      ("Q03_gold_row_counts", GOLD_TABLES)):
     register(_key, "table_name:s row_count:i", _counts_sql(_names), list(_names),
-             )(lambda L, _n=_names: quality.row_counts(L, list(_n)))
+             )(lambda L, _n=_names: quality.row_counts(L.lean(), list(_n)))
 
 register("Q04_null_checks", "table_name:s column_name:s null_count:i status:s",
          " UNION ALL ".join(
@@ -296,14 +296,14 @@ register("Q05_duplicate_keys", "table_name:s key_columns:s duplicate_keys:i dupl
                         coalesce(sum(n), 0) AS duplicate_rows
                  FROM (SELECT {", ".join(k)}, count(*) AS n FROM {t} GROUP BY {", ".join(k)} HAVING count(*) > 1) d"""
              for t, k in PRIMARY_KEYS.items()),
-         list(PRIMARY_KEYS))(lambda L: quality.duplicate_keys(L))
+         list(PRIMARY_KEYS))(lambda L: quality.duplicate_keys(L.lean()))
 
 register("Q06_foreign_key_orphans", "child_table:s child_column:s parent_table:s orphan_rows:i",
          " UNION ALL ".join(
              f"""SELECT '{c}' AS child_table, '{cc}' AS child_column, '{p}' AS parent_table, count(*) AS orphan_rows
                  FROM {c} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)"""
              for c, cc, p, pc in FOREIGN_KEYS),
-         sorted({x for c, _, p, _ in FOREIGN_KEYS for x in (c, p)}))(lambda L: quality.foreign_key_orphans(L))
+         sorted({x for c, _, p, _ in FOREIGN_KEYS for x in (c, p)}))(lambda L: quality.foreign_key_orphans(L.lean()))
 
 register("Q07_fraud_count", "fraud_count:i",
          "SELECT count(*) AS fraud_count FROM bronze_transactions WHERE is_fraud = true", ["bronze_transactions"],
@@ -336,7 +336,8 @@ register("Q11_sample_fraud_features",
          """SELECT transaction_id, customer_id, amount, merchant_category, is_fraud, fraud_risk_tier
             FROM gold_fraud_features WHERE is_fraud = true ORDER BY transaction_id LIMIT 5""",
          ["gold_fraud_features"],
-         )(lambda L: verify.sample(L["gold_fraud_features"],
+         )(lambda L: verify.sample(L.features("transaction_id", "customer_id", "amount", "merchant_category", "is_fraud",
+                                              "fraud_risk_tier"),
                                    ["transaction_id", "customer_id", "amount", "merchant_category", "is_fraud",
                                     "fraud_risk_tier"], "transaction_id", 5, where="is_fraud"))
 
@@ -388,8 +389,8 @@ register("M13_merchant_category_lookup", "transaction_id:i merchant_name_clean:s
                         WHEN 'Apple Store' THEN 'Electronics' WHEN 'International Casino' THEN 'Gambling'
                         WHEN 'Crypto Exchange' THEN 'Cryptocurrency' ELSE 'Other' END AS lookup_category
             FROM silver_transactions""", ["silver_transactions"],
-         )(lambda L: source_rules.merchant_category_lookup(L["silver_transactions"].sparkSession,
-                                                           L["silver_transactions"]))
+         )(lambda L: source_rules.merchant_category_lookup(L["transaction_basics"].sparkSession,
+                                                           L["transaction_basics"]))
 
 register("M14_signed_amount", "transaction_id:i transaction_type:s signed_amount:n",
          """SELECT transaction_id, transaction_type,
@@ -428,7 +429,7 @@ register("E08_E15_velocity_real",
                     coalesce(customer_id IS NOT NULL AND row_number() OVER (PARTITION BY customer_id, merchant_location
                              ORDER BY transaction_timestamp, transaction_id) = 1, false) AS is_new_location
              FROM silver_transactions""", ["silver_transactions"],
-         )(lambda L: velocity.velocity_features(L["silver_transactions"]))
+         )(lambda L: velocity.velocity_features(L["transaction_basics"]))
 
 register("M23_merchant_risk_score_real",
          "merchant_category:s txn_count:i fraud_count:i fraud_rate:n merchant_risk_score:i",
@@ -436,7 +437,7 @@ register("M23_merchant_risk_score_real",
                    CAST(least(9, 1 + floor(fraud_count / txn_count * 9)) AS INT) AS merchant_risk_score
             FROM (SELECT merchant_category, count(*) AS txn_count, count(*) FILTER (WHERE is_fraud) AS fraud_count
                   FROM silver_transactions GROUP BY 1) g""", ["silver_transactions"],
-         )(lambda L: velocity.merchant_category_risk(L["silver_transactions"]))
+         )(lambda L: velocity.merchant_category_risk(L["transaction_basics"]))
 
 _JSON = """(SELECT d AS summary_date, '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' AS {name}
             FROM (SELECT CAST(transaction_timestamp AS DATE) AS d, coalesce(CAST({col} AS VARCHAR), 'unknown') AS k,
@@ -458,7 +459,7 @@ register("M24_E16_daily_breakdown_real",
                         JOIN (SELECT customer_id, min(CAST(transaction_timestamp AS DATE)) AS m
                               FROM silver_transactions WHERE is_fraud GROUP BY 1) f USING (customer_id)
                         WHERE v.d > f.m GROUP BY 1) rv USING (summary_date)""", ["silver_transactions"],
-         )(lambda L: velocity.daily_breakdowns(L["silver_transactions"]))
+         )(lambda L: velocity.daily_breakdowns(L["transaction_basics"]))
 
 register("M25_satisfaction_score_real", "customer_id:i satisfaction_score_avg:n",
          f"""SELECT customer_id, {dec('avg(CAST(satisfaction_score AS DOUBLE))', 3, 2)} AS satisfaction_score_avg
@@ -472,11 +473,60 @@ register("T14_is_holiday_real", "transaction_id:i is_holiday:b",
          f"""SELECT transaction_id, CAST(transaction_timestamp AS DATE) IN ({", ".join(f"DATE '{d}'" for d in HOLIDAYS)})
                     AS is_holiday FROM silver_transactions""", ["silver_transactions"],
          )(lambda L: velocity.holiday_flags(
-             L["silver_transactions"],
-             L["silver_transactions"].sparkSession.createDataFrame([(d,) for d in HOLIDAYS], "holiday_date string")))
+             L["transaction_basics"],
+             L["transaction_basics"].sparkSession.createDataFrame([(d,) for d in HOLIDAYS], "holiday_date string")))
 
 register("D08_daily_fraud_victims_corrected", "summary_date:d fraud_victims:i",
          """SELECT CAST(transaction_timestamp AS DATE) AS summary_date,
                    count(DISTINCT CASE WHEN is_fraud THEN customer_id END) AS fraud_victims
             FROM silver_transactions GROUP BY 1""", ["silver_transactions"],
-         )(lambda L: agg.daily_fraud_victims(L["silver_transactions"]))
+         )(lambda L: agg.daily_fraud_victims(L["transaction_basics"]))
+
+# --- loads and layer runs over files written from the given tables --------------
+
+register("S08_email_address", "customer_id:i email_address:s",
+         """SELECT customer_id, lower(first_name) || '.' || lower(last_name) || '@example.com' AS email_address
+            FROM bronze_customers""", ["bronze_customers"],
+         )(lambda L: L["bronze_customers"].select(
+             "customer_id", text.email_address(F.col("first_name"), F.col("last_name")).alias("email_address")))
+
+register("S09_place", "customer_id:i place:s",
+         "SELECT customer_id, city || ', ' || state AS place FROM bronze_customers", ["bronze_customers"],
+         )(lambda L: L["bronze_customers"].select("customer_id", text.place(F.col("city"), F.col("state")).alias("place")))
+
+register("A01_csv_round_trip", "interaction_id:i customer_id:i date_time:t notes:s satisfaction_score:i",
+         f"""SELECT interaction_id, customer_id, date_time, {loads.NOTES_SQL} AS notes, satisfaction_score
+             FROM bronze_interactions WHERE interaction_id % 17 <> 0""", ["bronze_interactions"],
+         )(lambda L: loads.csv_round_trip(L))
+
+register("A01_csv_rejects", "interaction_id:s reason:s",
+         """SELECT CAST(interaction_id AS VARCHAR) AS interaction_id, 'satisfaction_score: not int' AS reason
+            FROM bronze_interactions WHERE interaction_id % 17 = 0""", ["bronze_interactions"],
+         )(lambda L: loads.csv_rejects(L))
+
+register("A05_append_skip", "outcome:s row_count:i",
+         """SELECT 'stored' AS outcome, count(*) AS row_count FROM bronze_transactions
+            UNION ALL SELECT 'stored key', count(*) FROM bronze_transactions WHERE transaction_id % 3 = 0
+            UNION ALL SELECT 'repeated key', count(*) FROM bronze_transactions WHERE transaction_id % 3 = 1
+            UNION ALL SELECT 'missing key', count(*) FROM bronze_transactions WHERE transaction_id % 3 = 2""",
+         ["bronze_transactions"])(lambda L: loads.append_skip(L))
+
+register("H01_bronze_counts", "table_name:s row_count:i", _counts_sql(BRONZE_TABLES), list(BRONZE_TABLES),
+         )(lambda L: loads.bronze_counts(L))
+
+register("H10_silver_run_counts", "table_name:s row_count:i", _counts_sql(SILVER_TABLES), list(SILVER_TABLES),
+         )(lambda L: loads.silver_counts(L, AS_OF))
+
+register("H11_rejected_rows", "transaction_id:i account_id:i transaction_timestamp:t amount:n reject_reason:s",
+         """SELECT transaction_id, account_id, transaction_timestamp, amount, 'no customer' AS reject_reason
+            FROM silver_transactions WHERE customer_id IS NULL""", ["silver_transactions"],
+         )(lambda L: loads.gold_rejects(L, AS_OF))
+
+register("H12_dashboard_pack", "report:s row_count:i",
+         f"""SELECT 'kpi_cards' AS report, 1 AS row_count
+             UNION ALL SELECT 'fraud_by_hour', count(DISTINCT transaction_hour) FROM gold_fraud_features
+             UNION ALL SELECT 'risky_merchant_categories', least(10, count(*)) FROM
+                 (SELECT merchant_category FROM gold_fraud_features GROUP BY 1 HAVING count(*) > 10) m
+             UNION ALL SELECT 'daily_trend', count(*) FROM gold_daily_fraud_summary
+             UNION ALL SELECT 'recent_fraud_alerts', least(20, count(*)) FROM gold_fraud_features WHERE is_fraud""",
+         ["gold_fraud_features", "gold_daily_fraud_summary"])(lambda L: loads.dashboard_counts(L, AS_OF))

@@ -8,8 +8,6 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_AS_OF = "2024-02-03 12:00:00"
-
 
 def _as_text(as_of) -> str:
     if isinstance(as_of, dt.datetime):
@@ -19,11 +17,11 @@ def _as_text(as_of) -> str:
     return str(as_of)
 
 
-def as_of_ts(as_of=DEFAULT_AS_OF) -> Column:
+def as_of_ts(as_of) -> Column:
     return F.lit(_as_text(as_of)).cast("timestamp_ntz")
 
 
-def as_of_date(as_of=DEFAULT_AS_OF) -> Column:
+def as_of_date(as_of) -> Column:
     return F.to_date(as_of_ts(as_of))
 
 

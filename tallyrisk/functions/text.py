@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -37,4 +38,14 @@ def strip_ws(text: Column) -> Column:
 
 def location_state(location: Column, sep: str = ", ") -> Column:
     """Last piece after ``sep``; the whole string if there is none; NULL stays NULL."""
-    return F.element_at(F.split(location, sep), -1)
+    return F.element_at(F.split(location, re.escape(sep)), -1)
+
+
+def email_address(first: Column, last: Column, domain: str = "example.com") -> Column:
+    """S-08: lower(first).lower(last)@domain; NULL when either part is NULL."""
+    return F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit(f"@{domain}"))
+
+
+def place(city: Column, state: Column, sep: str = ", ") -> Column:
+    """S-09: city and state; NULL when either part is NULL."""
+    return F.concat(city, F.lit(sep), state)

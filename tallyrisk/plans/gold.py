@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tallyrisk.functions import rules
 from tallyrisk.functions.rules import bin_with, flag
-from tallyrisk.functions.temporal import DEFAULT_AS_OF, as_of_date, as_of_ts, hour_angle
+from tallyrisk.functions.temporal import as_of_date, as_of_ts, hour_angle
 from tallyrisk.operators import aggregates as agg
-from tallyrisk.operators.joins import broadcast_limit, estimated_bytes, join_dimension, keyed, left_join_fill
+from tallyrisk.operators.joins import join_dimension, left_join_fill
 from tallyrisk.operators.sequence import with_sequence_features
 
 MONEY = "decimal(12,2)"
@@ -28,7 +28,7 @@ MODEL_VERSION = "v1.0"
 # ---------------------------------------------------------------------------
 
 
-def customer_360(customers: DataFrame, transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def customer_360(customers: DataFrame, transactions: DataFrame, as_of) -> DataFrame:
     """One profile row per silver customer."""
     now = as_of_ts(as_of)
     c = left_join_fill(customers, agg.customer_spend_window(transactions, as_of), "customer_id",
@@ -59,9 +59,22 @@ def customer_360(customers: DataFrame, transactions: DataFrame, as_of=DEFAULT_AS
     )
 
 
-def _unit_hash(row_id: Column, salt: str, scale: int = 1_000_000) -> Column:
-    """Deterministic value in [0, 1) from a row id (partition-independent)."""
-    return F.pmod(F.xxhash64(row_id, F.lit(salt)), F.lit(scale)) / F.lit(float(scale))
+#: Multipliers of the placeholder hashes, by column.
+SALTS = {"merchant_risk": 40_503, "distance": 30_011, "velocity": 51_787}
+
+
+def _id_hash(salt: str) -> Column:
+    """A value below 2**31 from the transaction id alone (any partitioning, any engine with 64-bit integers).
+
+    Three rounds of multiply, add and modulo over 31 bits: none exceeds 2**62.
+    """
+    h = F.pmod(F.col("transaction_id").cast("long"), F.lit(ROUND_MODULUS))
+    for _ in range(3):
+        h = F.pmod(h * F.lit(SALTS[salt]) + F.lit(12_345), F.lit(ROUND_MODULUS))
+    return h
+
+
+ROUND_MODULUS = 2_147_483_647
 
 
 FEATURE_COLUMNS = [
@@ -78,101 +91,145 @@ FEATURE_COLUMNS = [
 ]
 
 
-def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of=DEFAULT_AS_OF,
+# What a feature column needs beside the transaction itself.
+SEQUENCE_COLUMNS = {"customer_avg_daily_spend", "customer_transaction_frequency", "is_new_merchant_for_customer",
+                    "days_since_last_transaction", "amount_z_score", "time_since_avg", "amount_deviation_from_avg"}
+ACCOUNT_COLUMNS = {"customer_tenure_days", "account_age_days"}
+CONTEXT_COLUMNS = {"customer_age", "customer_risk_score", "account_balance", "fraud_risk_tier"}
+
+
+def fraud_features(transactions: DataFrame, accounts: DataFrame, as_of,
                    bucket_hours: int = 24, parity: bool = True,
                    holidays: DataFrame | None = None, rows_per_bucket: int | None = 2_000_000,
-                   bucket_col: str | None = None, prehashed: bool = False) -> DataFrame:
+                   bucket_col: str | None = None, prehashed: bool = False,
+                   basics: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
     """H06 (flagship): one feature row per silver transaction.
 
     ``transactions`` is silver_transactions, ``accounts`` silver_accounts
     (only ``account_id, account_age_days`` are read).  Rows without a
-    customer cannot be placed in a customer sequence; they are left to the
-    orphan check (:func:`tallyrisk.operators.quality.rejected_feature_rows`).
+    customer cannot be placed in a customer sequence; they are reported by
+    :func:`tallyrisk.operators.quality.rejected_feature_rows`, which the gold
+    run publishes.
 
     ``parity=False`` fills the reserved columns with their real definitions
     (rolling counts and sums, first device/location, category risk score,
     and holidays when a ``holiday_date`` table is given); this adds the
     passes of :mod:`tallyrisk.operators.velocity`.
 
-    ``rows_per_bucket``: customers with more transactions than this get finer
-    time buckets of their own, so a burst of one customer is split over tasks.
+    ``rows_per_bucket``: a customer's day with more transactions than this is
+    cut into shorter stretches, so a burst of one customer is split over tasks.
     ``bucket_col`` / ``prehashed``: read from a table bucketed on
     (customer_id, bucket_col), the sequence step reuses that layout instead of
     shuffling the rows (:func:`tallyrisk.plans.runs.run_gold`).
+    ``basics``: the transactions before enrichment, where at hand; passes that
+    need no context read them.  ``columns``: the wanted columns; steps that
+    none of them comes from are left out, the rows stay the same.
     """
-    now = as_of_ts(as_of)
-    t = transactions.filter(F.col("customer_id").isNotNull()).select(
-        "transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
-        "amount_abs", "merchant_category", "is_fraud", "customer_age", "customer_risk_score",
-        "account_balance", "transaction_hour", "is_weekend", "is_night",
-        *([bucket_col] if bucket_col else []))
-    s = with_sequence_features(t, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket,
-                               bucket_col=bucket_col, prehashed=prehashed)
-    s = join_dimension(s, keyed(accounts.select("account_id", "account_age_days"), "account_id"), "account_id")
+    wanted = FEATURE_COLUMNS if columns is None else columns
+    basics = transactions if basics is None else basics
+    need = set(wanted)
+    source = transactions if need & CONTEXT_COLUMNS or not parity else basics
+    t = source
+    if not parity:  # over all rows: an account's sums count its rows without a customer
+        from tallyrisk.operators import velocity
+
+        t = velocity.with_velocity(t, rows_per_bucket)
+    t = t.filter(F.col("customer_id").isNotNull())
+    if not parity:
+        t = _with_category_risk(t, velocity.merchant_category_risk(basics))
+        if holidays is not None:
+            t = velocity.with_holidays(t.drop("is_holiday"), holidays)
+    if need & SEQUENCE_COLUMNS:
+        t = with_sequence_features(t, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket,
+                                   bucket_col=bucket_col, prehashed=prehashed,
+                                   basics=basics.filter(F.col("customer_id").isNotNull()))
+    if need & ACCOUNT_COLUMNS:
+        t = join_dimension(t, accounts.select("account_id", "account_age_days"), "account_id")
+    exprs = _feature_exprs(as_of) | ({} if parity else _real_exprs(holidays is not None))
+    return t.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in wanted])
+
 
+def _feature_exprs(as_of) -> dict[str, Column]:
+    """Columns that are not taken over as they are."""
+    now = as_of_ts(as_of)
     x = F.col("amount_abs").cast("double")
-    mean, std = F.col("_mean_value"), F.col("_std_value")
+    mean = F.col("_mean_value")
     hours = F.coalesce(F.timestamp_diff("MICROSECOND", F.col("_prev_ts"), F.col("transaction_timestamp"))
                        / F.lit(3.6e9), F.lit(24.0))
     hour = F.col("transaction_hour")
-    zero_money = F.lit(0).cast(SUM_MONEY)
-    zero_count = F.lit(0).cast(COUNT)
-    out = s.select(
-        "transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount",
-        bin_with(F.col("amount_abs"), rules.AMOUNT_BINS).alias("amount_category"),
-        "customer_age",
-        F.col("account_age_days").alias("customer_tenure_days"),
-        "customer_risk_score",
-        (mean / F.lit(30.0)).cast(MONEY).alias("customer_avg_daily_spend"),
-        (F.col("_n_value") / F.lit(30.0)).cast("decimal(20,2)").alias("customer_transaction_frequency"),
-        "account_age_days", "account_balance",
-        zero_money.alias("balance_change_24h"),
-        zero_count.alias("account_transaction_count_7d"),
-        "merchant_category",
-        (F.lit(1) + F.pmod(F.xxhash64("transaction_id", F.lit("merchant_risk")), F.lit(9)))
-        .cast("int").alias("merchant_risk_score"),
-        F.col("_is_first_merchant_category").alias("is_new_merchant_for_customer"),
-        "transaction_hour",
-        F.col("is_night").alias("is_night_time"),
-        "is_weekend",
-        F.lit(False).alias("is_holiday"),
-        F.round(hours / F.lit(24.0)).cast("int").alias("days_since_last_transaction"),
-        hour_angle(hour, "sin").cast("decimal(10,8)").alias("hour_of_day_sin"),
-        hour_angle(hour, "cos").cast("decimal(10,8)").alias("hour_of_day_cos"),
-        zero_count.alias("transaction_count_1h"),
-        zero_count.alias("transaction_count_24h"),
-        zero_money.alias("transaction_amount_24h"),
-        zero_count.alias("unique_merchants_24h"),
-        F.lit(False).alias("is_new_device"),
-        F.lit(False).alias("is_new_location"),
-        (_unit_hash(F.col("transaction_id"), "distance") * 100).cast("decimal(10,2)").alias("distance_from_home_km"),
-        (_unit_hash(F.col("transaction_id"), "velocity") * 120).cast("decimal(10,2)").alias("velocity_kmh"),
-        F.when(std > 0, (x - mean) / std).otherwise(F.lit(0.0)).cast("decimal(16,4)").alias("amount_z_score"),
-        (hours / F.col("_mean_gap_hours")).cast("decimal(20,2)").alias("time_since_avg"),
-        (x - mean).cast(MONEY).alias("amount_deviation_from_avg"),
-        "is_fraud",
-        F.when(F.col("is_fraud"), 1.0).otherwise(0.0).cast("decimal(5,4)").alias("fraud_probability"),
-        rules.fraud_risk_tier(F.col("customer_risk_score")).alias("fraud_risk_tier"),
-        F.lit(MODEL_VERSION).alias("model_version"),
-        now.alias("prediction_timestamp"),
-        now.alias("created_at"),
-    )
-    return out if parity else _with_real_columns(out, transactions, holidays)
+    zero_money, zero_count = F.lit(0).cast(SUM_MONEY), F.lit(0).cast(COUNT)
+    return {
+        "amount_category": bin_with(F.col("amount_abs"), rules.AMOUNT_BINS),
+        "customer_tenure_days": F.col("account_age_days"),
+        "customer_avg_daily_spend": (mean / F.lit(30.0)).cast(MONEY),
+        "customer_transaction_frequency": (F.col("_n_value") / F.lit(30.0)).cast("decimal(20,2)"),
+        "balance_change_24h": zero_money,
+        "account_transaction_count_7d": zero_count,
+        "merchant_risk_score": (F.lit(1) + F.pmod(_id_hash("merchant_risk"), F.lit(9))).cast("int"),
+        "is_new_merchant_for_customer": F.col("_is_first_group"),
+        "is_night_time": F.col("is_night"),
+        "is_holiday": F.lit(False),
+        "days_since_last_transaction": F.round(hours / F.lit(24.0)).cast("int"),
+        "hour_of_day_sin": hour_angle(hour, "sin").cast("decimal(10,8)"),
+        "hour_of_day_cos": hour_angle(hour, "cos").cast("decimal(10,8)"),
+        "transaction_count_1h": zero_count,
+        "transaction_count_24h": zero_count,
+        "transaction_amount_24h": zero_money,
+        "unique_merchants_24h": zero_count,
+        "is_new_device": F.lit(False),
+        "is_new_location": F.lit(False),
+        "distance_from_home_km": (F.pmod(_id_hash("distance"), F.lit(10_000)) / 100).cast("decimal(10,2)"),
+        "velocity_kmh": (F.pmod(_id_hash("velocity"), F.lit(12_000)) / 100).cast("decimal(10,2)"),
+        "amount_z_score": z_score(),
+        "time_since_avg": (hours / F.col("_mean_gap_hours")).cast("decimal(20,2)"),
+        "amount_deviation_from_avg": (x - mean).cast(MONEY),
+        "fraud_probability": F.when(F.col("is_fraud"), 1.0).otherwise(0.0).cast("decimal(5,4)"),
+        "fraud_risk_tier": rules.fraud_risk_tier(F.col("customer_risk_score")),
+        "model_version": F.lit(MODEL_VERSION),
+        "prediction_timestamp": now,
+        "created_at": now,
+    }
+
+
+def customer_statistics(basics: DataFrame) -> DataFrame:
+    """(customer_id, _mean_value, _std_value): the statistics behind amount_z_score, from the same summary."""
+    from tallyrisk.operators.sequence import Cells, group_summary, with_cells
+
+    t = with_cells(basics.filter(F.col("customer_id").isNotNull()), "customer_id", "transaction_timestamp",
+                   "transaction_id", Cells(24))
+    s = group_summary(t, "customer_id", "transaction_timestamp", "amount_abs", "merchant_category")
+    return s.groupBy("customer_id").agg(F.any_value("_mean_value").alias("_mean_value"),
+                                        F.any_value("_std_value").alias("_std_value"))
+
+
+def z_score() -> Column:
+    mean, std = F.col("_mean_value"), F.col("_std_value")
+    return F.when(std > 0, (F.col("amount_abs").cast("double") - mean) / std).otherwise(F.lit(0.0)).cast("decimal(16,4)")
 
 
-def _with_real_columns(features: DataFrame, transactions: DataFrame, holidays: DataFrame | None) -> DataFrame:
-    from tallyrisk.operators import velocity
+def _real_exprs(holidays: bool) -> dict[str, Column]:
+    from tallyrisk.operators.velocity import VELOCITY_COLUMNS
+
+    names = [*VELOCITY_COLUMNS, "merchant_risk_score", *(["is_holiday"] if holidays else [])]
+    return {c: F.col(c) for c in names}
+
+
+def _with_category_risk(t: DataFrame, risk: DataFrame) -> DataFrame:
+    """``merchant_risk_score`` of the row's category (NULL being one).
+
+    The scores are one row a category.  Where they are few enough they are
+    broadcast; otherwise the rows meet them by a skew-split join on a stored
+    table of them.
+    """
+    score = risk.select(F.col("merchant_category").alias("_cat"), "merchant_risk_score")
+    rows = [tuple(r) for r in score.limit(CATEGORIES + 1).collect()]
+    if len(rows) <= CATEGORIES:
+        score = F.broadcast(t.sparkSession.createDataFrame(rows, score.schema))
+    return t.join(score, t["merchant_category"].eqNullSafe(F.col("_cat")), "left").drop("_cat")
+
 
-    real = velocity.velocity_features(transactions)
-    out = features.drop(*[c for c in real.columns if c != "transaction_id"]).join(real, "transaction_id", "left")
-    risk = velocity.merchant_category_risk(transactions).select(
-        F.col("merchant_category").alias("_cat"), F.col("merchant_risk_score").alias("_mrs"))
-    out = out.join(F.broadcast(risk) if (estimated_bytes(risk) or 1 << 62) <= broadcast_limit(out) else risk,
-                   out["merchant_category"].eqNullSafe(risk["_cat"]), "left")
-    out = out.withColumn("merchant_risk_score", F.col("_mrs")).drop("_cat", "_mrs")
-    if holidays is not None:
-        out = out.drop("is_holiday").join(velocity.holiday_flags(transactions, holidays), "transaction_id", "left")
-    return out.select(*FEATURE_COLUMNS)
+#: Categories up to which their measured scores are broadcast.
+CATEGORIES = 100_000
 
 
 DAILY_COLUMNS = [
@@ -183,7 +240,7 @@ DAILY_COLUMNS = [
 ]
 
 
-def daily_fraud_summary(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def daily_fraud_summary(transactions: DataFrame, as_of) -> DataFrame:
     """One row per calendar day with totals, fraud rate and fraud amounts."""
     now = as_of_ts(as_of)
     d = agg.daily_fraud_totals(transactions)

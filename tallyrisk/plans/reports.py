@@ -8,19 +8,24 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrisk.functions import rules
-from tallyrisk.functions.temporal import DEFAULT_AS_OF, instant_days_ago
+from tallyrisk.functions.temporal import instant_days_ago
 from tallyrisk.operators.joins import join_dimension
 
+# The feature columns that the reports read.
+ALERT_FEATURES = ["transaction_id", "customer_id", "account_id", "transaction_timestamp", "amount", "merchant_category",
+                  "fraud_risk_tier", "fraud_probability", "is_fraud"]
+RATE_FEATURES = ["customer_id", "transaction_timestamp", "transaction_hour", "merchant_category", "is_fraud"]
+
 ALERT_COLUMNS = ["transaction_id", "transaction_timestamp", "full_name", "account_number_masked",
                  "amount", "merchant_category", "fraud_risk_tier", "fraud_probability", "alert_level"]
 
 
 def current_fraud_alerts(features: DataFrame, customer_360: DataFrame, accounts: DataFrame,
-                         as_of=DEFAULT_AS_OF, days: int = 7) -> DataFrame:
+                         as_of, days: int = 7) -> DataFrame:
     """Frauds of the last ``days`` days with owner and masked account, highest first."""
     f = features.filter(F.col("is_fraud") & (F.col("transaction_timestamp") > instant_days_ago(as_of, days)))
     f = join_dimension(f, customer_360.select("customer_id", "full_name"), "customer_id", "inner")
@@ -35,7 +40,7 @@ RISK_DASHBOARD_KEYS = ["customer_id", "full_name", "demographic_segment", "total
 
 
 def customer_risk_dashboard(customer_360: DataFrame, accounts: DataFrame, transactions: DataFrame,
-                            as_of=DEFAULT_AS_OF, days: int = 90, compat: bool = True) -> DataFrame:
+                            as_of, days: int = 90, compat: bool = True) -> DataFrame:
     """Per-customer accounts, recent frauds and last activity.
 
     The source view joins accounts and transactions to the customer at once,
@@ -62,33 +67,30 @@ def customer_risk_dashboard(customer_360: DataFrame, accounts: DataFrame, transa
                     "last_transaction_date")
 
 
-def default_window(as_of=DEFAULT_AS_OF, days: int = 30) -> tuple[dt.date, dt.date]:
+def default_window(as_of, days: int = 30) -> tuple[dt.date, dt.date]:
     """The dashboard's default date range: the ``days`` days up to as_of."""
     end = dt.datetime.fromisoformat(str(as_of)).date()
     return end - dt.timedelta(days=days), end
 
 
-KPI_SQL = """
-SELECT count(*) AS total_txns,
-       sum(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS fraud_txns,
-       avg(CASE WHEN is_fraud THEN 1 ELSE 0 END) * 100 AS fraud_rate,
-       count(DISTINCT customer_id) AS unique_customers
-FROM {features}
-WHERE to_date(transaction_timestamp) BETWEEN :start AND :end
-"""
+# The measures of all rate reports.
+RATE_MEASURES = {"total": "count(1)", "fraud": "count_if(is_fraud)",
+                 "fraud_rate": "100 * avg(cast(coalesce(is_fraud, false) as int))"}
 
 
-def kpi_cards(spark: SparkSession, features: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """D10 via A08: headline numbers for a date range, as parameterised SQL."""
-    return spark.sql(KPI_SQL, args={"start": start, "end": end}, features=features)
+def kpi_cards(features: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """D10 via A08: the rate measures and the customers of a date range, the range as SQL parameters."""
+    inside = features.sparkSession.sql(
+        "SELECT * FROM {features} WHERE transaction_timestamp >= :start AND transaction_timestamp < :after",
+        args={"start": dt.datetime.combine(start, dt.time()), "after": dt.datetime.combine(end + dt.timedelta(days=1), dt.time())},
+        features=features)
+    m = RATE_MEASURES
+    return inside.selectExpr(f"{m['total']} AS total_txns", f"{m['fraud']} AS fraud_txns", f"{m['fraud_rate']} AS fraud_rate",
+                             "count(DISTINCT customer_id) AS unique_customers")
 
 
 def _rate_by(features: DataFrame, key: str) -> DataFrame:
-    fraud01 = F.when(F.col("is_fraud"), 1).otherwise(0)
-    return features.groupBy(key).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum(fraud01).alias("fraud"),
-        (F.avg(fraud01) * 100).alias("fraud_rate"))
+    return features.groupBy(key).agg(*[F.expr(e).alias(n) for n, e in RATE_MEASURES.items()])
 
 
 def fraud_by_hour(features: DataFrame) -> DataFrame:
@@ -118,12 +120,28 @@ def recent_fraud_alerts(features: DataFrame, k: int = 20) -> DataFrame:
             .limit(k))
 
 
-def dashboard_pack(features: DataFrame, daily: DataFrame, as_of=DEFAULT_AS_OF, days: int = 30) -> dict[str, DataFrame]:
+def recent_fraud_alerts_lazy(features: DataFrame, basics: DataFrame, k: int = 20) -> DataFrame:
+    """G05 over features that are not stored: the k rows first, then the statistics of their customers alone.
+
+    ``features`` has the ALERT_FEATURES, ``basics`` the transactions that the
+    statistics come from.  At most k customers are broadcast.
+    """
+    from tallyrisk.plans.gold import customer_statistics, z_score
+
+    top = (features.filter(F.col("is_fraud")).orderBy(
+        F.col("transaction_timestamp").desc_nulls_first(), F.col("transaction_id").desc()).limit(k))
+    own = basics.join(F.broadcast(top.select("customer_id").distinct()), "customer_id", "left_semi")
+    rows = top.join(customer_statistics(own), "customer_id", "left").withColumn("amount_abs", F.abs("amount"))
+    return (rows.select("transaction_id", "customer_id", "transaction_timestamp", "amount", "merchant_category",
+                        "fraud_risk_tier", z_score().alias("amount_z_score"))
+            .orderBy(F.col("transaction_timestamp").desc_nulls_first(), F.col("transaction_id").desc()))
+
+
+def dashboard_pack(features: DataFrame, daily: DataFrame, as_of, days: int = 30) -> dict[str, DataFrame]:
     """The five dashboard queries for the default date range (lazy)."""
     start, end = default_window(as_of, days)
-    spark = features.sparkSession
     return {
-        "kpi_cards": kpi_cards(spark, features, start, end),
+        "kpi_cards": kpi_cards(features, start, end),
         "fraud_by_hour": fraud_by_hour(features),
         "risky_merchant_categories": risky_merchant_categories(features),
         "daily_trend": daily_trend(daily),

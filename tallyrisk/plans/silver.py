@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from tallyrisk.functions import rules
 from tallyrisk.functions.rules import bin_with, flag
 from tallyrisk.functions.temporal import (
-    DEFAULT_AS_OF, age_years, as_of_date, as_of_ts, elapsed_days_floor, is_business_hours,
+    age_years, as_of_date, as_of_ts, elapsed_days_floor, is_business_hours,
     is_night, is_weekend, time_of_day,
 )
 from tallyrisk.functions.text import digits_only, full_name, location_state, mask_tail, strip_ws
 from tallyrisk.operators import aggregates as agg
-from tallyrisk.operators.joins import join_dimension, keyed, left_join_fill
+from tallyrisk.operators.joins import join_dimension, left_join_fill
 
 MONEY = "decimal(12,2)"
 # Counts and sums are wider than the source DDL (INTEGER, NUMERIC(12,2)):
@@ -41,20 +41,20 @@ SILVER_CUSTOMER_COLUMNS = [
 ]
 
 
-def customer_basics(customers: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def customer_basics(customers: DataFrame, as_of) -> DataFrame:
     """The customer columns other tables are enriched with (same values as silver)."""
     return customers.select("customer_id", age_years(as_of, F.col("date_of_birth")).alias("age"),
                             rules.risk_level_score(F.col("risk_level")).alias("risk_score"))
 
 
-def account_basics(accounts: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def account_basics(accounts: DataFrame, as_of) -> DataFrame:
     """The account columns other tables are enriched with (same values as silver)."""
     return accounts.select("account_id", "current_balance",
                            F.datediff(as_of_date(as_of), F.col("opening_date")).alias("account_age_days"))
 
 
 def silver_customers(customers: DataFrame, interactions: DataFrame, fraud_reports: DataFrame,
-                     accounts: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+                     accounts: DataFrame, as_of) -> DataFrame:
     """Customers with demographics, tiers, contact, fraud and account totals.
 
     The account totals (D05) are joined in the same plan instead of a later
@@ -114,7 +114,7 @@ SILVER_ACCOUNT_COLUMNS = [
 ]
 
 
-def silver_accounts(accounts: DataFrame, transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def silver_accounts(accounts: DataFrame, transactions: DataFrame, as_of) -> DataFrame:
     """Accounts with masking, age, overdraft use, 30-day and fraud activity."""
     now = as_of_ts(as_of)
     limit = F.col("overdraft_limit")
@@ -169,18 +169,16 @@ SILVER_TRANSACTION_COLUMNS = [
 ]
 
 
-def silver_transactions(transactions: DataFrame, customers: DataFrame, accounts: DataFrame,
-                        as_of=DEFAULT_AS_OF) -> DataFrame:
-    """Transactions with time features, merchant cleanup and customer/account context.
+def transaction_basics(transactions: DataFrame) -> DataFrame:
+    """Transactions with time features and merchant cleanup, one row each, joined to nothing.
 
-    ``customers`` / ``accounts`` are silver frames (or anything with
-    ``customer_id, age, risk_score`` / ``account_id, current_balance``).
+    What needs no customer or account context (statistics, daily totals,
+    reports by hour or category) reads this and not the enriched table.
     """
-    now = as_of_ts(as_of)
     ts = F.col("transaction_date")
     hour = F.hour(ts)
     weekend = is_weekend(ts)
-    t = transactions.select(
+    return transactions.select(
         "transaction_id", "account_id", "customer_id", "transaction_type", "amount", "currency",
         "merchant_category", "merchant_location", "transaction_channel", "device_id",
         "ip_address", "is_fraud",
@@ -198,11 +196,25 @@ def silver_transactions(transactions: DataFrame, customers: DataFrame, accounts:
         is_business_hours(hour, weekend).alias("is_business_hours"),
         F.col("status").alias("transaction_status"),
     )
+
+
+def silver_transactions(transactions: DataFrame, customers: DataFrame, accounts: DataFrame,
+                        as_of) -> DataFrame:
+    """Transactions with time features, merchant cleanup and customer/account context.
+
+    ``customers`` / ``accounts`` are silver frames (or anything with
+    ``customer_id, age, risk_score`` / ``account_id, current_balance``), unique
+    on their keys by contract (checked by Q05).  They are joined as they are:
+    an aggregate on the key between exchange and join would keep the skew
+    split from a hot customer's or account's rows.
+    """
+    now = as_of_ts(as_of)
+    t = transaction_basics(transactions)
     cust = customers.select("customer_id", F.col("age").alias("customer_age"),
                             F.col("risk_score").alias("customer_risk_score"))
     acct = accounts.select("account_id", F.col("current_balance").alias("account_balance"))
-    t = join_dimension(t, keyed(cust, "customer_id"), "customer_id")
-    t = join_dimension(t, keyed(acct, "account_id"), "account_id")
+    t = join_dimension(t, cust, "customer_id")
+    t = join_dimension(t, acct, "account_id")
     return t.select(
         "transaction_id", "account_id", "customer_id", "transaction_timestamp", "transaction_date",
         "transaction_time", "transaction_type", _null_str().alias("transaction_subtype"),

@@ -52,16 +52,16 @@ ACCOUNT_EXPRS = {
     "overdraft_limit": "cast(case when (c_custkey + j) % 4 = 0 then (c_custkey * 13) % 5000 else 0 end as decimal(12,2))",
     "interest_rate": "cast(((c_custkey * 10 + j) * 17) % 4500 as decimal(12,3)) / 1000",
 }
-ACCOUNT_FILTER = "c_custkey % 71 <> 0"
 
 TRANSACTION_EXPRS = {
     "transaction_id": "cast(event_id as bigint)",
-    "account_id": "cast(user_id * 10 + event_id % (1 + user_id % 3) as bigint)",
-    "customer_id": "cast(user_id as bigint)",
+    # No account ends in 9: orphans.  Some rows have no customer; some customers always pay the same amount.
+    "account_id": "cast(user_id * 10 + case when event_id % 157 = 0 then 9 else event_id % (1 + user_id % 3) end as bigint)",
+    "customer_id": "cast(case when event_id % 331 = 0 then null else user_id end as bigint)",
     "transaction_date": "ts",
     "transaction_type": "case event_type when 'purchase' then 'POS Purchase' when 'click' then 'Online Payment' "
                         "when 'error' then 'ATM Withdrawal' when 'view' then 'Transfer' else 'Deposit' end",
-    "amount": "cast(case when k = 0 then value * 20 else value end as decimal(12,2)) * "
+    "amount": "cast(case when user_id % 53 = 0 then 19.99 when k = 0 then value * 20 else value end as decimal(12,2)) * "
               "(case when event_type in ('purchase', 'click', 'error') then -1 else 1 end)",
     "currency": "'USD'",
     "merchant_name": "case when event_id % 211 = 0 then null when k = 0 then case event_id % 5 "
@@ -105,7 +105,6 @@ FRAUD_REPORT_EXPRS = {
     "amount_lost": "cast(case when o_orderkey % 3 = 0 then 0 else (o_orderkey * 7919) % 10000 end as decimal(12,2))",
     "recovery_amount": "cast(case when o_orderkey % 7 = 0 then o_orderkey % 5000 else 0 end as decimal(12,2))",
 }
-FRAUD_REPORT_FILTER = "o_orderkey % 20 = 0"
 
 
 def _conform(df: DataFrame, exprs: dict[str, str], table: str) -> DataFrame:
@@ -135,7 +134,7 @@ def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, object]:
 
     def accounts() -> DataFrame:
         # Up to three accounts per customer: a generator, not a join.
-        rows = (_read(spark, sf_dir, "customer").filter(ACCOUNT_FILTER)
+        rows = (_read(spark, sf_dir, "customer")
                 .withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c_custkey") % 3))))
         return _conform(rows, ACCOUNT_EXPRS, "bronze_accounts")
 
@@ -143,8 +142,7 @@ def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, object]:
         return _conform(_read(spark, sf_dir, "orders"), INTERACTION_EXPRS, "bronze_interactions")
 
     def fraud_reports() -> DataFrame:
-        return _conform(_read(spark, sf_dir, "orders").filter(FRAUD_REPORT_FILTER), FRAUD_REPORT_EXPRS,
-                        "bronze_fraud_reports")
+        return _conform(_read(spark, sf_dir, "orders"), FRAUD_REPORT_EXPRS, "bronze_fraud_reports")
 
     def transactions() -> DataFrame:
         events = _read(spark, sf_dir, "events").withColumn("k", F.expr(TRANSACTION_K))

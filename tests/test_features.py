@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyrisk.plans.gold import fraud_features
+from oracle.registry import AS_OF
 
 T0 = dt.datetime(2024, 1, 1, 0, 0)
 TXN_SCHEMA = ("transaction_id int, customer_id int, account_id int, transaction_timestamp timestamp_ntz, "
@@ -42,7 +43,7 @@ def accounts(spark, customers):
 def feats(spark, rows, bucket_hours=24):
     t = txns(spark, rows)
     custs = sorted({r[1] for r in rows})
-    return {r.transaction_id: r for r in fraud_features(t, accounts(spark, custs), bucket_hours=bucket_hours).collect()}
+    return {r.transaction_id: r for r in fraud_features(t, accounts(spark, custs), AS_OF, bucket_hours=bucket_hours).collect()}
 
 
 def test_single_transaction_customer(spark):
@@ -138,8 +139,8 @@ def test_real_reserved_columns(spark, small_dir):
     from tallyrisk.operators import velocity
     L = registry.spark_layers(spark, small_dir)
     t, a = L["silver_transactions"], L["account_basics"]
-    real = fraud_features(t, a, parity=False).collect()
-    parity = {r.transaction_id: r for r in fraud_features(t, a).collect()}
+    real = fraud_features(t, a, AS_OF, parity=False).collect()
+    parity = {r.transaction_id: r for r in fraud_features(t, a, AS_OF).collect()}
     vel = {r.transaction_id: r for r in velocity.velocity_features(t).collect()}
     risk = {r.merchant_category: r.merchant_risk_score for r in velocity.merchant_category_risk(t).collect()}
     assert len(real) == len(parity)

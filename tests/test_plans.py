@@ -34,23 +34,53 @@ def test_date_range_reaches_the_scan(spark, small_dir):
     assert re.search(r"PushedFilters: \[[^\]]*LessThan\(ts,", plan)
 
 
-def test_aggregate_branches_do_not_rejoin_dimensions(spark, small_dir):
-    """Keyed dimensions let Catalyst drop enrichment joins the statistics do not read."""
+def _scans(df) -> list[str]:
+    return re.findall(r"Relation \[([a-z_]+)", df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_feature_plan_reads_events_twice(spark, small_dir):
+    """The rows and one summary; the summary joins no dimension."""
     df = registry.REGISTRY["H06_gold_fraud_features"].build(registry.spark_layers(spark, small_dir))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    relations = re.findall(r"Relation \[([a-z_]+)", plan)
-    # events: the rows plus two aggregate branches ((customer, bucket) summary, first
-    # sightings); each branch also reads (customer, time) for the hot-customer list
-    assert relations.count("event_id") == 6
-    # customer-derived dimensions are read only by the row branch (customers, accounts
-    # for the enrichment, accounts for the account age): the statistics scan events alone
-    assert relations.count("c_custkey") == 3
+    scans = _scans(df)
+    assert scans.count("event_id") == 2
+    assert scans.count("c_custkey") == 3  # customers and accounts for the context, accounts for their age
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1  # the rows' one full-width shuffle before the windows
+
+
+def test_reports_that_need_no_sequence_repartition_nothing(spark, small_dir):
+    for name in ("D10_kpi_cards", "D11_fraud_by_hour", "D12_risky_merchant_categories", "Q11_sample_fraud_features",
+                 "H08_current_fraud_alerts", "Q03_gold_row_counts"):
+        df = registry.REGISTRY[name].build(registry.spark_layers(spark, small_dir))
+        assert "REPARTITION_BY_COL" not in df._jdf.queryExecution().executedPlan().toString(), name
+        if name.startswith("D1"):
+            assert _scans(df).count("event_id") == 1, name
+    alerts = registry.REGISTRY["G05_recent_fraud_alerts"].build(registry.spark_layers(spark, small_dir))
+    assert "REPARTITION_BY_COL" not in alerts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_velocity_reads_events_six_times_and_joins_no_row_id(spark, small_dir):
+    df = registry.REGISTRY["E08_E15_velocity_real"].build(registry.spark_layers(spark, small_dir))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    df.write.format("noop").mode("overwrite").save()
+    assert not re.search(r"Join \[?.*transaction_id#\d+L?\], \[transaction_id", plan)
+    final = df._jdf.queryExecution()
+    final.executedPlan()
+    assert _scans(df).count("event_id") <= 12
+
+
+def test_foreign_key_check_reads_each_child_once(spark, small_dir):
+    df = registry.REGISTRY["Q06_foreign_key_orphans"].build(registry.spark_layers(spark, small_dir))
+    assert len(_scans(df)) <= 16
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_count(1)") >= 6  # children are counted by key before they are joined
 
 
 def test_sizing_for_100_tb():
     from tallyrisk.session import sizing_conf
     conf = sizing_conf(100 * 1024 ** 4, executor_cores=4, executors=1000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    # about 27,000 partitions of 1.5 GB, not hundreds of thousands
+    assert 20_000 < int(conf["spark.sql.shuffle.partitions"]) < 40_000
     small = sizing_conf(10 * 1024 ** 2, executor_cores=4, executors=2)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
 

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from oracle.registry import AS_OF
 from tallyrisk.plans import gold, reports
 
 T = dt.datetime(2024, 2, 1, 12)
@@ -20,8 +22,8 @@ def test_dashboard_fan_out_compat_and_corrected(spark):
         [(1, T, True), (1, T, True), (1, T, True), (1, T, False), (3, T, True),
          (2, T - dt.timedelta(days=200), True)],
         "customer_id int, transaction_timestamp timestamp_ntz, is_fraud boolean")
-    compat = {r.customer_id: r for r in reports.customer_risk_dashboard(c360, accts, txns, compat=True).collect()}
-    fixed = {r.customer_id: r for r in reports.customer_risk_dashboard(c360, accts, txns, compat=False).collect()}
+    compat = {r.customer_id: r for r in reports.customer_risk_dashboard(c360, accts, txns, AS_OF, compat=True).collect()}
+    fixed = {r.customer_id: r for r in reports.customer_risk_dashboard(c360, accts, txns, AS_OF, compat=False).collect()}
     # 2 accounts x 3 frauds: the source view counts 6; the true number is 3
     assert compat[1].fraud_count_90d == 6 and fixed[1].fraud_count_90d == 3
     assert compat[1].account_count == 2
@@ -36,7 +38,7 @@ def test_daily_without_fraud(spark):
         [(T, 1, 10.0, False), (T, 2, 5.0, False), (T + dt.timedelta(days=1), 1, 4.0, True)],
         "transaction_timestamp timestamp_ntz, customer_id int, amount_abs double, is_fraud boolean")
     t = t.withColumn("amount_abs", F.col("amount_abs").cast("decimal(12,2)"))
-    rows = {r.summary_date: r for r in gold.daily_fraud_summary(t).collect()}
+    rows = {r.summary_date: r for r in gold.daily_fraud_summary(t, AS_OF).collect()}
     d0, d1 = rows[T.date()], rows[(T + dt.timedelta(days=1)).date()]
     assert float(d0.fraud_rate) == 0.0 and d0.avg_fraud_amount is None and d0.affected_customers == 2
     assert float(d1.fraud_rate) == 1.0 and float(d1.avg_fraud_amount) == 4.0
@@ -46,16 +48,19 @@ def test_daily_without_fraud(spark):
 def test_layer_invariants(spark, small_dir):
     from tallyrisk.plans.layers import all_layers
     from tallyrisk.sources.fixtures import bronze_frames
-    L = all_layers(bronze_frames(spark, small_dir))
+    L = all_layers(bronze_frames(spark, small_dir), AS_OF)
     n_txn = L["bronze_transactions"].count()
     assert L["silver_transactions"].count() == n_txn
-    assert L["gold_fraud_features"].count() == n_txn
+    with_customer = L["bronze_transactions"].filter("customer_id IS NOT NULL").count()
+    assert 0 < with_customer < n_txn and L["gold_fraud_features"].count() == with_customer
+    assert L.features("transaction_id").count() == with_customer
     assert L["silver_customers"].count() == L["bronze_customers"].count()
     total = L["gold_daily_fraud_summary"].agg(F.sum("total_transactions")).first()[0]
     assert total == n_txn
-    # customers whose key is divisible by 71 have no account
-    no_acct = L["silver_customers"].filter(F.col("customer_id") % 71 == 0).collect()
-    assert no_acct and all(r.total_accounts == 0 and float(r.total_balance) == 0 for r in no_acct)
+    # customers who always pay the same amount, over many days
+    constant = L["gold_fraud_features"].filter(F.col("customer_id") % 53 == 0)
+    assert constant.select("transaction_timestamp").distinct().count() > 1
+    assert constant.filter("amount_z_score <> 0").count() == 0
     # per-customer mean of z is 0
     worst = (L["gold_fraud_features"].groupBy("customer_id")
              .agg(F.abs(F.avg(F.col("amount_z_score").cast("double"))).alias("m"))
@@ -66,7 +71,7 @@ def test_layer_invariants(spark, small_dir):
 def test_dashboard_pack_matches_registered_queries(spark, small_dir):
     from oracle import registry
     L = registry.spark_layers(spark, small_dir)
-    pack = reports.dashboard_pack(L["gold_fraud_features"], L["gold_daily_fraud_summary"])
+    pack = reports.dashboard_pack(L["gold_fraud_features"], L["gold_daily_fraud_summary"], AS_OF)
     assert set(pack) == {"kpi_cards", "fraud_by_hour", "risky_merchant_categories", "daily_trend",
                          "recent_fraud_alerts"}
     assert pack["kpi_cards"].first().total_txns > 0
@@ -87,3 +92,36 @@ def test_sql_over_registered_views(spark, small_dir):
                         "BETWEEN :start AND :end", {"start": _dt.date(2024, 1, 1), "end": _dt.date(2024, 1, 10)}).first().n
     direct = L["gold_fraud_features"].filter(F.to_date("transaction_timestamp") <= "2024-01-10").count()
     assert n == direct > 0
+
+
+ORDERED = {  # the order each report promises
+    "H08_current_fraud_alerts": "fraud_probability DESC, transaction_id",
+    "B19_daily_trend": "summary_date",
+    "D11_fraud_by_hour": "transaction_hour",
+    "D14_segment_by_risk": "segment NULLS LAST, risk_score NULLS LAST",
+    "D15_account_type_distribution": "account_count DESC, account_type",
+    "D17_fraud_by_hour_group": "list_position(['Late Night', 'Morning', 'Afternoon', 'Evening', 'Night'], hour_group)",
+    "G05_recent_fraud_alerts": "transaction_timestamp DESC, transaction_id DESC",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_reports_come_in_their_order(spark, small_dir, name):
+    import duckdb
+
+    from oracle import registry
+    c = duckdb.connect()
+    for t in ("customer", "nation", "orders", "events"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small_dir}/{t}.parquet')")
+    expected = c.execute(f"SELECT * FROM ({registry.oracle_text(name)}) o ORDER BY {ORDERED[name]}").fetchall()
+    got = [tuple(r) for r in registry.run_spark(name, spark, small_dir).collect()]
+    first = [str(r[0]) for r in expected]
+    assert len(expected) > 1 and [str(r[0]) for r in got] == first
+
+
+def test_recent_alerts_over_stored_and_lazy_features_are_the_same(spark, small_dir):
+    from oracle import registry
+    L = registry.spark_layers(spark, small_dir)
+    stored = reports.recent_fraud_alerts(L["gold_fraud_features"]).collect()
+    lazy = reports.recent_fraud_alerts_lazy(L.features(*reports.ALERT_FEATURES), L["transaction_basics"]).collect()
+    assert stored == lazy and 0 < len(stored) <= 20

@@ -99,7 +99,7 @@ def test_overdraft_utilisation_null_inputs(spark):
         "interest_rate double, last_updated timestamp_ntz")
     acc = acc.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMAS["bronze_accounts"].fields])
     txn = spark.createDataFrame([], RAW_SCHEMAS["bronze_transactions"])
-    rows = {r.account_id: r for r in silver_accounts(acc, txn).collect()}
+    rows = {r.account_id: r for r in silver_accounts(acc, txn, "2024-02-03 12:00:00").collect()}
     assert rows[1].overdraft_utilization is None
     assert float(rows[2].overdraft_utilization) == 0.0
     assert float(rows[3].overdraft_utilization) == 0.5
