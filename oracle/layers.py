@@ -3,6 +3,9 @@
 Written independently of the Spark code: windows are plain whole-customer
 windows here, which is the straightforward definition the Spark plan must
 reproduce.  ``as_of`` is fixed at 2024-02-03 12:00:00.
+
+Column names, thresholds, labels and keyword lists in these statements are
+fixed values: they must equal the source system's for the same results.
 """
 
 from __future__ import annotations

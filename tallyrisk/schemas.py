@@ -1,4 +1,8 @@
-"""The data contract: raw file schemas, table keys, foreign keys, text limits."""
+"""The data contract: raw file schemas, table keys, foreign keys, text limits.
+
+All names, types, keys and limits in this module are fixed values: they must
+equal the source system's.
+"""
 
 from __future__ import annotations
 
