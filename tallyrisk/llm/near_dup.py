@@ -54,6 +54,7 @@ LEAST_DEPTH = 3
 #: Nodes that one task compares: a region of the forest, a component of candidates.
 REGION = 4096
 COMPONENT = 20_000
+HUBS = 16
 _RNG = np.random.default_rng(20_11)
 MULTIPLIERS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -197,9 +198,14 @@ def _regions(nodes: DataFrame) -> DataFrame:
         if large.isEmpty():
             break
         crowd = stored(lean.join(large.select("region", "n"), "region").select("region", "node", "tree", "n"), "crowds")
+        parts = F.ceil(F.col("n") / REGION)
+        part = F.xxhash64("region", F.pmod(F.xxhash64("node", "tree"), parts))
+        if depth == LEAST_DEPTH + 1:
+            hubs = _hubs(crowd, nodes).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+            found.append(hubs.select(F.xxhash64("region", "part").alias("region"), "node").unionByName(
+                crowd.select(part.alias("region"), "node")).distinct())
         if depth > DEPTH:
-            parts = F.ceil(F.col("n") / REGION)
-            found.append(crowd.select(F.xxhash64("region", F.pmod(F.xxhash64("node", "tree"), parts)).alias("region"), "node"))
+            found.append(crowd.select(part.alias("region"), "node"))
             break
         lean = stored(keyed(crowd.select("node", "tree").join(nodes.select("node", "signature"), "node"), depth)
                       .select("region", "node", "tree"), "deeper")
@@ -212,6 +218,19 @@ def _regions(nodes: DataFrame) -> DataFrame:
     return out
 
 
+def _hubs(crowd: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(region, n, node): up to HUBS nodes of each region that agree most with its most frequent sketch bytes."""
+    rows = crowd.join(nodes.select("node", "sketch"), "node")
+    bytes_ = rows.select("region", "n", "node", F.posexplode(F.split(F.hex("sketch"), "(?<=\\G..)")).alias("place", "value"))
+    seen = bytes_.groupBy("region", "place", "value").agg(F.count("*").alias("c"))  # 256 values a place
+    usual = stored(seen.groupBy("region", "place").agg(F.max_by("value", "c").alias("usual")), "usual")
+    like = bytes_.join(usual, ["region", "place"]).groupBy("region", "n", "node").agg(
+        F.count_if(F.col("value") == F.col("usual")).alias("like"))
+    best = like.groupBy("region", "n", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("slot")).agg(
+        F.max_by("node", "like").alias("node"))
+    return best.select("region", "n", "node")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
