@@ -45,7 +45,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one, exactly or nearly."""
-    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "dropped", "text")
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "dropped", "kept_in", "text")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +107,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Near duplicates by all pairs that share a shingle, and their transitive closure.
+_OP8 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM w WHERE len(words) > 0) u),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+      GROUP BY 1, 2),
+links AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+          WHERE 100 * p.both >= 80 * (x.size + y.size - p.both)),
+e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(least.b, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.a = d.doc_id
+"""
+
+# Operators that no SQL expresses (trained, tokenizing, sequential or tiling ones) have none; see tests/llm.
+ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8}

@@ -252,7 +252,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_r, hash_r, dropped): the numbers, from 0, of the lines to drop from the documents that have any."""
+    """(id_r, hash_r, dropped, kept_in): the numbers, from 0, of the lines to drop from the documents that have
+    any, and the ids of the documents in which each one's group keeps its line."""
     spark = ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
                        F.col(text_col).cast("string").alias("text"))
@@ -291,8 +292,9 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     again = lines.join(winners, "node").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("winner.doc_id")) & (F.col("text_hash") == F.col("winner.text_hash"))
           & (F.col("line") == F.col("winner.line"))))
-    return stored(again.groupBy(F.col("doc_id").alias("id_r"), F.col("text_hash").alias("hash_r")).agg(
-        F.array_sort(F.collect_set("line")).alias("dropped")), "line-drops")
+    drops = again.groupBy(F.col("doc_id").alias("id_r"), F.col("text_hash").alias("hash_r")).agg(
+        F.array_sort(F.collect_set(F.struct("line", F.col("winner.doc_id").alias("kept")))).alias("d"))
+    return stored(drops.select("id_r", "hash_r", F.col("d.line").alias("dropped"), F.col("d.kept").alias("kept_in")), "line-drops")
 
 
 def _of(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
@@ -302,12 +304,13 @@ def _of(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_lines``, ``dropped`` (line numbers from 0) and the remaining ``text`` of every row."""
+    """``doc_id``, ``n_lines``, ``dropped`` (line numbers from 0), ``kept_in`` (for each, the id of the document
+    that keeps its group's line) and the remaining ``text`` of every row."""
     drops = repeated_lines(docs, similarity, min_words, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = StructType.fromDDL(f"doc_id {kind}, n_lines int, dropped array<int>, text string")
+    schema = StructType.fromDDL(f"doc_id {kind}, n_lines int, dropped array<int>, kept_in array<{kind}>, text string")
     arrow = to_arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,10 +322,12 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
                 number.append(len(lines))
                 texts.append(without(text, gone))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(number, pa.int32()), pa.array([d or [] for d in dropped], pa.list_(pa.int32())).cast(
-                    arrow.field(2).type), pa.array(texts, pa.string())], schema=arrow)
+                [batch.column(0), pa.array(number, pa.int32()), batch.column(2).cast(arrow.field(2).type),
+                 batch.column(3).cast(arrow.field(3).type), pa.array(texts, pa.string())], schema=arrow)
 
-    return _of(rows, small(drops), "left").select("doc_id", "text", "dropped").mapInArrow(cut, schema)
+    found = _of(rows, small(drops), "left")
+    return found.select("doc_id", "text", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
+                        F.coalesce("kept_in", F.array().cast(f"array<{kind}>")).alias("kept_in")).mapInArrow(cut, schema)
 
 
 def drop_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,

@@ -148,3 +148,15 @@ def test_spanning_links_ask_for_no_pair_twice():
 
     edges = spanning_links(30, linked)
     assert len(edges) == 27 and len(asked) == len(set(asked)) < 30 * 29 / 2
+
+
+def test_query_equals_its_sql(spark, small_dir):
+    import duckdb
+
+    from tallyrisk.llm.entries import ORACLE_SQL, QUERIES
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{small_dir}/documents.parquet')")
+    got = QUERIES["op8_near_dup"](spark, small_dir)
+    rows = c.execute(ORACLE_SQL["op8_near_dup"])
+    assert got.columns == [d[0] for d in rows.description]
+    assert sorted(map(tuple, got.collect())) == sorted(rows.fetchall())
