@@ -80,23 +80,23 @@ def text_counts(texts: pa.Array) -> tuple[dict[str, np.ndarray], Words]:
     }, words
 
 
-def word_features(vocabulary: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, word, weight) of every feature: the word itself 1, its n-grams 1 together."""
+def word_features(vocabulary: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of every word, buckets of all n-grams, the word of each n-gram, n-grams of every word."""
     grams, owner = ngram_hashes(vocabulary, 1, 4, buckets)
-    whole = (hash_strings(vocabulary, 5) % np.uint64(buckets)).astype(np.int64)
-    number = np.bincount(owner, minlength=len(vocabulary))
-    return (np.concatenate([whole, grams]), np.concatenate([np.arange(len(vocabulary)), owner]),
-            np.concatenate([np.ones(len(vocabulary)), 1.0 / number[owner]]))
+    whole = (hash_strings(vocabulary, 5) % np.uint64(buckets)).astype(np.int32)
+    return whole, grams.astype(np.int32), owner.astype(np.int32), np.bincount(owner, minlength=len(vocabulary))
 
 
-def word_scores(vocabulary: pa.Array, weights: np.ndarray) -> np.ndarray:
-    bucket, word, share = word_features(vocabulary, len(weights))
-    return np.bincount(word, weights=weights[bucket] * share, minlength=len(vocabulary))
+def word_scores(features: tuple, weights: np.ndarray) -> np.ndarray:
+    """A word's own weight and the mean of its n-grams'."""
+    whole, grams, owner, number = features
+    return weights[whole] + np.bincount(owner, weights=weights[grams], minlength=len(number)) / np.maximum(number, 1)
 
 
 def text_scores(words: Words, weights: np.ndarray, bias: float) -> np.ndarray:
     """Log-odds of each text; the intercept alone for a text without words."""
-    sums = segment_sums(word_scores(words.vocabulary, weights)[words.codes], words.bounds)
+    scores = word_scores(word_features(words.vocabulary, len(weights)), weights)
+    sums = segment_sums(scores[words.codes], words.bounds)
     return bias + sums / np.maximum(np.diff(words.bounds), 1)
 
 
@@ -106,17 +106,18 @@ def fit(texts: pa.Array, labels: np.ndarray, buckets: int = BUCKETS, steps: int
     learn = np.flatnonzero(~held)
     words = Words(texts.take(pa.array(learn)), lower=False)
     y = labels[learn].astype(float)
-    bucket, word, share = word_features(words.vocabulary, buckets)
+    features = word_features(words.vocabulary, buckets)
+    whole, grams, word, number = features
     owner, size = words.owner(), np.maximum(np.diff(words.bounds), 1)
     balance = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     weights, bias = np.zeros(buckets), np.zeros(1)
     adam = Adam(weights, bias, rate=0.1)
     for _ in range(steps):
-        scores = np.bincount(word, weights=weights[bucket] * share, minlength=len(words.vocabulary))
-        z = bias[0] + segment_sums(scores[words.codes], words.bounds) / size
+        z = bias[0] + segment_sums(word_scores(features, weights)[words.codes], words.bounds) / size
         error = (sigmoid(z) - y) * balance
         by_word = np.bincount(words.codes, weights=(error / size)[owner], minlength=len(words.vocabulary))
-        gradient = np.bincount(bucket, weights=by_word[word] * share, minlength=buckets)
+        gradient = np.bincount(whole, weights=by_word, minlength=buckets)
+        gradient += np.bincount(grams, weights=(by_word / np.maximum(number, 1))[word], minlength=buckets)
         adam.step(gradient + 1e-7 * weights, np.array([error.sum()]))
     rest = np.flatnonzero(held)
     z = text_scores(Words(texts.take(pa.array(rest)), lower=False), weights, bias[0])
