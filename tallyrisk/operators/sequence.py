@@ -50,7 +50,7 @@ def time_bucket(ts: Column, bucket_hours: int) -> Column:
 
 @dataclass
 class Cells:
-    """Crowded stretches by level: ("time" or "id", width or None, rows of key, b, s, i[, low])."""
+    """Crowded stretches by level: ("time" or "id", width, rows of _key, _b, _s, _i, _low, _width)."""
 
     bucket_hours: int
     levels: list[tuple[str, int, DataFrame]] = field(default_factory=list)
@@ -70,7 +70,7 @@ def _base(t: DataFrame, ts: str, bucket_hours: int) -> DataFrame:
 def _narrow(t: DataFrame, key: str, level: tuple[str, int, DataFrame], ts: str, row_id: str, bucket_hours: int) -> DataFrame:
     """One level down for the rows of the level's crowded stretches."""
     kind, width, crowded = level
-    c = crowded.select(F.col(key).alias("_ck"), F.col("_b").alias("_cb"), F.col("_s").alias("_cs"), F.col("_i").alias("_ci"),
+    c = crowded.select(F.col("_key").alias("_ck"), F.col("_b").alias("_cb"), F.col("_s").alias("_cs"), F.col("_i").alias("_ci"),
                        F.col("_low").alias("_cl"), F.col("_width").alias("_cw"))
     inside = (F.col(key).eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb")) & (F.col("_s") == F.col("_cs"))
               & (F.col("_i") == F.col("_ci")))
@@ -98,7 +98,7 @@ def split_cells(t: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int,
     rows = _base(t.select(key, ts, row_id), ts, bucket_hours)
     where = [key, "_b", "_s", "_i"]
     kind_of = t.schema[key].dataType.simpleString()
-    schema = f"{key} {kind_of}, _b long, _s long, _i long, _low long, _width long"
+    schema = f"_key {kind_of}, _b long, _s long, _i long, _low long, _width long"
     width, kind = bucket_hours * 3_600_000_000, "time"
     ids = [F.min(F.col(row_id).cast("long")).alias("_lo"), F.max(F.col(row_id).cast("long")).alias("_hi")] if integral else []
     while True:
@@ -122,7 +122,7 @@ def split_cells(t: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int,
         cells.levels.append((kind, width or 0, table))
         if kind == "time":
             width = max(1, width // FAN_OUT)
-        inside = table.select(*[F.col(c).alias(f"_in{n}") for n, c in enumerate(where)])
+        inside = table.select(*[F.col(c).alias(f"_in{n}") for n, c in enumerate(["_key", *where[1:]])])
         same = F.lit(True)
         for n, c in enumerate(where):
             same = same & F.col(c).eqNullSafe(F.col(f"_in{n}"))
@@ -188,11 +188,6 @@ def group_summary(t: DataFrame, key: str, ts: str, value: str, group: str) -> Da
         (F.min("_place").over(Window.partitionBy(key, "_group")) == F.col("_place")).alias("_new_group"))
 
 
-def first_buckets(t: DataFrame, key: str, group: str) -> DataFrame:
-    """(key, bucket, group): the bucket in which the group value (NULL being one) first appears for the key."""
-    return t.groupBy(key, F.col(group).alias("_group")).agg(F.min("_bucket").alias("_bucket"))
-
-
 def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "transaction_timestamp",
                            row_id: str = "transaction_id", value: str = "amount_abs",
                            group: str = "merchant_category",

@@ -15,19 +15,17 @@ built, and nothing is joined on the row id: rows meet their running sums by
 
 First sightings (E14, E15) are a ``row_number`` per (key, bucket, value) in the
 rows hashed on (key, bucket), where the bucket is the value's first one for the
-key (an aggregate joined on key, bucket and value).  Daily breakdowns (M-24)
+key (an aggregate whose entries share the rows' shuffle).  Daily breakdowns (M-24)
 and repeat victims (E16) are keyed aggregates.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrisk.operators.joins import join_dimension
-from tallyrisk.operators.sequence import Cells, first_buckets, split_cells, with_cells
+from tallyrisk.operators.sequence import Cells, split_cells, with_cells
 
 ONE_MICRO = "INTERVAL '0.000001' SECOND"
 
@@ -49,7 +47,7 @@ def changes(rows: DataFrame, key: str, ts: str, measures: dict[str, tuple[int, C
     return rows.select(key, F.explode(F.array(*steps)).alias("e")).select(key, "e.*")
 
 
-def distinct_changes(rows: DataFrame, key: str, ts: str, row_id: str, value: str, width_hours: int, cells: Cells,
+def distinct_changes(rows: DataFrame, key: str, ts: str, value: str, width_hours: int, cells: Cells,
                      name: str) -> DataFrame:
     """(key, _t, name): changes of the number of distinct non-NULL ``value`` in the frame.
 
@@ -58,8 +56,8 @@ def distinct_changes(rows: DataFrame, key: str, ts: str, row_id: str, value: str
     first.  The next time of a (key, value) is a ``lead`` inside its (key,
     value, bucket), or else the first time of its next non-empty bucket.
     """
-    pts = rows.filter(F.col(value).isNotNull()).groupBy(key, value, F.col(ts).alias("_p")).agg(F.min(row_id).alias("_id"))
-    pts = with_cells(pts, key, "_p", "_id", _by_time(cells))
+    pts = rows.filter(F.col(value).isNotNull()).select(key, value, F.col(ts).alias("_p")).distinct()
+    pts = with_cells(pts.withColumn("_id", F.lit(0).cast("long")), key, "_p", "_id", _by_time(cells)).drop("_id")
     pts = pts.withColumn("_lead", F.lead("_p").over(Window.partitionBy(key, value, "_bucket").orderBy("_p")))
     firsts = pts.groupBy(key, value, "_bucket").agg(F.min("_p").alias("_first"))
     chain = firsts.select(key, value, "_bucket", F.lead("_first").over(
@@ -124,23 +122,35 @@ def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
     name = f"distinct_{value}"
     # Every row's time is an entry, also where nothing changes.
     still = rows.select(key, F.col(ts).alias("_t"), F.lit(0).cast("long").alias(name))
-    moves = distinct_changes(rows, key, ts, row_id, value, width_hours, cells, name).unionByName(still)
+    moves = distinct_changes(rows, key, ts, value, width_hours, cells, name).unionByName(still)
     return _at(rows.select(key, ts, row_id), key, ts, cumulative(moves, key, [name], cells), {name: name}).select(row_id, name)
 
 
 def with_first_sightings(rows: DataFrame, key: str, ts: str, row_id: str, columns: dict[str, str], cells: Cells) -> DataFrame:
-    """Add flags (name -> column): the key's first row, by (ts, row_id), with this value of the column."""
-    t = with_cells(rows, key, ts, row_id, cells)
-    out = t.repartition(F.col(key), F.col("_bucket"))
+    """Add flags (name -> column): the key's first row, by (ts, row_id), with this value of the column (NULL being one).
+
+    One aggregate finds every value's first bucket.  These (key, bucket,
+    value) entries join the rows' own shuffle on (key, bucket) as marks, so a
+    window by value sees whether its bucket is the value's first; the first
+    row in the bucket is a ``row_number``.
+    """
+    t = with_cells(rows, key, ts, row_id, cells).withColumn("_mark", F.lit(-1))
+    names = list(columns)
+    values = F.array(*[F.struct(F.lit(n).alias("_mark"), F.col(columns[name]).cast("string").alias("_v"))
+                       for n, name in enumerate(names)])
+    firsts = (t.select(key, "_bucket", F.explode(values).alias("e")).select(key, "_bucket", "e.*")
+              .groupBy(key, "_mark", "_v").agg(F.min("_bucket").alias("_bucket")))
+    shown = {f"_v{n}": F.col(columns[name]).cast("string") for n, name in enumerate(names)}
+    marks = firsts.select(key, "_bucket", "_mark", *[
+        F.when(F.col("_mark") == n, F.col("_v")).alias(f"_v{n}") for n in range(len(names))])
+    out = t.withColumns(shown).unionByName(marks, allowMissingColumns=True).repartition(F.col(key), F.col("_bucket"))
+    real = F.col("_mark") == -1
     order = [F.col(ts).asc_nulls_last(), F.col(row_id)]
-    for name, column in columns.items():
-        first = first_buckets(t, key, column).select(
-            F.col(key).alias("_k"), F.col("_bucket").alias("_kb"), F.col("_group").alias("_v"), F.lit(True).alias("_new"))
-        out = out.join(first, (F.col(key) == F.col("_k")) & (F.col("_bucket") == F.col("_kb"))
-                       & F.col(column).eqNullSafe(F.col("_v")), "left").drop("_k", "_kb", "_v")
-        place = F.row_number().over(Window.partitionBy(key, "_bucket", column).orderBy(*order))
-        out = out.withColumn(name, F.coalesce(F.col("_new"), F.lit(False)) & (place == 1)).drop("_new")
-    return out.drop("_bucket")
+    for n, name in enumerate(names):
+        new = F.max(F.col("_mark") == n).over(Window.partitionBy(key, "_bucket", f"_v{n}"))
+        place = F.row_number().over(Window.partitionBy(key, "_bucket", f"_v{n}", real).orderBy(*order))
+        out = out.withColumn(name, new & (place == 1))
+    return out.filter(real).drop("_bucket", "_mark", *shown)
 
 
 VELOCITY_COLUMNS = ["transaction_count_1h", "transaction_count_24h", "transaction_amount_24h", "unique_merchants_24h",
@@ -161,7 +171,7 @@ def with_velocity(t: DataFrame, rows_per_bucket: int | None = 2_000_000, bucket_
 
     rolled = {"n1": (1, None), "n24": (24, None), "sum24": (24, F.col("amount_abs"))}
     moves = changes(of_customer, "customer_id", ts, rolled)
-    merchants = distinct_changes(of_customer, "customer_id", ts, row, "merchant_name_clean", 24, c_cells, "merchants")
+    merchants = distinct_changes(of_customer, "customer_id", ts, "merchant_name_clean", 24, c_cells, "merchants")
     zero = {n: F.lit(0).cast(moves.schema[n].dataType).alias(n) for n in rolled}
     both = moves.select("customer_id", "_t", *rolled, F.lit(0).cast("long").alias("merchants")).unionByName(
         merchants.select("customer_id", "_t", *zero.values(), "merchants"))
@@ -169,11 +179,12 @@ def with_velocity(t: DataFrame, rows_per_bucket: int | None = 2_000_000, bucket_
     account = cumulative(changes(of_account, "account_id", ts, {"n7d": (24 * 7, None), "balance": (24, F.col("amount"))}),
                          "account_id", ["n7d", "balance"], a_cells)
 
-    seen = with_first_sightings(of_customer, "customer_id", ts, row,
-                                {"is_new_device": "device_id", "is_new_location": "merchant_location"}, c_cells)
-    no = {"is_new_device": F.lit(False), "is_new_location": F.lit(False)}
-    rest = t.filter(F.col("customer_id").isNull() | F.col(ts).isNull()).withColumns(no)
-    out = reduce(DataFrame.unionByName, [seen, rest])
+    # Rows without a customer or time are dealt out by their id, so that they are one more pass of nothing.
+    placed = F.col("customer_id").isNotNull() & F.col(ts).isNotNull()
+    alone = F.lit(-1) - F.pmod(F.xxhash64(row), F.lit(1 << 40))
+    out = with_first_sightings(t.withColumn("_who", F.when(placed, F.col("customer_id").cast("long")).otherwise(alone)), "_who",
+                               ts, row, {"is_new_device": "device_id", "is_new_location": "merchant_location"}, c_cells)
+    out = out.withColumns({c: F.col(c) & placed for c in ("is_new_device", "is_new_location")}).drop("_who")
     out = _at(out, "customer_id", ts, customer, {
         "transaction_count_1h": "n1", "transaction_count_24h": "n24", "transaction_amount_24h": "sum24",
         "unique_merchants_24h": "merchants"})
