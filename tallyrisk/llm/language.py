@@ -61,7 +61,7 @@ def state_features(vocabulary: pa.Array, lexicon: tuple[np.ndarray, np.ndarray])
         hit = np.flatnonzero(known[at] == whole)
         buckets.append(BUCKETS + label[at[hit]])
         words.append(hit)
-    return np.concatenate(buckets), np.concatenate(words)
+    return np.concatenate(buckets).astype(np.int32), np.concatenate(words).astype(np.int32)
 
 
 def state_scores(vocabulary: pa.Array, weights: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -80,7 +80,7 @@ def forward_backward(scores: np.ndarray, bounds: np.ndarray, transition: np.ndar
     order = np.argsort(-lengths, kind="stable")
     starts, sizes = bounds[:-1][order], lengths[order]
     e = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
-    move = np.exp(transition)
+    move = np.exp(transition).astype(scores.dtype)
     steps = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # chains longer than t
     alpha = np.empty_like(e)
@@ -179,7 +179,7 @@ def identify_language(docs: DataFrame, learn_from: Column | None = None, per_lab
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1000):
             names, score, counts = label_texts(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names), pa.array(score), pa.array(counts, arrow.field(3).type)], schema=arrow)
@@ -196,7 +196,7 @@ def drop_unidentified(docs: DataFrame, least: float = 0.3, per_label: int = 300,
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1000):
             names, score, _ = label_texts(batch.column(at), shared.value)
             yield batch.filter(pa.array((np.array(names) != UNKNOWN) & (score >= least)))
 
@@ -227,7 +227,7 @@ def label_texts(texts: pa.Array, model: tuple) -> tuple[list[str], np.ndarray, l
         return [UNKNOWN] * n, np.zeros(n), [[]] * n
     words = Words(texts)
     letters = pc.match_substring_regex(words.vocabulary, r"\p{L}").to_numpy(zero_copy_only=False)
-    scores = state_scores(words.vocabulary, weights, lexicon)[words.codes]
+    scores = state_scores(words.vocabulary, weights, lexicon).astype(np.float32)[words.codes]
     gamma, _ = forward_backward(scores, words.bounds, transition)
     counted = letters[words.codes] if len(words.codes) else np.empty(0, bool)
     owner = words.owner()[counted]
