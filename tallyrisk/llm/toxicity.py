@@ -60,19 +60,20 @@ def segments(bounds: np.ndarray, size: int = SEGMENT) -> tuple[np.ndarray, np.nd
     return np.concatenate([starts, bounds[-1:]]), first
 
 
-def frequent(texts: pa.Array, least: int = 0) -> np.ndarray:
+def frequent(texts: pa.Array, least: int | None = None, chunk: int = 500) -> np.ndarray:
     """Buckets that occur in at least ``least`` of the texts (default: MIN_TEXTS)."""
-    words = Words(texts)
-    bucket, word, _ = word_grams(words.vocabulary)
-    order = np.argsort(word, kind="stable")
-    ends = np.cumsum(np.bincount(word, minlength=len(words.vocabulary)))
     number = np.zeros(BUCKETS, np.int64)
-    for i in range(len(words)):
-        codes = np.unique(words.codes[words.bounds[i]:words.bounds[i + 1]])
-        starts, stops = np.where(codes > 0, ends[codes - 1], 0), ends[codes]
-        at = np.repeat(starts - np.concatenate([[0], np.cumsum(stops - starts)[:-1]]), stops - starts) + np.arange((stops - starts).sum())
-        number[np.unique(bucket[order[at]])] += 1
-    return number >= (least or MIN_TEXTS)
+    for low in range(0, len(texts), chunk):
+        words = Words(texts.take(pa.array(np.arange(low, min(low + chunk, len(texts))))))
+        bucket, word, _ = word_grams(words.vocabulary)
+        order = np.argsort(word, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words.vocabulary)))])
+        for i in range(len(words)):
+            codes = np.unique(words.codes[words.bounds[i]:words.bounds[i + 1]])
+            sizes = ends[codes + 1] - ends[codes]
+            at = np.repeat(ends[codes] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            number[np.unique(bucket[order[at]])] += 1
+    return number >= (MIN_TEXTS if least is None else least)
 
 
 def soft_maximum(z: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +85,7 @@ def soft_maximum(z: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return top + np.log(total), e / np.repeat(total, number)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, share: np.ndarray, epochs: int = 8, batch: int = 32,
+def fit(texts: pa.Array, labels: np.ndarray, share: np.ndarray, epochs: int = 6, batch: int = 32,
         rate: float = 0.3, seed: int = 5) -> tuple[np.ndarray, float, float, float]:
     """A log-odds value for every bucket, the bias, and the calibration a, b.
 
@@ -147,7 +148,7 @@ def log_odds(words: Words, odds: np.ndarray, bias: float) -> np.ndarray:
     return soft_maximum(means + bias, first)[0] if len(words) else np.empty(0)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, per_label: int = 2000,
+def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, per_label: int = 4000,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) of every row.
 

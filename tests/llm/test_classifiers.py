@@ -151,6 +151,17 @@ def test_toxicity_without_labels(spark, make):
     assert toxicity.score_toxicity(docs.limit(0), none).count() == 0
 
 
+def test_frequent_buckets_by_counting(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [prose(rng, int(rng.integers(0, 20))) for _ in range(60)]
+    count = collections.Counter()
+    for t in texts:
+        vocabulary = pa.array(sorted(set(t.split())), pa.large_string())
+        count.update(set(toxicity.word_grams(vocabulary)[0].tolist()) if len(vocabulary) else ())
+    expected = {b for b, n in count.items() if n >= 5}
+    assert set(np.flatnonzero(toxicity.frequent(pa.array(texts, pa.large_string()), 5, chunk=7)).tolist()) == expected
+
+
 def test_segments_cover_every_word_once():
     cuts, first = toxicity.segments(np.array([0, 0, 5, 90]), 40)
     assert cuts.tolist() == [0, 0, 5, 45, 85, 90] and first.tolist() == [0, 1, 2, 5]
