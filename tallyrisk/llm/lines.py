@@ -272,7 +272,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     near = cells.repartition(width, "region").sortWithinPartitions("region").select("region", "node", "simhash")
     near = stored(near.mapInArrow(lambda it: _near(it, pair_arrow), pair), "line-near")
     candidates = stored(connected_components(near), "line-candidates")
-    wanted = units(candidates, cells.select("region", "node"), COMPONENT).join(
+    weighed = candidates.withColumn("weight", F.lit(1))
+    wanted = units(weighed, cells.select("region", "node"), COMPONENT).join(
         nodes.select("node", "first", "simhash"), "node")
     wanted = stored(wanted.groupBy(F.col("first.doc_id").alias("id_r"), F.col("first.text_hash").alias("hash_r")).agg(
         F.collect_list(F.struct("unit", "node", "simhash", F.col("first.line").alias("line"))).alias("wanted")), "wanted")

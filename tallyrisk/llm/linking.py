@@ -8,8 +8,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a stored table (of a few dozen bytes a row) is broadcast instead of shuffled against.
+from tallyrisk.operators.joins import estimated_bytes
+
+#: Rows and bytes of files up to which a stored table is broadcast instead of shuffled against.
 SMALL_ROWS = 200_000
+SMALL_BYTES = 16 << 20
 
 
 def spanning_links(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
@@ -33,13 +36,13 @@ def spanning_links(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> l
 
 
 def units(candidates: DataFrame, regions: DataFrame, most: int) -> DataFrame:
-    """(unit, node): every candidate component (node, root) of up to ``most`` nodes is a unit.
+    """(unit, node): every candidate component (node, root, weight) of up to ``most`` in weight is a unit.
 
     Of larger ones the regions (region, node) that the candidates came from
     are, each bounded already.
     """
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > most).select("root")
+    sizes = candidates.groupBy("root").agg(F.sum("weight").alias("weight"))
+    large = sizes.filter(F.col("weight") > most).select("root")
     if large.isEmpty():
         return candidates.select(F.col("root").alias("unit"), "node")
     within = candidates.join(large, "root").select("node")
@@ -48,5 +51,6 @@ def units(candidates: DataFrame, regions: DataFrame, most: int) -> DataFrame:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """A stored table of at most SMALL_ROWS rows marked for broadcast; any other as it is."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+    """A stored table within both bounds marked for broadcast; any other as it is."""
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= SMALL_BYTES and df.count() <= SMALL_ROWS else df

@@ -51,9 +51,9 @@ from .linking import small, spanning_links, units
 TREES = 16
 DEPTH = 8
 LEAST_DEPTH = 3
-#: Nodes that one task compares: a region of the forest, a component of candidates.
-REGION = 4096
-COMPONENT = 20_000
+#: Nodes of one region of the forest, and shingles of one component of candidates, that one task compares.
+REGION = 1024
+COMPONENT = 10_000_000
 HUBS = 16
 _RNG = np.random.default_rng(20_11)
 MULTIPLIERS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -201,7 +201,7 @@ def _regions(nodes: DataFrame) -> DataFrame:
         parts = F.ceil(F.col("n") / REGION)
         part = F.xxhash64("region", F.pmod(F.xxhash64("node", "tree"), parts))
         if depth == LEAST_DEPTH + 1:
-            hubs = _hubs(crowd, nodes).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+            hubs = _hubs(crowd.withColumn("part", part), nodes).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
             found.append(hubs.select(F.xxhash64("region", "part").alias("region"), "node").unionByName(
                 crowd.select(part.alias("region"), "node")).distinct())
         if depth > DEPTH:
@@ -218,15 +218,38 @@ def _regions(nodes: DataFrame) -> DataFrame:
     return out
 
 
+def _closest(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Of each part (rows: part, region, n, node, sketch) the HUBS nodes that agree most with its usual bytes."""
+    width = len(MULTIPLIERS)
+    places = np.arange(width) * 256
+    for table, cuts in groups(batches, "part"):
+        sketches = np.frombuffer(b"".join(flat_array(table["sketch"]).to_pylist()), np.uint8).reshape(-1, width)
+        rows, like = [], []
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            own = sketches[start:stop]
+            usual = np.bincount((own + places).ravel(), minlength=256 * width).reshape(width, 256).argmax(axis=1)
+            agree = (own == usual).sum(axis=1)
+            best = np.argsort(-agree, kind="stable")[:HUBS]
+            rows.append(start + best)
+            like.append(agree[best])
+        at = pa.array(np.concatenate(rows))
+        yield pa.RecordBatch.from_arrays([
+            flat_array(table["region"]).take(at), flat_array(table["n"]).take(at), flat_array(table["node"]).take(at),
+            pa.array(np.concatenate(like).astype(np.int64))], schema=schema)
+
+
 def _hubs(crowd: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(region, n, node): up to HUBS nodes of each region that agree most with its most frequent sketch bytes."""
-    rows = crowd.join(nodes.select("node", "sketch"), "node")
-    bytes_ = rows.select("region", "n", "node", F.posexplode(F.split(F.hex("sketch"), "(?<=\\G..)")).alias("place", "value"))
-    seen = bytes_.groupBy("region", "place", "value").agg(F.count("*").alias("c"))  # 256 values a place
-    usual = stored(seen.groupBy("region", "place").agg(F.max_by("value", "c").alias("usual")), "usual")
-    like = bytes_.join(usual, ["region", "place"]).groupBy("region", "n", "node").agg(
-        F.count_if(F.col("value") == F.col("usual")).alias("like"))
-    best = like.groupBy("region", "n", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("slot")).agg(
+    """(region, n, node): up to HUBS nodes of each region (rows: part, region, n, node) that stand closest to the others.
+
+    Every part names its closest ones; of these the best in each of HUBS slots
+    stay, so neither step looks at more than a part or a slot's maximum.
+    """
+    schema = StructType.fromDDL("region long, n long, node binary, like long")
+    arrow = to_arrow_schema(schema)
+    width = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = crowd.join(nodes.select("node", "sketch"), "node").select("part", "region", "n", "node", "sketch")
+    named = rows.repartition(width, "part").sortWithinPartitions("part").mapInArrow(lambda it: _closest(it, arrow), schema)
+    best = named.groupBy("region", "n", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("slot")).agg(
         F.max_by("node", "like").alias("node"))
     return best.select("region", "n", "node")
 
@@ -250,6 +273,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
     # One node a distinct set, with one row of it whose text stands for all.
     nodes = stored(signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"),
+        F.first("n_shingles").alias("weight"),
         F.first("sketch").alias("sketch"), F.first("signature").alias("signature")), "nodes")
     regions = stored(_regions(nodes), "forest")
     sketch = nodes.select("node", "sketch")
@@ -261,7 +285,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
         lambda it: _estimated(it, similarity / 100 - 0.2, pair_arrow), pair), "near")
     candidates = stored(connected_components(near), "candidates")
 
-    ids = units(candidates, regions, COMPONENT).join(nodes.select("node", "row"), "node").select(
+    weighed = candidates.join(nodes.select("node", "weight"), "node")
+    ids = units(weighed, regions, COMPONENT).join(nodes.select("node", "row"), "node").select(
         "unit", "node", F.col("row.doc_id").alias("id_r"), F.col("row.text_hash").alias("hash_r"))
     texts = rows.join(small(stored(ids, "wanted")),
                       F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")))

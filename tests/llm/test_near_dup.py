@@ -73,7 +73,7 @@ def test_small_regions_and_units_find_the_same(spark, make, monkeypatch):
     rows += [(1000 + i, prose(rng, 60)) for i in range(50)]
     expected, _ = brute(rows, 5, 80)
     monkeypatch.setattr(n, "REGION", 24)
-    monkeypatch.setattr(n, "COMPONENT", 50)
+    monkeypatch.setattr(n, "COMPONENT", 5000)
     got = n.near_duplicates(make(rows)).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
 
