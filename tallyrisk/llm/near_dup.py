@@ -186,7 +186,7 @@ def _regions(nodes: DataFrame) -> DataFrame:
 
     rows = nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     lean = keyed(rows, LEAST_DEPTH).select("region", "node", "tree")
-    sizes = stored(lean.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.shiftright(F.xxhash64("node"), 8)).alias("members"))
+    sizes = stored(lean.groupBy("region").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"))
                    .filter(F.col("n") > 1), "regions")
     found = []
     for depth in range(LEAST_DEPTH + 1, DEPTH + 2):
@@ -210,7 +210,7 @@ def _regions(nodes: DataFrame) -> DataFrame:
         lean = stored(keyed(crowd.select("node", "tree").join(nodes.select("node", "signature"), "node"), depth)
                       .select("region", "node", "tree"), "deeper")
         sizes = stored(lean.groupBy("region").agg(
-            F.count("*").alias("n"), F.sum(F.shiftright(F.xxhash64("node"), 8)).alias("members"))
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"))
             .filter(F.col("n") > 1), "regions")
     out = found[0]
     for more in found[1:]:

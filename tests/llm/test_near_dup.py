@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyrisk.llm import near_dup as n
 from tallyrisk.llm.components import connected_components
@@ -160,3 +161,12 @@ def test_query_equals_its_sql(spark, small_dir):
     rows = c.execute(ORACLE_SQL["op8_near_dup"])
     assert got.columns == [d[0] for d in rows.description]
     assert sorted(map(tuple, got.collect())) == sorted(rows.fetchall())
+
+
+def test_region_fingerprint_never_overflows(spark):
+    """Nodes whose hashes are all large: a sum of them leaves the range of a long."""
+    nodes = spark.range(3000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("node"))
+    nodes = nodes.filter(F.xxhash64("node") > 1 << 62).withColumn("signature", F.array_repeat(F.lit(1), n.TREES * n.DEPTH))
+    number = nodes.count()
+    assert 600 < number <= n.REGION
+    assert n._regions(nodes).select("node").distinct().count() == number
