@@ -1,14 +1,24 @@
-"""Line dedup: fuzzy lines by SimHash, pigeonhole blocks and edit similarity.
+"""Line dedup: fuzzy lines by SimHash and MinHash blocks, linked by edit similarity alone.
 
 Lines are normalised (lower case, digits alike, punctuation around words and
 extra white space gone).  Equal normalised lines are one node from the start.
-Each node gets a 64-bit SimHash of its words, weighted by their length; two
-lines within three bits share one of four 16-bit blocks, so lines are joined on
-blocks.  A block shared by too many lines is split by the next pigeonhole: the
-other 48 bits make four parts of which one must agree as well.  Lines are
-linked when their SimHashes differ in at most three bits and their edit
-similarity (1 - Levenshtein distance / longer length, on the normalised lines)
-is at least the threshold.  Of each connected group the first occurrence, by
+Two lines are linked when their edit similarity (1 - Levenshtein distance /
+longer length, on the normalised lines) is at least the threshold.  Two
+searches find the candidates, and only them:
+
+- a 64-bit SimHash of the words, weighted by their length: two lines within
+  three bits share one of four 16-bit blocks, so lines are joined on blocks.  A
+  block shared by too many lines is split by the next pigeonhole: the other 48
+  bits make four parts of which one must agree as well;
+- 32 minima over the set of words (MinHash; long words are proportionally likelier
+  to be one, so that a word counts by its characters, as in the edit distance), a
+  byte each: lines are joined on groups of three, those of few words on groups of
+  two as well, and compared by how many of the 32 agree in half a byte.
+
+Cells that stay too large for one task are cut into pieces, and every two
+pieces meet in one task, so each pair of lines is still compared.
+
+Of each connected group the first occurrence, by
 (doc_id, line), is kept.
 
 Scale.  Repeats are combined map-side before anything is joined, so a line
@@ -40,12 +50,23 @@ from .components import connected_components
 from .decontamination import PUNCTUATION
 from .linking import small, spanning_links, units
 
-BITS = 3
+#: Bits of the SimHashes in which linked lines may differ: any, edit similarity alone decides.
+BITS = 64
+#: Bits in which candidates found by blocks of the SimHash differ at most; four blocks find all of these.
+BLOCK_BITS = 3
+#: Minima of a line; those that agree (in four bits, by chance one in 16) in candidates found by groups of them.
+MINIMA = 32
+AGREEING = 12
+TRIPLES = [(3 * k, 3 * k + 1, 3 * k + 2) for k in range(10)] + [(30, 0, 10), (31, 5, 15)]
+#: Words up to which a line is also found by pairs of minima: there one changed word is a large share of it.
+SHORT = 16
+PAIRS = [(2 * k, 2 * k + 1) for k in range(MINIMA // 2)]
 SIMILARITY = 0.8
 MIN_WORDS = 5
-#: Lines of one block that are compared together; more split it, see above.
+#: Lines of one block that are compared together; more split it, and above PART cut it into pieces, see above.
 CROWD = 2000
 PART = 20_000
+SLOTS = 1 << 18
 COMPONENT = 20_000
 
 
@@ -102,6 +123,21 @@ class Lines:
             out |= (2 * (sums >> np.uint64(32)) > total).astype(np.uint64) << np.uint64(k + 32)
         return out
 
+    def minima(self) -> np.ndarray:
+        """MINIMA bytes a line: hashes of the least of its words in as many orders, in each of which a word is first
+        with a probability proportional to its length."""
+        out = np.zeros((len(self.bounds) - 1, MINIMA), np.uint8)
+        if not len(out):
+            return out
+        h = hash_strings(self.vocabulary, 31)
+        weight = 1.0 + np.minimum(pc.utf8_length(self.vocabulary).to_numpy(zero_copy_only=False), 30)
+        for k in range(MINIMA):
+            even = ((mix64(h + np.uint64(7919 * k + 1)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
+            place = (-np.log(even) / weight).astype(np.float32)
+            least = np.minimum.reduceat(place[self.codes], self.bounds[:-1])
+            out[:, k] = mix64(least.view(np.uint32).astype(np.uint64)) & np.uint64(255)
+        return out
+
     def text(self, i: int) -> str:
         return " ".join(self.vocabulary.take(pa.array(self.codes[self.bounds[i]:self.bounds[i + 1]])).to_pylist())
 
@@ -148,7 +184,9 @@ def _occurrences(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.S
         at = pa.array(lines.owner)
         yield pa.RecordBatch.from_arrays([
             batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.place.astype(np.int32)),
-            pa.array(lines.keys(), pa.binary()), pa.array(lines.simhashes().view(np.int64))], schema=schema)
+            pa.array(lines.keys(), pa.binary()), pa.array(lines.simhashes().view(np.int64)),
+            pa.array([row.tobytes() for row in lines.minima()], pa.binary()),
+            pa.array(np.diff(lines.bounds).astype(np.int32))], schema=schema)
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
@@ -181,10 +219,60 @@ def _cells(nodes: DataFrame) -> DataFrame:
     return calm.unionByName(fine.select("region", "node", "simhash"))
 
 
-def _near(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of the lines of each region that differ in at most BITS bits."""
+def _met(cells: DataFrame) -> DataFrame:
+    """The same cells (region, node, ...), those of more than PART lines as pieces, of which every two share a cell."""
+    # Counted first by a part of the key, which is combined map-side.
+    slot = F.pmod(F.xxhash64("region"), F.lit(SLOTS)).alias("slot")
+    full = stored(cells.groupBy(slot).agg(F.count("*").alias("n")).filter(F.col("n") > PART).select("slot"), "full")
+    if full.isEmpty():
+        return cells
+    within = cells.select("region", slot).join(small(full), "slot", "left_semi")
+    huge = within.groupBy("region").agg(F.count("*").alias("n")).filter(F.col("n") > PART)
+    huge = stored(huge.select("region", F.ceil(2 * F.col("n") / F.lit(PART)).alias("pieces")), "huge")
+    if huge.isEmpty():
+        return cells
+    names = cells.columns
+    own = F.pmod(F.xxhash64("node", "region"), F.col("pieces"))
+    cut = cells.join(huge, "region").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    cut = cut.withColumn("region", F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")))
+    return cells.join(huge, "region", "left_anti").select(*names).unionByName(cut.select(*names))
+
+
+def _groups_of_minima(nodes: DataFrame) -> DataFrame:
+    """(region, node, low, high): lines that share a group of minima."""
+    def half(first: int) -> Column:  # the upper four bits of 16 minima, as a long
+        digits = F.regexp_replace(F.hex(F.substring("minima", first + 1, 16)), "(.).", "$1")
+        upper, lower = (F.conv(F.substring(digits, k, 8), 16, 10).cast("long") for k in (1, 9))
+        return F.shiftleft(upper, 32).bitwiseOR(lower)
+
+    def keyed(first: int, sets: list[tuple[int, ...]]) -> Column:
+        return F.array(*[F.crc32(F.concat(F.lit(bytes([first + k])), *[F.substring("minima", i + 1, 1) for i in places]))
+                         for k, places in enumerate(sets)])
+
+    long = keyed(0, TRIPLES)
+    keys = F.when(F.col("words") <= SHORT, F.concat(long, keyed(len(TRIPLES), PAIRS))).otherwise(long)
+    rows = nodes.select("node", half(0).alias("low"), half(16).alias("high"), keys.alias("keys"))
+    return _met(rows.select(F.explode("keys").alias("region"), "node", "low", "high"))
+
+
+def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many of their half bytes (rows: low, high) two lines agree."""
+    x = a ^ b
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    return MINIMA - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=-1, dtype=np.int64)
+
+
+def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Spanning edges of the lines of each region that differ in at most BLOCK_BITS bits (columns: simhash), or agree in
+    AGREEING minima (columns: low, high)."""
+    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(a ^ b) <= BLOCK_BITS if len(columns) == 1 else _agreement(a, b) >= AGREEING
+
     for table, cuts in groups(batches, "region", 20_000):
-        h = flat_array(table["simhash"]).to_numpy(zero_copy_only=False).view(np.uint64)
+        h = [flat_array(table[c]).to_numpy(zero_copy_only=False).view(np.uint64) for c in columns]
+        h = h[0] if len(h) == 1 else np.stack(h, axis=1)
         nodes = flat_array(table["node"])
         sizes = np.diff(cuts)
         ends = np.repeat(cuts[1:], sizes)
@@ -192,7 +280,7 @@ def _near(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
         partner = np.zeros(len(h), bool)
         for lag in range(1, int(sizes.max(initial=1))):
             at = at[at + lag < ends[at]]
-            hit = at[np.bitwise_count(h[at] ^ h[at + lag]) <= BITS]
+            hit = at[alike(h[at], h[at + lag])]
             partner[hit] = True
             partner[hit + lag] = True
         some = np.flatnonzero(partner)
@@ -202,7 +290,7 @@ def _near(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
         for start, stop in zip(first, np.append(first[1:], len(some)) if len(first) else first, strict=True):
             rows = some[start:stop]
             own = h[rows]
-            for i, j in spanning_links(len(rows), lambda i, others, own=own: np.bitwise_count(own[others] ^ own[i]) <= BITS):
+            for i, j in spanning_links(len(rows), lambda i, others, own=own: alike(own[others], own[i])):
                 a.append(rows[i])
                 b.append(rows[j])
         yield pa.RecordBatch.from_arrays(
@@ -210,27 +298,29 @@ def _near(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
 
 
 def _texts(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """The normalised texts of wanted lines (rows: text, array of struct unit, node, line)."""
+    """The normalised texts of wanted lines (rows: text, array of struct unit, node, simhash, minima, line)."""
     for batch in slices(batches, 500):
         lines = Lines(batch.column(0), min_words)
         index = {(o, p): i for i, (o, p) in enumerate(zip(lines.owner.tolist(), lines.place.tolist(), strict=True))}
-        unit, node, bits, text = [], [], [], []
+        unit, node, bits, minima, text = [], [], [], [], []
         for k, wanted in enumerate(batch.column(1).to_pylist()):
             for w in wanted:
                 if (i := index.get((k, w["line"]))) is not None:
                     unit.append(w["unit"])
                     node.append(w["node"])
                     bits.append(w["simhash"])
+                    minima.append(w["minima"])
                     text.append(lines.text(i))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(unit, pa.binary()), pa.array(node, pa.binary()), pa.array(bits, pa.int64()), pa.array(text, pa.string())],
-            schema=schema)
+            [pa.array(unit, pa.binary()), pa.array(node, pa.binary()), pa.array(bits, pa.int64()),
+             pa.array(minima, pa.binary()), pa.array(text, pa.string())], schema=schema)
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each unit: at most BITS bits apart and similar enough (rows: unit, node, simhash, text)."""
+    """Spanning links of each unit: candidates of each other and similar enough (rows: unit, node, simhash, minima, text)."""
     for table, cuts in groups(batches, "unit", 2000):
         h = flat_array(table["simhash"]).to_numpy(zero_copy_only=False).view(np.uint64)
+        minima = np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA) >> 4
         texts, nodes = table["text"].to_pylist(), flat_array(table["node"])
         names = nodes.to_pylist()
         a, b = [], []
@@ -238,7 +328,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
             rows = np.array([i for i in range(start, stop) if i == start or names[i] != names[i - 1]])
 
             def linked(i: int, others: np.ndarray) -> np.ndarray:
-                yes = np.bitwise_count(h[rows[others]] ^ h[rows[i]]) <= BITS
+                yes = np.bitwise_count(h[rows[others]] ^ h[rows[i]]) <= BLOCK_BITS
+                yes |= (minima[rows[others]] == minima[rows[i]]).sum(axis=1) >= AGREEING
                 for k in np.flatnonzero(yes):
                     yes[k] = similar(texts[rows[i]], texts[rows[others[k]]], least)
                 return yes
@@ -258,26 +349,30 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = StructType.fromDDL(f"doc_id {kind}, text_hash long, line int, node binary, simhash long")
+    schema = StructType.fromDDL(f"doc_id {kind}, text_hash long, line int, node binary, simhash long, minima binary, words int")
     arrow = to_arrow_schema(schema)
     lines = stored(rows.mapInArrow(lambda it: _occurrences(it, min_words, arrow), schema), "lines")
     nodes = stored(lines.groupBy("node").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "line")).alias("first"),
-        F.min("simhash").alias("simhash")), "line-nodes")
+        F.min("simhash").alias("simhash"), F.min("minima").alias("minima"), F.min("words").alias("words")), "line-nodes")
 
     pair = StructType.fromDDL("a binary, b binary")
     pair_arrow = to_arrow_schema(pair)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = _cells(nodes)
-    near = cells.repartition(width, "region").sortWithinPartitions("region").select("region", "node", "simhash")
-    near = stored(near.mapInArrow(lambda it: _near(it, pair_arrow), pair), "line-near")
+    blocks, shared = _cells(nodes), _groups_of_minima(nodes)
+
+    def edges(cells: DataFrame, columns: list[str]) -> DataFrame:
+        rows_ = cells.repartition(width, "region").sortWithinPartitions("region").select("region", "node", *columns)
+        return stored(rows_.mapInArrow(lambda it: _near(it, columns, pair_arrow), pair), "line-near")
+
+    near = edges(blocks, ["simhash"]).unionByName(edges(shared, ["low", "high"]))
+    cells = blocks.select("region", "node").unionByName(shared.select(F.xxhash64("region").alias("region"), "node"))
     candidates = stored(connected_components(near), "line-candidates")
     weighed = candidates.withColumn("weight", F.lit(1))
-    wanted = units(weighed, cells.select("region", "node"), COMPONENT).join(
-        nodes.select("node", "first", "simhash"), "node")
+    wanted = units(weighed, cells, COMPONENT).join(nodes.select("node", "first", "simhash", "minima"), "node")
     wanted = stored(wanted.groupBy(F.col("first.doc_id").alias("id_r"), F.col("first.text_hash").alias("hash_r")).agg(
-        F.collect_list(F.struct("unit", "node", "simhash", F.col("first.line").alias("line"))).alias("wanted")), "wanted")
-    text_schema = StructType.fromDDL("unit binary, node binary, simhash long, text string")
+        F.collect_list(F.struct("unit", "node", "simhash", "minima", F.col("first.line").alias("line"))).alias("wanted")), "wanted")
+    text_schema = StructType.fromDDL("unit binary, node binary, simhash long, minima binary, text string")
     text_arrow = to_arrow_schema(text_schema)
     texts = _of(rows, small(wanted)).select("text", "wanted").mapInArrow(
         lambda it: _texts(it, min_words, text_arrow), text_schema)

@@ -115,3 +115,19 @@ def test_normalised_lines_are_one():
     keys = batch.keys()
     assert keys[0] == keys[1] != keys[2]
     assert batch.text(0) == "the first of 00 lines"
+
+
+def test_changed_words_are_found_whatever_their_bits(spark, make):
+    """Lines with one word of 20 replaced: most differ in more than three bits of the SimHash."""
+    rng = np.random.default_rng(11)
+    rows, far = [], 0
+    for i in range(60):
+        words = prose(rng, 20).split()
+        other = list(words)
+        other[rng.integers(20)] = prose(rng, 1)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        bits = m.Lines(pa.array([" ".join(words), " ".join(other)]), 5).simhashes()
+        far += bin(int(bits[0] ^ bits[1])).count("1") > 3
+    assert far > 20
+    got = {r["doc_id"]: r["dropped"] for r in m.dedup_lines(make(rows)).collect()}
+    assert got == {i: [0] if i % 2 else [] for i in range(120)}
