@@ -212,11 +212,7 @@ def _cells(nodes: DataFrame) -> DataFrame:
     parts = F.array(*[F.struct(F.lit(k).alias("part"), bits(F.col("rest"), 12 * k, 12).alias("value")) for k in range(4)])
     fine = rows.join(F.broadcast(crowded), "region").select("region", "node", "simhash", F.explode(parts).alias("p"))
     fine = stored(fine.select(F.xxhash64("region", "p.part", "p.value").alias("region"), "node", "simhash"), "parts")
-    # Still larger ones hold lines alike in 28 bits and more: dealt into pieces of a bounded size.
-    huge = fine.groupBy("region").agg(F.count("*").alias("n")).filter(F.col("n") > PART)
-    fine = fine.join(huge, "region", "left").withColumn("region", F.when(F.col("n").isNull(), F.col("region")).otherwise(
-        F.xxhash64("region", F.pmod(F.xxhash64("node", "region"), F.ceil(F.col("n") / PART)))))
-    return calm.unionByName(fine.select("region", "node", "simhash"))
+    return calm.unionByName(_met(fine))
 
 
 def _met(cells: DataFrame) -> DataFrame:

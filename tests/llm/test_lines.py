@@ -131,3 +131,29 @@ def test_changed_words_are_found_whatever_their_bits(spark, make):
     assert far > 20
     got = {r["doc_id"]: r["dropped"] for r in m.dedup_lines(make(rows)).collect()}
     assert got == {i: [0] if i % 2 else [] for i in range(120)}
+
+
+def test_cells_cut_into_pieces_find_the_same(spark, make, monkeypatch):
+    """One long word outweighs the rest: equal SimHashes, so all lines share every cell; few pairs are linked."""
+    rng = np.random.default_rng(12)
+    link, rows = "http" * 10, []
+    for i in range(30):
+        own = prose(rng, 8).split()
+        rows += [(2 * i, " ".join([link, *own])), (2 * i + 1, " ".join([link, *own[:-1], own[-1] + "er"]))]
+    expected = brute(rows)
+    assert 30 <= sum(map(len, expected.values())) < 45
+    monkeypatch.setattr(m, "CROWD", 2)
+    monkeypatch.setattr(m, "PART", 4)
+    monkeypatch.setattr(m, "COMPONENT", 3)
+    assert {r["doc_id"]: r["dropped"] for r in m.dedup_lines(make(rows)).collect()} == expected
+
+
+def test_every_pair_of_a_crowded_cell_meets(spark, monkeypatch):
+    monkeypatch.setattr(m, "CROWD", 2)
+    monkeypatch.setattr(m, "PART", 4)
+    nodes = spark.createDataFrame([(bytes([i]), 5) for i in range(30)], "node binary, simhash long")
+    cells = {}
+    for r in m._cells(nodes).collect():
+        cells.setdefault(r["region"], set()).add(r["node"][0])
+    met = {(a, b) for c in cells.values() for a in c for b in c if a < b}
+    assert len(met) == 30 * 29 // 2 and max(map(len, cells.values())) < 15
