@@ -15,7 +15,11 @@
    texts meet once, and the same search on full shingle sets confirms the links
    exactly.  A component too large for one task is confirmed region by region
    instead.
-5. The components of the confirmed links are the groups.
+5. The nodes of regions that were too large, whose links steps 2 to 4 may have
+   missed, are joined exactly on their rarest shingles: each set by the prefix
+   that its partners must share a shingle of, as far as no link connects the two
+   yet.  These pairs are decided on their full sets, too.
+6. The components of the confirmed links are the groups.
 
 At similarity 0.8 a pair shares three values in one of 16 trees with a
 probability above 0.99998; the pairs of one region are then all decided on
@@ -179,8 +183,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch], size: int, similarity: int, sc
             [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], schema=schema)
 
 
-def _regions(nodes: DataFrame) -> DataFrame:
-    """(region, node) for the regions of the forest that have two to REGION nodes."""
+def _regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(region, node) for the regions of the forest that have two to REGION nodes, and (node) for the larger ones, if any."""
     def keyed(rows: DataFrame, depth: int) -> DataFrame:
         return rows.withColumn("region", F.xxhash64("tree", F.slice("signature", F.col("tree") * DEPTH + 1, depth)))
 
@@ -188,7 +192,7 @@ def _regions(nodes: DataFrame) -> DataFrame:
     lean = keyed(rows, LEAST_DEPTH).select("region", "node", "tree")
     sizes = stored(lean.groupBy("region").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"))
                    .filter(F.col("n") > 1), "regions")
-    found = []
+    found, crowded = [], None
     for depth in range(LEAST_DEPTH + 1, DEPTH + 2):
         fine = sizes.filter(F.col("n") <= REGION)
         # Equal members in several trees: one of them is enough.
@@ -201,6 +205,7 @@ def _regions(nodes: DataFrame) -> DataFrame:
         parts = F.ceil(F.col("n") / REGION)
         part = F.xxhash64("region", F.pmod(F.xxhash64("node", "tree"), parts))
         if depth == LEAST_DEPTH + 1:
+            crowded = stored(crowd.select("node").distinct(), "crowded")
             hubs = _hubs(crowd.withColumn("part", part), nodes).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
             found.append(hubs.select(F.xxhash64("region", "part").alias("region"), "node").unionByName(
                 crowd.select(part.alias("region"), "node")).distinct())
@@ -215,7 +220,57 @@ def _regions(nodes: DataFrame) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out, crowded
+
+
+def _sets(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The shingles of every node (rows: node, root, text) as a list."""
+    for batch in slices(batches, 500):
+        sets, bounds = shingle_sets(batch.column(2), size)
+        # Not those that share the id and the text's hash by a collision.
+        own = [k for k, (key, node) in enumerate(zip(set_keys(sets, bounds), batch.column(0).to_pylist(), strict=True)) if key == node]
+        lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(sets.view(np.int64)))
+        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists.cast(schema.field(2).type)], schema=schema)
+        yield out.take(pa.array(own, pa.int64()))
+
+
+def _prefix_links(rows: DataFrame, nodes: DataFrame, crowded: DataFrame, links: DataFrame, size: int,
+                  similarity: int) -> DataFrame | None:
+    """Links (a, b) between nodes of ``crowded`` that ``links`` do not connect, all of them; None if there can be none.
+
+    In the order of their shingles from the rarest on, the first one that two
+    sets share stands so early in both that enough of either follows it for
+    the overlap they need.  Shingles of one component only take up places.
+    """
+    heads = nodes.join(crowded, "node").select("node", F.col("row.doc_id").alias("id_r"), F.col("row.text_hash").alias("hash_r"))
+    heads = heads.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    texts = rows.join(small(stored(heads, "crowded-heads")),
+                      F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")))
+    schema = StructType.fromDDL("node binary, root binary, shingles array<long>")
+    arrow = to_arrow_schema(schema)
+    sets = stored(texts.select("node", "root", "text").mapInArrow(lambda it: _sets(it, size, arrow), schema)
+                  .dropDuplicates(["node"]), "crowded-sets")
+    items = sets.select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    counts = stored(items.groupBy("s").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+                    .filter(F.col("c") > 1).select("s", "c", (F.col("low") != F.col("high")).alias("across")), "shingle-counts")
+    if counts.filter("across").isEmpty():
+        return None
+    ranked = items.join(counts, "s").groupBy("node", "root", "n").agg(
+        F.sort_array(F.collect_list(F.struct("c", "s", "across"))).alias("l"))
+    ranked = ranked.select("node", "root", "n", F.size("l").alias("common"), F.posexplode("l").alias("place", "e"))
+    # ``rest``: shingles from this one on; those of one set alone come first.
+    prefix = ranked.select("node", "root", "n", F.col("e.s").alias("s"), (F.col("common") - F.col("place")).alias("rest"),
+                           F.col("e.across").alias("across"))
+    prefix = stored(prefix.filter(F.col("across") & (100 * F.col("rest") >= similarity * F.col("n"))).drop("across"), "prefixes")
+    one = prefix.select("s", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("rest").alias("a_rest"))
+    two = prefix.select("s", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("rest").alias("b_rest"))
+    met = one.join(two, (one["s"] == two["s"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & (
+        (100 + similarity) * F.least("a_rest", "b_rest") >= similarity * (F.col("a_n") + F.col("b_n"))))
+    pairs = stored(met.select("a", "b").distinct(), "prefix-pairs")
+    full = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    full = full.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return stored(full.filter(100 * shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b"), "prefix-links")
 
 
 def _closest(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -275,7 +330,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"),
         F.first("n_shingles").alias("weight"),
         F.first("sketch").alias("sketch"), F.first("signature").alias("signature")), "nodes")
-    regions = stored(_regions(nodes), "forest")
+    regions, crowded = _regions(nodes)
+    regions = stored(regions, "forest")
     sketch = nodes.select("node", "sketch")
     pair = StructType.fromDDL("a binary, b binary")
     pair_arrow = to_arrow_schema(pair)
@@ -293,6 +349,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
     texts = texts.select("unit", "node", "text").repartition(width, "unit").sortWithinPartitions("unit", "node")
     links = stored(texts.mapInArrow(
         lambda it: _confirmed(it, shingle, similarity, pair_arrow), pair), "links")
+    if crowded is not None and (more := _prefix_links(rows, nodes, crowded, links, shingle, similarity)) is not None:
+        links = links.unionByName(more)
     roots = connected_components(links)
 
     named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

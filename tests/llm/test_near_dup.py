@@ -169,4 +169,24 @@ def test_region_fingerprint_never_overflows(spark):
     nodes = nodes.filter(F.xxhash64("node") > 1 << 62).withColumn("signature", F.array_repeat(F.lit(1), n.TREES * n.DEPTH))
     number = nodes.count()
     assert 600 < number <= n.REGION
-    assert n._regions(nodes).select("node").distinct().count() == number
+    assert n._regions(nodes)[0].select("node").distinct().count() == number
+
+
+def test_isolated_pairs_of_a_template_family_are_linked(spark, make, monkeypatch):
+    """Sets that share most of their shingles, not enough for a link, and a few true pairs among them."""
+    rng = np.random.default_rng(8)
+    core = prose(rng, 160)
+    rows = [(i, core + " " + prose(rng, 30)) for i in range(200)]
+    for i in range(100):
+        first, last = core.split(), rows[i][1].split()[160:]
+        for k in (20 + i % 20, 60 + i % 20, 100 + i % 20, 140):
+            first[k] = prose(rng, 1)
+        rows.append((1000 + i, " ".join(first + last)))
+    expected, _ = brute(rows, 5, 80)
+    assert [expected[1000 + i] for i in range(100)] == list(range(100)) and len(set(expected.values())) == 200
+    # One tree, and all sets in one region of it: nothing but the exact join finds every pair.
+    monkeypatch.setattr(n, "TREES", 1)
+    monkeypatch.setattr(n, "LEAST_DEPTH", 0)
+    monkeypatch.setattr(n, "REGION", 3)
+    monkeypatch.setattr(n, "COMPONENT", 500)
+    assert {r["doc_id"]: r["component_id"] for r in n.near_duplicates(make(rows)).collect()} == expected
