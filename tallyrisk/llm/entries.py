@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .clustering import cluster_vectors
 from .common import crc_bucket, read_table
 from .decontamination import find_contamination
 from .language import identify_language
@@ -94,6 +95,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "quality")
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole embeddings in 16 clusters after 3 rounds."""
+    found = cluster_vectors(read_table(spark, sf_dir, "embeddings"), clusters=16, rounds=3, components=64)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -105,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dup": op8_near_dup,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
+    "op11_clustering": op11_clustering,
 }
 
 # Near duplicates by all pairs that share a shingle, and their transitive closure.
@@ -128,5 +137,31 @@ SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, least(d.doc_id, coalesce(lea
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.a = d.doc_id
 """
 
+# Every round of the clustering by all distances; floors of quotients in whole numbers.
+_ROUND = """
+a{i} AS MATERIALIZED (
+  SELECT x.n, x.vec_id, x.v, arg_min(c.c, (list_sum(list_transform(range(1, 65), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i]))), c.c)) AS cluster,
+         min(list_sum(list_transform(range(1, 65), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i])))) AS distance
+  FROM x, c{i} c GROUP BY x.n, x.vec_id, x.v)"""
+_MOVE = """
+s{i} AS (
+  SELECT cluster, i, sum(v[i])::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM (SELECT cluster, v, unnest(range(1, 65)) AS i FROM a{i}) u GROUP BY cluster, i),
+m{i} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s{i} GROUP BY cluster),
+c{j} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.c)"""
+_OP11 = """
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM x ORDER BY h, v LIMIT 16) f),
+""" + ",".join(_ROUND.format(i=i) + "," + _MOVE.format(i=i, j=i + 1) for i in range(3)) + "," + _ROUND.format(i=3) + """
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance::BIGINT AS distance,
+       (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia, (sum(a.distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a3 a JOIN c3 c ON c.c = a.cluster
+"""
+
 # Operators that no SQL expresses (trained, tokenizing, sequential or tiling ones) have none; see tests/llm.
-ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8}
+ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8, "op11_clustering": _OP11}
