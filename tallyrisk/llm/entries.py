@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .clustering import cluster_vectors
 from .common import crc_bucket, read_table
 from .decontamination import find_contamination
+from .divergence import source_divergences
 from .language import identify_language
 from .language_model import score_documents
 from .lines import dedup_lines
@@ -102,6 +103,11 @@ def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source's terms stand from the other sources' and the whole language's."""
+    return source_divergences(read_table(spark, sf_dir, "documents"), least_documents=10, best=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
     "op11_clustering": op11_clustering,
+    "op12_divergence": op12_divergence,
 }
 
 # Near duplicates by all pairs that share a shingle, and their transitive closure.
@@ -163,5 +170,35 @@ SELECT a.vec_id, a.cluster::INT AS cluster, a.distance::BIGINT AS distance,
 FROM a3 a JOIN c3 c ON c.c = a.cluster
 """
 
+# Every kept term in every group, absent ones included; all pairs of sources.
+_OP12 = """
+WITH w AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS found FROM documents),
+g AS (SELECT DISTINCT lang, source FROM w),
+o AS (SELECT doc, lang, source, unnest(found) AS term FROM w),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+cells AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n,
+        (1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v))::HUGEINT AS p
+      FROM cells JOIN v USING (lang)),
+q AS (SELECT lang, term, (1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v))::HUGEINT AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM cells GROUP BY lang, term) t JOIN v USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
+"""
+
 # Operators that no SQL expresses (trained, tokenizing, sequential or tiling ones) have none; see tests/llm.
-ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8, "op11_clustering": _OP11}
+ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8, "op11_clustering": _OP11, "op12_divergence": _OP12}
