@@ -17,6 +17,7 @@ from .lines import dedup_lines
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
+from .pages import extract_pages
 from .pii import KINDS, find_pii
 from .sharding import shard_documents
 from .toxicity import score_toxicity
@@ -108,6 +109,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergences(read_table(spark, sf_dir, "documents"), least_documents=10, best=10)
 
 
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every whole page, by the consensus of its host's pages."""
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_clustering": op11_clustering,
     "op12_divergence": op12_divergence,
+    "op13_html": op13_html,
 }
 
 # Near duplicates by all pairs that share a shingle, and their transitive closure.
@@ -200,5 +207,16 @@ SELECT lang, source, part, item, value::BIGINT AS value,
 FROM found QUALIFY part = 'pair' OR rank <= 10
 """
 
+# No SQL reads web pages at large; the pages of the given tables have one plain article element each, which this cuts out.
+_OP13 = """
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+           '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM pages),
+d AS (SELECT page_id, url, regexp_replace(replace(t, '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM a),
+c AS (SELECT page_id, url, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS text FROM d)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
+"""
+
 # Operators that no SQL expresses (trained, tokenizing, sequential or tiling ones) have none; see tests/llm.
-ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8, "op11_clustering": _OP11, "op12_divergence": _OP12}
+ORACLE_SQL: dict[str, str] = {"op8_near_dup": _OP8, "op11_clustering": _OP11, "op12_divergence": _OP12,
+                              "op13_html": _OP13}
