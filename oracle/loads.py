@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrisk.plans import reports, runs
-from tallyrisk.schemas import BRONZE_TABLES, FILE_TO_TABLE, RAW_SCHEMAS, SILVER_TABLES
+from tallyrisk.schemas import BRONZE_TABLES, FILE_TO_TABLE, PRIMARY_KEYS, RAW_SCHEMAS, SILVER_TABLES
 from tallyrisk.session import shared_dir
+from tallyrisk.sources.loads import Loads
 from tallyrisk.sources.raw_files import RAW, REASONS, append_checked, read_raw_csv, scan_raw_csv, with_lineage
 from tallyrisk.sources.store import LayerStore, write_csv
 
@@ -75,6 +76,22 @@ def append_skip(L) -> DataFrame:
     return stored.unionByName(spark.createDataFrame(list(n.rejects.items()), "outcome string, row_count long"))
 
 
+def append_replay(L) -> DataFrame:
+    """The loads of :func:`append_skip`, each run twice under its id, the stored keys indexed in between."""
+    t = L["bronze_transactions"]
+    spark, path, third = t.sparkSession, folder(t, "bronze_transactions"), F.pmod("transaction_id", F.lit(3))
+    again = t.unionByName(t.filter(third == 1)).unionByName(
+        t.filter(third == 2).withColumn("transaction_id", F.lit(None).cast("bigint")))
+    for n, batch in enumerate((t.filter(third == 0), again)):
+        for _ in range(2):
+            append_checked(with_lineage(batch, LOAD_TIMES[n], f"s_{n}", "s.csv"), path, "bronze_transactions", "skip",
+                           load_id=f"s@{n}")
+        Loads(spark, path).index(PRIMARY_KEYS["bronze_transactions"])
+    kept, lost = Loads(spark, path).read(), Loads(spark, path).rejects()
+    return kept.groupBy(F.lit("stored").alias("outcome"), "transaction_id").agg(F.count(F.lit(1)).alias("row_count")).unionByName(
+        lost.groupBy(F.explode(REASONS).alias("outcome"), "transaction_id").agg(F.count(F.lit(1)).alias("row_count")))
+
+
 def _stored_bronze(L) -> tuple[LayerStore, str]:
     t = L["bronze_transactions"]
     raw = folder(t, "raw")

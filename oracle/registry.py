@@ -513,6 +513,13 @@ register("A05_append_skip", "outcome:s row_count:i",
             UNION ALL SELECT 'missing key', count(*) FROM bronze_transactions WHERE transaction_id % 3 = 2""",
          ["bronze_transactions"])(lambda L: loads.append_skip(L))
 
+register("A05_replay", "outcome:s transaction_id:i row_count:i",
+         """SELECT 'stored' AS outcome, transaction_id, 1 AS row_count FROM bronze_transactions
+            UNION ALL SELECT 'stored key', transaction_id, 1 FROM bronze_transactions WHERE transaction_id % 3 = 0
+            UNION ALL SELECT 'repeated key', transaction_id, 1 FROM bronze_transactions WHERE transaction_id % 3 = 1
+            UNION ALL SELECT 'missing key', NULL, count(*) FROM bronze_transactions WHERE transaction_id % 3 = 2""",
+         ["bronze_transactions"])(lambda L: loads.append_replay(L))
+
 register("H01_bronze_counts", "table_name:s row_count:i", _counts_sql(BRONZE_TABLES), list(BRONZE_TABLES),
          )(lambda L: loads.bronze_counts(L))
 

@@ -26,6 +26,7 @@ from tallyrisk.operators import quality
 from tallyrisk.operators.sequence import assign_buckets
 from tallyrisk.plans import gold, silver
 from tallyrisk.schemas import BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES
+from tallyrisk.sources.loads import Loads
 from tallyrisk.sources.raw_files import Appended, append_checked, load_time, new_load_id, read_entity_files
 from tallyrisk.sources.store import LayerStore
 
@@ -47,15 +48,16 @@ def run_bronze(spark: SparkSession, raw_dir: str, store: LayerStore, mode: str =
                load_id: str | None = None, loaded_at: str | None = None) -> dict[str, Appended]:
     """Load every present raw file; returns rows appended (and rejected, by reason) per table.
 
-    Every run is a load of its own: one id, one time, taken from the clock at its start.
+    Every run is a load of its own: one id, one time, taken from the clock at its start.  A run that died
+    is finished by another one with the same ``load_id``: tables that have the load are left alone.
     """
     load_id, loaded_at = load_id or new_load_id(), loaded_at or load_time()
-    return {table: append_checked(df, bronze_path(store, table), table, mode=mode)
+    return {table: append_checked(df, bronze_path(store, table), table, mode=mode, load_id=load_id)
             for table, df in read_entity_files(spark, raw_dir, loaded_at, load_id).items()}
 
 
 def read_bronze(spark: SparkSession, store: LayerStore) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(bronze_path(store, t)) for t in BRONZE_TABLES}
+    return {t: Loads(spark, bronze_path(store, t)).read() for t in BRONZE_TABLES}
 
 
 DAY_BUCKET = "_seq_bucket"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -94,6 +96,23 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package's code to the executors' Python workers, once a context."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_tallyrisk_shipped", False):
+        top = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="tallyrisk-code-"), "tallyrisk_code.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(top)))
+        sc.addPyFile(path)
+        sc._tallyrisk_shipped = True
+    return spark
+
+
 def silver_buckets(input_bytes: int, shuffle_share: float = 0.4, bucket_bytes: int = 1024 * 1024 * 1024) -> int:
     """Buckets of the silver transactions for a volume: about a gigabyte each."""
     return max(8, -(-int(input_bytes * shuffle_share) // bucket_bytes))

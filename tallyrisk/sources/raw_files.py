@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrisk.functions.temporal import as_of_ts
 from tallyrisk.schemas import FILE_TO_TABLE, PRIMARY_KEYS, RAW_SCHEMAS
+from tallyrisk.sources import files
+from tallyrisk.sources.loads import Loads, State, missing_path, rejects_path
+from tallyrisk.sources.quoted_csv import csv_records
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +28,7 @@ NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 REASONS = "_reject_reasons"
 RAW = "_raw"
 MALFORMED = "_malformed"
+PLACE = "_place"
 
 
 def new_load_id(at: dt.datetime | None = None) -> str:
@@ -38,12 +43,7 @@ def load_time() -> str:
 
 
 def csv_options(multi_line: bool = True) -> dict[str, object]:
-    """The source's dialect: quotes doubled inside quotes, line breaks allowed in them.
-
-    Quoted line breaks keep Spark from splitting a file; deliver large entities
-    as several files.  Without ``multi_line`` files are split, and a row that
-    holds a line break is rejected as malformed instead of being read.
-    """
+    """The source's dialect: quotes doubled inside quotes, with or without line breaks in them."""
     return {"header": True, "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": multi_line,
             "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "columnNameOfCorruptRecord": MALFORMED}
 
@@ -77,16 +77,28 @@ def parse(raw: DataFrame, schema: T.StructType) -> DataFrame:
     values = F.map_from_arrays(F.array(*[F.lit(f.name) for f in schema.fields], F.lit("line")),
                                F.array(*[F.col(f.name) for f in schema.fields], F.col(MALFORMED)))
     out = raw.select(*[typed[f.name].alias(f.name) for f in schema.fields], reasons.alias(REASONS), values.alias(RAW),
-                     F.col("_metadata.file_name").alias("source_file"))
+                     "source_file")
     return out.withColumn(RAW, F.when(F.size(REASONS) > 0, F.col(RAW)))
 
 
-def scan_raw_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """Headered CSV read as text and parsed; nothing is inferred, nothing is lost (:func:`parse`)."""
-    return parse(spark.read.schema(text_schema(schema)).options(**csv_options(multi_line)).csv(path), schema)
+def scan_raw_csv(spark: SparkSession, path, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Headered CSV read as text and parsed; nothing is inferred, nothing is lost (:func:`parse`).
+
+    Files are read in ranges, by several tasks each, also where quoted values
+    hold line breaks (:mod:`quoted_csv`).  Without ``multi_line`` a line is a
+    record, and one with a line break in it is rejected as malformed.
+    """
+    texts, options = text_schema(schema), csv_options(multi_line)
+    if not multi_line:
+        return parse(spark.read.schema(texts).options(**options).csv(path).select(
+            "*", F.col("_metadata.file_name").alias("source_file")), schema)
+    fields = ", ".join(f"`{f.name}` string" for f in texts.fields)
+    kept = {k: str(v) for k, v in options.items() if k != "header"}
+    raw = csv_records(spark, path).select(F.from_csv("record", fields, kept).alias("r"), "source_file")
+    return parse(raw.select("r.*", "source_file"), schema)
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """The rows that parse, typed."""
     return scan_raw_csv(spark, path, schema, multi_line).filter(F.size(REASONS) == 0).select(*schema.fieldNames())
 
@@ -102,10 +114,6 @@ def with_lineage(df: DataFrame, loaded_at: str | None = None, batch_id: str | No
     })
 
 
-def _missing(error: AnalysisException) -> bool:
-    return (error.getCondition() or "") == "PATH_NOT_FOUND"
-
-
 def read_entity_files(spark: SparkSession, raw_dir: str, loaded_at: str | None = None,
                       batch_id: str | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
     """Route each known file to its bronze table; a missing file is skipped, any other error is raised.
@@ -119,7 +127,7 @@ def read_entity_files(spark: SparkSession, raw_dir: str, loaded_at: str | None =
         try:
             df = scan_raw_csv(spark, path, RAW_SCHEMAS[table], multi_line)
         except AnalysisException as e:
-            if not _missing(e):
+            if not missing_path(e):
                 raise
             log.warning("file not found, skipped: %s", path)
             continue
@@ -144,29 +152,9 @@ class Appended(int):
         return out
 
 
-def rejects_path(target: str) -> str:
-    return f"{target.rstrip('/')}_rejects"
-
-
-def _stored_keys(batch: DataFrame, target: str, key: list[str]) -> DataFrame | None:
-    """The batch's keys that are stored already; only files whose key range can match are read."""
-    spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(target)
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-        return None
-    span = batch.agg(F.min(key[0]).alias("lo"), F.max(key[0]).alias("hi")).first()
-    if span["lo"] is None:
-        return None
-    near = stored.filter(F.col(key[0]).between(F.lit(span["lo"]), F.lit(span["hi"]))).select(*key)
-    return batch.select(*key).join(near, key, "left_semi")
-
-
 def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail",
-                   staging: str | None = None) -> Appended:
-    """Append a bronze batch to the table stored at ``target``.
+                   staging: str | None = None, load_id: str | None = None) -> Appended:
+    """Append a bronze batch to the table stored at ``target``, once for each ``load_id``.
 
     Rows that did not parse go to ``<target>_rejects`` with their texts and
     reasons.  ``mode="fail"``: a key already stored, repeated inside the batch
@@ -175,69 +163,93 @@ def append_checked(batch: DataFrame, target: str, table: str, mode: str = "fail"
     others are appended.  Returns the number of rows appended, with the rejects
     counted by reason.
 
+    Rows and rejects are published together by the load's commit record
+    (:mod:`loads`).  A load that has one is not repeated: its counts are
+    returned.  One that died before is run again from the start.  Where another
+    load was committed in the meantime, the keys are checked again.
+
     The batch is written once to ``staging`` (default: next to the target on
-    the same storage), so the raw files are parsed once.  Stored keys are found
-    by one semi-join of the batch's keys, without touching key ranges that
-    can't match.
+    the same storage), so the raw files are parsed once.
     """
     spark = batch.sparkSession
-    key = PRIMARY_KEYS[table]
+    loads, load_id = Loads(spark, target), load_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9._@-]+", load_id):
+        raise ValueError(f"no load id: {load_id!r}")
     own_staging = staging is None
     staging = staging or f"{target.rstrip('/')}_staging/{uuid.uuid4().hex}"
-    names = [c for c in batch.columns if c not in (REASONS, RAW)]
-    if REASONS not in batch.columns:
-        batch = batch.withColumns({REASONS: F.array().cast("array<string>"),
-                                   RAW: F.lit(None).cast("map<string,string>")})
-    batch.write.mode("overwrite").parquet(staging)
+    staged = None
     try:
-        staged = spark.read.parquet(staging)
-        unparsed = staged.filter(F.size(REASONS) > 0)
-        parsed = staged.filter(F.size(REASONS) == 0)
-        has_key = F.lit(True)
-        for k in key:
-            has_key = has_key & F.col(k).isNotNull()
-        keyed = parsed.filter(has_key)
-        stored = _stored_keys(keyed, target, key)
-        if mode == "fail":
-            stats = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*key).alias("keys")).first()
-            # A missing key is not counted among the distinct ones.
-            if stats["keys"] != stats["n"] or (stored is not None and not stored.isEmpty()):
-                raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys, or misses one; nothing appended")
-            fresh, rejected = parsed, [unparsed]
-        else:
-            place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*[F.col(c) for c in names]), *names))
-            numbered = keyed.withColumn("_place", place)
-            known = (keyed.limit(0).select(*key) if stored is None else stored).distinct().withColumn("_known", F.lit(True))
-            flagged = numbered.join(known, key, "left")
-            fresh = flagged.filter(F.col("_known").isNull() & (F.col("_place") == 1))
-            again = flagged.filter(F.col("_known").isNotNull() | (F.col("_place") > 1)).withColumn(
-                REASONS, F.array(F.when(F.col("_known").isNotNull(), F.lit("stored key")).otherwise(F.lit("repeated key"))))
-            lost = parsed.filter(~has_key).withColumn(REASONS, F.array(F.lit("missing key")))
-            rejected = [unparsed, again, lost]
-        rejects = rejected[0].select(*names, REASONS, RAW)
-        for r in rejected[1:]:
-            rejects = rejects.unionByName(r.select(*names, REASONS, RAW))
-        # Written beside the staged batch first: the appends below are files of known rows.
-        ready = f"{staging}_ready"
-        fresh.select(*names).write.mode("overwrite").parquet(f"{ready}/rows")
-        rejects.write.mode("overwrite").parquet(f"{ready}/rejects")
-        rows, lost = spark.read.parquet(f"{ready}/rows"), spark.read.parquet(f"{ready}/rejects")
-        count = rows.count()
-        reasons = {r[0]: r[1] for r in lost.select(F.explode(REASONS).alias("reason")).groupBy("reason").count().collect()}
-        if count:
-            rows.write.mode("append").parquet(target)
-        if reasons:
-            log.warning("%s: rejected %s", table, reasons)
-            lost.write.mode("append").parquet(rejects_path(target))
-        return Appended(count, reasons)
+        while True:
+            state = loads.begin()
+            done = state.finished(load_id)
+            if done is not None:
+                return Appended(done["rows"], done["rejects"])
+            if staged is None:
+                staged = _stage(batch, staging)
+            facts = _write_load(staged, staging, loads, state, load_id, PRIMARY_KEYS[table], mode, table)
+            if loads.commit(state, {"load": load_id, "facts": facts, "adopted": state.adopted}):
+                if facts["rejects"]:
+                    log.warning("%s: rejected %s", table, facts["rejects"])
+                return Appended(facts["rows"], facts["rejects"])
     finally:
         if own_staging:
-            _drop_path(spark, staging)
-            _drop_path(spark, f"{staging}_ready")
+            for part in ("", "_marks"):
+                files.delete(spark, staging + part)
 
 
-def _drop_path(spark: SparkSession, path: str) -> None:
-    """Remove the staging folder this module created (and nothing else)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def _stage(batch: DataFrame, staging: str) -> DataFrame:
+    """The parsed batch in files, each row with its place in them."""
+    if REASONS not in batch.columns:
+        batch = batch.withColumns({REASONS: F.array().cast("array<string>"),
+                                   RAW: F.lit(None).cast("map<string,string>")})
+    batch.write.mode("overwrite").parquet(staging)
+    return batch.sparkSession.read.parquet(staging).select(
+        "*", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias(PLACE))
+
+
+def _write_load(staged: DataFrame, staging: str, loads: Loads, state: State, load_id: str, key: list[str],
+                mode: str, table: str) -> dict:
+    """Write the rows and the rejects of a load, and tell how many they are."""
+    spark = staged.sparkSession
+    names = [c for c in staged.columns if c not in (REASONS, RAW, PLACE)]
+    unparsed = staged.filter(F.size(REASONS) > 0)
+    parsed = staged.filter(F.size(REASONS) == 0)
+    has_key = F.lit(True)
+    for k in key:
+        has_key = has_key & F.col(k).isNotNull()
+    keyed, keyless = parsed.filter(has_key), parsed.filter(~has_key)
+    stored = loads.stored_keys(keyed, key, state)
+    # Of a repeated key the row with the least hash stays; a hot key is a row a task by the time it is shuffled.
+    repeated = keyed.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.xxhash64(*names).alias("hash"), PLACE)).alias("_first")).filter("_n > 1")
+    if mode == "fail":
+        if not (keyless.isEmpty() and repeated.isEmpty() and (stored is None or stored.isEmpty())):
+            raise DuplicateKeyError(f"{table}: batch repeats stored or in-batch keys, or misses one; nothing appended")
+        fresh, rejected = parsed, [unparsed]
+    else:
+        known = (keyed.limit(0).select(*key) if stored is None else stored).distinct().withColumn("_known", F.lit(True))
+        # One row a doubtful key, in files: the join below then splits a hot key.
+        known.join(repeated, key, "full_outer").write.mode("overwrite").parquet(f"{staging}_marks")
+        marked = keyed.join(spark.read.parquet(f"{staging}_marks"), key, "left")
+        last = F.coalesce(F.col(f"_first.{PLACE}") != F.col(PLACE), F.lit(False))
+        lost = F.col("_known").isNotNull() | last
+        fresh = marked.filter(~lost)
+        reason = F.when(F.col("_known").isNotNull(), F.lit("stored key")).otherwise(F.lit("repeated key"))
+        rejected = [unparsed, marked.filter(lost).withColumn(REASONS, F.array(reason)),
+                    keyless.withColumn(REASONS, F.array(F.lit("missing key")))]
+    seen = Observation()
+    text = [F.min(key[0]).cast("string").alias("low"), F.max(key[0]).cast("string").alias("high")]
+    fresh.select(*names).observe(seen, F.count(F.lit(1)).alias("rows"), *text).write.mode("overwrite").parquet(loads.path(load_id))
+    rejects = rejected[0].select(*names, REASONS, RAW)
+    for r in rejected[1:]:
+        rejects = rejects.unionByName(r.select(*names, REASONS, RAW))
+    path = f"{rejects_path(loads.target)}/load={load_id}"
+    rejects.write.mode("overwrite").parquet(path)
+    reasons = {r[0]: r[1] for r in spark.read.parquet(path).select(
+        F.explode(REASONS).alias("reason")).groupBy("reason").count().collect()}
+    facts = {k: seen.get[k] for k in ("rows", "low", "high")} | {"rejects": reasons}
+    if not facts["rows"]:
+        files.delete(spark, loads.path(load_id))
+    if not reasons:
+        files.delete(spark, path)
+    return facts
