@@ -89,7 +89,7 @@ _table("H07_gold_daily_fraud_summary", "gold_daily_fraud_summary", tables.GOLD_D
 from tallyrisk.operators import aggregates as agg  # noqa: E402
 from tallyrisk.operators import quality  # noqa: E402
 from tallyrisk.plans import reports  # noqa: E402
-from tallyrisk.schemas import BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES  # noqa: E402
+from tallyrisk.schemas import BRONZE_TABLES, GOLD_TABLES, RAW_SCHEMAS, SILVER_TABLES  # noqa: E402
 from oracle.layers import avg_exact, midnight_minus, instant_minus  # noqa: E402
 
 register("D01_interaction_stats",
@@ -539,3 +539,51 @@ register("H12_dashboard_pack", "report:s row_count:i",
              UNION ALL SELECT 'daily_trend', count(*) FROM gold_daily_fraud_summary
              UNION ALL SELECT 'recent_fraud_alerts', least(20, count(*)) FROM gold_fraud_features WHERE is_fraud""",
          ["gold_fraud_features", "gold_daily_fraud_summary"])(lambda L: loads.dashboard_counts(L, AS_OF))
+
+
+# --- what whole runs stored, all columns -------------------------------------
+
+def _bronze_spec(table: str) -> str:
+    kinds = {"bigint": "i", "int": "i", "string": "s", "boolean": "b", "date": "d", "timestamp_ntz": "t", "double": "n"}
+    return " ".join(f"{f.name}:{kinds.get(f.dataType.simpleString(), 'm')}" for f in RAW_SCHEMAS[table].fields)
+
+
+for _t in BRONZE_TABLES:
+    register(f"H01_stored_{_t}", _bronze_spec(_t), f"SELECT * FROM {_t}", [_t],
+             )(lambda L, t=_t: loads.stored_bronze(L, AS_OF, t))
+
+for _n, _t, _spec in (("H10", "silver_customers", tables.SILVER_CUSTOMERS), ("H10", "silver_accounts", tables.SILVER_ACCOUNTS),
+                      ("H10", "silver_transactions", tables.SILVER_TRANSACTIONS),
+                      ("H11", "gold_customer_360", tables.GOLD_CUSTOMER_360),
+                      ("H11", "gold_fraud_features", tables.GOLD_FRAUD_FEATURES),
+                      ("H11", "gold_daily_fraud_summary", tables.GOLD_DAILY)):
+    register(f"{_n}_stored_{_t}", _spec, f"SELECT * FROM {_t}", [_t])(lambda L, t=_t: loads.stored_table(L, AS_OF, t))
+
+register("C07_observed_counts", "table_name:s fact:s value:i",
+         f"""SELECT 'silver_customers' AS table_name, 'matched_rows' AS fact, count(*) AS value
+             FROM bronze_customers c WHERE EXISTS (SELECT 1 FROM bronze_accounts a WHERE a.customer_id = c.customer_id)
+             UNION ALL SELECT table_name, 'rows', row_count FROM ({_counts_sql(SILVER_TABLES + GOLD_TABLES)}) n""",
+         ["bronze_customers", "bronze_accounts", *SILVER_TABLES, *GOLD_TABLES],
+         )(lambda L: loads.observed_counts(L, AS_OF))
+
+
+def _measures(report: str, source: str) -> str:
+    """A row a measure of a report's rows."""
+    item, measures = loads.REPORT_COLUMNS[report]
+    item = "''" if item is None else f"CAST({item} AS VARCHAR)"
+    return " UNION ALL ".join(f"SELECT '{report}' AS report, {item} AS item, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM {source}"
+                              for m in measures)
+
+
+register("H12_dashboard_contents", "report:s item:s measure:s value:n",
+         "WITH " + ", ".join(f"{report} AS ({REGISTRY[key].sql})" for report, key in (
+             ("kpi_cards", "D10_kpi_cards"), ("fraud_by_hour", "D11_fraud_by_hour"),
+             ("risky_merchant_categories", "D12_risky_merchant_categories"), ("daily_trend", "B19_daily_trend"),
+             ("recent_fraud_alerts", "G05_recent_fraud_alerts")))
+         + " " + " UNION ALL ".join(_measures(r, r) for r in loads.REPORT_COLUMNS),
+         ["gold_fraud_features", "gold_daily_fraud_summary"])(lambda L: loads.dashboard_contents(L, AS_OF))
+
+register("A09_kept_result", "merchant_category:s total:i fraud:i",
+         """SELECT merchant_category, count(*) AS total, count(*) FILTER (is_fraud) AS fraud FROM gold_fraud_features
+            WHERE transaction_timestamp >= TIMESTAMP '2023-07-01' GROUP BY ALL""",
+         ["gold_fraud_features"])(lambda L: loads.kept_result(L, AS_OF))

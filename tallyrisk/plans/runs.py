@@ -6,10 +6,12 @@ silver_transactions, each published as a new version, then verified.
 ``run_gold`` (H11): silver -> gold_customer_360, gold_fraud_features,
 gold_daily_fraud_summary, then verified.
 
-Each layer reads the *published* tables of the layer below, so lineage is
+Each layer reads the *written* tables of the layer below, so lineage is
 cut at every layer boundary: a lost executor only recomputes from the last
-published table, and the feature plan starts from a plain scan.  A layer
-that comes out empty is not published (the previous version stays).
+written table, and the feature plan starts from a plain scan.  A table
+that comes out empty is not published (the previous version stays).  The tables
+of a run are published by one manifest at its end: readers never see some of
+them new and some old, and after a run that died all are as before.
 
     python -m tallyrisk.plans.runs --raw RAW_DIR --store STORE_ROOT [--as-of TS]
 """
@@ -21,6 +23,7 @@ import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyrisk.operators import quality
 from tallyrisk.operators.sequence import assign_buckets
@@ -28,7 +31,7 @@ from tallyrisk.plans import gold, silver
 from tallyrisk.schemas import BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES
 from tallyrisk.sources.loads import Loads
 from tallyrisk.sources.raw_files import Appended, append_checked, load_time, new_load_id, read_entity_files
-from tallyrisk.sources.store import LayerStore
+from tallyrisk.sources.store import LayerStore, Run
 
 log = logging.getLogger(__name__)
 
@@ -65,8 +68,8 @@ REJECTED = "gold_rejected_transactions"
 
 
 def run_silver(spark: SparkSession, store: LayerStore, as_of, version: str | None = None,
-               buckets: int | None = None, rows_per_bucket: int | None = 2_000_000) -> DataFrame:
-    """Customers, accounts, then transactions enriched from the published pair.
+               buckets: int | None = None, rows_per_bucket: int | None = 2_000_000, run: Run | None = None) -> DataFrame:
+    """Customers, accounts, then transactions enriched from the written pair, published together.
 
     ``buckets``: publish the transactions bucketed on (customer_id, time
     bucket) into that many buckets (one file each).  The time bucket is stored
@@ -74,46 +77,58 @@ def run_silver(spark: SparkSession, store: LayerStore, as_of, version: str | Non
     (:func:`tallyrisk.operators.sequence.assign_buckets`), NULL times last.
     The gold run then reads the rows co-located and skips its full-width
     shuffle.  Otherwise the transactions are partitioned by transaction date.
+
+    ``run``: the tables become part of that run, to be published with others.
+    Returns the counts of the written tables (:func:`verify`).
     """
-    version = version or new_version(as_of)
-    b = read_bronze(spark, store)
-    store.publish("silver_customers", silver.silver_customers(
-        b["bronze_customers"], b["bronze_interactions"], b["bronze_fraud_reports"], b["bronze_accounts"], as_of),
-        version)
-    store.publish("silver_accounts", silver.silver_accounts(b["bronze_accounts"], b["bronze_transactions"], as_of),
-                  version)
+    if run is None:
+        with store.run(version or new_version(as_of)) as own:
+            return run_silver(spark, store, as_of, buckets=buckets, rows_per_bucket=rows_per_bucket, run=own)
+    # One state of every bronze table for all three, kept in the manifest.
+    run.sources = {t: Loads(spark, bronze_path(store, t)).state().version for t in BRONZE_TABLES}
+    b = {t: Loads(spark, bronze_path(store, t)).read(v or None) for t, v in run.sources.items()}
+    run.publish("silver_customers", silver.silver_customers(
+        b["bronze_customers"], b["bronze_interactions"], b["bronze_fraud_reports"], b["bronze_accounts"], as_of,
+        matched="_matched"), observe={"matched_rows": F.count_if("_matched")}, hidden=("_matched",))
+    run.publish("silver_accounts", silver.silver_accounts(b["bronze_accounts"], b["bronze_transactions"], as_of))
+    log.info("silver_customers: %s rows matched with account totals", run.facts("silver_customers").get("matched_rows"))
     txns = silver.silver_transactions(
-        b["bronze_transactions"], store.read("silver_customers"), store.read("silver_accounts"), as_of)
+        b["bronze_transactions"], run.read("silver_customers"), run.read("silver_accounts"), as_of)
     if buckets:
         seq = assign_buckets(txns, "customer_id", "transaction_timestamp", "transaction_id", 24, rows_per_bucket)
-        store.publish("silver_transactions", seq.withColumnRenamed("_bucket", DAY_BUCKET), version,
-                      bucket_by=(buckets, ["customer_id", DAY_BUCKET]),
-                      sort_within=["customer_id", DAY_BUCKET, "transaction_timestamp"])
+        run.publish("silver_transactions", seq.withColumnRenamed("_bucket", DAY_BUCKET),
+                    bucket_by=(buckets, ["customer_id", DAY_BUCKET]),
+                    sort_within=["customer_id", DAY_BUCKET, "transaction_timestamp"])
     else:
-        store.publish("silver_transactions", txns, version, partition_by=["transaction_date"],
-                      sort_within=["transaction_date", "customer_id", "transaction_timestamp"])
-    return verify(spark, store, SILVER_TABLES)
+        run.publish("silver_transactions", txns, partition_by=["transaction_date"],
+                    sort_within=["transaction_date", "customer_id", "transaction_timestamp"])
+    return verify(spark, run, SILVER_TABLES)
 
 
 def run_gold(spark: SparkSession, store: LayerStore, as_of, version: str | None = None,
-             bucket_hours: int = 24) -> DataFrame:
-    """Customer profile, per-transaction features, daily summary; transactions without a customer
-    are published as ``gold_rejected_transactions`` with the reason."""
-    version = version or new_version(as_of)
-    c, a, t = (store.read(n) for n in SILVER_TABLES)
-    bucketed = (store.bucketing("silver_transactions") or (0, []))[1] == ["customer_id", DAY_BUCKET]
-    store.publish("gold_customer_360", gold.customer_360(c, t, as_of), version)
+             bucket_hours: int = 24, run: Run | None = None) -> DataFrame:
+    """Customer profile, per-transaction features, daily summary, published together; transactions
+    without a customer are published as ``gold_rejected_transactions`` with the reason."""
+    if run is None:
+        with store.run(version or new_version(as_of)) as own:
+            return run_gold(spark, store, as_of, bucket_hours=bucket_hours, run=own)
+    c, a, t = (run.read(n) for n in SILVER_TABLES)
+    bucketed = (run.bucketing("silver_transactions") or (0, []))[1] == ["customer_id", DAY_BUCKET]
+    run.publish("gold_customer_360", gold.customer_360(c, t, as_of))
     features = (gold.fraud_features(t, a, as_of, bucket_col=DAY_BUCKET, prehashed=True) if bucketed
                 else gold.fraud_features(t, a, as_of, bucket_hours=bucket_hours))
-    store.publish("gold_fraud_features", features, version, sort_within=["transaction_timestamp"])
-    store.publish(REJECTED, quality.rejected_feature_rows(t), version)
-    store.publish("gold_daily_fraud_summary", gold.daily_fraud_summary(t, as_of), version)
-    return verify(spark, store, GOLD_TABLES)
+    run.publish("gold_fraud_features", features, sort_within=["transaction_timestamp"])
+    run.publish(REJECTED, quality.rejected_feature_rows(t))
+    run.publish("gold_daily_fraud_summary", gold.daily_fraud_summary(t, as_of))
+    return verify(spark, run, GOLD_TABLES)
 
 
-def verify(spark: SparkSession, store: LayerStore, names: list[str]) -> DataFrame:
-    """Row counts of the published tables (one small job)."""
-    return quality.row_counts({n: store.read(n) for n in names}, names)
+def verify(spark: SparkSession, store: LayerStore | Run, names: list[str]) -> DataFrame:
+    """Row counts of the tables as observed by the tasks that wrote them (no table is read)."""
+    rows = [(n, store.facts(n).get("rows")) for n in names]
+    if any(count is None for _, count in rows):
+        return quality.row_counts({n: store.read(n) for n in names}, names)
+    return spark.createDataFrame(rows, "table_name string, row_count long")
 
 
 def main(argv=None) -> None:
@@ -138,8 +153,10 @@ def main(argv=None) -> None:
     store = LayerStore(spark, args.store, args.keep)
     for table, n in run_bronze(spark, args.raw, store, args.mode).items():
         log.warning("%s: %d rows appended, rejected %s", table, n, n.rejects)
-    run_silver(spark, store, as_of, buckets=args.buckets or (silver_buckets(args.input_bytes) if args.input_bytes else None)).show()
-    run_gold(spark, store, as_of, bucket_hours=args.bucket_hours).show()
+    buckets = args.buckets or (silver_buckets(args.input_bytes) if args.input_bytes else None)
+    with store.run(new_version(as_of)) as run:  # both layers change at once
+        run_silver(spark, store, as_of, buckets=buckets, run=run).show()
+        run_gold(spark, store, as_of, bucket_hours=args.bucket_hours, run=run).show()
 
 
 if __name__ == "__main__":

@@ -54,11 +54,12 @@ def account_basics(accounts: DataFrame, as_of) -> DataFrame:
 
 
 def silver_customers(customers: DataFrame, interactions: DataFrame, fraud_reports: DataFrame,
-                     accounts: DataFrame, as_of) -> DataFrame:
+                     accounts: DataFrame, as_of, matched: str | None = None) -> DataFrame:
     """Customers with demographics, tiers, contact, fraud and account totals.
 
     The account totals (D05) are joined in the same plan instead of a later
-    UPDATE: customers without an account keep 0.
+    UPDATE (C07): customers without an account keep 0.  ``matched``: name of a
+    further column that tells whether the customer met account totals.
     """
     now = as_of_ts(as_of)
     c = customers.select(
@@ -82,8 +83,11 @@ def silver_customers(customers: DataFrame, interactions: DataFrame, fraud_report
                        {"total_interactions": 0, "complaint_count": 0})
     c = left_join_fill(c, agg.fraud_report_stats(fraud_reports), "customer_id",
                        {"fraud_report_count": 0, "total_fraud_loss": 0})
-    c = left_join_fill(c, agg.customer_account_totals(accounts), "customer_id",
-                       {"total_accounts": 0, "total_balance": 0, "avg_account_balance": 0})
+    totals = agg.customer_account_totals(accounts)
+    if matched:
+        totals = totals.withColumn(matched, F.lit(True))
+    c = left_join_fill(c, totals, "customer_id",
+                       {"total_accounts": 0, "total_balance": 0, "avg_account_balance": 0} | ({matched: False} if matched else {}))
     return c.select(
         "customer_id", "full_name", "email", "phone_cleaned", "location_state", "location_city",
         "age", "age_group", "occupation_category", "income_bucket", "credit_score",
@@ -99,7 +103,7 @@ def silver_customers(customers: DataFrame, interactions: DataFrame, fraud_report
         F.col("fraud_report_count").cast(COUNT).alias("fraud_report_count"),
         F.col("total_fraud_loss").cast(SUM_MONEY).alias("total_fraud_loss"),
         now.alias("created_at"), now.alias("updated_at"),
-        F.col("customer_id").alias("source_customer_id"),
+        F.col("customer_id").alias("source_customer_id"), *([matched] if matched else []),
     )
 
 
