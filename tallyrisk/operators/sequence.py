@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NO_TIME_BUCKET = 2 ** 62
+#: Buckets (of the time alone) whose summaries are summed up together.
+BLOCK = 32
 #: A crowded stretch is cut into this many at a time.
 FAN_OUT = 64
 #: Lists of crowded stretches up to this length are broadcast; longer ones are joined by a shuffle.

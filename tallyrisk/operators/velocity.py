@@ -1,156 +1,224 @@
 """Real definitions of the columns the source system only reserved.
 
 Rolling counts and sums (E08-E13) over RANGE frames on the event time
-(current row and its time peers included) are prefix sums along each key's
-timeline: every row adds +value at its time and -value just after its frame
-ends, and the frame sum is the running sum at the row's time.  A sliding
-frame would be re-aggregated whenever rows leave it (quadratic in a dense
-stretch); here the changes are first added up by (key, time), map-side, so a
-thousand postings of one instant are one entry, and the running sum is the
-total of the key's earlier buckets (a window over the bounded per-bucket
-totals) plus a running sum inside the bucket.  The distinct-merchant count
-(E11) is one more measure of the customer's changes.  No pairs of rows are ever
-built, and nothing is joined on the row id: rows meet their running sums by
-(key, time).
-
-First sightings (E14, E15) are a ``row_number`` per (key, bucket, value) in the
-rows hashed on (key, bucket), where the bucket is the value's first one for the
-key (an aggregate whose entries share the rows' shuffle).  Daily breakdowns (M-24)
-and repeat victims (E16) are keyed aggregates.
+(current row and its time peers included) are running sums along each key's
+timeline: every row adds +value at its time, and an event -value just after its
+frame ends.  A sliding frame would be re-aggregated whenever rows leave it
+(quadratic in a dense stretch); a running sum is added up once.
+
+:func:`running` puts rows and events of a key into one stream, hashed on (key,
+bucket) and sorted by time, so one sort gives the running sums and the rows
+together: no pairs of rows are built, and rows are joined with nothing.  Each
+bucket's stream begins with an opening entry, the sum over the key's earlier
+buckets.  The openings come from one aggregate by (key, bucket), combined
+map-side, summed up over blocks of buckets and then inside the blocks.
+
+The distinct-merchant count (E11) is one more measure: a merchant opens and
+closes intervals.  First sightings (E14, E15) are marks that stand in the stream
+just before their row.  Daily breakdowns (M-24) and repeat victims (E16) are
+keyed aggregates.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrisk.operators.joins import join_dimension
-from tallyrisk.operators.sequence import Cells, split_cells, with_cells
+from tallyrisk.operators.sequence import BLOCK, Cells, split_cells, with_cells
 
 ONE_MICRO = "INTERVAL '0.000001' SECOND"
+EPOCH = "1970-01-01 00:00:00"
+WIDE = 1 << 64
+# Entries of a stream; of one time and id a mark stands before its row.
+OPENING, EVENT, MARK, ROW = 0, 1, 2, 3
 
 
-def _by_time(cells: Cells) -> Cells:
-    """The cells without their cuts by id: entries of one time stay together."""
-    return Cells(cells.bucket_hours, [level for level in cells.levels if level[0] == "time"])
+def _hours(n: int) -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(n))
 
 
-def changes(rows: DataFrame, key: str, ts: str, measures: dict[str, tuple[int, Column | None]]) -> DataFrame:
-    """(key, _t, measures): +value at each row's time, -value just after its frame ends."""
-    vals = {n: (F.lit(1).cast("long") if v is None else v) for n, (w, v) in measures.items()}
-    types = {n: rows.select(vals[n]).schema[0].dataType for n in measures}
-    steps = [F.struct(F.col(ts).alias("_t"), *[vals[n].alias(n) for n in measures])]
-    for w in sorted({w for w, _ in measures.values()}):
-        end = F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(w)) + F.expr(ONE_MICRO)
-        steps.append(F.struct(end.alias("_t"), *[
-            (-vals[n] if measures[n][0] == w else F.lit(0)).cast(types[n]).alias(n) for n in measures]))
-    return rows.select(key, F.explode(F.array(*steps)).alias("e")).select(key, "e.*")
+def _cells_of(rows: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int, rows_per_bucket: int | None) -> Cells:
+    return split_cells(rows, key, ts, row_id, bucket_hours, rows_per_bucket) if rows_per_bucket else Cells(bucket_hours)
+
+
+def _placed(t: DataFrame, key: str, ts: str, row_id: str) -> DataFrame:
+    """``_who``: the key, or for rows without a key or time a number of their own; ``_placed`` tells them apart."""
+    placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    alone = F.lit(-1) - F.pmod(F.xxhash64(row_id), F.lit(1 << 40))
+    return t.withColumns({"_placed": placed, "_who": F.when(placed, F.col(key).cast("long")).otherwise(alone)})
 
 
-def distinct_changes(rows: DataFrame, key: str, ts: str, value: str, width_hours: int, cells: Cells,
-                     name: str) -> DataFrame:
-    """(key, _t, name): changes of the number of distinct non-NULL ``value`` in the frame.
+def _bucketed(entries: DataFrame, cells: Cells) -> DataFrame:
+    """``_bucket`` of entries (_who, _t, _id); events of a time whose rows are cut by their ids stand in a cell of their own."""
+    out = with_cells(entries, "_who", "_t", "_id", cells)
+    parts = F.col("_bucket")
+    return out.withColumn("_bucket", F.struct(parts["_b"].alias("_b"), parts["_s"].alias("_s"),
+                                              F.coalesce(parts["_i"], F.lit(-1).cast("long")).alias("_i")))
 
-    Each distinct time p of a (key, value) opens an interval that closes at
-    the value's next time (exclusive) or just after p + width, whichever is
-    first.  The next time of a (key, value) is a ``lead`` inside its (key,
-    value, bucket), or else the first time of its next non-empty bucket.
+
+def _entries(t: DataFrame, ts: str, row_id: str, measures: dict[str, tuple[int, Column | None]], others: dict[str, str],
+             payload: Column | None) -> DataFrame:
+    """Rows and the ends of their frames: (_who, _t, _id, _kind, _row, a change of every measure).
+
+    ``others``: measures that rows don't change, by their types.
     """
-    pts = rows.filter(F.col(value).isNotNull()).select(key, value, F.col(ts).alias("_p")).distinct()
-    pts = with_cells(pts.withColumn("_id", F.lit(0).cast("long")), key, "_p", "_id", _by_time(cells)).drop("_id")
-    pts = pts.withColumn("_lead", F.lead("_p").over(Window.partitionBy(key, value, "_bucket").orderBy("_p")))
-    firsts = pts.groupBy(key, value, "_bucket").agg(F.min("_p").alias("_first"))
-    chain = firsts.select(key, value, "_bucket", F.lead("_first").over(
-        Window.partitionBy(key, value).orderBy("_bucket")).alias("_next_bucket_first"))
-    pts = pts.join(chain, [key, value, "_bucket"], "left")
-    close = F.least(F.coalesce(F.col("_lead"), F.col("_next_bucket_first"), F.lit(None).cast("timestamp_ntz")),
-                    F.col("_p") + F.make_dt_interval(F.lit(0), F.lit(width_hours)) + F.expr(ONE_MICRO))
     one = F.lit(1).cast("long")
-    return pts.select(key, F.explode(F.array(
-        F.struct(F.col("_p").alias("_t"), one.alias(name)), F.struct(close.alias("_t"), (-one).alias(name)))).alias("e")
-    ).select(key, "e.*")
+    value = {n: F.when(F.col("_placed"), F.coalesce(one if v is None else v, F.lit(0))).otherwise(F.lit(0)) for n, (_, v) in measures.items()}
+    kind = {n: t.select(value[n].alias("x")).schema["x"].dataType for n in measures}
+    none = [F.lit(0).cast(k).alias(n) for n, k in others.items()]
+    id_type = t.schema[row_id].dataType
+    shown = [] if payload is None else [payload.alias("_row")]
+    # The key is part of the exploded entries: nothing is read past the generator.
+    steps = [F.struct("_who", F.col(ts).alias("_t"), F.col(row_id).alias("_id"), F.lit(ROW).alias("_kind"), *shown,
+                      *[value[n].cast(kind[n]).alias(n) for n in measures], *none)]
+    for w in sorted({w for w, _ in measures.values()}):
+        end = F.col(ts) + _hours(w) + F.expr(ONE_MICRO)
+        hidden = [] if payload is None else [F.when(F.lit(False), payload).alias("_row")]
+        steps.append(F.struct("_who", end.alias("_t"), F.lit(None).cast(id_type).alias("_id"), F.lit(EVENT).alias("_kind"), *hidden, *[
+            (-value[n] if measures[n][0] == w else F.lit(0)).cast(kind[n]).alias(n) for n in measures], *none))
+    several = F.when(F.col("_placed"), F.array(*steps)).otherwise(F.array(steps[0]))
+    return t.select(F.explode(several).alias("e")).select("e.*")
 
 
-def cumulative(events: DataFrame, key: str, measures: list[str], cells: Cells) -> DataFrame:
-    """(key, _t, _cum_<measure>): running sums along each key's timeline, one row a distinct time.
+def openings(sums: DataFrame, measures: list[str]) -> DataFrame:
+    """The entry that a bucket's stream begins with, from the sums by (_who, _bucket).
 
-    Changes are added up by (key, time) first; that aggregate feeds both the
-    per-bucket totals and the running sums inside buckets.
+    Sums over blocks of buckets first, then inside a block, so that a key's
+    buckets are spread over tasks.  Cells of one instant (rows cut by their
+    ids) open with the whole instant, as all its rows are peers.
     """
-    ev = with_cells(events.withColumn("_id", F.lit(0).cast("long")), key, "_t", "_id", _by_time(cells))
-    a = ev.groupBy(key, "_bucket", "_t").agg(*[F.sum(m).alias(m) for m in measures])
-    totals = a.groupBy(key, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(F.col(key).alias("_k"), F.col("_bucket").alias("_kb"),
-                            *[F.sum(m).over(before).alias(f"_off_{m}") for m in measures])
-    a = a.join(offsets, (F.col(key) == F.col("_k")) & (F.col("_bucket") == F.col("_kb")))
-    w = Window.partitionBy(key, "_bucket").orderBy("_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return a.select(key, "_t", *[(F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.sum(m).over(w)).alias(f"_cum_{m}")
-                                 for m in measures])
-
+    at = F.col("_bucket")
+    a = sums.withColumns({"_block": F.floor(at["_b"] / F.lit(BLOCK)), "_b": at["_b"], "_s": at["_s"]})
+    blocks = a.groupBy("_who", "_block").agg(*[F.sum(m).alias(m) for m in measures])
+    before = Window.partitionBy("_who").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("_who").alias("_w"), F.col("_block").alias("_wb"), *[F.sum(m).over(before).alias(f"_off_{m}") for m in measures])
+    so_far = Window.partitionBy("_who", "_block").orderBy("_b", "_s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    instant = Window.partitionBy("_who", "_block", "_b", "_s")
+    a = a.select("_who", "_bucket", "_block", *[
+        (F.sum(m).over(so_far) - F.when(at["_i"] == 0, F.sum(m).over(instant)).otherwise(F.lit(0))).alias(m) for m in measures])
+    # A left join, as an inner one would put conditions into the sums' plan, whose exchanges are used again.
+    a = a.join(blocks, (F.col("_who") == F.col("_w")) & (F.col("_block") == F.col("_wb")), "left")
+    return a.select("_who", "_bucket", F.lit(OPENING).alias("_kind"), *[
+        (F.col(m) + F.coalesce(F.col(f"_off_{m}"), F.lit(0))).alias(m) for m in measures])
+
+
+def distinct_moves(placed: DataFrame, ts: str, value: str, width_hours: int, name: str) -> DataFrame:
+    """(_who, _t, name): changes of the number of distinct non-NULL ``value`` in the frame.
+
+    Rows of a (key, value) in one stretch as long as the frame are within the
+    frame of one another, so only the first of a stretch can open an interval,
+    and only the last can close one: by the neighbouring stretches.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts))
+    stretch = F.floor(micros / F.lit(width_hours * 3_600_000_000)).alias("_stretch")
+    s = placed.filter(F.col("_placed") & F.col(value).isNotNull()).groupBy("_who", value, stretch).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    along = Window.partitionBy("_who", value).orderBy("_stretch")
+    s = s.select("_who", "_first", "_last", F.lag("_last").over(along).alias("_before"), F.lead("_first").over(along).alias("_next"))
+    opens = F.coalesce(F.col("_first") > F.col("_before") + _hours(width_hours), F.lit(True))
+    closes = F.coalesce(F.col("_next") > F.col("_last") + _hours(width_hours), F.lit(True))
+    one = F.lit(1).cast("long")
+    moves = F.array(F.when(opens, F.struct(F.col("_first").alias("_t"), one.alias(name))),
+                    F.when(closes, F.struct((F.col("_last") + _hours(width_hours) + F.expr(ONE_MICRO)).alias("_t"), (-one).alias(name))))
+    return s.select("_who", F.explode(F.filter(moves, lambda m: m.isNotNull())).alias("e")).select("_who", "e.*")
 
-def _at(rows: DataFrame, key: str, ts: str, sums: DataFrame, names: dict[str, str]) -> DataFrame:
-    """``rows`` with the running sums (column -> measure) of their key and time; NULL without key or time."""
-    right = sums.select(F.col(key).alias("_k"), F.col("_t").alias("_kt"),
-                        *[F.col(f"_cum_{m}").alias(c) for c, m in names.items()])
-    return rows.join(right, (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_kt")), "left").drop("_k", "_kt")
 
+def first_marks(placed: DataFrame, ts: str, row_id: str, columns: list[str]) -> DataFrame:
+    """(_who, _t, _id, _marks): the rows that are their key's first, by (ts, row_id), with their value of a column.
 
-def _cells_of(rows: DataFrame, key: str, ts: str, row_id: str, bucket_hours: int, rows_per_bucket: int | None) -> Cells:
-    return split_cells(rows, key, ts, row_id, bucket_hours, rows_per_bucket) if rows_per_bucket else Cells(bucket_hours)
+    NULL is a value; ``_marks`` is 2 ** n for the n-th column.  Time and id are
+    compared as one number, which an aggregate keeps in place.
+    """
+    values = F.array(*[F.struct(F.lit(1 << n).alias("_marks"), F.col(c).cast("string").alias("_v")) for n, c in enumerate(columns)])
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts)).cast("decimal(19,0)")
+    wide = F.lit(Decimal(WIDE)).cast("decimal(20,0)")
+    # The id is moved into 0 .. 2 ** 64 - 1.
+    at = (micros * wide + F.col(row_id).cast("decimal(20,0)") + F.lit(Decimal(WIDE // 2)).cast("decimal(20,0)")).cast("decimal(38,0)")
+    first = (placed.filter("_placed").select("_who", at.alias("_at"), F.explode(values).alias("e"))
+             .groupBy("_who", "e._marks", "e._v").agg(F.min("_at").alias("_at")))
+    rest = F.pmod(F.col("_at"), wide)
+    time = ((F.col("_at") - rest) / wide).cast("decimal(19,0)").cast("long")
+    return first.select(
+        "_who", F.timestamp_add("MICROSECOND", time, F.lit(EPOCH).cast("timestamp_ntz")).alias("_t"),
+        (rest - F.lit(Decimal(WIDE // 2)).cast("decimal(20,0)")).cast("long").cast(placed.schema[row_id].dataType).alias("_id"), "_marks")
+
+
+def running(t: DataFrame, key: str, ts: str, row_id: str, measures: dict[str, tuple[int, Column | None]],
+            distinct: dict[str, tuple[int, str]] | None = None, firsts: dict[str, str] | None = None,
+            bucket_hours: int = 24, rows_per_bucket: int | None = None, basics: DataFrame | None = None) -> DataFrame:
+    """``t`` with RANGE-frame sums over [ts - width, ts] of the key (ties included), distinct counts and first sightings.
+
+    ``measures``: name -> (width in hours, value Column, or None to count
+    rows); ``distinct``: name -> (width, column); ``firsts``: flag -> column.
+    Rows without a key or time have NULL sums and False flags.  The rows are
+    shuffled once at full width.  ``basics``: the same rows before costly
+    steps, for the passes that only read key, time, id and values.
+    """
+    distinct, firsts = distinct or {}, firsts or {}
+    source = _placed(t if basics is None else basics, key, ts, row_id)
+    placed = source.filter("_placed")
+    cells = _cells_of(placed, key, ts, row_id, bucket_hours, rows_per_bucket)
+    others = {n: "long" for n in distinct}
+    names = [*measures, *others]
+    id_type = t.schema[row_id].dataType
+    rows = _entries(_placed(t, key, ts, row_id), ts, row_id, measures, others, F.struct(*t.columns))
+    parts = {n: distinct_moves(source, ts, c, w, n) for n, (w, c) in distinct.items()}
+    moves = None
+    for n, m in parts.items():
+        m = m.select("_who", "_t", F.lit(None).cast(id_type).alias("_id"), F.lit(EVENT).alias("_kind"), *[
+            F.col(x) if x == n else F.lit(0).cast(rows.schema[x].dataType).alias(x) for x in names])
+        moves = m if moves is None else moves.unionByName(m)
+    bare = _entries(placed, ts, row_id, measures, others, None)
+    entries = rows
+    if moves is not None:
+        bare, entries = bare.unionByName(moves), entries.unionByName(moves, allowMissingColumns=True)
+    if firsts:
+        marks = first_marks(source, ts, row_id, list(firsts.values())).withColumn("_kind", F.lit(MARK))
+        entries = entries.unionByName(marks, allowMissingColumns=True)
+    entries = _bucketed(entries, cells)
+    if names:
+        sums = _bucketed(bare, cells).groupBy("_who", "_bucket").agg(*[F.sum(n).alias(n) for n in names])
+        # In the cells of one instant everything is in the opening.
+        change = [F.when(F.col("_bucket._i") == 0, F.coalesce(n, F.lit(0))).otherwise(F.lit(0)) for n in names]
+        entries = entries.withColumns(dict(zip(names, change, strict=True))).unionByName(openings(sums, names), allowMissingColumns=True)
+    stream = entries.repartition(F.col("_who"), F.col("_bucket"))
+    cell = Window.partitionBy("_who", "_bucket")
+    if firsts:
+        order = cell.orderBy(F.col("_t").asc_nulls_first(), F.col("_id").asc_nulls_first(), "_kind")
+        # A row's marks, one a column at most, stand just before it; other entries have none.
+        stream = stream.withColumn("_marks", F.coalesce(*[
+            sum((F.lag("_marks", k + 1).over(order) for k in range(n)), F.lit(0)) for n in range(len(firsts), 0, -1)], F.lit(0)))
+    peers = cell.orderBy(F.col("_t").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    stream = stream.withColumns({n: F.sum(n).over(peers) for n in names}).filter(F.col("_kind") == ROW)
+    known = F.col("_row")[key].isNotNull() & F.col("_row")[ts].isNotNull()
+    return stream.select(
+        "_row.*", *[F.when(known, F.col(n)).alias(n) for n in names],
+        *[(known & (F.col("_marks").bitwiseAND(1 << i) != 0)).alias(n) for i, n in enumerate(firsts)])
 
 
 def rolling(df: DataFrame, key: str, ts: str, row_id: str, measures: dict[str, tuple[int, Column | None]],
             bucket_hours: int = 24, rows_per_bucket: int | None = None) -> DataFrame:
-    """Per row: RANGE-frame sums over [ts - width, ts] of the key (ties included).
-
-    ``measures``: name -> (width in hours, value Column, or None to count rows).
-    Returns ``row_id`` and the measures.
-    """
+    """``row_id`` and the measures (:func:`running`) of the rows that have a time."""
     rows = df.filter(F.col(ts).isNotNull())
-    cells = _cells_of(rows, key, ts, row_id, bucket_hours, rows_per_bucket)
-    sums = cumulative(changes(rows, key, ts, measures), key, list(measures), cells)
-    return _at(rows.select(key, ts, row_id), key, ts, sums, {m: m for m in measures}).select(row_id, *measures)
+    return running(rows, key, ts, row_id, measures, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket).select(row_id, *measures)
 
 
 def distinct_in_range(df: DataFrame, key: str, ts: str, value: str, row_id: str,
                       width_hours: int, bucket_hours: int = 24,
                       rows_per_bucket: int | None = None) -> DataFrame:
-    """Per row: number of distinct non-NULL ``value`` of its key over [ts - width, ts] (ties included)."""
-    rows = df.filter(F.col(ts).isNotNull())
-    cells = _cells_of(rows, key, ts, row_id, bucket_hours, rows_per_bucket)
-    name = f"distinct_{value}"
-    # Every row's time is an entry, also where nothing changes.
-    still = rows.select(key, F.col(ts).alias("_t"), F.lit(0).cast("long").alias(name))
-    moves = distinct_changes(rows, key, ts, value, width_hours, cells, name).unionByName(still)
-    return _at(rows.select(key, ts, row_id), key, ts, cumulative(moves, key, [name], cells), {name: name}).select(row_id, name)
+    """Per row with a time: number of distinct non-NULL ``value`` of its key over [ts - width, ts] (ties included)."""
+    rows, name = df.filter(F.col(ts).isNotNull()), f"distinct_{value}"
+    return running(rows, key, ts, row_id, {}, {name: (width_hours, value)}, bucket_hours=bucket_hours,
+                   rows_per_bucket=rows_per_bucket).select(row_id, name)
 
 
-def with_first_sightings(rows: DataFrame, key: str, ts: str, row_id: str, columns: dict[str, str], cells: Cells) -> DataFrame:
-    """Add flags (name -> column): the key's first row, by (ts, row_id), with this value of the column (NULL being one).
-
-    One aggregate finds every value's first bucket.  These (key, bucket,
-    value) entries join the rows' own shuffle on (key, bucket) as marks, so a
-    window by value sees whether its bucket is the value's first; the first
-    row in the bucket is a ``row_number``.
-    """
-    t = with_cells(rows, key, ts, row_id, cells).withColumn("_mark", F.lit(-1))
-    names = list(columns)
-    values = F.array(*[F.struct(F.lit(n).alias("_mark"), F.col(columns[name]).cast("string").alias("_v"))
-                       for n, name in enumerate(names)])
-    firsts = (t.select(key, "_bucket", F.explode(values).alias("e")).select(key, "_bucket", "e.*")
-              .groupBy(key, "_mark", "_v").agg(F.min("_bucket").alias("_bucket")))
-    shown = {f"_v{n}": F.col(columns[name]).cast("string") for n, name in enumerate(names)}
-    marks = firsts.select(key, "_bucket", "_mark", *[
-        F.when(F.col("_mark") == n, F.col("_v")).alias(f"_v{n}") for n in range(len(names))])
-    out = t.withColumns(shown).unionByName(marks, allowMissingColumns=True).repartition(F.col(key), F.col("_bucket"))
-    real = F.col("_mark") == -1
-    order = [F.col(ts).asc_nulls_last(), F.col(row_id)]
-    for n, name in enumerate(names):
-        new = F.max(F.col("_mark") == n).over(Window.partitionBy(key, "_bucket", f"_v{n}"))
-        place = F.row_number().over(Window.partitionBy(key, "_bucket", f"_v{n}", real).orderBy(*order))
-        out = out.withColumn(name, new & (place == 1))
-    return out.filter(real).drop("_bucket", "_mark", *shown)
+def with_first_sightings(rows: DataFrame, key: str, ts: str, row_id: str, columns: dict[str, str],
+                         bucket_hours: int = 24, rows_per_bucket: int | None = None) -> DataFrame:
+    """Add flags (name -> column): the key's first row, by (ts, row_id), with this value of the column (NULL being one)."""
+    return running(rows, key, ts, row_id, {}, firsts=columns, bucket_hours=bucket_hours, rows_per_bucket=rows_per_bucket)
 
 
 VELOCITY_COLUMNS = ["transaction_count_1h", "transaction_count_24h", "transaction_amount_24h", "unique_merchants_24h",
@@ -161,34 +229,16 @@ def with_velocity(t: DataFrame, rows_per_bucket: int | None = 2_000_000, bucket_
     """E08-E15 added to every row of silver_transactions (its other columns ride along).
 
     Rows without a customer, account or time have NULL in that key's sums and
-    False in the sightings.  ``rows_per_bucket`` only splits the work.
+    False in the sightings.  ``rows_per_bucket`` only splits the work.  Two
+    full-width shuffles: the customers' stream and the accounts'.
     """
-    ts, row = "transaction_timestamp", "transaction_id"
-    timed = t.filter(F.col(ts).isNotNull())
-    of_customer, of_account = timed.filter(F.col("customer_id").isNotNull()), timed.filter(F.col("account_id").isNotNull())
-    c_cells = _cells_of(of_customer, "customer_id", ts, row, bucket_hours, rows_per_bucket)
-    a_cells = _cells_of(of_account, "account_id", ts, row, bucket_hours, rows_per_bucket)
-
-    rolled = {"n1": (1, None), "n24": (24, None), "sum24": (24, F.col("amount_abs"))}
-    moves = changes(of_customer, "customer_id", ts, rolled)
-    merchants = distinct_changes(of_customer, "customer_id", ts, "merchant_name_clean", 24, c_cells, "merchants")
-    zero = {n: F.lit(0).cast(moves.schema[n].dataType).alias(n) for n in rolled}
-    both = moves.select("customer_id", "_t", *rolled, F.lit(0).cast("long").alias("merchants")).unionByName(
-        merchants.select("customer_id", "_t", *zero.values(), "merchants"))
-    customer = cumulative(both, "customer_id", [*rolled, "merchants"], c_cells)
-    account = cumulative(changes(of_account, "account_id", ts, {"n7d": (24 * 7, None), "balance": (24, F.col("amount"))}),
-                         "account_id", ["n7d", "balance"], a_cells)
-
-    # Rows without a customer or time are dealt out by their id, so that they are one more pass of nothing.
-    placed = F.col("customer_id").isNotNull() & F.col(ts).isNotNull()
-    alone = F.lit(-1) - F.pmod(F.xxhash64(row), F.lit(1 << 40))
-    out = with_first_sightings(t.withColumn("_who", F.when(placed, F.col("customer_id").cast("long")).otherwise(alone)), "_who",
-                               ts, row, {"is_new_device": "device_id", "is_new_location": "merchant_location"}, c_cells)
-    out = out.withColumns({c: F.col(c) & placed for c in ("is_new_device", "is_new_location")}).drop("_who")
-    out = _at(out, "customer_id", ts, customer, {
-        "transaction_count_1h": "n1", "transaction_count_24h": "n24", "transaction_amount_24h": "sum24",
-        "unique_merchants_24h": "merchants"})
-    out = _at(out, "account_id", ts, account, {"account_transaction_count_7d": "n7d", "balance_change_24h": "balance"})
+    ts, row, split = "transaction_timestamp", "transaction_id", {"bucket_hours": bucket_hours, "rows_per_bucket": rows_per_bucket}
+    out = running(t, "customer_id", ts, row, {
+        "transaction_count_1h": (1, None), "transaction_count_24h": (24, None), "transaction_amount_24h": (24, F.col("amount_abs"))},
+        {"unique_merchants_24h": (24, "merchant_name_clean")},
+        {"is_new_device": "device_id", "is_new_location": "merchant_location"}, **split)
+    out = running(out, "account_id", ts, row, {
+        "account_transaction_count_7d": (24 * 7, None), "balance_change_24h": (24, F.col("amount"))}, basics=t, **split)
     kinds = {c: "decimal(22,2)" if c in ("transaction_amount_24h", "balance_change_24h") else "bigint"
              for c in VELOCITY_COLUMNS[:6]}
     return out.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})

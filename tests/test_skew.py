@@ -108,14 +108,13 @@ def test_first_sightings_grow_in_proportion(spark):
     """Distinct devices of one customer-day: no list is searched row by row."""
     import time
 
-    from tallyrisk.operators.sequence import Cells
     from tallyrisk.operators.velocity import with_first_sightings
 
     def took(n):
         rows = spark.range(n).select(F.lit(1).alias("c"), _seconds(F.col("id") % 80_000).alias("t"), F.col("id"),
                                      F.concat(F.lit("d"), F.col("id")).alias("d")).repartition(8)
         start = time.perf_counter()
-        assert with_first_sightings(rows, "c", "t", "id", {"new": "d"}, Cells(24)).filter("new").count() == n
+        assert with_first_sightings(rows, "c", "t", "id", {"new": "d"}).filter("new").count() == n
         return time.perf_counter() - start
 
     took(1000)
