@@ -1,7 +1,7 @@
 """Line dedup: fuzzy lines by SimHash and MinHash blocks, linked by edit similarity alone.
 
-Lines are normalised (lower case, digits alike, punctuation around words and
-extra white space gone).  Equal normalised lines are one node from the start.
+Lines are normalised (lower case, punctuation around words and extra white
+space gone).  Equal normalised lines are one node from the start.
 Two lines are linked when their edit similarity (1 - Levenshtein distance /
 longer length, on the normalised lines) is at least the threshold.  Two
 searches find the candidates, and only them:
@@ -18,6 +18,11 @@ searches find the candidates, and only them:
 Cells that stay too large for one task are cut into pieces, and every two
 pieces meet in one task, so each pair of lines is still compared.
 
+Candidates that hang together are confirmed together, each line's text being
+sent once.  Chains of more than COMPONENT lines are confirmed cell by cell
+instead: of a cell, the lines that hang together within it; cells with the same
+such lines count once.
+
 Of each connected group the first occurrence, by
 (doc_id, line), is kept.
 
@@ -28,7 +33,7 @@ edges.  Line texts are fetched for those nodes alone, and meet once for each
 candidate group.  Decisions go back to documents as lists of line numbers.
 
 Defined cases: null texts have no lines and stay null; lines of fewer than
-``min_words`` words, blank ones included, are always kept; rows equal in id and
+``min_words`` words and fewer than MIN_CHARS characters, blank ones included, are always kept; rows equal in id and
 text are one document and treated alike; other columns are untouched; an empty
 table gives an empty result.
 """
@@ -63,6 +68,8 @@ SHORT = 16
 PAIRS = [(2 * k, 2 * k + 1) for k in range(MINIMA // 2)]
 SIMILARITY = 0.8
 MIN_WORDS = 5
+#: Characters from which a line of fewer words takes part too (scripts without spaces).
+MIN_CHARS = 40
 #: Lines of one block that are compared together; more split it, and above PART cut it into pieces, see above.
 CROWD = 2000
 PART = 20_000
@@ -71,7 +78,7 @@ COMPONENT = 20_000
 
 
 class Lines:
-    """The lines of a batch of texts with at least ``min_words`` words: owner text, number, words."""
+    """The lines of a batch of texts with at least ``min_words`` words or MIN_CHARS characters: owner text, number, words."""
 
     def __init__(self, texts: pa.Array, min_words: int):
         parts = pc.split_pattern(pc.fill_null(unsliced(texts).cast(pa.large_string()), ""), "\n")
@@ -82,12 +89,12 @@ class Lines:
         flat = parts.flatten()
         words = Words(flat, lower=False)
         vocabulary = pc.utf8_lower(pc.ascii_trim(words.vocabulary, characters=PUNCTUATION))
-        vocabulary = pc.replace_substring_regex(vocabulary, "[0-9]", "0")
         real = pc.binary_length(vocabulary).to_numpy(zero_copy_only=False) > 0
         kept = real[words.codes] if len(words.codes) else np.empty(0, bool)
         bounds = np.concatenate([[0], np.cumsum(kept)])[words.bounds]
         codes = words.codes[kept]
-        enough = np.flatnonzero(np.diff(bounds) >= min_words)
+        chars = np.concatenate([[0], np.cumsum(pc.utf8_length(vocabulary).to_numpy(zero_copy_only=False)[codes])])[bounds]
+        enough = np.flatnonzero((np.diff(bounds) >= min_words) | (np.diff(chars) >= MIN_CHARS))
         self.owner, self.place = owner[enough], place[enough]
         self.vocabulary = vocabulary
         sizes = np.diff(bounds)[enough]
@@ -261,7 +268,7 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of the lines of each region that differ in at most BLOCK_BITS bits (columns: simhash), or agree in
+    """Spanning edges, and a name of what hangs together, of the lines of each region that differ in at most BLOCK_BITS bits (columns: simhash), or agree in
     AGREEING minima (columns: low, high)."""
     def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.bitwise_count(a ^ b) <= BLOCK_BITS if len(columns) == 1 else _agreement(a, b) >= AGREEING
@@ -282,15 +289,25 @@ def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Sche
         some = np.flatnonzero(partner)
         group = np.searchsorted(cuts, some, side="right")
         first = np.flatnonzero(np.diff(group, prepend=-1))
-        a, b = [], []
+        names = mix64(hash_strings(nodes.cast(pa.large_binary()), 37))
+        a, b, unit = [], [], []
         for start, stop in zip(first, np.append(first[1:], len(some)) if len(first) else first, strict=True):
             rows = some[start:stop]
             own = h[rows]
-            for i, j in spanning_links(len(rows), lambda i, others, own=own: alike(own[others], own[i])):
+            links = spanning_links(len(rows), lambda i, others, own=own: alike(own[others], own[i]))
+            # The lines that hang together are named by all of them (links come part by part, breadth first).
+            part: dict[int, int] = {}
+            total: dict[int, int] = {}
+            for i, j in links:
+                top = part.setdefault(i, i)
+                part[j] = top
+                total[top] = (total.get(top, int(names[rows[top]])) + int(names[rows[j]])) & 0xFFFFFFFFFFFFFFFF
+            for i, j in links:
                 a.append(rows[i])
                 b.append(rows[j])
+                unit.append(total[part[i]].to_bytes(8, "big"))
         yield pa.RecordBatch.from_arrays(
-            [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], schema=schema)
+            [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64())), pa.array(unit, pa.binary())], schema=schema)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -357,14 +374,17 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks, shared = _cells(nodes), _groups_of_minima(nodes)
 
+    edge = StructType.fromDDL("a binary, b binary, region binary")
+    edge_arrow = to_arrow_schema(edge)
+
     def edges(cells: DataFrame, columns: list[str]) -> DataFrame:
         rows_ = cells.repartition(width, "region").sortWithinPartitions("region").select("region", "node", *columns)
-        return stored(rows_.mapInArrow(lambda it: _near(it, columns, pair_arrow), pair), "line-near")
+        return stored(rows_.mapInArrow(lambda it: _near(it, columns, edge_arrow), edge).distinct(), "line-near")
 
     near = edges(blocks, ["simhash"]).unionByName(edges(shared, ["low", "high"]))
-    cells = blocks.select("region", "node").unionByName(shared.select(F.xxhash64("region").alias("region"), "node"))
-    candidates = stored(connected_components(near), "line-candidates")
+    candidates = stored(connected_components(near.select("a", "b")), "line-candidates")
     weighed = candidates.withColumn("weight", F.lit(1))
+    cells = near.select("region", F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = units(weighed, cells, COMPONENT).join(nodes.select("node", "first", "simhash", "minima"), "node")
     wanted = stored(wanted.groupBy(F.col("first.doc_id").alias("id_r"), F.col("first.text_hash").alias("hash_r")).agg(
         F.collect_list(F.struct("unit", "node", "simhash", "minima", F.col("first.line").alias("line"))).alias("wanted")), "wanted")

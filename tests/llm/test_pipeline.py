@@ -6,6 +6,12 @@ from tallyrisk.llm.common import stored
 from .conftest import prose
 
 
+def broken(words, first):
+    """Lines of ten words after one of ``first``."""
+    cuts = [0, *range(first, len(words), 10), len(words)]
+    return "\n".join(" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+
+
 def planted(spark, folder):
     rng = np.random.default_rng(0)
     item = prose(rng, 40)
@@ -15,7 +21,8 @@ def planted(spark, folder):
     rows = clean + [
         (100, "123 456 --"), (101, None), (102, ""),
         (200, prose(rng, 30) + "\n" + line), (201, line + "\n" + prose(rng, 30)), (202, line),
-        (300, " ".join(near)), (301, " ".join([*near[:70], "changed", *near[71:]])),
+        # Near copies as documents, broken at other places, so that no line of one is like a line of the other.
+        (300, broken(near, 10)), (301, broken([*near[:70], "changed", *near[71:]], 5)),
         (400, prose(rng, 30) + " " + item + " " + prose(rng, 30))]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
                                  "doc_id long, text string, lang string, source string, n_chars long")
@@ -56,3 +63,23 @@ def test_stage_names_and_registration(spark):
     assert "pipeline" in names
     for k in range(1, 11):
         assert sum(q.startswith(f"op{k}_") for q in names) == 1
+
+
+def pipeline_of(spark, folder, rows, benchmark=()):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, node string, region long, place int"
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "n", 1, 2) for i, t in rows], kinds).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(list(benchmark), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return corpus_pipeline.run(spark, str(folder))
+
+
+def test_empty_tables(spark, tmp_path):
+    assert pipeline_of(spark, tmp_path, []).count() == 0
+
+
+def test_repeated_rows_and_clashing_names(spark, tmp_path):
+    """Equal rows are one document; other columns of whatever name ride along."""
+    rng = np.random.default_rng(4)
+    texts = [prose(rng, 60) for _ in range(4)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 2 + [(9, texts[1])]
+    kept = pipeline_of(spark, tmp_path, rows, [(1, None), (2, "")]).toPandas()
+    assert set(kept["doc_id"]) == {0, 1, 2, 3}
