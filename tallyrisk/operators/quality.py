@@ -1,17 +1,23 @@
 """Data quality checks as Spark jobs: counts, NULLs, keys, orphans, lengths.
 
-Each check is one aggregate per table (partial-combined before the
-shuffle) and the per-table results are unioned; nothing is collected.
+Most checks are one aggregate per table (partial-combined before the
+shuffle) whose results are unioned; nothing is collected.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrisk.operators.joins import join_dimension
 from tallyrisk.schemas import FOREIGN_KEYS, NULL_CHECKS, PRIMARY_KEYS, VARCHAR_LIMITS
+from tallyrisk.session import ship_package, stored
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -42,18 +48,87 @@ def null_checks(tables: dict[str, DataFrame], checks=NULL_CHECKS) -> DataFrame:
     return out.withColumn("status", F.when(F.col("null_count") == 0, "pass").otherwise("warn"))
 
 
-def duplicate_keys(tables: dict[str, DataFrame], keys=PRIMARY_KEYS) -> DataFrame:
-    """Q05: number of key values that occur more than once, per table."""
-    frames = []
-    for table, cols in keys.items():
-        if table not in tables:
-            continue
-        dup = tables[table].groupBy(*cols).count().filter(F.col("count") > 1)
-        frames.append(dup.agg(F.count(F.lit(1)).alias("duplicate_keys"),
-                              F.coalesce(F.sum("count"), F.lit(0)).alias("duplicate_rows"))
-                      .select(F.lit(table).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"),
-                              "duplicate_keys", "duplicate_rows"))
-    return _union(frames)
+#: Key hashes that a task holds before it puts them out.
+HELD_HASHES = 4_000_000
+
+
+def _packed(hashes: np.ndarray) -> bytes:
+    """Sorted distinct hashes as compressed differences, high bytes first."""
+    gaps = np.diff(hashes, prepend=np.uint64(0))
+    return zlib.compress(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    gaps = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(gaps).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def key_counters(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """(t, h) to (t, part, once, twice): the distinct hashes of the task's keys, and those met more than once.
+
+    Saturating counters: however often a key comes, it is one hash here.
+    ``part``: the first ``bits`` bits of the hashes.
+    """
+    held: dict[int, list[np.ndarray]] = {}
+    number = 0
+
+    def put() -> Iterator[pa.RecordBatch]:
+        rows = []
+        for t, parts in held.items():
+            once, count = np.unique(np.concatenate(parts), return_counts=True)
+            part = (once >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(once), np.int64)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1))
+            for low, high in zip(cuts, np.append(cuts[1:], len(once)), strict=True):
+                many = once[low:high][count[low:high] > 1]
+                rows.append((t, int(part[low]), _packed(once[low:high]), _packed(many) if len(many) else None))
+        held.clear()
+        if rows:
+            t, part, once, twice = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(part, pa.int64()), pa.array(once, pa.binary()),
+                                              pa.array(twice, pa.binary())], ["t", "part", "once", "twice"])
+
+    for b in batches:
+        t, h = b.column("t").to_numpy(), b.column("h").to_numpy().view(np.uint64)
+        for one in np.unique(t):
+            held.setdefault(int(one), []).append(h[t == one])
+        number += len(h)
+        if number >= HELD_HASHES:
+            yield from put()
+            number = 0
+    yield from put()
+
+
+def met_twice(part: pa.Table) -> pa.Table:
+    """The hashes that one part's counters, of all tasks, met more than once."""
+    once = np.sort(np.concatenate([_unpacked(b) for b in part["once"].to_pylist()]))
+    found = [once[1:][once[1:] == once[:-1]], *[_unpacked(b) for b in part["twice"].to_pylist() if b is not None]]
+    hashes = np.unique(np.concatenate(found)).view(np.int64)
+    return pa.table({"t": pa.array(np.full(len(hashes), part["t"][0].as_py()), pa.int32()), "h": pa.array(hashes)})
+
+
+def duplicate_keys(tables: dict[str, DataFrame], keys=PRIMARY_KEYS, key_hash=F.xxhash64) -> DataFrame:
+    """Q05: number of key values that occur more than once, per table.
+
+    Keys are not shuffled.  Tasks put out the hashes of their keys, sorted,
+    as compressed differences; these are merged, and only keys whose hash was
+    met twice are gathered and counted as they are.  A table without
+    duplicates is read once.  The merging job runs at once.
+    """
+    names = [t for t in keys if t in tables]
+    spark = ship_package(tables[names[0]].sparkSession)
+    bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    rows = _union([tables[t].select(F.lit(n).alias("t"), key_hash(*keys[t]).alias("h"),
+                                    F.array(*[F.col(c).cast("string") for c in keys[t]]).alias("k")) for n, t in enumerate(names)])
+    counters = rows.select("t", "h").mapInArrow(lambda b: key_counters(b, bits), "t int, part long, once binary, twice binary")
+    doubtful = stored(counters.groupBy("t", "part").applyInArrow(met_twice, "t int, h long"), "doubtful-keys")
+    listed = spark.createDataFrame([(n, t, ",".join(keys[t])) for n, t in enumerate(names)], "n int, table_name string, key_columns string")
+    none = F.lit(0).cast("long")
+    if doubtful.isEmpty():
+        return listed.select("table_name", "key_columns", none.alias("duplicate_keys"), none.alias("duplicate_rows"))
+    counted = join_dimension(rows, doubtful, ["t", "h"], "left_semi").groupBy("t", "k").count().filter(F.col("count") > 1)
+    found = counted.groupBy("t").agg(F.count(F.lit(1)).alias("duplicate_keys"), F.sum("count").alias("duplicate_rows"))
+    return listed.join(found, F.col("n") == F.col("t"), "left").select(
+        "table_name", "key_columns", *[F.coalesce(c, none).alias(c) for c in ("duplicate_keys", "duplicate_rows")])
 
 
 def orphan_rows(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -150,7 +150,13 @@ def assign_buckets(t: DataFrame, key: str, ts: str, row_id: str, bucket_hours: i
     return with_cells(t, key, ts, row_id, cells)
 
 
-def group_summary(t: DataFrame, key: str, ts: str, value: str, group: str) -> DataFrame:
+def _merged(over, n: str, total: str, m2: str, mean) -> Column:
+    """Sum of squared deviations from ``mean`` of parts (n, total, m2), by the parallel variance formula."""
+    part = F.col(total).cast("double") / F.col(n)
+    return F.sum(F.col(m2) + F.col(n) * F.pow(part - mean, 2)).over(over)
+
+
+def group_summary(t: DataFrame, key: str, ts: str, value: str, group: str, blocks: bool = False) -> DataFrame:
     """One row per (key, bucket, group) carrying everything that crosses buckets.
 
     One aggregate, then windows over it.  Per key: the count, the exact mean,
@@ -158,36 +164,68 @@ def group_summary(t: DataFrame, key: str, ts: str, value: str, group: str) -> Da
     formula, and 0 where least and greatest value are the same) and the mean
     gap between events; per bucket: the last time before it; per row: whether
     the group appears in this bucket first (``_new_group``).
+
+    ``blocks``: for keys with very many buckets.  The windows then run over
+    blocks of BLOCK time buckets, and those over a whole key see a row a
+    block, so a key's rows are spread over tasks.  Results are the same.
     """
     v = F.col(value)
     vd = v.cast("double")
+    block = F.floor(F.col("_bucket")["_b"] / F.lit(BLOCK)) if blocks else F.lit(0).cast("long")
     g = t.groupBy(key, "_bucket", F.col(group).alias("_group")).agg(
         F.max(ts).alias("_last"), F.min(ts).alias("_first"),
         F.count(F.lit(1)).alias("_rows"), F.count_if(F.col(ts).isNull()).alias("_untimed"),
         F.count(v).alias("_n"), F.sum(v).alias("_sum"), F.min(v).alias("_least"), F.max(v).alias("_most"),
-        (F.var_pop(vd) * F.count(v)).alias("_m2"))
-    by_key = Window.partitionBy(key)
-    by_bucket = Window.partitionBy(key).orderBy("_bucket")
-    n = F.sum("_n").over(by_key)
-    g = g.select("*", F.dense_rank().over(by_bucket).alias("_place"), n.alias("_n_value"),
-                 (F.sum("_sum").over(by_key).cast("double") / n).alias("_mean_value"),
-                 F.sum("_rows").over(by_key).alias("_n_rows"), F.sum("_untimed").over(by_key).alias("_n_untimed"),
-                 F.min("_first").over(by_key).alias("_from"), F.max("_last").over(by_key).alias("_to"),
-                 (F.min("_least").over(by_key) == F.max("_most").over(by_key)).alias("_constant"))
-    earlier = Window.partitionBy(key).orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
-    part_mean = F.col("_sum").cast("double") / F.col("_n")
-    m2 = F.sum(F.col("_m2") + F.col("_n") * F.pow(part_mean - F.col("_mean_value"), 2)).over(by_key)
+        (F.var_pop(vd) * F.count(v)).alias("_m2")).withColumn("_block", block)
+    inside = Window.partitionBy(key, "_block")
+    by_bucket = inside.orderBy("_bucket")
+    n = F.sum("_n").over(inside)
+    g = g.select("*", F.dense_rank().over(by_bucket).alias("_place"), n.alias("_n_value"), F.sum("_sum").over(inside).alias("_sum_value"),
+                 F.sum("_rows").over(inside).alias("_n_rows"), F.sum("_untimed").over(inside).alias("_n_untimed"),
+                 F.min("_first").over(inside).alias("_from"), F.max("_last").over(inside).alias("_to"),
+                 F.min("_least").over(inside).alias("_low"), F.max("_most").over(inside).alias("_high"))
+    g = g.withColumn("_mean_value", F.col("_sum_value").cast("double") / F.col("_n_value"))
+    earlier = inside.orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
+    of_group = F.min("_place").over(Window.partitionBy(key, "_block", "_group")) == F.col("_place")
+    g = g.select("*", _merged(inside, "_n", "_sum", "_m2", F.col("_mean_value")).alias("_m2_value"),
+                 F.max("_last").over(earlier).alias("_prev_bucket_last_ts"), of_group.alias("_new_group"))
+    if blocks:
+        g = _over_blocks(g, key)
     # Sum of gaps telescopes: 24 h for each row without a predecessor
     # (the first timed row and every untimed row) plus last - first.
     span_h = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col("_to")) / F.lit(3.6e9)
     starts = F.col("_n_untimed") + F.when(F.col("_n_rows") > F.col("_n_untimed"), 1).otherwise(0)
-    std = F.when(F.col("_constant"), F.lit(0.0)).otherwise(F.sqrt(F.greatest(m2, F.lit(0.0)) / (F.col("_n_value") - 1)))
+    std = F.when(F.col("_low") == F.col("_high"), F.lit(0.0)).otherwise(
+        F.sqrt(F.greatest(F.col("_m2_value"), F.lit(0.0)) / (F.col("_n_value") - 1)))
     return g.select(
-        key, "_bucket", "_group",
-        F.max("_last").over(earlier).alias("_prev_bucket_last_ts"), "_n_value", "_mean_value",
+        key, "_bucket", "_group", "_prev_bucket_last_ts", "_n_value", "_mean_value",
         F.when(F.col("_n_value") > 1, std).alias("_std_value"),
-        ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows")).alias("_mean_gap_hours"),
-        (F.min("_place").over(Window.partitionBy(key, "_group")) == F.col("_place")).alias("_new_group"))
+        ((F.lit(24.0) * starts + F.coalesce(span_h, F.lit(0.0))) / F.col("_n_rows")).alias("_mean_gap_hours"), "_new_group")
+
+
+def _over_blocks(g: DataFrame, key: str) -> DataFrame:
+    """The blocks' figures made those of the whole key: windows over one row a block, and a row a block and group."""
+    facts = ["_n_value", "_sum_value", "_n_rows", "_n_untimed", "_from", "_to", "_low", "_high", "_m2_value"]
+    one = g.groupBy(key, "_block").agg(*[F.any_value(c).alias(c) for c in facts])
+    by_key = Window.partitionBy(key)
+    before = by_key.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {c: F.sum(c).over(by_key) for c in ("_n_value", "_sum_value", "_n_rows", "_n_untimed")}
+    mean = sums["_sum_value"].cast("double") / sums["_n_value"]
+    one = one.withColumn("_mean_value", mean)
+    one = one.select(
+        F.col(key).alias("_ok"), F.col("_block").alias("_ob"), "_mean_value", *[e.alias(c) for c, e in sums.items() if c != "_sum_value"],
+        F.min("_from").over(by_key).alias("_from"), F.max("_to").over(by_key).alias("_to"),
+        F.min("_low").over(by_key).alias("_low"), F.max("_high").over(by_key).alias("_high"),
+        _merged(by_key, "_n_value", "_sum_value", "_m2_value", F.col("_mean_value")).alias("_m2_value"),
+        F.max("_to").over(before).alias("_last_before"))
+    groups = g.groupBy(key, "_block", "_group").agg(F.lit(True).alias("_here"))
+    first = F.min("_block").over(Window.partitionBy(key, "_group")) == F.col("_block")
+    groups = groups.select(F.col(key).alias("_gk"), F.col("_block").alias("_gb"), F.col("_group").alias("_gg"), first.alias("_first_block"))
+    own = g.select(key, "_block", "_bucket", "_group", "_prev_bucket_last_ts", "_new_group")
+    own = own.join(one, (F.col(key).eqNullSafe(F.col("_ok"))) & (F.col("_block") == F.col("_ob")))
+    own = own.join(groups, F.col(key).eqNullSafe(F.col("_gk")) & (F.col("_block") == F.col("_gb")) & F.col("_group").eqNullSafe(F.col("_gg")))
+    return own.withColumns({"_prev_bucket_last_ts": F.coalesce("_prev_bucket_last_ts", "_last_before"),
+                            "_new_group": F.col("_new_group") & F.col("_first_block")})
 
 
 def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "transaction_timestamp",
@@ -211,13 +249,15 @@ def with_sequence_features(t: DataFrame, key: str = "customer_id", ts: str = "tr
     value and group.
     """
     basics = t if basics is None else basics
+    blocks = bool(bucket_col)  # buckets stored for a table of whatever size
     if bucket_col:
         t, basics = (d.withColumn("_bucket", F.col(bucket_col)) for d in (t, basics))
     else:
         cells = split_cells(basics, key, ts, row_id, bucket_hours, rows_per_bucket) if rows_per_bucket \
             else Cells(bucket_hours)
         t, basics = (with_cells(d, key, ts, row_id, cells) for d in (t, basics))
-    aux = group_summary(basics, key, ts, value, group).withColumnsRenamed({key: "_k", "_bucket": "_kb"})
+        blocks = bool(cells.levels)  # some key has crowded buckets
+    aux = group_summary(basics, key, ts, value, group, blocks).withColumnsRenamed({key: "_k", "_bucket": "_kb"})
 
     # Hash rows on (key, bucket) explicitly: otherwise the window would reuse
     # an upstream partitioning on the key alone (e.g. from a dimension join)

@@ -18,6 +18,7 @@ from tallyrisk.functions.temporal import as_of_date, as_of_ts, hour_angle
 from tallyrisk.operators import aggregates as agg
 from tallyrisk.operators.joins import join_dimension, left_join_fill
 from tallyrisk.operators.sequence import with_sequence_features
+from tallyrisk.session import stored
 
 MONEY = "decimal(12,2)"
 # Wider than the source DDL where 100 TB values would not fit (see silver.py).
@@ -217,19 +218,12 @@ def _real_exprs(holidays: bool) -> dict[str, Column]:
 def _with_category_risk(t: DataFrame, risk: DataFrame) -> DataFrame:
     """``merchant_risk_score`` of the row's category (NULL being one).
 
-    The scores are one row a category.  Where they are few enough they are
-    broadcast; otherwise the rows meet them by a skew-split join on a stored
-    table of them.
+    The scores, one row a category, are stored first (a job at once): their
+    size is then known, so a small table is broadcast and a large one joined
+    as a scan, whose hot categories the skew join splits.
     """
-    score = risk.select(F.col("merchant_category").alias("_cat"), "merchant_risk_score")
-    rows = [tuple(r) for r in score.limit(CATEGORIES + 1).collect()]
-    if len(rows) <= CATEGORIES:
-        score = F.broadcast(t.sparkSession.createDataFrame(rows, score.schema))
-    return t.join(score, t["merchant_category"].eqNullSafe(F.col("_cat")), "left").drop("_cat")
-
-
-#: Categories up to which their measured scores are broadcast.
-CATEGORIES = 100_000
+    score = stored(risk.select(F.col("merchant_category").alias("_cat"), "merchant_risk_score"), "category-risk")
+    return join_dimension(t, score, t["merchant_category"].eqNullSafe(F.col("_cat"))).drop("_cat")
 
 
 DAILY_COLUMNS = [

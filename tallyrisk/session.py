@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -96,6 +97,13 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def stored(df, name: str):
+    """Write a table to the shared folder and read it back: computed once, its size known to the optimizer."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
     """Send this package's code to the executors' Python workers, once a context."""
     sc = spark.sparkContext

@@ -141,3 +141,31 @@ def test_skewed_dimension_join_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_summaries_over_blocks_are_the_same_and_spread(spark):
+    """A customer with very many buckets: windows over the key see a row a block; no figure changes."""
+    from tallyrisk.operators.sequence import Cells, group_summary, with_cells
+
+    base = _rows(spark, F.when(F.col("id") % 17 != 0, _seconds(F.col("id") * 1700 % 40_000_000)), n=9000)
+    t = with_cells(base, "customer_id", "transaction_timestamp", "transaction_id", Cells(1))
+    order = ["customer_id", "_bucket", "_group"]
+
+    def rows(blocks):
+        df = group_summary(t, "customer_id", "transaction_timestamp", "amount_abs", "merchant_category", blocks)
+        return {(r["customer_id"], tuple(r["_bucket"]), r["_group"]): r.asDict() for r in df.orderBy(*order).collect()}
+
+    plain, blocked = rows(False), rows(True)
+    assert plain.keys() == blocked.keys() and len(plain) > 5000
+    for k, r in plain.items():
+        for c in ("_prev_bucket_last_ts", "_n_value", "_new_group"):
+            assert r[c] == blocked[k][c], (k, c)
+        for c in ("_mean_value", "_std_value", "_mean_gap_hours"):
+            assert (r[c] is None) == (blocked[k][c] is None) and (r[c] is None or abs(r[c] - blocked[k][c]) < 1e-9), (k, c)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = group_summary(t.filter("customer_id = 0"), "customer_id", "transaction_timestamp", "amount_abs", "merchant_category", True)
+        most = df.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert most[0] < most[1] / 3
