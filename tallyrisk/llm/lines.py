@@ -289,7 +289,7 @@ def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Sche
         some = np.flatnonzero(partner)
         group = np.searchsorted(cuts, some, side="right")
         first = np.flatnonzero(np.diff(group, prepend=-1))
-        names = mix64(hash_strings(nodes.cast(pa.large_binary()), 37))
+        names = mix64(nodes.to_numpy(zero_copy_only=False).view(np.uint64))
         a, b, unit = [], [], []
         for start, stop in zip(first, np.append(first[1:], len(some)) if len(first) else first, strict=True):
             rows = some[start:stop]
@@ -325,7 +325,7 @@ def _texts(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.Schema)
                     minima.append(w["minima"])
                     text.append(lines.text(i))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(unit, pa.binary()), pa.array(node, pa.binary()), pa.array(bits, pa.int64()),
+            [pa.array(unit, pa.binary()), pa.array(node, pa.int64()), pa.array(bits, pa.int64()),
              pa.array(minima, pa.binary()), pa.array(text, pa.string())], schema=schema)
 
 
@@ -354,6 +354,12 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
             [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], schema=schema)
 
 
+def _mixed(place: Column) -> Column:
+    """A bijection that scatters neighbouring rows, as names in order would make long chains of least neighbours."""
+    low = F.lit((1 << 22) - 1)
+    return F.shiftleft(F.shiftrightunsigned(place, 22), 22).bitwiseOR((place.bitwiseAND(low) * F.lit(2654435)).bitwiseAND(low))
+
+
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_r, hash_r, dropped, kept_in): the numbers, from 0, of the lines to drop from the documents that have
@@ -369,12 +375,17 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
         F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "line")).alias("first"),
         F.min("simhash").alias("simhash"), F.min("minima").alias("minima"), F.min("words").alias("words")), "line-nodes")
 
-    pair = StructType.fromDDL("a binary, b binary")
+    # In the search a node goes by its place in the stored table, mixed: a few bytes instead of sixteen.
+    part = F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("long")
+    place = F.shiftleft(part, 28).bitwiseOR(F.col("_metadata.row_index"))
+    nodes = nodes.select(*[F.col(c) for c in nodes.columns if c != "node"], F.col("node").alias("key"),
+                         _mixed(place).alias("node"))
+    pair = StructType.fromDDL("a long, b long")
     pair_arrow = to_arrow_schema(pair)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks, shared = _cells(nodes), _groups_of_minima(nodes)
 
-    edge = StructType.fromDDL("a binary, b binary, region binary")
+    edge = StructType.fromDDL("a long, b long, region binary")
     edge_arrow = to_arrow_schema(edge)
 
     def edges(cells: DataFrame, columns: list[str]) -> DataFrame:
@@ -383,12 +394,12 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
 
     near = edges(blocks, ["simhash"]).unionByName(edges(shared, ["low", "high"]))
     candidates = stored(connected_components(near.select("a", "b")), "line-candidates")
-    weighed = candidates.withColumn("weight", F.lit(1))
+    weighed = candidates.select("node", F.unhex(F.hex("root")).alias("root"), F.lit(1).alias("weight"))
     cells = near.select("region", F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = units(weighed, cells, COMPONENT).join(nodes.select("node", "first", "simhash", "minima"), "node")
     wanted = stored(wanted.groupBy(F.col("first.doc_id").alias("id_r"), F.col("first.text_hash").alias("hash_r")).agg(
         F.collect_list(F.struct("unit", "node", "simhash", "minima", F.col("first.line").alias("line"))).alias("wanted")), "wanted")
-    text_schema = StructType.fromDDL("unit binary, node binary, simhash long, minima binary, text string")
+    text_schema = StructType.fromDDL("unit binary, node long, simhash long, minima binary, text string")
     text_arrow = to_arrow_schema(text_schema)
     texts = _of(rows, small(wanted)).select("text", "wanted").mapInArrow(
         lambda it: _texts(it, min_words, text_arrow), text_schema)
@@ -397,8 +408,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     roots = connected_components(links)
 
     # Lines that occur more than once or have a link: their group's first occurrence stays.
-    groups_ = nodes.select("node", "n", "first").join(roots, "node", "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
-    groups_ = stored(groups_.select("node", F.coalesce("root", "node").alias("root"), "first"), "line-groups")
+    groups_ = nodes.select("key", "node", "n", "first").join(roots, "node", "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
+    groups_ = stored(groups_.select(F.col("key").alias("node"), F.coalesce("root", "node").alias("root"), "first"), "line-groups")
     firsts = groups_.groupBy("root").agg(F.min("first").alias("winner"))
     winners = stored(groups_.join(firsts, "root").select("node", "winner"), "line-winners")
     again = lines.join(winners, "node").filter(
