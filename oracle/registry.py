@@ -151,17 +151,18 @@ register("D08_daily_totals",
 
 # Definitions: an alert is a fraud of the last 7 days with its owner and masked account; its level is that of the
 # highest threshold its probability exceeds.
-_LEVELS = {0.9: "CRITICAL", 0.7: "HIGH", 0.5: "MEDIUM"}  # fixed values
-_LEVEL_SQL = "list_filter([{}], lambda t: e.fraud_probability > t.over)".format(
-    ", ".join(f"{{'over': {over}, 'name': '{name}'}}" for over, name in _LEVELS.items()))
+_LEVELS = "(VALUES (0.9, 'CRITICAL'), (0.7, 'HIGH'), (0.5, 'MEDIUM')) l(threshold, name)"  # fixed values
 
 register("H08_current_fraud_alerts",
          "transaction_id:i transaction_timestamp:t full_name:s account_number_masked:s amount:m "
          "merchant_category:s fraud_risk_tier:s fraud_probability:n alert_level:s",
-         f"""SELECT e.*, coalesce({_LEVEL_SQL}[1].name, 'LOW') AS alert_level, n.full_name, m.account_number_masked
-             FROM (SELECT * FROM gold_fraud_features WHERE is_fraud AND transaction_timestamp > {instant_minus(7)}) e
-             NATURAL JOIN (SELECT customer_id, full_name FROM gold_customer_360) n
-             NATURAL JOIN (SELECT account_id, account_number_masked FROM silver_accounts) m""",
+         f"""SELECT f.*, c.full_name, a.account_number_masked,
+                    coalesce((SELECT arg_max(l.name, l.threshold) FROM {_LEVELS} WHERE f.fraud_probability > l.threshold),
+                             'LOW') AS alert_level
+             FROM gold_fraud_features f
+             JOIN gold_customer_360 c ON c.customer_id = f.customer_id
+             JOIN silver_accounts a ON a.account_id = f.account_id
+             WHERE f.is_fraud AND f.transaction_timestamp > {instant_minus(7)}""",
          ["gold_fraud_features", "gold_customer_360", "silver_accounts"],
          )(lambda L: reports.current_fraud_alerts(L.features(*reports.ALERT_FEATURES), L["gold_customer_360"],
                                                   L["silver_accounts"], AS_OF))
@@ -382,6 +383,7 @@ register("D21_global_stats", "statistic:s value:n",
          )(lambda L: source_rules.global_stats(L["bronze_fraud_reports"], L["bronze_accounts"],
                                                L["bronze_transactions"]))
 
+# --- Fixed values (M13 the merchants' categories, M14 the types of debits): must equal the source system's ---
 register("M13_merchant_category_lookup", "transaction_id:i merchant_name_clean:s lookup_category:s",
          """SELECT transaction_id, merchant_name_clean,
                    CASE merchant_name_clean WHEN 'Walmart' THEN 'Retail' WHEN 'Target' THEN 'Retail'
