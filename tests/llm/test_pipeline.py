@@ -61,7 +61,7 @@ def test_stage_names_and_registration(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "packing"]
     names = e.queries()
     assert "pipeline" in names
-    for k in range(1, 11):
+    for k in range(1, 14):
         assert sum(q.startswith(f"op{k}_") for q in names) == 1
 
 
