@@ -180,6 +180,18 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
+def bigrams(text: str) -> np.ndarray:
+    """Counts of the text's character pairs in 256 buckets."""
+    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.bincount(((x[:-1] * np.uint32(31) + x[1:]) * np.uint32(0x9E3779B1)) >> np.uint32(24), minlength=256).astype(np.int32)
+
+
+def may_be_similar(shared: np.ndarray, longer: np.ndarray, least: float) -> np.ndarray:
+    """Whether texts with so many pairs of characters in common can be that similar: an edit takes two pairs away at most
+    (buckets that several pairs share only add to ``shared``)."""
+    return shared >= longer - 1 - 2 * np.floor((1 - least) * longer + 1e-9)
+
+
 def similar(a: str, b: str, least: float) -> bool:
     longer = max(len(a), len(b))
     return min(len(a), len(b)) >= least * longer and edit_distance(a, b) <= (1 - least) * longer + 1e-9
@@ -339,10 +351,19 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
         a, b = [], []
         for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             rows = np.array([i for i in range(start, stop) if i == start or names[i] != names[i - 1]])
+            many = len(rows) > 4
+            pairs = np.stack([bigrams(texts[i]) for i in rows]) if many else None
+            size = np.array([len(texts[i]) for i in rows])
 
             def linked(i: int, others: np.ndarray) -> np.ndarray:
                 yes = np.bitwise_count(h[rows[others]] ^ h[rows[i]]) <= BLOCK_BITS
                 yes |= (minima[rows[others]] == minima[rows[i]]).sum(axis=1) >= AGREEING
+                if many:  # most are settled without their edit distance
+                    some = np.flatnonzero(yes)
+                    for low in range(0, len(some), 4000):
+                        part = some[low:low + 4000]
+                        shared = np.minimum(pairs[others[part]], pairs[i]).sum(axis=1)
+                        yes[part] = may_be_similar(shared, np.maximum(size[others[part]], size[i]), least)
                 for k in np.flatnonzero(yes):
                     yes[k] = similar(texts[rows[i]], texts[rows[others[k]]], least)
                 return yes

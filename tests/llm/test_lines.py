@@ -171,3 +171,20 @@ def test_every_pair_of_a_crowded_cell_meets(spark, monkeypatch):
         cells.setdefault(r["region"], set()).add(r["node"][0])
     met = {(a, b) for c in cells.values() for a in c for b in c if a < b}
     assert len(met) == 30 * 29 // 2 and max(map(len, cells.values())) < 15
+
+
+def test_pairs_of_characters_exclude_no_similar_text():
+    rng = np.random.default_rng(21)
+    excluded = 0
+    for _ in range(3000):
+        a = prose(rng, int(rng.integers(1, 12)))
+        b = list(a) if rng.random() < 0.7 else list(prose(rng, int(rng.integers(1, 12))))
+        for _ in range(rng.integers(0, 12)):
+            at = rng.integers(0, len(b) + 1)
+            b[at:at + int(rng.integers(0, 2))] = rng.choice(list("abcé "))
+        b = "".join(b)
+        shared, longer = np.minimum(m.bigrams(a), m.bigrams(b)).sum(), max(len(a), len(b))
+        may = m.may_be_similar(np.array([shared]), np.array([longer]), 0.8)[0]
+        assert may or not m.similar(a, b, 0.8)
+        excluded += not may
+    assert excluded > 500
