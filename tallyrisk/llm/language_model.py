@@ -9,17 +9,21 @@ probability, and the corpus counts are part of the model.  The state starts at
 zero with a document and is carried through all of it, whatever its length.
 
 Training: truncated backpropagation in numpy (windows of 32 tokens, the state
-carried from one to the next) on a bounded sample gives the start; then each
-batch of documents in the corpus trains a copy on its share, and the copies
-are averaged, weighted by their tokens, as one DataFrame aggregation.
+carried from one to the next) on a bounded sample gives the start; then all
+training documents are dealt into groups by a hash of id and words, each group
+trains a copy, and the copies are averaged, weighted by their tokens, as one
+DataFrame aggregation.  Groups and their order follow from the documents alone,
+not from files or partitions.
 
-Scale.  Three passes over the documents' words:
+Scale.  Four passes over the documents' words:
 1. Each task turns batches of documents into word codes and a dictionary with
    training counts, stored once.
 2. Dictionary rows are summed by word (map-side combined) to the corpus
    counts, and joined back to the batches: a batch gets the counts of its own
    words, so no vocabulary is broadcast or collected.
-3. Batches meet their counts and are scored; all documents of a batch advance
+3. Training documents go to their groups as input symbols, two bytes a word;
+   a group trains in chunks of bounded size.
+4. Batches meet their counts and are scored; all documents of a batch advance
    together and leave when they end.
 Only the model (about 10**5 floats), the frequent words (1,024) and the rare
 classes' totals (32) are collected and broadcast.
@@ -56,6 +60,9 @@ RARE_CLASSES = 32
 HIDDEN = 24
 WINDOW = 32
 BATCH_DOCS = 2500
+#: Documents of a training group on average, and the symbols at which a group is cut.
+GROUP_DOCS = 2500
+CHUNK = 2_000_000
 
 
 def rare_class(words: pa.Array) -> np.ndarray:
@@ -225,7 +232,10 @@ def _window(model: Model, adam: Adam, params: list[np.ndarray], target: np.ndarr
         back = d * z + dv @ model.u.T
     flat = da.reshape(-1, 3 * HIDDEN)
     gb += flat.sum(axis=0)
-    np.add.at(gx, inputs.T.reshape(-1), flat)
+    read = inputs.T.reshape(-1)
+    order = np.argsort(read, kind="stable")
+    seen, starts = np.unique(read[order], return_index=True)
+    gx[seen] = np.add.reduceat(flat[order], starts, axis=0)
     norm = float(np.sqrt(sum((g * g).sum() for g in grads)))
     if norm > 1.0:
         grads = [g / norm for g in grads]
@@ -309,13 +319,13 @@ def _symbols(vocabulary: pa.Array, frequent: pa.Array) -> np.ndarray:
     return own
 
 
-def score_documents(docs: DataFrame, held_out: Column, sample: int = 400, share: int = 32, epochs: int = 3,
+def score_documents(docs: DataFrame, held_out: Column, sample: int = 400, epochs: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row.
 
     ``held_out``: condition on ``doc_id`` for the documents not to learn from.
-    ``sample`` bounds the training documents of the first fit; afterwards every
-    batch trains on one in ``share`` of its training documents.
+    ``sample`` bounds the training documents of the first fit; afterwards all
+    training documents are trained on.
     """
     spark = ship_package(docs.sparkSession)
     sc = spark.sparkContext
@@ -346,8 +356,8 @@ def score_documents(docs: DataFrame, held_out: Column, sample: int = 400, share:
         rare_tokens[r["k"]], rare_types[r["k"]] = r["n"], r["v"]
 
     model = _first_model(rows, listed, rare_tokens, frequent, sample, epochs) if documents else None
-    if model is not None and share:
-        model = _averaged(batches, model, sc.broadcast(frequent), share)
+    if model is not None:
+        model = _averaged(batches, model, sc.broadcast(frequent), max(1, -(-documents // GROUP_DOCS)))
     shared = sc.broadcast((None if model is None else model.flat(), frequent, listed, rare_tokens, rare_types, total, types,
                            documents))
 
@@ -399,9 +409,8 @@ def _first_model(rows: DataFrame, listed: list, rare_tokens: np.ndarray, frequen
     learn = rows.filter(~F.col("held_out"))
     place = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SLOTS))
     cut = min(SLOTS, int(SLOTS * (sample + 4 * sample ** 0.5) / max(learn.select("doc_id").count(), 1)) + 1)
-    texts = learn.filter(place < cut).select(place.alias("place"), "text").limit(2 * sample).toPandas()
-    texts = texts.sort_values(["place", "text"])["text"].head(sample)
-    words = Words(pa.array(texts, pa.large_string()))
+    texts = learn.filter(place < cut).select(place.alias("place"), "text").orderBy("place", "text").limit(sample).toPandas()
+    words = Words(pa.array(texts["text"], pa.large_string()))
     symbols = _symbols(words.vocabulary, frequent)
     tokens, bounds = _with_ends(words.codes, np.diff(words.bounds), len(symbols) - 1)
     counts = np.zeros(FREQUENT + RARE_CLASSES)
@@ -410,33 +419,64 @@ def _first_model(rows: DataFrame, listed: list, rare_tokens: np.ndarray, frequen
     return train(Model.start(7, counts), symbols[tokens], bounds, epochs)
 
 
-def _averaged(batches: DataFrame, model: Model, frequent, share: int) -> Model:
-    """The mean, by tokens, of copies trained on one in ``share`` of each batch's training documents."""
+def _training_symbols(batches: DataFrame, frequent) -> DataFrame:
+    """``doc_id`` and ``symbols`` (two bytes each, the end last) of every training document."""
+    kind = batches.schema["ids"].dataType.elementType.simpleString()
+    schema = StructType.fromDDL(f"doc_id {kind}, symbols binary")
+    arrow = to_arrow_schema(schema)
+
+    def symbols_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for i in range(part.num_rows):
+                codes, lengths = _unpack({k: part[k][i].as_py() for k in ("codes", "lengths")})
+                words = _symbols(part["words"][i].values, frequent.value)
+                tokens, bounds = _with_ends(codes, lengths, len(words) - 1)
+                values = words[tokens].astype("<u2")
+                chosen = np.flatnonzero(~part["held"][i].values.to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([
+                    part["ids"][i].values.take(pa.array(chosen)),
+                    pa.array([values[bounds[d]:bounds[d + 1]].tobytes() for d in chosen], arrow.field(1).type)], schema=arrow)
+
+    return batches.select("codes", "lengths", "held", "words", "ids").mapInArrow(symbols_of, schema)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK) -> Iterator[list[np.ndarray]]:
+    """The documents of each group of sorted rows (group, symbols), in pieces of ``most`` symbols or one document."""
+    now, held, size = None, [], 0
+    for batch in batches:
+        for group, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            symbols = np.frombuffer(packed.as_py(), "<u2")
+            if held and (group != now or size + len(symbols) > most):
+                yield held
+                held, size = [], 0
+            now = group
+            held.append(symbols)
+            size += len(symbols)
+    if held:
+        yield held
+
+
+def _averaged(batches: DataFrame, model: Model, frequent, groups: int) -> Model:
+    """The mean, by tokens, of copies that each trained on one group of the training documents."""
     start = batches.sparkSession.sparkContext.broadcast(model.flat())
+    place = F.xxhash64("doc_id", "symbols")
+    dealt = _training_symbols(batches, frequent).select(F.pmod(place, F.lit(groups)).alias("group"), place.alias("place"), "symbols")
+    dealt = dealt.repartition("group").sortWithinPartitions("group", "place", "symbols").select("group", "symbols")
 
     def learn(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, weight = np.zeros(len(start.value)), 0.0
-        for part in parts:
-            for i in range(part.num_rows):
-                row = {k: part[k][i].as_py() for k in ("codes", "lengths")}
-                codes, lengths = _unpack(row)
-                held = part["held"][i].values.to_numpy(zero_copy_only=False)
-                symbols = _symbols(part["words"][i].values, frequent.value)
-                tokens, bounds = _with_ends(codes, lengths, len(symbols) - 1)
-                chosen = np.flatnonzero(~held)[::share]
-                if not len(chosen):
-                    continue
-                sizes = (lengths + 1)[chosen]
-                own = np.concatenate([tokens[bounds[d]:bounds[d + 1]] for d in chosen])
-                copy = train(Model.from_flat(start.value.copy()), symbols[own],
-                             np.concatenate([[0], np.cumsum(sizes)]), 1, rate=0.003)
-                total += copy.flat() * float(len(own))
-                weight += float(len(own))
+        for texts in chunks(parts):
+            own = np.concatenate(texts).astype(np.int64)
+            bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            copy = train(Model.from_flat(start.value.copy()), own, bounds, 1, streams=128, rate=0.006)
+            total += copy.flat() * float(len(own))
+            weight += float(len(own))
         if weight:  # one row a task for each parameter
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), weight))],
                 names=["place", "total", "weight"])
 
-    sums = batches.select("codes", "lengths", "held", "words").mapInArrow(learn, "place int, total double, weight double")
+    sums = dealt.mapInArrow(learn, "place int, total double, weight double")
     mean = sums.groupBy("place").agg((F.sum("total") / F.sum("weight")).alias("value")).orderBy("place").toPandas()
-    return Model.from_flat(mean["value"].to_numpy()) if len(mean) else model
+    # Rounded, so that the order of the sums leaves no trace.
+    return Model.from_flat(mean["value"].to_numpy().round(7)) if len(mean) else model

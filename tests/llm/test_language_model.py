@@ -32,7 +32,7 @@ def held(i):
 def scored(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    return rows, {r["doc_id"]: r for r in m.score_documents(docs, crc_bucket("doc_id", 7) == 2, share=2).collect()}
+    return rows, {r["doc_id"]: r for r in m.score_documents(docs, crc_bucket("doc_id", 7) == 2).collect()}
 
 
 def test_base_scores_equal_brute_force(scored):
@@ -55,6 +55,32 @@ def test_model_learns_the_kinds(scored):
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got.values())
 
 
+def test_scores_do_not_depend_on_the_layout(spark, scored, monkeypatch):
+    rows, whole = scored
+    monkeypatch.setattr(m, "GROUP_DOCS", 30)
+    results = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows[::-1] if parts > 1 else rows, "doc_id long, text string").repartition(parts)
+        results.append({r["doc_id"]: r["score"] for r in m.score_documents(docs, crc_bucket("doc_id", 7) == 2).collect()})
+    one, other = results
+    assert all(np.isclose(one[i], other[i], rtol=1e-6) for i in one)
+    assert any(abs(one[i] - whole[i]["score"]) > 1e-3 for i in one)  # copies were averaged
+
+
+def test_every_training_document_is_in_one_chunk():
+    rng = np.random.default_rng(6)
+    groups = np.sort(rng.integers(0, 5, 60))
+    docs = [rng.integers(0, 1000, rng.integers(1, 40)).astype("<u2") for _ in groups]
+    docs[20] = np.arange(500, dtype="<u2")
+    rows = m.pa.RecordBatch.from_arrays([m.pa.array(groups), m.pa.array([d.tobytes() for d in docs], m.pa.binary())],
+                                        names=["group", "symbols"])
+    got = list(m.chunks(iter([rows.slice(0, 7), rows.slice(7, 0), rows.slice(7)]), most=100))
+    assert [d.tolist() for c in got for d in c] == [d.tolist() for d in docs]
+    assert all(len(c) == 1 or sum(map(len, c)) <= 100 for c in got)
+    at = np.cumsum([0] + [len(c) for c in got])
+    assert all(len(set(groups[a:b])) == 1 for a, b in zip(at, at[1:]))
+
+
 def model(seed=0):
     rng = np.random.default_rng(seed)
     start = m.Model.start(1, rng.integers(0, 50, m.FREQUENT + m.RARE_CLASSES).astype(float))
