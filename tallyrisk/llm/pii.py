@@ -1,18 +1,21 @@
 """PII: fixed patterns, and a semi-Markov conditional random field that adds to them.
 
 The patterns (email, ip, card, phone) give the base spans, exactly as their
-rules say.  The field labels white-space separated words around digits and at
-signs.  A segment of up to five words is scored as a whole (its shape, digit
+rules say.  The field labels white-space separated words around digits, at
+signs and spelled-out ones.  A segment of up to five words is scored as a whole (its shape, digit
 count, checksum, octets, number of words, neighbours) for each type, words
 outside any entity one by one, and neighbouring segments by their types; a
 dynamic program over segments of bounded length chooses boundaries and types
 jointly.  It is trained by the gradient of the segment-level conditional
-likelihood, on windows around the base spans of a bounded sample of documents,
-half of them rewritten in ways that the patterns miss (other separators,
-missing country code, spelled-out at and dot) or into numbers that are nothing
-personal.  Predicted entities that touch no base span are added.
-
-Scale.  One scan in Arrow batches; texts without a digit or an at sign need no
+likelihood, on a bounded sample of the windows around digits and at signs of
+all texts, wherever in a text they stand, as they are and rewritten in ways
+that the patterns miss (other separators, missing country code, spelled-out at
+and dot) or into numbers that are nothing personal.  Predicted entities that
+touch no base span are added.
+
+Scale.  Two scans in Arrow batches.  The first keeps the windows of least hash,
+in each task and then of all tasks, windows with base spans and without each up
+to the bound; the second searches.  Texts without a digit or an at sign need no
 further look; the weights (2**14 x 5) are the only broadcast.
 
 Defined cases: null and empty texts have no spans; equal rows are searched
@@ -30,13 +33,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import ship_package, slices, unsliced
-from .training import SLOTS
+from .common import ship_package, slices, stored, unsliced
 
 KINDS = ("email", "ip", "card", "phone")
 #: Patterns of the contract (fixed values).
@@ -47,7 +50,12 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LONGEST = 5
 CONTEXT = 3
 BUCKETS = 1 << 14
+#: Characters of the widest window that serves as an example.
+WIDEST = 2000
+#: What a word that may begin or end an entity contains.
 TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]|\[\.\]")
+#: A name, host and ending with spelled-out signs between them: the words before and after are triggers.
+SPELLED = re.compile(r"(?<![^\x20\x09-\x0D])[A-Za-z0-9._%+-]+ at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+", re.IGNORECASE)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = "!\"#$%&'*,./:;<=>?\\^_`{|}~-"
 
@@ -96,13 +104,24 @@ class Segments:
     features: list[list[int]]
 
 
+def spelled_out(text: str) -> set[int]:
+    """Where addresses with spelled-out signs begin, and where words at their end do."""
+    found = set()
+    if " dot " in text.lower():
+        for m in SPELLED.finditer(text):
+            last = WORD.match(text, m.end() - len(m.group().rsplit(" ", 1)[1]))
+            found |= {m.start(), last.end()}
+    return found
+
+
 def windows(text: str) -> Iterator[list[tuple[int, int]]]:
     """Runs of words around words with a trigger, CONTEXT words to either side."""
-    if not TRIGGER.search(text):
+    spelled = spelled_out(text)
+    if not spelled and not TRIGGER.search(text):
         return
     words, marked = [], []
     for m in WORD.finditer(text):
-        if TRIGGER.search(m.group()):
+        if m.start() in spelled or m.end() in spelled or TRIGGER.search(m.group()):
             marked.append(len(words))
         words.append(m.span())
     k = 0
@@ -132,18 +151,24 @@ def span_features(text: str, start: int, end: int, words: int, left: str, right:
     digits = "".join(c for c in value if "0" <= c <= "9")
     shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", value))
     exact = re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", value))
-    names = ["bias", f"words:{words}", f"shape:{shape[:40]}", f"exact:{exact[:40]}", f"digits:{min(len(digits), 24)}",
+    spelled = SPELLED.fullmatch(value) is not None
+    at = spelled or "@" in value or "(at)" in value or "[at]" in value
+    # Digits say nothing about an address.
+    number = "address" if at else f"{min(len(digits), 24)}"
+    names = ["bias", f"words:{words}", f"shape:{shape[:40]}", f"exact:{exact[:40]}", f"digits:{number}",
              f"letters:{any(c.isalpha() for c in value)}", f"luhn:{12 <= len(digits) <= 19 and luhn(digits)}",
              f"octets:{octets(re.findall('[0-9]+', value)) and not any(c.isalpha() for c in value)}",
-             f"at:{'@' in value or '(at)' in value or '[at]' in value}:{'.' in value or 'dot' in value}",
-             f"first:{exact[:1]}", f"last:{exact[-1:]}", f"plus:{value[:1] == '+'}", f"space:{' ' in value}:{len(digits) > 0}",
+             f"at:{at}:{'.' in value or 'dot' in value}", f"spelled:{spelled}",
+             f"first:{exact[:1]}", f"last:{exact[-1:]}", f"plus:{value[:1] == '+'}", f"space:{' ' in value}:{at or len(digits) > 0}",
              f"left:{left[-12:].lower()}", f"right:{right[:12].lower()}"]
     return [_hash(n) for n in names]
 
 
 def candidates(text: str, words: list[tuple[int, int]]) -> Segments:
     """Single words, and longer segments that begin and end at a word with a trigger, on one line."""
-    trigger = [bool(TRIGGER.search(text[a:b])) for a, b in words]
+    low = words[0][0] if words else 0
+    spelled = {low + at for at in spelled_out(text[low:words[-1][1]])} if words else set()
+    trigger = [a in spelled or b in spelled or bool(TRIGGER.search(text[a:b])) for a, b in words]
     start, length, spans, features = [], [], [], []
     for i in range(len(words)):
         for d in range(1, min(LONGEST, len(words) - i) + 1):
@@ -255,6 +280,9 @@ def _rewritten(rng: np.random.Generator, value: str, kind: int) -> tuple[str, in
     pick = int(rng.integers(0, 4))
     if kind == 0:
         name, _, host = value.partition("@")
+        if rng.random() < 0.5:
+            ending = host.rsplit(".", 1)
+            return f"{name} at {ending[0].rsplit('.', 1)[-1]} dot {ending[-1]}", 0
         return [(f"{name}(at){host}", 0), (f"{name}[at]{host}", 0), (f"{name}@{host.split('.')[0]}", -1),
                 (f"{name}.{host.split('.')[0]}", -1)][pick]
     if kind == 1:
@@ -279,58 +307,64 @@ def _doubtful(part: str, gold: list[tuple[int, int, int]]) -> bool:
     for a, b, _ in gold:
         free[a:b] = "\n" * (b - a)
     rest = "".join(free)
-    return bool(re.search(r"\(at\)|\[at\]|\[\.\]", rest)) or any(
+    return bool(re.search(r"\(at\)|\[at\]|\[\.\]", rest) or SPELLED.search(rest)) or any(
         sum("0" <= c <= "9" for c in m.group()) >= 7
         for m in re.finditer(r"(?<![^\W_])[+(]?[0-9][\x20().0-9/-]*[0-9](?![^\W_])", rest))
 
 
-def examples(texts: list[str], most: int, seed: int = 5) -> list[tuple[Segments, list[tuple[int, int]]]]:
-    """Windows with their gold segments (index, label) for all words."""
+def gold_windows(text: str) -> Iterator[tuple[str, list[tuple[int, int, int]]]]:
+    """Every window of the text with the base spans inside it, but for those about which the patterns say nothing."""
+    spans, first = base_spans(text), 0
+    for words in windows(text):
+        low, high = words[0][0], words[-1][1]
+        gold: list[tuple[int, int, int]] = []
+        while first < len(spans) and spans[first][0] < high:
+            a, b, k = spans[first]
+            if a >= low and b <= high and (not gold or a - low >= gold[-1][1]):
+                gold.append((a - low, b - low, k))
+            first += 1
+        if high - low <= WIDEST and not _doubtful(text[low:high], gold):
+            yield text[low:high], gold
+
+
+def examples(found: list[tuple[str, list[tuple[int, int, int]]]], seed: int = 5) -> list[tuple[Segments, list[tuple[int, int]]]]:
+    """Windows with their gold segments (index, label) for all words, those with base spans also rewritten."""
     rng = np.random.default_rng(seed)
     out = []
-    for text in texts:
-        if len(out) >= most:
-            break
-        spans = base_spans(text)
-        for words in list(windows(text))[:20]:
-            low, high = words[0][0], words[-1][1]
-            part, cut = text[low:high], 0
-            gold = [(a - low, b - low, k) for a, b, k in spans if a >= low and b <= high]
-            gold = [g for i, g in enumerate(gold) if not i or g[0] >= gold[i - 1][1]]
-            if _doubtful(part, gold):
-                continue
-            if rng.random() < 0.5:
-                changed = []
-                for a, b, k in gold:
-                    new, kind = _rewritten(rng, part[a + cut:b + cut], k)
-                    part = part[:a + cut] + new + part[b + cut:]
-                    if kind >= 0:
-                        changed.append((a + cut, a + cut + len(new), kind))
-                    cut += len(new) - (b - a)
-                gold = changed
-            segments = candidates(part, [m.span() for m in WORD.finditer(part)])
-            if not segments.size:
-                continue
-            at = {s: k for k, s in enumerate(zip(segments.spans, segments.length.tolist(), strict=True))}
-            entity = {}
+    for part, gold, rewrite in [(*w, False) for w in found] + [(*w, True) for w in found if w[1]]:
+        cut = 0
+        if rewrite:
+            changed = []
             for a, b, k in gold:
-                for d in range(1, LONGEST + 1):
-                    if (index := at.get(((a, b), d))) is not None:
-                        entity[int(segments.start[index])] = (index, k + 1)
-            single = {int(i): k for k, (i, d) in enumerate(zip(segments.start, segments.length, strict=True)) if d == 1}
-            path, i = [], 0
-            while i < segments.size:
-                k, label = entity.get(i, (single[i], 0))
-                path.append((k, label))
-                i += int(segments.length[k])
-            if i == segments.size:
-                out.append((segments, path))
+                new, kind = _rewritten(rng, part[a + cut:b + cut], k)
+                part = part[:a + cut] + new + part[b + cut:]
+                if kind >= 0:
+                    changed.append((a + cut, a + cut + len(new), kind))
+                cut += len(new) - (b - a)
+            gold = changed
+        segments = candidates(part, [m.span() for m in WORD.finditer(part)])
+        if not segments.size:
+            continue
+        at = {s: k for k, s in enumerate(zip(segments.spans, segments.length.tolist(), strict=True))}
+        entity = {}
+        for a, b, k in gold:
+            for d in range(1, LONGEST + 1):
+                if (index := at.get(((a, b), d))) is not None:
+                    entity[int(segments.start[index])] = (index, k + 1)
+        single = {int(i): k for k, (i, d) in enumerate(zip(segments.start, segments.length, strict=True)) if d == 1}
+        path, i = [], 0
+        while i < segments.size:
+            k, label = entity.get(i, (single[i], 0))
+            path.append((k, label))
+            i += int(segments.length[k])
+        if i == segments.size:
+            out.append((segments, path))
     return out
 
 
-def fit(texts: list[str], most: int = 1500, epochs: int = 4, seed: int = 5) -> tuple[np.ndarray, np.ndarray] | None:
+def fit(found: list[tuple[str, list[tuple[int, int, int]]]], epochs: int = 4, seed: int = 5) -> tuple[np.ndarray, np.ndarray] | None:
     """Segment weights and transitions (with a last row from the begin); None without any entity to learn from."""
-    data = examples(texts, most, seed)
+    data = examples(found, seed)
     if not any(label for _, path in data for _, label in path):
         return None
     rng = np.random.default_rng(seed)
@@ -371,19 +405,54 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: tuple[np.nda
 
 # --- the operator ----------------------------------------------------------------
 
-def find_pii(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def window_sample(rows: DataFrame, most: int) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """At most ``most`` windows with base spans and ``most`` without, those of least hash over all whole texts.
+
+    The hash is of the window alone, so equal windows count once.
+    """
+    schema = "filled boolean, key long, part string, gold array<struct<start:int,end:int,kind:int>>"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[bool, dict[int, tuple]] = {False: {}, True: {}}
+        bound = {False: 1 << 63, True: 1 << 63}
+        for batch in slices(batches):
+            for text in batch.column(0):
+                for part, gold in gold_windows(text.as_py()):
+                    filled = bool(gold)
+                    key = xxhash.xxh64_intdigest(part.encode()) >> 1
+                    if key < bound[filled]:
+                        own = kept[filled]
+                        own[key] = (part, gold)
+                        if len(own) > 2 * most:
+                            keys = sorted(own)[:most]
+                            kept[filled], bound[filled] = {x: own[x] for x in keys}, keys[-1]
+        for filled, own in kept.items():
+            keys = sorted(own)[:most]
+            if keys:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([filled] * len(keys)), pa.array(keys, pa.int64()), pa.array([own[x][0] for x in keys], arrow.field(2).type),
+                    pa.array([[{"start": a, "end": b, "kind": k} for a, b, k in own[x][1]] for x in keys], arrow.field(3).type)],
+                    schema=arrow)
+
+    likely = rows.filter(F.col("text").rlike("[0-9@]")).select("text")
+    found = stored(likely.mapInArrow(least, schema), "pii-windows")
+    out = []
+    for filled in (True, False):
+        chosen = found.filter(F.col("filled") == filled).dropDuplicates(["key"]).orderBy("key").limit(most).collect()
+        out += [(r["key"], r["part"], [(g["start"], g["end"], g["kind"]) for g in r["gold"]]) for r in chosen]
+    return [(part, gold) for _, part, gold in sorted(out)]
+
+
+def find_pii(docs: DataFrame, sample: int = 1500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``spans`` (kind, start, end, added; code points, end exclusive) of every row.
 
-    ``sample`` bounds the documents (with a digit or an at sign) that the field is trained on.
+    ``sample`` bounds the windows with base spans, and those without, that the
+    field is trained on; windows of over 2,000 characters are no examples.
     """
     spark = ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    likely = rows.filter(F.col("text").rlike("[0-9@]"))
-    number = likely.count()
-    cut = min(SLOTS, int(SLOTS * (sample + 4 * sample ** 0.5) / max(number, 1)) + 1)
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SLOTS))
-    texts = likely.filter(place < cut).select(place.alias("place"), "text").limit(2 * sample).toPandas()
-    model = fit(texts.sort_values(["place", "text"])["text"].head(sample).tolist())
+    model = fit(window_sample(rows, sample))
     if model is not None:
         model = tuple(m.astype(np.float32) for m in model)
     shared = spark.sparkContext.broadcast(model)
@@ -395,7 +464,7 @@ def find_pii(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_c
         field = shared.value
         for batch in slices(batches):
             texts = unsliced(batch.column(1))
-            likely = pc.fill_null(pc.match_substring_regex(texts, r"[0-9@]|\(at\)|\[at\]"), False).to_numpy(zero_copy_only=False)
+            likely = pc.fill_null(pc.match_substring_regex(texts, r"[0-9@]|\(at\)|\[at\]|\[\.\]|(?i: at .* dot )"), False).to_numpy(zero_copy_only=False)
             out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for i in np.flatnonzero(likely).tolist():
                 text = texts[i].as_py()

@@ -131,6 +131,35 @@ def test_added_spans(spark, make):
     assert got[5000] == [] and got[5001] == []
 
 
+def test_spelled_out_signs(spark, make):
+    rng = np.random.default_rng(7)
+    rows, _ = corpus(rng, 290)
+    forms = ["jane.roe at example dot com", "jane.roe(at)example.com", "(555) 123-4567"]
+    for k, form in enumerate(forms * 5):
+        rows.append((1000 + k, f"{prose(rng, 9)} {form}, {prose(rng, 7)}"))
+    rows += [(2000 + k, f"{prose(rng, 9)} we met at noon. the dot is {prose(rng, 7)}") for k in range(10)]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(make(rows)).collect()}
+    texts = dict(rows)
+    found = [[texts[1000 + k][s["start"]:s["end"]] for s in got[1000 + k]] == [form] for k, form in enumerate(forms * 5)]
+    for k, form in enumerate(forms):
+        assert np.mean(found[k::3]) >= 0.8, form
+    assert not any(got[2000 + k] for k in range(10))
+
+
+def test_window_sample_is_that_of_least_hash(spark, make):
+    rng = np.random.default_rng(8)
+    rows = corpus(rng, 80)[0] + [(500, " ".join(f"{prose(rng, 9)} {entity(rng, k % 4)}" for k in range(200)))]
+    docs = make(rows + rows[:20]).repartition(6)
+    every = {w for _, t in rows for w in ((part, tuple(gold)) for part, gold in pii.gold_windows(t))}
+    assert sum(part in rows[-1][1] for part, _ in every) > 100  # also from far inside a long text
+
+    def least(filled):
+        return sorted((w for w in every if bool(w[1]) == filled), key=lambda w: pii.xxhash.xxh64_intdigest(w[0].encode()))[:15]
+
+    got = [(part, tuple(gold)) for part, gold in pii.window_sample(docs, 15)]
+    assert sorted(got) == sorted(least(True) + least(False))
+
+
 def test_nothing_to_learn_from(spark, make):
     docs = make([(1, "no digits"), (None, None), (2, "version 2.0.")]).withColumnRenamed("source", "spans")
     assert [r["spans"] for r in pii.find_pii(docs).collect()] == [[], [], []]
