@@ -37,8 +37,8 @@ SEGMENT = 40
 DIMENSIONS = 8
 #: Fixed scale of the averaged bags before the softmax.
 GAIN = 40.0
-#: n-grams of fewer texts of the sample keep a zero embedding.
-MIN_TEXTS = 8
+#: An n-gram of n texts of the sample moves n / (n + SHRINK) of its step, one of none stays at zero.
+SHRINK = 8.0
 
 
 def word_grams(vocabulary: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,8 +60,8 @@ def segments(bounds: np.ndarray, size: int = SEGMENT) -> tuple[np.ndarray, np.nd
     return np.concatenate([starts, bounds[-1:]]), first
 
 
-def frequent(texts: pa.Array, least: int | None = None, chunk: int = 500) -> np.ndarray:
-    """Buckets that occur in at least ``least`` of the texts (default: MIN_TEXTS)."""
+def texts_with(texts: pa.Array, chunk: int = 500) -> np.ndarray:
+    """In how many of the texts every bucket occurs."""
     number = np.zeros(BUCKETS, np.int64)
     for low in range(0, len(texts), chunk):
         words = Words(texts.take(pa.array(np.arange(low, min(low + chunk, len(texts))))))
@@ -73,7 +73,7 @@ def frequent(texts: pa.Array, least: int | None = None, chunk: int = 500) -> np.
             sizes = ends[codes + 1] - ends[codes]
             at = np.repeat(ends[codes] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             number[np.unique(bucket[order[at]])] += 1
-    return number >= (MIN_TEXTS if least is None else least)
+    return number
 
 
 def soft_maximum(z: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,15 +92,18 @@ def fit(texts: pa.Array, labels: np.ndarray, share: np.ndarray, epochs: int = 6,
     ``share``: how many rows of the corpus a row of its class stands for.
     """
     rng = np.random.default_rng(seed)
-    held = np.arange(len(labels)) % 4 == 0
+    held = np.zeros(len(labels), bool)  # every fourth row of each label
+    for label in (0, 1):
+        held[np.flatnonzero(labels == label)[1::4]] = True
     learn = np.flatnonzero(~held)
-    embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
+    embedding = np.zeros((BUCKETS, DIMENSIONS))
     softmax = rng.normal(0, 0.1, (DIMENSIONS, 2))
-    bias = np.zeros(2)
+    toxic = labels[learn].sum()
+    bias = np.log(np.array([len(learn) - toxic, toxic]) + 0.5)  # what a text without known n-grams gets
     squares = np.full((BUCKETS, 1), 1e-8)
     adam = Adam(softmax, bias, rate=0.02)
-    common = frequent(texts.take(pa.array(learn)))
-    embedding[~common] = 0
+    found = texts_with(texts.take(pa.array(learn)))[:, None]
+    trust = found / (found + SHRINK)
     for epoch in range(epochs):
         rng.shuffle(learn)
         for i in range(0, len(learn), batch):
@@ -126,7 +129,7 @@ def fit(texts: pa.Array, labels: np.ndarray, share: np.ndarray, epochs: int = 6,
             seen, at = np.unique(bucket, return_inverse=True)
             g = np.stack([np.bincount(at, weights=d_word[word, k]) for k in range(DIMENSIONS)], axis=1)
             squares[seen] += (g * g).mean(axis=1, keepdims=True)
-            embedding[seen] -= common[seen, None] * (rate * g / np.sqrt(squares[seen]))
+            embedding[seen] -= trust[seen] * rate * g / np.sqrt(squares[seen])
             adam.step(GAIN * bags.T @ d, d.sum(axis=0))
     odds = GAIN * embedding @ (softmax[:, 1] - softmax[:, 0])
     offset = float(bias[1] - bias[0])

@@ -151,15 +151,49 @@ def test_toxicity_without_labels(spark, make):
     assert toxicity.score_toxicity(docs.limit(0), none).count() == 0
 
 
-def test_frequent_buckets_by_counting(monkeypatch):
+def test_texts_with_a_bucket_by_counting():
     rng = np.random.default_rng(8)
     texts = [prose(rng, int(rng.integers(0, 20))) for _ in range(60)]
     count = collections.Counter()
     for t in texts:
         vocabulary = pa.array(sorted(set(t.split())), pa.large_string())
         count.update(set(toxicity.word_grams(vocabulary)[0].tolist()) if len(vocabulary) else ())
-    expected = {b for b, n in count.items() if n >= 5}
-    assert set(np.flatnonzero(toxicity.frequent(pa.array(texts, pa.large_string()), 5, chunk=7)).tolist()) == expected
+    number = toxicity.texts_with(pa.array(texts, pa.large_string()), chunk=7)
+    assert {b: int(number[b]) for b in np.flatnonzero(number)} == dict(count)
+
+
+def test_texts_unlike_any_learnt_are_not_toxic(spark, make):
+    for seed in range(3):
+        rng = np.random.default_rng(seed)
+        rows, toxic = [], {}
+        for i in range(120):
+            w = prose(rng, int(rng.integers(10, 100))).split()
+            toxic[i] = int(i % 20 == 7)
+            if toxic[i]:
+                for k in rng.integers(0, len(w), max(2, len(w) // 20)):
+                    w[k] = rng.choice(["blockhead", "nitwit"])
+            rows.append((i, " ".join(w)))
+        rows += [(500, "purple elephants dance quietly tonight"), (501, "trains leave at noon"), (502, None), (503, prose(rng, 30))]
+        got = {r["doc_id"]: r for r in toxicity.score_toxicity(make(rows), labelled(spark, list(toxic.items()), "toxic")).collect()}
+        assert [got[i]["predicted"] for i in (500, 501, 502, 503)] == [0] * 4, seed
+        assert sum(got[i]["predicted"] for i in toxic if not toxic[i]) <= 3, seed
+
+
+def test_log_odds_equal_word_by_word():
+    rng = np.random.default_rng(9)
+    texts = [prose(rng, n) for n in (0, 1, 39, 40, 41, 130)] + ["Ünlike WORDS 日本 " * 30]
+    odds, bias = rng.normal(0, 1, 1 << 10), -0.7
+    expected = []
+    for t in texts:
+        words = t.split()
+        values = []
+        for x in words:
+            one = pa.array([re.sub("[A-Z]", lambda m: m.group().lower(), x)], pa.large_string())
+            values.append(odds[toxicity.word_grams(one, len(odds))[0]].mean())
+        parts = [values[i:i + toxicity.SEGMENT] for i in range(0, len(values), toxicity.SEGMENT)] or [[0.0]]
+        expected.append(np.log(sum(np.exp(np.mean(p) + bias) for p in parts)))
+    got = toxicity.log_odds(toxicity.Words(pa.array(texts, pa.large_string())), odds, bias)
+    assert np.allclose(got, expected)
 
 
 def test_segments_cover_every_word_once():
