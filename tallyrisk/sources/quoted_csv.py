@@ -22,9 +22,10 @@ The records are those of the reader with ``multiLine`` (lines end in ``\\n`` or
 from __future__ import annotations
 
 import bisect
-import re
+import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,21 +34,43 @@ from pyspark.sql import functions as F
 from tallyrisk.session import ship_package
 
 # Values up to the next comma: in quotes (a doubled quote stands for one; what follows the end quote belongs to the value),
-# or not (a quote after the first character is a character like any other).
-_QUOTED = r'"(?:[^"]++|"")*+"[^,]*+'
-_PLAIN = r'(?:[^",][^,]*+)?+'
-_OPEN = r'"(?:[^"]++|"")*+'
+# or not (a quote after the first character is a character like any other).  Every text has one reading at most.
+_QUOTED = r'"(?:[^"]|"")*"(?:[^",][^,]*)?'
+_PLAIN = r'(?:[^",][^,]*)?'
+_OPEN = r'"(?:[^"]|"")*'
 #: A line that ends inside quotes, if it begins with a value (of a record), or inside quotes.
-ENDS_OPEN = re.compile(rf"(?:(?:{_QUOTED}|{_PLAIN}),)*+{_OPEN}")
-STAYS_OPEN = re.compile(rf'(?:[^"]++|"")*+(?:"[^,]*+,(?:(?:{_QUOTED}|{_PLAIN}),)*+{_OPEN})?+')
+ENDS_OPEN = rf"^(?:(?:{_QUOTED}|{_PLAIN}),)*{_OPEN}$"
+STAYS_OPEN = rf'^(?:[^"]|"")*(?:"(?:[^",][^,]*)?,(?:(?:{_QUOTED}|{_PLAIN}),)*{_OPEN})?$'
 
 #: Row kinds of the last pass: a record, and the fragments of one that a range's end cuts.
 RECORD, TAIL, MORE, HEAD = 0, 1, 2, 3
 
 
+def line_ends(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line with a quote ends inside a quoted value: if it begins with a record, if inside quotes."""
+    read = lines.cast(pa.binary())  # quotes and commas are single bytes
+    return tuple(pc.match_substring_regex(read, p).to_numpy(zero_copy_only=False) for p in (ENDS_OPEN, STAYS_OPEN))
+
+
 def ends_open(line: str, begins_open: bool) -> bool:
-    """Whether a line with a quote ends inside a quoted value."""
-    return (STAYS_OPEN if begins_open else ENDS_OPEN).fullmatch(line.removesuffix("\r")) is not None
+    return bool(line_ends(pa.array([line]))[begins_open][0])
+
+
+def states_after(plain: np.ndarray, inside: np.ndarray, begins_open: bool) -> np.ndarray:
+    """The state after each of some lines, by their ends: a line settles it, turns it round or leaves it."""
+    turns = np.cumsum(plain & ~inside)
+    settled = np.maximum.accumulate(np.where(plain == inside, np.arange(len(plain)), -1))
+    base = np.where(settled < 0, begins_open, plain[settled])
+    return base ^ ((turns - np.where(settled < 0, 0, turns[settled])) % 2 == 1)
+
+
+def _runs(b: pa.RecordBatch) -> Iterator[tuple[int, int, int, int]]:
+    """(file, place, from, to) of the ranges whose lines the batch holds."""
+    file, place = (b.column(c).to_numpy(zero_copy_only=False) for c in ("file", "place"))
+    if len(file):
+        cuts = np.flatnonzero((file[1:] != file[:-1]) | (place[1:] != place[:-1])) + 1
+        for start, end in itertools.pairwise([0, *cuts.tolist(), len(file)]):
+            yield int(file[start]), int(place[start]), start, end
 
 
 def text_lines(spark: SparkSession, path) -> DataFrame:
@@ -62,9 +85,10 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file, place, end from a record's begin, end from inside quotes) of the task's ranges."""
     found: dict[tuple[int, int], tuple[bool, bool]] = {}
     for b in batches:
-        for file, place, line in zip(*(b.column(c).to_pylist() for c in ("file", "place", "line")), strict=True):
-            a, z = found.get((file, place), (False, True))
-            found[file, place] = ends_open(line, a), ends_open(line, z)
+        plain, inside = line_ends(b.column("line"))
+        for file, place, start, end in _runs(b):
+            found[file, place] = tuple(bool(states_after(plain[start:end], inside[start:end], begins)[-1])
+                                       for begins in found.get((file, place), (False, True)))
     rows = [(*key, *ends) for key, ends in found.items()]
     yield pa.RecordBatch.from_arrays(
         [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))],
@@ -104,37 +128,28 @@ class _Range:
         self.first = place == 0         # the next record is the file's header
         self.held: list[str] = []
 
-    def add(self, lines: pa.Array, quoted: pa.Array, out: list[tuple[int, str]]) -> Iterator[pa.Array]:
-        """Whole records; ``out`` gets the fragments."""
-        marks = pc.indices_nonzero(quoted).to_pylist()
-        at = 0
-        for mark in [*marks, len(lines)]:
-            # Lines without a quote: each a record, or all inside the open one.
-            plain = lines.slice(at, mark - at)
-            if self.open:
-                self.held += plain.to_pylist()
-            elif len(plain):
-                if self.first:
-                    plain, self.first = plain.slice(1), False
-                yield plain
-            if mark == len(lines):
-                return
-            line = lines[mark].as_py()
-            was, self.open = self.open, ends_open(line, self.open)
-            if not (was or self.open):
-                if not self.first:
-                    yield lines.slice(mark, 1)
-                self.first = False
-            else:
-                self.held.append(line)
-                if not self.open:
-                    record, self.held = "\n".join(self.held), []
-                    if self.cut:
-                        out.append((HEAD, record))
-                    elif not self.first:
-                        yield pa.array([record], pa.string())
-                    self.cut = self.first = False
-            at = mark + 1
+    def add(self, lines: pa.Array, plain: np.ndarray, inside: np.ndarray, records: bool = True) -> tuple[pa.Array | None, str | None]:
+        """The whole records (if wanted), and the fragment that ends a record of an earlier range."""
+        states = states_after(plain, inside, self.open)
+        self.open = bool(states[-1])
+        ends = np.flatnonzero(~states) + 1
+        if not len(ends):
+            self.held += lines.to_pylist()
+            return None, None
+        begun = self.held + lines.slice(0, int(ends[0])).to_pylist()
+        self.held = lines.slice(int(ends[-1])).to_pylist()
+        cut, header = self.cut, self.first
+        self.cut = self.first = False
+        head = "\n".join(begun) if cut else None
+        if not records:
+            return None, head
+        whole = [] if cut or header else [pa.array(["\n".join(begun)], pa.string())]
+        if len(ends) == int(ends[-1] - ends[0]) + 1:
+            whole.append(lines.slice(int(ends[0]), len(ends) - 1))
+        else:
+            whole.append(pc.binary_join(pa.ListArray.from_arrays(
+                pa.array(ends - ends[0], pa.int32()), lines.slice(int(ends[0]), int(ends[-1] - ends[0]))), "\n"))
+        return pa.concat_arrays(whole), head
 
     def end(self) -> list[tuple[int, str]]:
         """What the range leaves open."""
@@ -148,34 +163,33 @@ def _records(batches: Iterator[pa.RecordBatch], begins: dict[int, tuple[list[int
     now: _Range | None = None
     name = ""
 
-    def put(kinds: list[int], texts: pa.Array) -> pa.RecordBatch:
+    def put(kinds: list[int] | np.ndarray, texts: pa.Array) -> pa.RecordBatch:
         n = len(texts)
         return pa.RecordBatch.from_arrays(
-            [texts.cast(pa.string()), pa.array([name] * n, pa.string()), pa.array([now.file] * n, pa.int64()),
-             pa.array([now.place] * n, pa.int64()), pa.array(kinds, pa.int32())], ["record", "name", "file", "place", "kind"])
+            [texts, pa.repeat(pa.scalar(name, pa.string()), n), pa.repeat(pa.scalar(now.file, pa.int64()), n),
+             pa.repeat(pa.scalar(now.place, pa.int64()), n), pa.array(kinds, pa.int32())], ["record", "name", "file", "place", "kind"])
 
     def pieces(found: list[tuple[int, str]]) -> Iterator[pa.RecordBatch]:
         if fragments and found:
             yield put([-k if now.first and k == TAIL else k for k, _ in found], pa.array([t for _, t in found], pa.string()))
 
     for b in batches:
-        keys = pa.array([f"{f}:{p}" for f, p in zip(b.column("file").to_pylist(), b.column("place").to_pylist(), strict=True)])
-        runs = pc.run_end_encode(keys)
-        start = 0
-        for end in runs.run_ends.to_pylist():
-            file, place = b.column("file")[start].as_py(), b.column("place")[start].as_py()
+        lines = b.column("line").cast(pa.string())
+        # A line without a quote leaves the state as it is.
+        quoted = b.column("quoted").to_numpy(zero_copy_only=False)
+        plain, inside = np.zeros(len(lines), bool), np.ones(len(lines), bool)
+        plain[quoted], inside[quoted] = line_ends(lines.filter(b.column("quoted")))
+        for file, place, start, end in _runs(b):
             if now is None or (now.file, now.place) != (file, place):
                 if now is not None:
                     yield from pieces(now.end())
                 places, opens = begins.get(file, ([], []))
                 before = bisect.bisect_left(places, place)
                 now, name = _Range(file, place, before > 0 and opens[before - 1]), b.column("name")[start].as_py()
-            cut: list[tuple[int, str]] = []
-            for whole in now.add(b.column("line").slice(start, end - start), b.column("quoted").slice(start, end - start), cut):
-                if not fragments and len(whole):
-                    yield put([RECORD] * len(whole), whole)
-            yield from pieces(cut)
-            start = end
+            whole, head = now.add(lines.slice(start, end - start), plain[start:end], inside[start:end], not fragments)
+            if whole is not None and len(whole):
+                yield put(np.full(len(whole), RECORD), whole)
+            yield from pieces([] if head is None else [(HEAD, head)])
     if now is not None:
         yield from pieces(now.end())
 
