@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 import re
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -57,7 +58,7 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     """The value, or NULL where the text is none of the kind.  Whole numbers may be written as floats (4.0)."""
     if isinstance(kind, T.IntegralType):
         number = F.trim(text).try_cast("decimal(38,6)")
-        return F.when(number == F.floor(number), number.try_cast(kind))
+        return F.coalesce(F.trim(text).try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
     return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
 
 
@@ -69,16 +70,18 @@ def parse(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """
     texts = {f.name: F.when(F.col(f.name).isin(NULL_TOKENS), F.lit(None)).otherwise(F.col(f.name)) for f in schema.fields}
     typed = {f.name: _typed(texts[f.name], f.dataType) for f in schema.fields}
-    wrong = [F.when(texts[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}"))
-             for f in schema.fields if not isinstance(f.dataType, T.StringType)]
-    malformed = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed row"))
-    reasons = F.when(F.col(MALFORMED).isNotNull(), F.array(malformed)).otherwise(
-        F.filter(F.array(*wrong), lambda r: r.isNotNull()))
+    checked = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    fails = {f.name: texts[f.name].isNotNull() & typed[f.name].isNull() for f in checked}
+    wrong = [F.when(fails[f.name], F.lit(f"{f.name}: not {f.dataType.simpleString()}")) for f in checked]
+    malformed = F.col(MALFORMED).isNotNull()
+    # Arrays and maps are made for the rows to reject only: a filter over an array is interpreted, for every row.
+    any_wrong = reduce(Column.__or__, fails.values(), F.lit(False))
+    reasons = F.when(malformed, F.array(F.lit("malformed row"))).when(
+        any_wrong, F.filter(F.array(*wrong), lambda r: r.isNotNull())).otherwise(F.array().cast("array<string>"))
     values = F.map_from_arrays(F.array(*[F.lit(f.name) for f in schema.fields], F.lit("line")),
                                F.array(*[F.col(f.name) for f in schema.fields], F.col(MALFORMED)))
-    out = raw.select(*[typed[f.name].alias(f.name) for f in schema.fields], reasons.alias(REASONS), values.alias(RAW),
-                     "source_file")
-    return out.withColumn(RAW, F.when(F.size(REASONS) > 0, F.col(RAW)))
+    return raw.select(*[typed[f.name].alias(f.name) for f in schema.fields], reasons.alias(REASONS),
+                      F.when(malformed | any_wrong, values).alias(RAW), "source_file")
 
 
 def scan_raw_csv(spark: SparkSession, path, schema: T.StructType, multi_line: bool = True) -> DataFrame:
@@ -94,8 +97,8 @@ def scan_raw_csv(spark: SparkSession, path, schema: T.StructType, multi_line: bo
             "*", F.col("_metadata.file_name").alias("source_file")), schema)
     fields = ", ".join(f"`{f.name}` string" for f in texts.fields)
     kept = {k: str(v) for k, v in options.items() if k != "header"}
-    raw = csv_records(spark, path).select(F.from_csv("record", fields, kept).alias("r"), "source_file")
-    return parse(raw.select("r.*", "source_file"), schema)
+    # By inline, a record is split once: filters on its columns would each hold the whole from_csv otherwise.
+    return parse(csv_records(spark, path).select(F.inline(F.array(F.from_csv("record", fields, kept))), "source_file"), schema)
 
 
 def read_raw_csv(spark: SparkSession, path, schema: T.StructType, multi_line: bool = True) -> DataFrame:

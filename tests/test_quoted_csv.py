@@ -5,11 +5,13 @@ import os
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyrisk.schemas import RAW_SCHEMAS
-from tallyrisk.sources.quoted_csv import csv_records, ends_open, open_ranges, text_lines
+from tallyrisk.sources.quoted_csv import _records, csv_records, ends_open, open_ranges, text_lines
 from tallyrisk.sources.raw_files import RAW, REASONS, csv_options, parse, scan_raw_csv, text_schema
 
 SCHEMA = RAW_SCHEMAS["bronze_interactions"]
@@ -132,3 +134,36 @@ def test_long_lines_of_quotes_take_linear_time():
     for text in ('"' * 500_001, '"a",' * 200_000 + '"', 'a"b,' * 200_000, '""' * 300_000 + "x"):
         ends_open(text, False), ends_open(text, True)
     assert time.time() - start < 10
+
+
+def test_a_batch_of_quoted_lines_gives_one_batch_of_records():
+    """Also where every record has a quoted line break: no batch a record."""
+    lines = [x for i in range(1000) for x in (f'{i},"said ""hi"", left', f'on the {i}",4')]
+    n = len(lines)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(lines), pa.array([True] * n), pa.array([1] * n, pa.int64()), pa.array(["f.csv"] * n), pa.array([64] * n, pa.int64())],
+        ["line", "quoted", "file", "name", "place"])
+    out = list(_records(iter([batch.slice(0, 701), batch.slice(701)]), {}, False))
+    assert len(out) == 2
+    assert [x for b in out for x in b.column("record").to_pylist()] == ["\n".join(lines[i:i + 2]) for i in range(0, n, 2)]
+    assert not list(_records(iter([batch]), {}, True))
+
+
+def test_a_record_is_split_once_for_all_columns_and_filters(spark):
+    root = folder(HEADER + line(1, '"a\nb"'))
+    with ranges(spark, 1 << 20):
+        found = scan_raw_csv(spark, root, SCHEMA).filter(F.size(REASONS) == 0).select("interaction_id", "notes", "date_time")
+        assert [tuple(r)[:2] for r in found.collect()] == [(1, "a\nb")]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv(") == 1
+
+
+def test_whole_numbers_of_every_spelling(spark):
+    texts = ["4", "4.0", " 4 ", "+4", "-4.000000", "4.5", "1e3", "2147483648", "2147483648.0", "four", "4.", "NA", "0x4"]
+    raw = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "i string, n string").select(
+        "n", F.lit(None).cast("string").alias("_malformed"), F.col("i").alias("source_file"))
+    rows = {int(r["source_file"]): r for r in parse(raw, T.StructType([T.StructField("n", T.IntegerType())])).collect()}
+    assert [rows[i]["n"] for i in range(len(texts))] == [4, 4, 4, 4, -4, None, 1000, None, None, None, 4, None, None]
+    bad = [5, 7, 8, 9, 12]
+    assert [i for i in range(len(texts)) if rows[i][REASONS]] == bad == [i for i in range(len(texts)) if rows[i][RAW]]
+    assert rows[9][REASONS] == ["n: not int"] and rows[9][RAW] == {"n": "four", "line": None}
