@@ -15,6 +15,8 @@ searches find the candidates, and only them:
   byte each: lines are joined on groups of three, those of few words on groups of
   two as well, and compared by how many of the 32 agree in half a byte.
 
+Lines whose lengths alone exclude the similarity are never candidates: a cell is
+sorted by length, and a line is compared as far as its length allows.
 Cells that stay too large for one task are cut into pieces, and every two
 pieces meet in one task, so each pair of lines is still compared.
 
@@ -101,6 +103,8 @@ class Lines:
         self.bounds = np.concatenate([[0], np.cumsum(sizes)])
         at = np.repeat(bounds[:-1][enough] - self.bounds[:-1], sizes) + np.arange(sizes.sum())
         self.codes = codes[at]
+        #: Characters of each normalised line, the spaces between its words included.
+        self.chars = np.diff(chars)[enough] + np.maximum(sizes - 1, 0)
 
     def keys(self) -> list[bytes]:
         """A 128-bit hash of each normalised line."""
@@ -192,9 +196,14 @@ def may_be_similar(shared: np.ndarray, longer: np.ndarray, least: float) -> np.n
     return shared >= longer - 1 - 2 * np.floor((1 - least) * longer + 1e-9)
 
 
+def lengths_allow(shorter: np.ndarray, longer: np.ndarray, least: float) -> np.ndarray:
+    """Whether texts of such lengths can be that similar: an edit changes the length by one at most."""
+    return shorter >= least * longer
+
+
 def similar(a: str, b: str, least: float) -> bool:
     longer = max(len(a), len(b))
-    return min(len(a), len(b)) >= least * longer and edit_distance(a, b) <= (1 - least) * longer + 1e-9
+    return bool(lengths_allow(min(len(a), len(b)), longer, least)) and edit_distance(a, b) <= (1 - least) * longer + 1e-9
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -205,11 +214,11 @@ def _occurrences(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.S
             batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.place.astype(np.int32)),
             pa.array(lines.keys(), pa.binary()), pa.array(lines.simhashes().view(np.int64)),
             pa.array([row.tobytes() for row in lines.minima()], pa.binary()),
-            pa.array(np.diff(lines.bounds).astype(np.int32))], schema=schema)
+            pa.array(np.diff(lines.bounds).astype(np.int32)), pa.array(lines.chars.astype(np.int32))], schema=schema)
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
-    """(region, node, simhash): lines that share a 16-bit block; crowded blocks split by the rest's 12-bit parts."""
+    """(region, and the columns of ``nodes``: node, simhash, ...): lines that share a 16-bit block; crowded blocks split by the rest's 12-bit parts."""
     h = F.col("simhash")
 
     def bits(value: Column, low: int, count: int) -> Column:
@@ -222,15 +231,16 @@ def _cells(nodes: DataFrame) -> DataFrame:
 
     blocks = F.array(*[F.struct((bits(h, 16 * i, 16) + F.lit(i << 16)).alias("region"), rest(i).alias("rest"))
                        for i in range(4)])
-    rows = nodes.select("node", "simhash", F.explode(blocks).alias("block")).select("node", "simhash", "block.*")
+    names = nodes.columns
+    rows = nodes.select(*names, F.explode(blocks).alias("block")).select(*names, "block.*")
     sizes = rows.groupBy("region").agg(F.count("*").alias("n"))  # 4 * 65,536 keys at most
     crowded = stored(sizes.filter(F.col("n") > CROWD).select("region"), "crowded")
     if crowded.isEmpty():
-        return rows.select("region", "node", "simhash")
-    calm = rows.join(F.broadcast(crowded), "region", "left_anti").select("region", "node", "simhash")
+        return rows.select("region", *names)
+    calm = rows.join(F.broadcast(crowded), "region", "left_anti").select("region", *names)
     parts = F.array(*[F.struct(F.lit(k).alias("part"), bits(F.col("rest"), 12 * k, 12).alias("value")) for k in range(4)])
-    fine = rows.join(F.broadcast(crowded), "region").select("region", "node", "simhash", F.explode(parts).alias("p"))
-    fine = stored(fine.select(F.xxhash64("region", "p.part", "p.value").alias("region"), "node", "simhash"), "parts")
+    fine = rows.join(F.broadcast(crowded), "region").select("region", *names, F.explode(parts).alias("p"))
+    fine = stored(fine.select(F.xxhash64("region", "p.part", "p.value").alias("region"), *names), "parts")
     return calm.unionByName(_met(fine))
 
 
@@ -255,7 +265,7 @@ def _met(cells: DataFrame) -> DataFrame:
 
 
 def _groups_of_minima(nodes: DataFrame) -> DataFrame:
-    """(region, node, low, high): lines that share a group of minima."""
+    """(region, node, low, high, chars): lines that share a group of minima."""
     def half(first: int) -> Column:  # the upper four bits of 16 minima, as a long
         digits = F.regexp_replace(F.hex(F.substring("minima", first + 1, 16)), "(.).", "$1")
         upper, lower = (F.conv(F.substring(digits, k, 8), 16, 10).cast("long") for k in (1, 9))
@@ -267,8 +277,8 @@ def _groups_of_minima(nodes: DataFrame) -> DataFrame:
 
     long = keyed(0, TRIPLES)
     keys = F.when(F.col("words") <= SHORT, F.concat(long, keyed(len(TRIPLES), PAIRS))).otherwise(long)
-    rows = nodes.select("node", half(0).alias("low"), half(16).alias("high"), keys.alias("keys"))
-    return _met(rows.select(F.explode("keys").alias("region"), "node", "low", "high"))
+    rows = nodes.select("node", "chars", half(0).alias("low"), half(16).alias("high"), keys.alias("keys"))
+    return _met(rows.select(F.explode("keys").alias("region"), "node", "low", "high", "chars"))
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -279,15 +289,16 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return MINIMA - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=-1, dtype=np.int64)
 
 
-def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Spanning edges, and a name of what hangs together, of the lines of each region that differ in at most BLOCK_BITS bits (columns: simhash), or agree in
-    AGREEING minima (columns: low, high)."""
+def _near(batches: Iterator[pa.RecordBatch], columns: list[str], least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Spanning edges, and a name of what hangs together, of the lines of each region (sorted by chars) whose lengths allow
+    the similarity and that differ in at most BLOCK_BITS bits (columns: simhash), or agree in AGREEING minima (columns: low, high)."""
     def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.bitwise_count(a ^ b) <= BLOCK_BITS if len(columns) == 1 else _agreement(a, b) >= AGREEING
 
     for table, cuts in groups(batches, "region", 20_000):
         h = [flat_array(table[c]).to_numpy(zero_copy_only=False).view(np.uint64) for c in columns]
         h = h[0] if len(h) == 1 else np.stack(h, axis=1)
+        chars = flat_array(table["chars"]).to_numpy(zero_copy_only=False)
         nodes = flat_array(table["node"])
         sizes = np.diff(cuts)
         ends = np.repeat(cuts[1:], sizes)
@@ -295,6 +306,9 @@ def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Sche
         partner = np.zeros(len(h), bool)
         for lag in range(1, int(sizes.max(initial=1))):
             at = at[at + lag < ends[at]]
+            at = at[lengths_allow(chars[at], chars[at + lag], least)]  # the lines further on are longer still
+            if not len(at):
+                break
             hit = at[alike(h[at], h[at + lag])]
             partner[hit] = True
             partner[hit + lag] = True
@@ -305,8 +319,14 @@ def _near(batches: Iterator[pa.RecordBatch], columns: list[str], schema: pa.Sche
         a, b, unit = [], [], []
         for start, stop in zip(first, np.append(first[1:], len(some)) if len(first) else first, strict=True):
             rows = some[start:stop]
-            own = h[rows]
-            links = spanning_links(len(rows), lambda i, others, own=own: alike(own[others], own[i]))
+            own, long = h[rows], chars[rows]
+
+            def linked(i: int, others: np.ndarray, own=own, long=long) -> np.ndarray:
+                yes = lengths_allow(np.minimum(long[others], long[i]), np.maximum(long[others], long[i]), least)
+                yes[yes] = alike(own[others[yes]], own[i])
+                return yes
+
+            links = spanning_links(len(rows), linked)
             # The lines that hang together are named by all of them (links come part by part, breadth first).
             part: dict[int, int] = {}
             total: dict[int, int] = {}
@@ -356,8 +376,10 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
             size = np.array([len(texts[i]) for i in rows])
 
             def linked(i: int, others: np.ndarray) -> np.ndarray:
-                yes = np.bitwise_count(h[rows[others]] ^ h[rows[i]]) <= BLOCK_BITS
-                yes |= (minima[rows[others]] == minima[rows[i]]).sum(axis=1) >= AGREEING
+                yes = lengths_allow(np.minimum(size[others], size[i]), np.maximum(size[others], size[i]), least)
+                fit = rows[others[yes]]
+                yes[yes] = (np.bitwise_count(h[fit] ^ h[rows[i]]) <= BLOCK_BITS) | (
+                    (minima[fit] == minima[rows[i]]).sum(axis=1) >= AGREEING)
                 if many:  # most are settled without their edit distance
                     some = np.flatnonzero(yes)
                     for low in range(0, len(some), 4000):
@@ -389,12 +411,13 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = StructType.fromDDL(f"doc_id {kind}, text_hash long, line int, node binary, simhash long, minima binary, words int")
+    schema = StructType.fromDDL(f"doc_id {kind}, text_hash long, line int, node binary, simhash long, minima binary, words int, chars int")
     arrow = to_arrow_schema(schema)
     lines = stored(rows.mapInArrow(lambda it: _occurrences(it, min_words, arrow), schema), "lines")
     nodes = stored(lines.groupBy("node").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "line")).alias("first"),
-        F.min("simhash").alias("simhash"), F.min("minima").alias("minima"), F.min("words").alias("words")), "line-nodes")
+        F.min("simhash").alias("simhash"), F.min("minima").alias("minima"), F.min("words").alias("words"),
+        F.min("chars").alias("chars")), "line-nodes")
 
     # In the search a node goes by its place in the stored table, mixed: a few bytes instead of sixteen.
     part = F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("long")
@@ -404,14 +427,14 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     pair = StructType.fromDDL("a long, b long")
     pair_arrow = to_arrow_schema(pair)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, shared = _cells(nodes), _groups_of_minima(nodes)
+    blocks, shared = _cells(nodes.select("node", "simhash", "chars")), _groups_of_minima(nodes)
 
     edge = StructType.fromDDL("a long, b long, region binary")
     edge_arrow = to_arrow_schema(edge)
 
     def edges(cells: DataFrame, columns: list[str]) -> DataFrame:
-        rows_ = cells.repartition(width, "region").sortWithinPartitions("region").select("region", "node", *columns)
-        return stored(rows_.mapInArrow(lambda it: _near(it, columns, edge_arrow), edge).distinct(), "line-near")
+        rows_ = cells.repartition(width, "region").sortWithinPartitions("region", "chars").select("region", "node", "chars", *columns)
+        return stored(rows_.mapInArrow(lambda it: _near(it, columns, similarity, edge_arrow), edge).distinct(), "line-near")
 
     near = edges(blocks, ["simhash"]).unionByName(edges(shared, ["low", "high"]))
     candidates = stored(connected_components(near.select("a", "b")), "line-candidates")

@@ -188,3 +188,24 @@ def test_pairs_of_characters_exclude_no_similar_text():
         assert may or not m.similar(a, b, 0.8)
         excluded += not may
     assert excluded > 500
+
+
+def test_lengths_alone_make_no_candidates():
+    """Of a cell of lines with equal sketches only those of like length are linked, and all of these hang together."""
+    chars = np.array([50, 60, 61, 90, 100, 200])
+    cell = pa.RecordBatch.from_arrays(
+        [pa.array([7] * 6, pa.int64()), pa.array(range(6), pa.int64()), pa.array(chars, pa.int32()), pa.array([5] * 6, pa.int64())],
+        names=["region", "node", "chars", "simhash"])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.binary())])
+    out = pa.Table.from_batches(m._near(iter([cell]), ["simhash"], 0.8, schema)).to_pydict()
+    group = list(range(6))
+    for a, b in zip(out["a"], out["b"], strict=True):
+        assert min(chars[a], chars[b]) >= 0.8 * max(chars[a], chars[b])
+        group = [group[a] if g == group[b] else g for g in group]
+    assert group[0] == group[1] == group[2] and group[3] == group[4] and len(set(group)) == 3
+    assert len(set(out["region"])) == 2
+
+
+def test_characters_of_lines():
+    batch = m.Lines(pa.array(["The first, of 12 lines!\n  short\n--\u00c4rger  \u00fcber  drei kleine  Zeilen", None, "\u4e2d" * 50]), 5)
+    assert batch.chars.tolist() == [len(batch.text(i)) for i in range(3)] == [21, 29, 50]
