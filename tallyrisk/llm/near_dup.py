@@ -197,7 +197,7 @@ def _regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         fine = sizes.filter(F.col("n") <= REGION)
         # Equal members in several trees: one of them is enough.
         once = fine.groupBy("n", "members").agg(F.min("region").alias("region"))
-        found.append(lean.join(once.select("region"), "region").select("region", "node"))
+        found.append(lean.join(small(stored(once.select("region"), "once")), "region").select("region", "node"))
         large = sizes.filter(F.col("n") > REGION)
         if large.isEmpty():
             break
@@ -341,8 +341,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
         lambda it: _estimated(it, similarity / 100 - 0.2, pair_arrow), pair), "near")
     candidates = stored(connected_components(near), "candidates")
 
-    weighed = candidates.join(nodes.select("node", "weight"), "node")
-    ids = units(weighed, regions, COMPONENT).join(nodes.select("node", "row"), "node").select(
+    weighed = stored(nodes.select("node", "weight").join(small(candidates), "node"), "weighed")
+    ids = nodes.select("node", "row").join(small(stored(units(weighed, regions, COMPONENT), "units")), "node").select(
         "unit", "node", F.col("row.doc_id").alias("id_r"), F.col("row.text_hash").alias("hash_r"))
     texts = rows.join(small(stored(ids, "wanted")),
                       F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")))
@@ -353,7 +353,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80,
         links = links.unionByName(more)
     roots = connected_components(links)
 
-    named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = nodes.select("node", "least_id").join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = stored(named.join(names, "root").select(F.col("node").alias("node_r"), "component_id"), "components")
     out = signed.select("doc_id", "text_hash", "n_shingles", "node").join(named, F.col("node") == F.col("node_r"), "left")

@@ -190,3 +190,23 @@ def test_isolated_pairs_of_a_template_family_are_linked(spark, make, monkeypatch
     monkeypatch.setattr(n, "REGION", 3)
     monkeypatch.setattr(n, "COMPONENT", 500)
     assert {r["doc_id"]: r["component_id"] for r in n.near_duplicates(make(rows)).collect()} == expected
+
+
+def test_few_shared_regions_are_broadcast(spark):
+    """Regions that several nodes share find their nodes without a shuffle of all nodes' prefixes."""
+    rng = np.random.default_rng(5)
+    rows = [(bytes([i, i]), rng.integers(0, 9, n.TREES * n.DEPTH).tolist()) for i in range(40)]
+    rows += [(bytes([i, 255]), values) for i, (_, values) in enumerate(rows[:10])]
+    nodes = spark.createDataFrame(rows, "node binary, signature array<int>")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        regions, crowded = n._regions(nodes)
+        plan = regions._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert crowded is None and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    together = {}
+    for r in regions.collect():
+        together.setdefault(r["region"], set()).add(bytes(r["node"]))
+    assert all(any({bytes([i, i]), bytes([i, 255])} <= found for found in together.values()) for i in range(10))
