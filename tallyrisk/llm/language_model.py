@@ -59,7 +59,9 @@ FREQUENT = 1024
 RARE_CLASSES = 32
 HIDDEN = 24
 WINDOW = 32
-BATCH_DOCS = 2500
+BATCH_DOCS = 8000
+#: States that wait for their probabilities, which are taken together.
+WAITING = 16_000
 #: Documents of a training group on average, and the symbols at which a group is cut.
 GROUP_DOCS = 2500
 CHUNK = 2_000_000
@@ -113,36 +115,78 @@ class Model:
             at += size
         return cls(params)
 
+    def gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input and state weights by gate (update, reset, new), each gate's contiguous; the bias is added to the inputs,
+        and the first two gates are halved for tanh (exactly, as 2 is a power of 2)."""
+        x, u = ((w if bias is None else w + bias).reshape(len(w), 3, HIDDEN).transpose(1, 0, 2).copy()
+                for w, bias in ((self.x, self.b), (self.u, None)))
+        x[:2] *= 0.5
+        u[:2] *= 0.5
+        return x, u
+
     def step(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """The state after reading ``symbols``."""
-        a = self.x[symbols] + self.b
-        v = h @ self.u
-        gates = 0.5 + 0.5 * np.tanh(0.5 * (a[:, :2 * HIDDEN] + v[:, :2 * HIDDEN]))
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(a[:, 2 * HIDDEN:] + r * v[:, 2 * HIDDEN:])
-        return n + z * (h - n), (z, r, n, v[:, 2 * HIDDEN:])
+        x, u = self.gates()
+        new, *gates = advanced(x[:, symbols], u, h)
+        return new, tuple(gates)
+
+    def inner_logits(self, states: np.ndarray, words: np.ndarray, parts: list[tuple[slice, slice]]) -> np.ndarray:
+        """Within its class, less the largest, the logits of all words, for frequent words in the order of their classes."""
+        out = np.empty((len(states), CLASS_WORDS), states.dtype)
+        for own, part in parts:
+            np.matmul(states[own], self.ww[part].T, out=out[own])
+        out += self.bw.reshape(-1, CLASS_WORDS)[words // CLASS_WORDS]
+        out -= out.max(axis=1, keepdims=True)
+        return out
 
     def log_probabilities(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """ln P(symbol | state), the class of a rare symbol standing for all its words."""
         classes = FREQUENT // CLASS_WORDS
         frequent = targets < FREQUENT
-        which = np.where(frequent, targets // CLASS_WORDS, classes + targets - FREQUENT)
-        logits = h @ self.wc + self.bc
+        which = np.where(frequent, targets // CLASS_WORDS, targets - (FREQUENT - classes))
+        logits = h @ self.wc
+        logits += self.bc
         logits -= logits.max(axis=1, keepdims=True)
-        out = (logits[np.arange(len(h)), which] - np.log(np.exp(logits).sum(axis=1))).astype(np.float64)
-        rows = np.flatnonzero(frequent)
-        rows = rows[np.argsort(which[rows], kind="stable")]
-        cuts = np.searchsorted(which[rows], np.arange(classes + 1))
-        for c in range(classes):
-            own = rows[cuts[c]:cuts[c + 1]]
-            if len(own):
-                part = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-                inner = h[own] @ self.ww[part].T + self.bw[part]
-                inner -= inner.max(axis=1, keepdims=True)
-                out[own] += inner[np.arange(len(own)), targets[own] % CLASS_WORDS] - np.log(np.exp(inner).sum(axis=1))
+        out = logits[np.arange(len(h)), which]
+        out = (out - np.log(np.exp(logits, out=logits).sum(axis=1))).astype(np.float64)
+        rows, parts = by_class(frequent, which)
+        words = targets[rows]
+        inner = self.inner_logits(h[rows], words, parts)
+        found = inner[np.arange(len(rows)), words % CLASS_WORDS]
+        found -= np.log(np.exp(inner, out=inner).sum(axis=1))
+        out[rows] += found
         return out
 
 
+def advanced(a: np.ndarray, u: np.ndarray, h: np.ndarray, v: np.ndarray | None = None,
+             n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The state after ``h`` (a state a row) and the inputs ``a``, both inputs and ``u`` by gate; and what the gradient
+    needs: the gates with the new state's share of ``h``, and the new state before its gate (written to ``v`` and ``n``)."""
+    v = np.matmul(h, u, out=v)
+    gates = v[:2]
+    gates += a[:2]
+    np.tanh(gates, out=gates)
+    gates += 1.0
+    gates *= 0.5
+    n = np.multiply(gates[1], v[2], out=n)
+    n += a[2]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= gates[0]
+    new += n
+    return new, v, n
+
+
+def by_class(frequent: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, slice]]]:
+    """Places of the frequent words in the order of their classes; each class's slice of them and of the outputs."""
+    rows = np.flatnonzero(frequent)
+    own = which[rows].astype(np.int16)
+    order = np.argsort(own, kind="stable")
+    cuts = np.searchsorted(own[order], np.arange(FREQUENT // CLASS_WORDS + 1)).tolist()
+    return rows[order], [(slice(a, b), slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS))
+                         for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+
 def train(model: Model, symbols: np.ndarray, bounds: np.ndarray, epochs: int, streams: int = 32,
           rate: float = 0.01, seed: int = 1) -> Model:
     """Truncated backpropagation: documents (symbols, the last one of each the end) in parallel streams."""
@@ -179,21 +223,27 @@ def _window(model: Model, adam: Adam, params: list[np.ndarray], target: np.ndarr
     streams, steps = target.shape
     classes = FREQUENT // CLASS_WORDS
     inputs = np.concatenate([before[:, None], target[:, :-1]], axis=1)
-    states, saved = [], []
+    x, u = model.gates()
+    a = np.take(x, inputs.T.reshape(-1), axis=1).reshape(3, steps, streams, HIDDEN)
+    olds = np.empty((steps + 1, streams, HIDDEN), h.dtype)
+    olds[0] = h
+    vs, ns = np.empty((steps, 3, streams, HIDDEN), h.dtype), np.empty((steps, streams, HIDDEN), h.dtype)
+    begun = fresh.any(axis=0).tolist()
+    keep = (~fresh.T[:, :, None]).astype(h.dtype)
     for t in range(steps):
-        keep = ~fresh[:, t]
-        new, gates = model.step(inputs[:, t], h)
-        new = new * keep[:, None]  # a document starts from zero
-        saved.append((h, gates, keep))
-        states.append(new)
-        h = new
-    hs = np.stack(states, axis=1).reshape(-1, HIDDEN)
+        h, _, _ = advanced(a[:, t], u, h, vs[t], ns[t])
+        if begun[t]:
+            h *= keep[t]  # a document starts from zero
+        olds[t + 1] = h
+    hs = olds[1:].transpose(1, 0, 2).reshape(-1, HIDDEN)
     y = target.reshape(-1)
     total = len(y)
     frequent = y < FREQUENT
     which = np.where(frequent, y // CLASS_WORDS, classes + y - FREQUENT)
-    logits = hs @ model.wc + model.bc
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    logits = hs @ model.wc
+    logits += model.bc
+    logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(total), which] -= 1
     p /= total
@@ -202,35 +252,46 @@ def _window(model: Model, adam: Adam, params: list[np.ndarray], target: np.ndarr
     gwc += hs.T @ p
     gbc += p.sum(axis=0)
     dh = p @ model.wc.T
-    rows = np.flatnonzero(frequent)
-    rows = rows[np.argsort(which[rows], kind="stable")]
-    cuts = np.searchsorted(which[rows], np.arange(classes + 1))
-    for c in range(classes):
-        own = rows[cuts[c]:cuts[c + 1]]
-        if len(own):
-            part = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-            inner = hs[own] @ model.ww[part].T + model.bw[part]
-            q = np.exp(inner - inner.max(axis=1, keepdims=True))
-            q /= q.sum(axis=1, keepdims=True)
-            q[np.arange(len(own)), y[own] % CLASS_WORDS] -= 1
-            q /= total
-            gww[part] += q.T @ hs[own]
-            gbw[part] += q.sum(axis=0)
-            dh[own] += q @ model.ww[part]
-    dh = dh.reshape(streams, steps, HIDDEN)
-    back = np.zeros((streams, HIDDEN), np.float32)
-    da = np.zeros((steps, streams, 3 * HIDDEN), np.float32)
+    rows, parts = by_class(frequent, which)
+    chosen, words = hs[rows], y[rows]
+    q = model.inner_logits(chosen, words, parts)
+    np.exp(q, out=q)
+    q /= q.sum(axis=1, keepdims=True)
+    q[np.arange(len(q)), words % CLASS_WORDS] -= 1
+    q /= total
+    inside = np.empty_like(chosen)
+    for own, part in parts:
+        np.matmul(q[own].T, chosen[own], out=gww[part])
+        np.add.reduce(q[own], axis=0, out=gbw[part])
+        np.matmul(q[own], model.ww[part], out=inside[own])
+    dh[rows] += inside
+    dh = dh.reshape(streams, steps, HIDDEN).transpose(1, 0, 2).copy()
+    # Of the window at once: what the gradient of a state is multiplied with for the three gates.
+    z, r, vn = vs[:, 0], vs[:, 1], vs[:, 2]
+    rest = 1 - z
+    by_new = rest * (1 - ns * ns)
+    by_update = (olds[:-1] - ns) * z * rest
+    by_reset = vn * r * (1 - r)
+    dv = np.empty((steps, streams, 3 * HIDDEN), h.dtype)
+    dn = np.empty((steps, streams, HIDDEN), h.dtype)
+    turned = model.u.T
+    back = None
     for t in range(steps - 1, -1, -1):
-        old, (z, r, n, vn), keep = saved[t]
-        d = (dh[:, t] + back) * keep[:, None]
-        dn = d * (1 - z) * (1 - n * n)
-        dz = d * (old - n) * z * (1 - z)
-        dr = dn * vn * r * (1 - r)
-        da[t] = np.concatenate([dz, dr, dn], axis=1)
-        dv = np.concatenate([dz, dr, dn * r], axis=1)
-        gu += old.T @ dv
-        back = d * z + dv @ model.u.T
-    flat = da.reshape(-1, 3 * HIDDEN)
+        d = dh[t]
+        if back is not None:
+            d += back
+        if begun[t]:
+            d *= keep[t]
+        np.multiply(d, by_new[t], out=dn[t])
+        np.multiply(d, by_update[t], out=dv[t, :, :HIDDEN])
+        np.multiply(dn[t], by_reset[t], out=dv[t, :, HIDDEN:2 * HIDDEN])
+        np.multiply(dn[t], r[t], out=dv[t, :, 2 * HIDDEN:])
+        back = dv[t] @ turned
+        d *= z[t]
+        back += d
+    gu += olds[:-1].reshape(-1, HIDDEN).T @ dv.reshape(-1, 3 * HIDDEN)
+    dv[:, :, 2 * HIDDEN:] = dn
+    flat = dv.reshape(-1, 3 * HIDDEN)
     gb += flat.sum(axis=0)
     read = inputs.T.reshape(-1)
     order = np.argsort(read, kind="stable")
@@ -251,21 +312,22 @@ def document_scores(model: Model, symbols: np.ndarray, bounds: np.ndarray, extra
     out = np.zeros(len(lengths))
     steps = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")
+    x, u = model.gates()
     h = np.zeros((len(sizes), HIDDEN), np.float32)
-    hs, at, who, waiting = [], [], [], 0
+    hs, first, waiting = [], 0, 0
     for t in range(steps):
         n = active[t]
         if t:
-            h, _ = model.step(symbols[starts[:n] + t - 1], h[:n])
-        hs.append(h[:n])
-        at.append(starts[:n] + t)
-        who.append(np.arange(n))
+            h, _, _ = advanced(np.take(x, symbols[starts[:n] + (t - 1)], axis=1), u, h[:n])
+        hs.append(h)
         waiting += n
-        if waiting >= 50_000 or t == steps - 1:
-            here = np.concatenate(at)
+        if waiting >= WAITING or t == steps - 1:
+            counts = active[first:t + 1]
+            who = np.arange(waiting) - np.repeat(np.cumsum(counts) - counts, counts)
+            here = starts[who] + np.repeat(np.arange(first, t + 1), counts)
             lp = model.log_probabilities(np.concatenate(hs), symbols[here])
-            out += np.bincount(np.concatenate(who), weights=lp + extra[here], minlength=len(out))
-            hs, at, who, waiting = [], [], [], 0
+            out += np.bincount(who, weights=lp + extra[here], minlength=len(out))
+            hs, first, waiting = [], t + 1, 0
     scores = np.empty(len(out))
     scores[order] = out
     return scores
@@ -284,7 +346,7 @@ def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([
             pa.array([uuid.uuid4().int >> 65], pa.int64()), _one(batch.column(0), schema.field(1)), _one(pa.array(held), schema.field(2)),
             pa.array([packer.compress(np.diff(words.bounds).astype("<i4").tobytes())], pa.binary()),
-            pa.array([packer.compress(words.codes.astype("<i4").tobytes())], pa.binary()),
+            pa.array([packer.compress(_planes(words.codes))], pa.binary()),
             _one(words.vocabulary.cast(pa.string()), schema.field(5)), _one(pa.array(counts), schema.field(6))],
             schema=schema)
 
@@ -294,16 +356,22 @@ def _one(values: pa.Array, field: pa.Field) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values).cast(field.type)
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones, and so on: the upper ones, mostly zero, take little room."""
+    return np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """Codes and lengths (in words) of a stored batch's documents."""
     reader = zstandard.ZstdDecompressor()
-    return (np.frombuffer(reader.decompress(row["codes"]), "<i4").astype(np.int64),
+    planes = np.frombuffer(reader.decompress(row["codes"]), np.uint8).reshape(4, -1)
+    return (np.ascontiguousarray(planes.T).view("<i4").ravel(),
             np.frombuffer(reader.decompress(row["lengths"]), "<i4").astype(np.int64))
 
 
 def _with_ends(codes: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.concatenate([[0], np.cumsum(lengths + 1)])
-    out = np.full(bounds[-1], end, np.int64)
+    out = np.full(bounds[-1], end, codes.dtype)
     inside = np.ones(len(out), bool)
     inside[bounds[1:] - 1] = False
     out[inside] = codes
@@ -389,7 +457,7 @@ def _scored(part: pa.RecordBatch, flat: np.ndarray | None, frequent: pa.Array, r
     c = np.append(np.zeros(0) if found is None else found.to_numpy(zero_copy_only=False), documents).astype(np.float64)
     end = len(c) - 1
     tokens, bounds = _with_ends(codes, lengths, end)
-    owner = np.repeat(np.arange(len(lengths)), lengths + 1)
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
     base = np.log10((c + 1) / (total + types + 1))
     sums = np.bincount(owner, weights=base[tokens], minlength=len(lengths))
     if flat is None:
@@ -398,10 +466,10 @@ def _scored(part: pa.RecordBatch, flat: np.ndarray | None, frequent: pa.Array, r
         symbols = _symbols(part["words"][0].values, frequent)
         k = np.maximum(symbols - FREQUENT, 0)
         inner = np.where(symbols < FREQUENT, 0.0, np.log((c + 1) / (rare_tokens[k] + rare_types[k] + 1)))
-        scores = document_scores(Model.from_flat(flat), symbols[tokens], bounds, inner[tokens]) / np.log(10)
+        scores = document_scores(Model.from_flat(flat), symbols.astype(np.int16)[tokens], bounds, inner[tokens]) / np.log(10)
     return pa.RecordBatch.from_arrays([
         part["ids"][0].values, part["held"][0].values, pa.array(lengths + 1),
-        pa.array(np.bincount(owner, weights=c[tokens] > 0, minlength=len(lengths)).astype(np.int64)),
+        pa.array(np.bincount(owner, weights=(c > 0)[tokens], minlength=len(lengths)).astype(np.int64)),
         pa.array(np.full(len(lengths), total, np.int64)), pa.array(sums), pa.array(scores)], schema=schema)
 
 

@@ -110,6 +110,17 @@ def test_scores_equal_token_by_token():
         assert np.isclose(got[k], total, atol=1e-3)
 
 
+def test_codes_are_stored_whole_and_in_less_room():
+    rng = np.random.default_rng(5)
+    codes = np.minimum(rng.zipf(1.3, 50_000), 70_000) - 1
+    packer = m.zstandard.ZstdCompressor(level=1)
+    row = {"codes": packer.compress(m._planes(codes)), "lengths": packer.compress(np.array([3, 0], "<i4").tobytes())}
+    got, lengths = m._unpack(row)
+    assert got.tolist() == codes.tolist() and lengths.tolist() == [3, 0]
+    assert len(row["codes"]) < 0.95 * len(packer.compress(codes.astype("<i4").tobytes()))
+    assert m._unpack({"codes": packer.compress(m._planes(codes[:0])), "lengths": packer.compress(b"")})[0].tolist() == []
+
+
 def test_gradient_by_differences():
     rng = np.random.default_rng(3)
     target = rng.integers(0, m.FREQUENT + m.RARE_CLASSES, (3, 5))
