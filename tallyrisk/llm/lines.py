@@ -77,6 +77,10 @@ CROWD = 2000
 PART = 20_000
 SLOTS = 1 << 18
 COMPONENT = 20_000
+#: Characters after which two texts count as going on alike; pairs whose edit distances are taken together, and their longest text.
+SYNC = 12
+TOGETHER = 1000
+LONGEST = 1000
 
 
 class Lines:
@@ -153,8 +157,9 @@ class Lines:
         return " ".join(self.vocabulary.take(pa.array(self.codes[self.bounds[i]:self.bounds[i + 1]])).to_pylist())
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance by bit vectors (one row of the table is one integer)."""
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
+    """Levenshtein distance by bit vectors (one row of the table is one integer); with ``most``, some value above it
+    as soon as the characters left can't bring the distance down to it."""
     start = 0
     while start < min(len(a), len(b)) and a[start] == b[start]:
         start += 1
@@ -169,7 +174,10 @@ def edit_distance(a: str, b: str) -> int:
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << len(a)) - 1, 1 << len(a) - 1
     up, down, distance = full, 0, len(a)
-    for c in b:
+    spare = len(b) + (len(a) + len(b) if most is None else most)
+    for at, c in enumerate(b):
+        if distance + at > spare:
+            return distance + at - len(b)
         eq = masks.get(c, 0)
         x = (((eq & up) + up) ^ up) | eq | down
         right = down | ~(x | up) & full
@@ -184,6 +192,101 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
+def alignment_cost(a: str, b: str, most: int) -> int:
+    """Edits of one way to turn ``a`` into ``b``, so at least their edit distance; above ``most`` it gives up.
+
+    Equal runs are skipped; after a difference, the next SYNC characters of ``a`` that follow near in ``b`` go on."""
+    i = j = cost = 0
+    while cost <= most:
+        room = min(len(a) - i, len(b) - j)
+        run, step = 0, 32
+        while step:  # doubled while equal, halved after
+            if run + step <= room and a[i + run:i + run + step] == b[j + run:j + run + step]:
+                run += step
+                step *= 2
+            else:
+                step //= 2
+                while step and run + step > room:
+                    step //= 2
+        i, j = i + run, j + run
+        if i == len(a) or j == len(b):
+            break
+        for skip in range(min(most - cost, len(a) - i - SYNC) + 1):
+            at = b.find(a[i + skip:i + skip + SYNC], j, j + most - cost + SYNC)
+            if at >= 0:
+                cost += edit_distance(a[i:i + skip], b[j:at])
+                i, j = i + skip, at
+                break
+        else:
+            break
+    return cost + max(len(a) - i, len(b) - j)
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def within(a: np.ndarray, others: list[np.ndarray], limits: np.ndarray) -> np.ndarray:
+    """Which of ``others`` are at most so many edits from ``a``: all tables at once, by their cross diagonals.
+
+    A path of k edits between lengths that differ by D leaves the diagonals between start and end by (k - D) / 2 at most; only
+    these are kept, in two arrays (even and odd diagonals by texts), and texts all of whose cells exceed their limit go early."""
+    m, sizes = len(a), np.array([len(o) for o in others])
+    gap = sizes - m
+    slack = (limits - np.abs(gap)) // 2
+    out = np.zeros(len(others), bool)
+    pairs = np.flatnonzero(limits >= np.abs(gap))
+    if not len(pairs):
+        return out
+    low = int((np.minimum(gap, 0) - slack)[pairs].min())
+    low -= low % 2
+    high = int((np.maximum(gap, 0) + slack)[pairs].max())
+    w = (high - low) // 2 + 1
+    pad = w + abs(low) + high + 2
+    # Only the characters of ``a`` count; all others are alike different from it, outside the texts as well.
+    letters = np.unique(a)
+    own = np.zeros(m + 2 * pad, np.uint16)
+    own[pad:pad + m] = np.searchsorted(letters, a) + 2
+    text = np.ones((int(sizes[pairs].max(initial=0)) + 2 * pad + m, len(pairs)), np.uint16)
+    joined = np.concatenate([others[k] for k in pairs])
+    place = np.minimum(np.searchsorted(letters, joined), max(len(letters) - 1, 0))
+    codes = np.where(letters[place] == joined, place + 2, 1) if m else np.ones(len(joined))
+    starts = np.cumsum(sizes[pairs]) - sizes[pairs]
+    text[pad + np.arange(len(joined)) - np.repeat(starts, sizes[pairs]), np.repeat(np.arange(len(pairs)), sizes[pairs])] = codes
+    turned = own[::-1].copy()
+    n, far = len(own), 20_000
+    even, odd = (np.full((w + 1, len(pairs)), far, np.int16) for _ in range(2))
+    even[-low // 2] = 0
+    diagonals = np.arange(low, low + 2 * w + 2, 2, dtype=np.int16)[:, None]
+    ends = m + sizes[pairs]
+    for s in range(int(ends.max()) + 1):
+        if s:
+            half = (s - low) // 2  # i of the first diagonal of this parity, and j
+            first = (s + low) // 2 if s % 2 == 0 else (s + low + 1) // 2
+            mine = turned[n - pad - half:n - pad - half + w, None]
+            differ = np.bitwise_xor(text[pad + first - 1:pad + first - 1 + w], mine)
+            np.minimum(differ, 1, out=differ)
+            now, beside, before = (even[:w], odd[:w], odd[1:]) if s % 2 == 0 else (odd[1:], even[:w], even[1:])
+            step = np.minimum(beside, before)
+            step += 1
+            now += differ.view(np.int16)
+            np.minimum(now, step, out=now)
+        done = np.flatnonzero(ends == s) if s >= m else ()
+        if len(done):
+            d = gap[pairs[done]] - low
+            value = np.where(d % 2 == 0, even[d // 2, done], odd[(d - 1) // 2 + 1, done])
+            out[pairs[done]] = value <= limits[pairs[done]]
+        if s % 32 == 31:
+            way = gap[pairs].astype(np.int16)
+            least = np.minimum((even + np.abs(diagonals - way)).min(axis=0), (odd + np.abs(diagonals - 1 - way)).min(axis=0))
+            kept = np.flatnonzero((ends > s) & (least <= limits[pairs]))
+            if not len(kept):
+                break
+            if len(kept) <= 0.8 * len(pairs):
+                pairs, ends, text, even, odd = pairs[kept], ends[kept], text[:, kept], even[:, kept], odd[:, kept]
+    return out
+
+
 def bigrams(text: str) -> np.ndarray:
     """Counts of the text's character pairs in 256 buckets."""
     x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -203,7 +306,9 @@ def lengths_allow(shorter: np.ndarray, longer: np.ndarray, least: float) -> np.n
 
 def similar(a: str, b: str, least: float) -> bool:
     longer = max(len(a), len(b))
-    return bool(lengths_allow(min(len(a), len(b)), longer, least)) and edit_distance(a, b) <= (1 - least) * longer + 1e-9
+    most = (1 - least) * longer + 1e-9
+    return bool(lengths_allow(min(len(a), len(b)), longer, least)) and (
+        alignment_cost(a, b, int(most)) <= most or edit_distance(a, b, int(most)) <= most)
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -386,7 +491,16 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
                         part = some[low:low + 4000]
                         shared = np.minimum(pairs[others[part]], pairs[i]).sum(axis=1)
                         yes[part] = may_be_similar(shared, np.maximum(size[others[part]], size[i]), least)
-                for k in np.flatnonzero(yes):
+                some = np.flatnonzero(yes)
+                if len(some) >= 32:
+                    some = some[np.argsort(size[others[some]], kind="stable")]  # texts of like lengths together
+                    some, rest = some[size[others[some]] <= LONGEST], some[size[others[some]] > LONGEST]
+                    for low in range(0, len(some), TOGETHER):
+                        part = some[low:low + TOGETHER]
+                        far = np.floor((1 - least) * np.maximum(size[others[part]], size[i]) + 1e-9).astype(np.int64)
+                        yes[part] = within(code_points(texts[rows[i]]), [code_points(texts[rows[k]]) for k in others[part]], far)
+                    some = rest
+                for k in some:
                     yes[k] = similar(texts[rows[i]], texts[rows[others[k]]], least)
                 return yes
 

@@ -190,6 +190,52 @@ def test_pairs_of_characters_exclude_no_similar_text():
     assert excluded > 500
 
 
+def changed(rng, text, number):
+    out = list(text)
+    for _ in range(number):
+        at, kind = int(rng.integers(len(out) + 1)), rng.random()
+        if kind < 0.4 and at < len(out):
+            out[at] = rng.choice(list("abé𝄞 "))
+        elif kind < 0.7:
+            out.insert(at, rng.choice(list("abé𝄞 ")))
+        elif at < len(out):
+            del out[at]
+    return "".join(out)
+
+
+def test_distances_taken_together_equal_single_ones():
+    rng = np.random.default_rng(17)
+    for size in (0, 1, 6, 40, 130, 260):
+        a = "".join(rng.choice(list("abcd "), size)) if size else ""
+        others = [changed(rng, a, int(rng.integers(0, size // 2 + 2))) for _ in range(40)]
+        others += ["".join(rng.choice(list("abcd "), n)) for n in (1, size + 1, size + 9)] + ["", a]
+        limits = np.array([int(0.2 * max(size, len(o))) for o in others])
+        want = [m.edit_distance(a, o) <= n for o, n in zip(others, limits)]
+        got = m.within(m.code_points(a), [m.code_points(o) for o in others], limits)
+        assert got.tolist() == want and any(want)
+        assert [m.edit_distance(a, o, int(n)) <= n for o, n in zip(others, limits)] == want
+        assert all(m.alignment_cost(a, o, int(n)) >= m.edit_distance(a, o) for o, n in zip(others, limits))
+        assert [m.similar(a, o, 0.8) for o in others] == want
+
+
+def test_few_single_distances_in_a_large_unit(monkeypatch):
+    """Lines that share a passage and are not similar were decided one by one."""
+    rng = np.random.default_rng(18)
+    passage = "".join(rng.choice(list("abcdefgh "), 120))
+    texts = [passage + "".join(rng.choice(list("abcdefgh "), 160)) for _ in range(120)]
+    texts += [changed(rng, texts[k], 9) for k in range(40)]
+    calls = []
+    single = m.edit_distance
+    monkeypatch.setattr(m, "edit_distance", lambda *a: calls.append(1) or single(*a))
+    schema = m.pa.schema([("a", m.pa.int64()), ("b", m.pa.int64())])
+    batch = m.pa.RecordBatch.from_arrays(
+        [m.pa.array([b"u"] * len(texts)), m.pa.array(range(len(texts)), m.pa.int64()), m.pa.array([0] * len(texts), m.pa.int64()),
+         m.pa.array([bytes(m.MINIMA)] * len(texts)), m.pa.array(texts)], names=["unit", "node", "simhash", "minima", "text"])
+    links = {frozenset(p) for b in m._confirmed(iter([batch]), 0.8, schema) for p in zip(b["a"].to_pylist(), b["b"].to_pylist())}
+    assert links == {frozenset((k, 120 + k)) for k in range(40)}
+    assert len(calls) < 2000  # of 12,720 pairs
+
+
 def test_lengths_alone_make_no_candidates():
     """Of a cell of lines with equal sketches only those of like length are linked, and all of these hang together."""
     chars = np.array([50, 60, 61, 90, 100, 200])
