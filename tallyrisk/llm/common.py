@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -207,6 +209,28 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.R
         for i in range(0, b.num_rows, rows):
             part = b.slice(i, rows)
             yield b if part.num_rows == b.num_rows else part.take(pa.array(np.arange(part.num_rows)))
+    give_back()
+
+
+def give_back() -> None:
+    """Return what this worker has freed to the system: workers stay for later stages, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not with every C library
+        pass
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int):
+    """At most so many rows a batch go to Python from the jobs inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 4000) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -232,6 +256,8 @@ def groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 4000) -> Ite
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
         yield table, _cuts(table[key])
+        held = table = None
+    give_back()
 
 
 def _cuts(key: pa.ChunkedArray) -> np.ndarray:

@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import gapless_rank, ship_package, slices, stored
+from .common import gapless_rank, rows_at_once, ship_package, slices, stored
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
+#: Documents that a task holds at once: the largest part of an executor's memory here are texts on their way.
+CUT_ROWS = 500
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long"
 
 
@@ -87,7 +89,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, tokenizer: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     path = tokenizer_path(tokenizer)
-    for batch in slices(batches, 500):
+    for batch in slices(batches, CUT_ROWS):
         which, starts, lengths, ids, totals = [], [], [], [], []
         for i, text in enumerate(batch.column(1).to_pylist()):
             tokens = encode(text or "", path)
@@ -257,7 +259,8 @@ def pack_documents(docs: DataFrame, window: int = 1024, tokenizer: str = TOKENIZ
     kind = rows.schema["doc_id"].dataType
     schema = PIECES.format(id=kind.simpleString())
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    pieces = stored(rows.mapInArrow(lambda it: _cut(it, window, tokenizer, arrow), schema), "pack-pieces")
+    with rows_at_once(spark, CUT_ROWS):
+        pieces = stored(rows.mapInArrow(lambda it: _cut(it, window, tokenizer, arrow), schema), "pack-pieces")
     pieces = pieces.withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")})
 
     tails = pieces.filter(F.col("length") < window)

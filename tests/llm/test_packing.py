@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from tallyrisk.llm import packing as m
 from tallyrisk.llm.packing import combinations, encode, pack_documents, plan_tails, solve_nnls, tokenizer_path
 
 from .conftest import prose
@@ -108,3 +109,18 @@ def test_empty_and_extra_columns(spark, make):
     assert pack_documents(docs.limit(0)).count() == 0
     odd = docs.withColumnRenamed("lang", "sequence_id").withColumnRenamed("source", "file")
     assert pack_documents(odd).count() == 1
+
+
+def test_tasks_hold_few_documents_at_once(spark, make, monkeypatch):
+    seen = []
+    stored = m.stored
+
+    def watched(df, name):
+        seen.append((name, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return stored(df, name)
+
+    monkeypatch.setattr(m, "stored", watched)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert m.pack_documents(make([(i, "some words " * 3) for i in range(20)])).count() == 20
+    assert dict(seen)["pack-pieces"] == str(m.CUT_ROWS) and dict(seen)["pack-tails"] == before
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
