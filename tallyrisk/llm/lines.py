@@ -33,6 +33,9 @@ that stands in a third of all documents is one node.  Inside a block, bits
 are compared in whole columns; only nodes with a partner leave it, as spanning
 edges.  Line texts are fetched for those nodes alone, and meet once for each
 candidate group.  Decisions go back to documents as lists of line numbers.
+The lists of wanted and of dropped lines grow with the documents, so they are
+shuffled with these and never broadcast: one plan at every size, which costs small
+tables two shuffles of their texts.
 
 Defined cases: null texts have no lines and stay null; lines of fewer than
 ``min_words`` words and fewer than MIN_CHARS characters, blank ones included, are always kept; rows equal in id and
@@ -559,7 +562,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
         F.collect_list(F.struct("unit", "node", "simhash", "minima", F.col("first.line").alias("line"))).alias("wanted")), "wanted")
     text_schema = StructType.fromDDL("unit binary, node long, simhash long, minima binary, text string")
     text_arrow = to_arrow_schema(text_schema)
-    texts = _of(rows, small(wanted)).select("text", "wanted").mapInArrow(
+    texts = _of(rows, wanted).select("text", "wanted").mapInArrow(
         lambda it: _texts(it, min_words, text_arrow), text_schema)
     texts = texts.repartition(width, "unit").sortWithinPartitions("unit", "node")
     links = stored(texts.mapInArrow(lambda it: _confirmed(it, similarity, pair_arrow), pair), "line-links")
@@ -579,8 +582,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
 
 
 def _of(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` (doc_id, text_hash, ...) with the columns of ``other`` for their id and text."""
-    return rows.join(other, F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")), how)
+    """``rows`` (doc_id, text_hash, ...) with the columns of ``other`` for their id and text; neither side is broadcast."""
+    return rows.join(other.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")), how)
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
@@ -606,7 +609,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
                 [batch.column(0), pa.array(number, pa.int32()), batch.column(2).cast(arrow.field(2).type),
                  batch.column(3).cast(arrow.field(3).type), pa.array(texts, pa.string())], schema=arrow)
 
-    found = _of(rows, small(drops), "left")
+    found = _of(rows, drops, "left")
     return found.select("doc_id", "text", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
                         F.coalesce("kept_in", F.array().cast(f"array<{kind}>")).alias("kept_in")).mapInArrow(cut, schema)
 
@@ -620,7 +623,7 @@ def drop_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_wor
     drops = repeated_lines(docs, similarity, min_words, id_col, text_col).select(
         F.col("id_r").alias("__id"), F.col("hash_r").alias("__hash_r"), F.col("dropped").alias("__dropped"))
     rows = docs.withColumn("__hash", F.xxhash64(F.col(text_col).cast("string")))
-    joined = rows.join(small(drops), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__hash_r")), "left")
+    joined = rows.join(drops.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__hash_r")), "left")
     at, number = docs.columns.index(text_col), len(docs.columns)
     names = docs.columns
 

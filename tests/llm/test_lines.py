@@ -255,3 +255,16 @@ def test_lengths_alone_make_no_candidates():
 def test_characters_of_lines():
     batch = m.Lines(pa.array(["The first, of 12 lines!\n  short\n--\u00c4rger  \u00fcber  drei kleine  Zeilen", None, "\u4e2d" * 50]), 5)
     assert batch.chars.tolist() == [len(batch.text(i)) for i in range(3)] == [21, 29, 50]
+
+
+def test_lists_of_lines_are_never_broadcast(spark, make):
+    """Documents meet their lists of lines by a shuffle, however few these are, so that work grows with the table alone."""
+    line = "one line of six words here"
+    rows = [(1, f"a\n{line}"), (2, f"{line}\nb"), (2, f"{line}\nb"), (2, f"{line}s"), (None, line), (None, None), (3, None)]
+    result = m.dedup_lines(make(rows))
+    for df in (result, m.drop_repeated_lines(make(rows))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    got = sorted((str(r["doc_id"]), r["dropped"], str(r["text"])) for r in result.collect())
+    assert got == [("1", [1], "a"), ("2", [0], ""), ("2", [0], "b"), ("2", [0], "b"), ("3", [], "None"),
+                   ("None", [], "None"), ("None", [], line)]
