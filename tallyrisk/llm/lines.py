@@ -79,11 +79,31 @@ MIN_CHARS = 40
 CROWD = 2000
 PART = 20_000
 SLOTS = 1 << 18
+BLOCKS = 4 << 16
 COMPONENT = 20_000
-#: Characters after which two texts count as going on alike; pairs whose edit distances are taken together, and their longest text.
+#: Characters after which two texts count as going on alike.
 SYNC = 12
-TOGETHER = 1000
-LONGEST = 1000
+#: Pairs whose edit distances are taken together at most, and the words of 64 bits of the tables of where their letters
+#: stand; as many words as their bits are taken in; fewer than ALONE a word and pairs that need more go one by one.
+TOGETHER = 2048
+TABLE_WORDS = 1 << 20
+ALONE = 32
+WORDS = (1, 2, 4)
+#: Codes of the commonest characters of such pairs, and those that the others share.
+OWN_CODES = 96
+SHARED_CODES = 32
+#: Pairs of lines that are decided at once, first and later on; lines that hang together by then are not compared any more.
+PENDING = (1000, 16_000)
+
+
+def normalised(lines: pa.Array) -> pa.Array:
+    """The lines in lower case, one space between words, without punctuation around these."""
+    words = Words(lines, lower=False)
+    vocabulary = pc.utf8_lower(pc.ascii_trim(words.vocabulary, characters=PUNCTUATION))
+    kept = (pc.binary_length(vocabulary).to_numpy(zero_copy_only=False) > 0)[words.codes] if len(words.codes) else np.empty(0, bool)
+    bounds = np.concatenate([[0], np.cumsum(kept)])[words.bounds]
+    lists = pa.LargeListArray.from_arrays(pa.array(bounds), vocabulary.take(pa.array(words.codes[kept])))
+    return pc.binary_join(lists, pa.scalar(" ", lists.type.value_type))
 
 
 class Lines:
@@ -115,15 +135,18 @@ class Lines:
 
     def keys(self) -> list[bytes]:
         """A 128-bit hash of each normalised line."""
+        return _binary(self.key_bytes(), 16).to_pylist()
+
+    def key_bytes(self) -> bytes:
         h = hash_strings(self.vocabulary, 23)[self.codes]
         sizes = np.diff(self.bounds)
         if not len(sizes):
-            return []
+            return b""
         place = (np.arange(len(h)) - np.repeat(self.bounds[:-1], sizes)).astype(np.uint64)
         a = np.add.reduceat(mix64(h + mix64(place + np.uint64(1))), self.bounds[:-1])
         b = np.add.reduceat(mix64(h ^ mix64(place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7))), self.bounds[:-1])
         key = np.stack([mix64(a + sizes.astype(np.uint64)), mix64(b ^ mix64(a))], axis=1).astype(">u8")
-        return [row.tobytes() for row in key]
+        return key.tobytes()
 
     def simhashes(self) -> np.ndarray:
         """64 bits: each the sign of the sum over the line's words, weighted by length."""
@@ -134,11 +157,13 @@ class Lines:
             return out
         starts = self.bounds[:-1]
         total = np.add.reduceat(weight[self.codes], starts)
-        for k in range(32):  # two bits at a time, in the halves of a word
-            low, high = (h >> np.uint64(k)) & np.uint64(1), (h >> np.uint64(k + 32)) & np.uint64(1)
-            sums = np.add.reduceat((weight * low | (weight * high) << np.uint64(32))[self.codes], starts)
-            out |= (2 * (sums & np.uint64(0xFFFFFFFF)) > total).astype(np.uint64) << np.uint64(k)
-            out |= (2 * (sums >> np.uint64(32)) > total).astype(np.uint64) << np.uint64(k + 32)
+        width = 16 if int(total.max()) < 1 << 16 else 32  # four or two bits at a time, in the parts of a word
+        parts = range(0, 64, width)
+        ones, low = np.uint64(sum(1 << p for p in parts)), np.uint64((1 << width) - 1)
+        for k in range(width):
+            sums = np.add.reduceat(((h >> np.uint64(k) & ones) * weight).take(self.codes), starts)
+            for p in parts:
+                out |= (2 * (sums >> np.uint64(p) & low) > total).astype(np.uint64) << np.uint64(k + p)
         return out
 
     def minima(self) -> np.ndarray:
@@ -149,10 +174,17 @@ class Lines:
             return out
         h = hash_strings(self.vocabulary, 31)
         weight = 1.0 + np.minimum(pc.utf8_length(self.vocabulary).to_numpy(zero_copy_only=False), 30)
+        place = np.empty(len(h), np.float32)
         for k in range(MINIMA):
-            even = ((mix64(h + np.uint64(7919 * k + 1)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
-            place = (-np.log(even) / weight).astype(np.float32)
-            least = np.minimum.reduceat(place[self.codes], self.bounds[:-1])
+            for at in range(0, len(h), 8192):  # a piece of the vocabulary stays in the cache
+                even = (mix64(h[at:at + 8192] + np.uint64(7919 * k + 1)) >> np.uint64(11)).view(np.int64).astype(np.float64)
+                even += 0.5
+                even /= 2.0 ** 53
+                np.log(even, out=even)
+                np.negative(even, out=even)
+                even /= weight[at:at + 8192]
+                place[at:at + 8192] = even
+            least = np.minimum.reduceat(place.take(self.codes), self.bounds[:-1])
             out[:, k] = mix64(least.view(np.uint32).astype(np.uint64)) & np.uint64(255)
         return out
 
@@ -161,8 +193,10 @@ class Lines:
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
-    """Levenshtein distance by bit vectors (one row of the table is one integer); with ``most``, some value above it
-    as soon as the characters left can't bring the distance down to it."""
+    """Levenshtein distance by bit vectors (one column of the table is one integer); with ``most``, some value above it
+    as soon as that is exceeded.
+
+    Only the diagonals that ``most`` edits can reach are kept; the value on the last cell's diagonal never falls."""
     start = 0
     while start < min(len(a), len(b)) and a[start] == b[start]:
         start += 1
@@ -170,28 +204,34 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
         end += 1
     a, b = a[start:len(a) - end], b[start:len(b) - end]
-    if not a or not b:
-        return len(a) + len(b)
+    if len(a) < len(b):
+        a, b = b, a
+    distance = len(a) - len(b)
+    if not b:
+        return distance
+    most = len(a) if most is None else most
+    if distance > most:
+        return distance
+    slack = (most - distance) // 2
     masks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        masks[c] = masks.get(c, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << len(a) - 1
-    up, down, distance = full, 0, len(a)
-    spare = len(b) + (len(a) + len(b) if most is None else most)
-    for at, c in enumerate(b):
-        if distance + at > spare:
-            return distance + at - len(b)
-        eq = masks.get(c, 0)
-        x = (((eq & up) + up) ^ up) | eq | down
-        right = down | ~(x | up) & full
-        left = up & x
-        if right & top:
+    bit = 1 << slack
+    for c in a:
+        masks[c] = masks.get(c, 0) | bit
+        bit <<= 1
+    full, target = (1 << distance + 2 * slack + 1) - 1, 1 << distance + slack
+    up, down = full >> slack << slack, 0
+    for j, c in enumerate(b):
+        eq = masks.get(c, 0) >> j & full
+        same = (((eq & up) + up) ^ up | eq | down) & full
+        if not same & target:
             distance += 1
-        elif left & top:
-            distance -= 1
-        right = right << 1 | 1
-        up = (left << 1 | ~(x | right)) & full
-        down = right & x & full
+            if distance > most:
+                return distance
+        right = down | (same | up) ^ full
+        left = same & up
+        same >>= 1
+        down = same & right
+        up = left | (same | right) ^ full
     return distance
 
 
@@ -229,70 +269,150 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def within(a: np.ndarray, others: list[np.ndarray], limits: np.ndarray) -> np.ndarray:
-    """Which of ``others`` are at most so many edits from ``a``: all tables at once, by their cross diagonals.
-
-    A path of k edits between lengths that differ by D leaves the diagonals between start and end by (k - D) / 2 at most; only
-    these are kept, in two arrays (even and odd diagonals by texts), and texts all of whose cells exceed their limit go early."""
-    m, sizes = len(a), np.array([len(o) for o in others])
-    gap = sizes - m
-    slack = (limits - np.abs(gap)) // 2
-    out = np.zeros(len(others), bool)
-    pairs = np.flatnonzero(limits >= np.abs(gap))
-    if not len(pairs):
-        return out
-    low = int((np.minimum(gap, 0) - slack)[pairs].min())
-    low -= low % 2
-    high = int((np.maximum(gap, 0) + slack)[pairs].max())
-    w = (high - low) // 2 + 1
-    pad = w + abs(low) + high + 2
-    # Only the characters of ``a`` count; all others are alike different from it, outside the texts as well.
-    letters = np.unique(a)
-    own = np.zeros(m + 2 * pad, np.uint16)
-    own[pad:pad + m] = np.searchsorted(letters, a) + 2
-    text = np.ones((int(sizes[pairs].max(initial=0)) + 2 * pad + m, len(pairs)), np.uint16)
-    joined = np.concatenate([others[k] for k in pairs])
-    place = np.minimum(np.searchsorted(letters, joined), max(len(letters) - 1, 0))
-    codes = np.where(letters[place] == joined, place + 2, 1) if m else np.ones(len(joined))
-    starts = np.cumsum(sizes[pairs]) - sizes[pairs]
-    text[pad + np.arange(len(joined)) - np.repeat(starts, sizes[pairs]), np.repeat(np.arange(len(pairs)), sizes[pairs])] = codes
-    turned = own[::-1].copy()
-    n, far = len(own), 20_000
-    even, odd = (np.full((w + 1, len(pairs)), far, np.int16) for _ in range(2))
-    even[-low // 2] = 0
-    diagonals = np.arange(low, low + 2 * w + 2, 2, dtype=np.int16)[:, None]
-    ends = m + sizes[pairs]
-    for s in range(int(ends.max()) + 1):
-        if s:
-            half = (s - low) // 2  # i of the first diagonal of this parity, and j
-            first = (s + low) // 2 if s % 2 == 0 else (s + low + 1) // 2
-            mine = turned[n - pad - half:n - pad - half + w, None]
-            differ = np.bitwise_xor(text[pad + first - 1:pad + first - 1 + w], mine)
-            np.minimum(differ, 1, out=differ)
-            now, beside, before = (even[:w], odd[:w], odd[1:]) if s % 2 == 0 else (odd[1:], even[:w], even[1:])
-            step = np.minimum(beside, before)
-            step += 1
-            now += differ.view(np.int16)
-            np.minimum(now, step, out=now)
-        done = np.flatnonzero(ends == s) if s >= m else ()
-        if len(done):
-            d = gap[pairs[done]] - low
-            value = np.where(d % 2 == 0, even[d // 2, done], odd[(d - 1) // 2 + 1, done])
-            out[pairs[done]] = value <= limits[pairs[done]]
-        if s % 32 == 31:
-            way = gap[pairs].astype(np.int16)
-            least = np.minimum((even + np.abs(diagonals - way)).min(axis=0), (odd + np.abs(diagonals - 1 - way)).min(axis=0))
-            kept = np.flatnonzero((ends > s) & (least <= limits[pairs]))
+def _coded(verticals: list[np.ndarray], horizontals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """Codes of all characters, those of the first texts and then the others', their number, and which first texts have
+    characters that share a code (the common ones have one of their own); 0 stands for characters of no first text."""
+    first, second = np.concatenate(verticals), np.concatenate(horizontals)
+    counts = np.bincount(first, minlength=1)
+    letters = np.flatnonzero(counts)
+    letters = letters[np.argsort(-counts[letters], kind="stable")]
+    code = np.zeros(max(len(counts), int(second.max(initial=0)) + 1), np.int64)
+    place = np.arange(len(letters))
+    code[letters] = np.where(place < OWN_CODES, place, OWN_CODES + place % SHARED_CODES) + 1
+    codes = code[first]
+    bounds = np.cumsum([0, *(len(v) for v in verticals)])
+    shared = np.concatenate([[0], np.cumsum(codes > OWN_CODES)])[bounds]
+    return codes, code[second], int(codes.max(initial=0)) + 1, np.diff(shared) > 0
+
+
+def _few_edits(verticals: list[np.ndarray], horizontals: list[np.ndarray], limits: np.ndarray, words: int) -> np.ndarray:
+    """Which pairs are at most so many edits apart, first texts being the longer ones: all tables at once, by bit vectors.
+
+    A path of k edits between lengths that differ by D leaves the diagonals between start and end by (k - D) / 2 at most, so
+    64 bits a word hold the k + 1 diagonals (Hyyro's band of Myers's vectors).  The value on the last cell's diagonal never
+    falls, so a pair goes as soon as it exceeds the limit there.  Both texts go on alike behind their ends."""
+    m, n = np.array([len(v) for v in verticals]), np.array([len(h) for h in horizontals])
+    number, u = len(m), np.uint64
+    slack = (limits - (m - n)) // 2
+    first, second, letters, shared = _coded(verticals, horizontals)
+    end, letters = letters, letters + 1
+    columns = int(n.max()) // 32 * 32 + 32
+    height = max(int((m + slack).max()), columns) // 64 + words + 2
+    # table[q, pair and letter]: where the letter stands, 64 rows a word, row 0 of every pair at its slack.
+    pair = np.repeat(np.arange(number), m)
+    row = np.arange(len(first)) - np.repeat(np.cumsum(m) - m, m) + slack[pair]
+    at = ((row >> 6) * (number * letters) + pair * letters + first) * 2 + (row >> 5 & 1)
+    table = np.bincount(at, weights=(1 << (row & 31)).astype(np.float64), minlength=height * number * letters * 2)
+    table = table.astype(np.uint32).view(u).reshape(height, number * letters)
+
+    def from_row(rows: np.ndarray, count: int) -> np.ndarray:  # words with all bits from these rows on
+        shift = rows[None, :] - 64 * np.arange(count)[:, None]
+        bits = u(0xFFFFFFFFFFFFFFFF) << np.clip(shift, 0, 63).astype(u)
+        return np.where(shift >= 64, u(0), bits)
+
+    table[:, end::letters] = from_row(m + slack, height)
+    text = np.full((number, columns), end, np.int64)
+    owner = np.repeat(np.arange(number), n)
+    text[owner, np.arange(len(second)) - np.repeat(np.cumsum(n) - n, n)] = second
+    text = np.ascontiguousarray(text.T)
+
+    up, down = from_row(slack, words), np.zeros((words, number), u)
+    target = (m - n + slack)
+    word, bit = target >> 6, (target & 63).astype(u)
+    lanes, base, ids = np.arange(number), np.arange(number) * letters, np.arange(number)
+    score, most, last = m - n, limits, n
+    out = np.zeros(number, bool)
+    one, top, gone = u(1), u(63), 0
+    for j in range(columns):
+        if j % 16 == 0:
+            stay = (score <= most) & (last > j)
+            kept = np.flatnonzero(stay)
+            out[ids[(score <= most) & (last <= j)]] = True
             if not len(kept):
                 break
-            if len(kept) <= 0.8 * len(pairs):
-                pairs, ends, text, even, odd = pairs[kept], ends[kept], text[:, kept], even[:, kept], odd[:, kept]
+            if len(kept) <= 0.8 * len(ids):
+                up, down, text, score, most, last, word, bit, base, ids = (
+                    up[:, kept], down[:, kept], text[j - gone:, kept], score[kept], most[kept], last[kept], word[kept], bit[kept],
+                    base[kept], ids[kept])
+                lanes, gone = np.arange(len(ids)), j
+        q, o = j >> 6, j & 63
+        place = base + text[j - gone]
+        rows = table[q:q + words + 1].take(place, axis=1)
+        eq = (rows[:-1] >> u(o)) | (rows[1:] << u(64 - o)) if o else rows[:-1]
+        total = eq & up
+        if words == 1:
+            total += up
+        else:
+            carry = None
+            for w in range(words):
+                part = total[w]
+                part += up[w]
+                over = part < up[w]
+                if carry is not None:
+                    part += carry
+                    over |= part < carry
+                carry = over.astype(u)
+        total ^= up
+        total |= eq
+        total |= down  # 1: the same value as one row and column before
+        here = total[0] if words == 1 else total[word, lanes]
+        score = score + (((here >> bit) & one) ^ one).view(np.int64)
+        right = down | ~(total | up)
+        left = total & up
+        moved = total >> one
+        if words > 1:
+            moved[:-1] |= total[1:] << top
+        down = moved & right
+        up = left | ~(moved | right)
+    else:
+        out[ids[score <= most]] = True
+    return _sure(out, shared, verticals, horizontals, limits)
+
+
+def _sure(out: np.ndarray, shared: np.ndarray, verticals: list[np.ndarray], horizontals: list[np.ndarray],
+          limits: np.ndarray) -> np.ndarray:
+    """Pairs found with shared codes are decided on their own: two characters of a code passed for one."""
+    for k in np.flatnonzero(out & shared):
+        a, b = (x[k].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for x in (verticals, horizontals))
+        out[k] = alignment_cost(a, b, int(limits[k])) <= limits[k] or edit_distance(a, b, int(limits[k])) <= limits[k]
+    return out
+
+
+def few_edits(first: list[str], second: list[str], limits: np.ndarray) -> np.ndarray:
+    """Which pairs of texts are at most so many edits apart: those of like length together, few and long ones one by one."""
+    size_a, size_b = np.array([len(x) for x in first], np.int64), np.array([len(x) for x in second], np.int64)
+    longer, shorter = np.maximum(size_a, size_b), np.minimum(size_a, size_b)
+    out = np.zeros(len(first), bool)
+    words = limits // 64 + 1
+    able = limits >= longer - shorter
+    for w in WORDS:
+        some = np.flatnonzero(able & (words > 0) & (words <= w))
+        words[some] = 0
+        some = some[np.argsort(shorter[some], kind="stable")]
+        step = max(64, min(TOGETHER, TABLE_WORDS // (48 * (int(longer[some].max(initial=0)) * 5 // 256 + w + 3))))
+        for low in range(0, len(some), step):
+            part = some[low:low + step]
+            if len(part) < ALONE * w:
+                words[part] = w + 1  # with those of the next width, or alone
+                continue
+            long = [code_points(first[k] if size_a[k] >= size_b[k] else second[k]) for k in part]
+            short = [code_points(second[k] if size_a[k] >= size_b[k] else first[k]) for k in part]
+            out[part] = _few_edits(long, short, limits[part], w)
+    for k in np.flatnonzero(able & (words > 0)):
+        most = int(limits[k])
+        out[k] = alignment_cost(first[k], second[k], most) <= most or edit_distance(first[k], second[k], most) <= most
     return out
 
 
+def within(a: np.ndarray, others: list[np.ndarray], limits: np.ndarray) -> np.ndarray:
+    """Which of ``others`` are at most so many edits from ``a`` (code points)."""
+    text, *rest = (x.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for x in [a, *others])
+    return few_edits([text] * len(rest), rest, np.asarray(limits, np.int64))
+
+
 def bigrams(text: str) -> np.ndarray:
     """Counts of the text's character pairs in 256 buckets."""
-    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    x = code_points(text)
     return np.bincount(((x[:-1] * np.uint32(31) + x[1:]) * np.uint32(0x9E3779B1)) >> np.uint32(24), minlength=256).astype(np.int32)
 
 
@@ -320,13 +440,14 @@ def _occurrences(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.S
         at = pa.array(lines.owner)
         yield pa.RecordBatch.from_arrays([
             batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.place.astype(np.int32)),
-            pa.array(lines.keys(), pa.binary()), pa.array(lines.simhashes().view(np.int64)),
-            pa.array([row.tobytes() for row in lines.minima()], pa.binary()),
+            _binary(lines.key_bytes(), 16), pa.array(lines.simhashes().view(np.int64)),
+            _binary(lines.minima().tobytes(), MINIMA),
             pa.array(np.diff(lines.bounds).astype(np.int32)), pa.array(lines.chars.astype(np.int32))], schema=schema)
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
-    """(region, and the columns of ``nodes``: node, simhash, ...): lines that share a 16-bit block; crowded blocks split by the rest's 12-bit parts."""
+def _cells(nodes: DataFrame, blocks_of: np.ndarray | None = None) -> DataFrame:
+    """(region, and the columns of ``nodes``: node, simhash, ...): lines that share a 16-bit block; crowded blocks split by the rest's 12-bit parts.
+    With ``blocks_of``, the crowded blocks, the cells of these alone."""
     h = F.col("simhash")
 
     def bits(value: Column, low: int, count: int) -> Column:
@@ -341,14 +462,19 @@ def _cells(nodes: DataFrame) -> DataFrame:
                        for i in range(4)])
     names = nodes.columns
     rows = nodes.select(*names, F.explode(blocks).alias("block")).select(*names, "block.*")
-    sizes = rows.groupBy("region").agg(F.count("*").alias("n"))  # 4 * 65,536 keys at most
-    crowded = stored(sizes.filter(F.col("n") > CROWD).select("region"), "crowded")
-    if crowded.isEmpty():
-        return rows.select("region", *names)
-    calm = rows.join(F.broadcast(crowded), "region", "left_anti").select("region", *names)
+    if blocks_of is None:
+        sizes = rows.groupBy("region").agg(F.count("*").alias("n"))  # 4 * 65,536 keys at most
+        crowded = stored(sizes.filter(F.col("n") > CROWD).select("region"), "crowded")
+        if crowded.isEmpty():
+            return rows.select("region", *names)
+    else:
+        crowded = nodes.sparkSession.createDataFrame([(int(r),) for r in blocks_of], "region long")
     parts = F.array(*[F.struct(F.lit(k).alias("part"), bits(F.col("rest"), 12 * k, 12).alias("value")) for k in range(4)])
     fine = rows.join(F.broadcast(crowded), "region").select("region", *names, F.explode(parts).alias("p"))
     fine = stored(fine.select(F.xxhash64("region", "p.part", "p.value").alias("region"), *names), "parts")
+    if blocks_of is not None:
+        return _met(fine)
+    calm = rows.join(F.broadcast(crowded), "region", "left_anti").select("region", *names)
     return calm.unionByName(_met(fine))
 
 
@@ -372,146 +498,309 @@ def _met(cells: DataFrame) -> DataFrame:
     return cells.join(huge, "region", "left_anti").select(*names).unionByName(cut.select(*names))
 
 
-def _groups_of_minima(nodes: DataFrame) -> DataFrame:
-    """(region, node, low, high, chars): lines that share a group of minima."""
-    def half(first: int) -> Column:  # the upper four bits of 16 minima, as a long
-        digits = F.regexp_replace(F.hex(F.substring("minima", first + 1, 16)), "(.).", "$1")
-        upper, lower = (F.conv(F.substring(digits, k, 8), 16, 10).cast("long") for k in (1, 9))
-        return F.shiftleft(upper, 32).bitwiseOR(lower)
-
-    def keyed(first: int, sets: list[tuple[int, ...]]) -> Column:
-        return F.array(*[F.crc32(F.concat(F.lit(bytes([first + k])), *[F.substring("minima", i + 1, 1) for i in places]))
-                         for k, places in enumerate(sets)])
-
-    long = keyed(0, TRIPLES)
-    keys = F.when(F.col("words") <= SHORT, F.concat(long, keyed(len(TRIPLES), PAIRS))).otherwise(long)
-    rows = nodes.select("node", "chars", half(0).alias("low"), half(16).alias("high"), keys.alias("keys"))
-    return _met(rows.select(F.explode("keys").alias("region"), "node", "low", "high", "chars"))
-
-
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """In how many of their half bytes (rows: low, high) two lines agree."""
-    x = a ^ b
-    x |= x >> np.uint64(2)
-    x |= x >> np.uint64(1)
-    return MINIMA - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=-1, dtype=np.int64)
+def _regions(minima: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of minima of lines: line, and 32 bits that name the group (which minima they are, and their bytes)."""
+    m = minima.astype(np.uint32)
+    long = np.stack([m[:, i] << 16 | m[:, j] << 8 | m[:, k] | np.uint32(n << 24) for n, (i, j, k) in enumerate(TRIPLES)], axis=1)
+    some = np.flatnonzero(words <= SHORT)
+    m = m[some]
+    short = np.stack([m[:, i] << 8 | m[:, j] | np.uint32(n << 24) for n, (i, j) in enumerate(PAIRS, len(TRIPLES))], axis=1)
+    line = np.concatenate([np.repeat(np.arange(len(minima)), len(TRIPLES)), np.repeat(some, len(PAIRS))])
+    return line, np.concatenate([long.ravel(), short.ravel()])
+
+
+def _slot(region: np.ndarray) -> np.ndarray:
+    return (region * np.uint32(0x9E3779B1) >> np.uint32(32 - (SLOTS - 1).bit_length())).astype(np.int64)
+
+
+def _blocks(simhash: np.ndarray) -> np.ndarray:
+    """The four 16-bit blocks of each SimHash, named by their place as well."""
+    h = simhash.view(np.uint64)
+    return np.stack([(h >> np.uint64(16 * i) & np.uint64(0xFFFF)).astype(np.int64) | i << 16 for i in range(4)], axis=1)
+
+
+def _large_cells(nodes: DataFrame, crowd: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks of the SimHash that more than ``crowd`` lines share (sorted); groups of minima (sorted) that more than ``most``
+    share, and in how many pieces to cut each of these."""
+    # Groups are counted first by a part of their names; arrays of counts are summed task by task.
+    parts, size = 32, (SLOTS + BLOCKS) // 32
+    counted = StructType.fromDDL("part int, counts binary")
+    counted_arrow = to_arrow_schema(counted)
+    slots = StructType.fromDDL("slot long")
+    slots_arrow = to_arrow_schema(slots)
+    sizes = StructType.fromDDL("region long, n long")
+    sizes_arrow = to_arrow_schema(sizes)
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS + BLOCKS, np.int64)
+        for batch in slices(batches, 20_000):
+            total[:SLOTS] += np.bincount(_slot(_regions(_minima_of(batch.column(0)), batch.column(1).to_numpy())[1]), minlength=SLOTS)
+            total[SLOTS:] += np.bincount(_blocks(batch.column(2).to_numpy()).ravel(), minlength=BLOCKS)
+        for k in range(parts):
+            if total[k * size:(k + 1) * size].any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([total[k * size:(k + 1) * size].tobytes()], pa.binary())], schema=counted_arrow)
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(c, np.int64)
+        for k, c in total.items():
+            slot = k * size + np.arange(size)
+            yield pa.RecordBatch.from_arrays([pa.array(slot[c > np.where(slot < SLOTS, most, crowd)])], schema=slots_arrow)
+
+    lines = nodes.select("minima", "words", "simhash")
+    found = np.array(sorted(r["slot"] for r in lines.mapInArrow(counts, counted).repartition(8, "part").mapInArrow(
+        full, slots).collect()), np.int64)
+    crowded, found = found[found >= SLOTS] - SLOTS, found[found < SLOTS]
+    if not len(found):
+        return crowded, np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 20_000):
+            region = _regions(_minima_of(batch.column(0)), batch.column(1).to_numpy())[1]
+            names, n = np.unique(region[np.isin(_slot(region), found)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(n)], schema=sizes_arrow)
+
+    huge = lines.mapInArrow(within, sizes).groupBy("region").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
+    rows = sorted((r["region"], r["n"]) for r in huge.collect())
+    return crowded, np.array([r for r, _ in rows], np.uint32), np.array([-(-2 * n // most) for _, n in rows], np.int64)
+
+
+def _minima_of(column: pa.Array) -> np.ndarray:
+    column = unsliced(column)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[:len(column) * MINIMA].reshape(-1, MINIMA)
+
+
+#: Cells packed for the way: (bucket, and the cells' columns one after the other), cells of the same name in the same bucket.
+PACKED = "bucket int, cells binary"
+
+
+def _packed(region: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    bucket = (mix64(region.astype(np.uint64)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.uint32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [c[order] for c in (region, *columns)]
+    cuts = np.append(np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)), len(bucket))
+    cells = [b"".join(c[i:j].tobytes() for c in columns) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array(cells, pa.binary())],
+                                      names=["bucket", "cells"])
+
+
+def _groups_of_minima(nodes: DataFrame, buckets: int, huge: np.ndarray, pieces: np.ndarray) -> DataFrame:
+    """Packed cells (region, chars, node, low, high) of lines that share a group of minima; huge groups as pieces, of
+    which every two share a cell."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 20_000):
+            minima = _minima_of(batch.column(3))
+            line, region = _regions(minima, batch.column(2).to_numpy())
+            node = batch.column(0).to_numpy()
+            if len(huge):
+                at = np.minimum(np.searchsorted(huge, region), len(huge) - 1)
+                crowded = huge[at] == region
+                a, r, number = line[crowded], region[crowded].astype(np.uint64), pieces[at[crowded]]
+                own = (mix64(node[a].view(np.uint64) ^ mix64(r)) % number.astype(np.uint64)).astype(np.int64)
+                a, r, own = (np.repeat(x, number) for x in (a, r, own))
+                other = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+                pair = (np.minimum(own, other) << 32 | np.maximum(own, other)).astype(np.uint64)
+                line = np.concatenate([line[~crowded], a])
+                region = np.concatenate([region[~crowded], (mix64(mix64(r) + pair) >> np.uint64(32)).astype(np.uint32)])
+            chars = batch.column(1).to_numpy().astype(np.uint32)
+            yield _packed(region, [chars[line], node[line], *(h[line] for h in _halves(minima))], buckets)
+
+    return nodes.select("node", "chars", "words", "minima").mapInArrow(packed, PACKED)
+
+
+def _calm_blocks(nodes: DataFrame, buckets: int, crowded: np.ndarray) -> DataFrame:
+    """Packed cells (region, chars, node, simhash) of lines that share a block of the SimHash, but the crowded blocks."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        calm = np.ones(BLOCKS, bool)
+        calm[crowded] = False
+        for batch in slices(batches, 20_000):
+            node, chars, simhash = (c.to_numpy() for c in batch.columns)
+            region = _blocks(simhash).ravel()
+            some = np.flatnonzero(calm[region])
+            line = some // 4
+            yield _packed(region[some].astype(np.uint32), [chars.astype(np.uint32)[line], node[line], simhash[line]], buckets)
+
+    return nodes.select("node", "chars", "simhash").mapInArrow(packed, PACKED)
+
+
+def _near_packed(batches: Iterator[pa.RecordBatch], sketches: int, least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The edges (see _near) of packed cells with so many words of sketches, sorted by bucket."""
+    kinds = [np.uint32, np.uint32, np.int64, *[np.uint64] * sketches]
+    width = sum(np.dtype(kind).itemsize for kind in kinds)
+    for table, cuts in groups(batches, "bucket", 1):
+        cells = flat_array(table["cells"])
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            parts: list[list[np.ndarray]] = [[] for _ in kinds]
+            for k in range(start, stop):
+                data = cells[k].as_buffer()
+                n, at = len(data) // width, 0
+                for p, kind in zip(parts, kinds, strict=True):
+                    p.append(np.frombuffer(data, kind, n, at))
+                    at += p[-1].nbytes
+            region, chars, node, *h = (np.concatenate(p) for p in parts)
+            key = region.astype(np.uint64) << np.uint64(32) | chars
+            order = np.argsort(key)
+            region = region[order]
+            same = region[1:] == region[:-1]
+            some = np.flatnonzero(np.append(same, False) | np.append(False, same))  # lines alone in their cell have no pair
+            order, region = order[some], region[some]
+            bounds = np.append(np.flatnonzero(np.diff(region.astype(np.int64), prepend=-1)), len(region))
+            yield _near_edges(bounds, node[order], chars[order].astype(np.int64), [x[order] for x in h], least, schema)
+
+
+def _agreement(low: np.ndarray, high: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many of their half bytes (low, high) lines ``a`` and ``b`` agree."""
+    differ = np.zeros(len(a), np.int64)
+    for half in (low, high):
+        x = half[a] ^ half[b]
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        differ += np.bitwise_count(x & np.uint64(0x1111111111111111))
+    return MINIMA - differ
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (the least row of each row's group), the groups of rows ``a`` and ``b`` being one from now on."""
+    label = label.copy()
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := label[label], label):
+            label = up
+
+
+def _pairs(cuts: np.ndarray, chars: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the same group (rows between two cuts, sorted by chars) whose lengths allow the similarity."""
+    sizes = np.diff(cuts)
+    ends = np.repeat(cuts[1:], sizes)
+    at = np.arange(len(chars))
+    for lag in range(1, int(sizes.max(initial=1))):
+        at = at[at + lag < ends[at]]
+        at = at[lengths_allow(chars[at], chars[at + lag], least)]  # the lines further on are longer still
+        if not len(at):
+            return
+        yield at, at + lag
 
 
 def _near(batches: Iterator[pa.RecordBatch], columns: list[str], least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Spanning edges, and a name of what hangs together, of the lines of each region (sorted by chars) whose lengths allow
     the similarity and that differ in at most BLOCK_BITS bits (columns: simhash), or agree in AGREEING minima (columns: low, high)."""
-    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(a ^ b) <= BLOCK_BITS if len(columns) == 1 else _agreement(a, b) >= AGREEING
-
     for table, cuts in groups(batches, "region", 20_000):
         h = [flat_array(table[c]).to_numpy(zero_copy_only=False).view(np.uint64) for c in columns]
-        h = h[0] if len(h) == 1 else np.stack(h, axis=1)
         chars = flat_array(table["chars"]).to_numpy(zero_copy_only=False)
-        nodes = flat_array(table["node"])
-        sizes = np.diff(cuts)
-        ends = np.repeat(cuts[1:], sizes)
-        at = np.arange(len(h))
-        partner = np.zeros(len(h), bool)
-        for lag in range(1, int(sizes.max(initial=1))):
-            at = at[at + lag < ends[at]]
-            at = at[lengths_allow(chars[at], chars[at + lag], least)]  # the lines further on are longer still
-            if not len(at):
-                break
-            hit = at[alike(h[at], h[at + lag])]
-            partner[hit] = True
-            partner[hit + lag] = True
-        some = np.flatnonzero(partner)
-        group = np.searchsorted(cuts, some, side="right")
-        first = np.flatnonzero(np.diff(group, prepend=-1))
-        names = mix64(nodes.to_numpy(zero_copy_only=False).view(np.uint64))
-        a, b, unit = [], [], []
-        for start, stop in zip(first, np.append(first[1:], len(some)) if len(first) else first, strict=True):
-            rows = some[start:stop]
-            own, long = h[rows], chars[rows]
-
-            def linked(i: int, others: np.ndarray, own=own, long=long) -> np.ndarray:
-                yes = lengths_allow(np.minimum(long[others], long[i]), np.maximum(long[others], long[i]), least)
-                yes[yes] = alike(own[others[yes]], own[i])
-                return yes
-
-            links = spanning_links(len(rows), linked)
-            # The lines that hang together are named by all of them (links come part by part, breadth first).
-            part: dict[int, int] = {}
-            total: dict[int, int] = {}
-            for i, j in links:
-                top = part.setdefault(i, i)
-                part[j] = top
-                total[top] = (total.get(top, int(names[rows[top]])) + int(names[rows[j]])) & 0xFFFFFFFFFFFFFFFF
-            for i, j in links:
-                a.append(rows[i])
-                b.append(rows[j])
-                unit.append(total[part[i]].to_bytes(8, "big"))
-        yield pa.RecordBatch.from_arrays(
-            [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64())), pa.array(unit, pa.binary())], schema=schema)
-
-
-def _texts(batches: Iterator[pa.RecordBatch], min_words: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        yield _near_edges(cuts, flat_array(table["node"]).to_numpy(zero_copy_only=False), chars, h, least, schema)
+
+
+def _near_edges(cuts: np.ndarray, nodes: np.ndarray, chars: np.ndarray, h: list[np.ndarray], least: float,
+                schema: pa.Schema) -> pa.RecordBatch:
+    label, a, b, held = np.arange(len(nodes)), [], [], 0
+    for x, y in _pairs(cuts, chars, least):
+        alike = (np.bitwise_count(h[0][x] ^ h[0][y]) <= BLOCK_BITS) if len(h) == 1 else _agreement(*h, x, y) >= AGREEING
+        x, y = x[alike], y[alike]
+        apart = label[x] != label[y]
+        a.append(x[apart])
+        b.append(y[apart])
+        held += len(a[-1])
+        if held > 1_000_000:
+            label, a, b, held = _joined(label, np.concatenate(a), np.concatenate(b)), [], [], 0
+    if a:
+        label = _joined(label, np.concatenate(a), np.concatenate(b))
+    # The lines that hang together are named by all of them, their edges go out from the least node.
+    some = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+    some = some[np.lexsort((nodes[some], label[some]))]
+    first = np.flatnonzero(np.diff(label[some], prepend=-1))
+    count = np.diff(np.append(first, len(some)))
+    own = nodes[some].astype(np.int64)
+    total = np.add.reduceat(mix64(own.view(np.uint64)), first) if len(first) else np.empty(0, np.uint64)
+    rest = np.ones(len(some), bool)
+    rest[first] = False
+    names = np.repeat(total, count)[rest].astype(">u8")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat(own[first], count)[rest]), pa.array(own[rest]), _binary(names.tobytes(), 8)], schema=schema)
+
+
+def _binary(data: bytes, width: int) -> pa.Array:
+    """Binary values of ``width`` bytes each."""
+    number = len(data) // width
+    offsets = np.arange(0, len(data) + 1, width, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), number, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _texts(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The normalised texts of wanted lines (rows: text, array of struct unit, node, simhash, minima, line)."""
-    for batch in slices(batches, 500):
-        lines = Lines(batch.column(0), min_words)
-        index = {(o, p): i for i, (o, p) in enumerate(zip(lines.owner.tolist(), lines.place.tolist(), strict=True))}
-        unit, node, bits, minima, text = [], [], [], [], []
-        for k, wanted in enumerate(batch.column(1).to_pylist()):
-            for w in wanted:
-                if (i := index.get((k, w["line"]))) is not None:
-                    unit.append(w["unit"])
-                    node.append(w["node"])
-                    bits.append(w["simhash"])
-                    minima.append(w["minima"])
-                    text.append(lines.text(i))
+    for batch in slices(batches, 1000):
+        parts = pc.split_pattern(unsliced(batch.column(0)).cast(pa.large_string()), "\n")
+        lists = batch.column(1)
+        number = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        wanted = lists.flatten()
+        starts = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+        at = np.repeat(starts, number) + wanted.field("line").to_numpy()
+        lines = parts.flatten().take(pa.array(at))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(unit, pa.binary()), pa.array(node, pa.int64()), pa.array(bits, pa.int64()),
-             pa.array(minima, pa.binary()), pa.array(text, pa.string())], schema=schema)
+            [*(wanted.field(c) for c in ("unit", "node", "simhash", "minima")), normalised(lines).cast(pa.string())], schema=schema)
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Spanning links of each unit: candidates of each other and similar enough (rows: unit, node, simhash, minima, text)."""
-    for table, cuts in groups(batches, "unit", 2000):
-        h = flat_array(table["simhash"]).to_numpy(zero_copy_only=False).view(np.uint64)
-        minima = np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA) >> 4
-        texts, nodes = table["text"].to_pylist(), flat_array(table["node"])
-        names = nodes.to_pylist()
-        a, b = [], []
-        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            rows = np.array([i for i in range(start, stop) if i == start or names[i] != names[i - 1]])
-            many = len(rows) > 4
-            pairs = np.stack([bigrams(texts[i]) for i in rows]) if many else None
-            size = np.array([len(texts[i]) for i in rows])
-
-            def linked(i: int, others: np.ndarray) -> np.ndarray:
-                yes = lengths_allow(np.minimum(size[others], size[i]), np.maximum(size[others], size[i]), least)
-                fit = rows[others[yes]]
-                yes[yes] = (np.bitwise_count(h[fit] ^ h[rows[i]]) <= BLOCK_BITS) | (
-                    (minima[fit] == minima[rows[i]]).sum(axis=1) >= AGREEING)
-                if many:  # most are settled without their edit distance
-                    some = np.flatnonzero(yes)
-                    for low in range(0, len(some), 4000):
-                        part = some[low:low + 4000]
-                        shared = np.minimum(pairs[others[part]], pairs[i]).sum(axis=1)
-                        yes[part] = may_be_similar(shared, np.maximum(size[others[part]], size[i]), least)
-                some = np.flatnonzero(yes)
-                if len(some) >= 32:
-                    some = some[np.argsort(size[others[some]], kind="stable")]  # texts of like lengths together
-                    some, rest = some[size[others[some]] <= LONGEST], some[size[others[some]] > LONGEST]
-                    for low in range(0, len(some), TOGETHER):
-                        part = some[low:low + TOGETHER]
-                        far = np.floor((1 - least) * np.maximum(size[others[part]], size[i]) + 1e-9).astype(np.int64)
-                        yes[part] = within(code_points(texts[rows[i]]), [code_points(texts[rows[k]]) for k in others[part]], far)
-                    some = rest
-                for k in some:
-                    yes[k] = similar(texts[rows[i]], texts[rows[others[k]]], least)
-                return yes
-
-            for i, j in spanning_links(len(rows), linked):
-                a.append(rows[i])
-                b.append(rows[j])
-        yield pa.RecordBatch.from_arrays(
-            [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], schema=schema)
+    for table, cuts in groups(batches, "unit", 20_000):
+        nodes = flat_array(table["node"]).to_numpy(zero_copy_only=False)
+        unit = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        size = pc.utf8_length(flat_array(table["text"])).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.concatenate([[True], (nodes[1:] != nodes[:-1]) | (unit[1:] != unit[:-1])])
+        rows = np.flatnonzero(new)
+        rows = rows[np.lexsort((size[rows], unit[rows]))]
+        nodes, unit, size = nodes[rows], unit[rows], size[rows]
+        cuts = np.concatenate([np.flatnonzero(np.diff(unit, prepend=-1)), [len(rows)]])
+        h = flat_array(table["simhash"]).to_numpy(zero_copy_only=False).view(np.uint64)[rows]
+        low, high = _halves(np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA)[rows])
+        texts = flat_array(table["text"]).take(pa.array(rows)).to_pylist()
+        counts: dict[int, np.ndarray] = {}
+
+        def decided(label: np.ndarray, a: np.ndarray, b: np.ndarray, size=size, texts=texts, counts=counts) -> np.ndarray:
+            apart = label[a] != label[b]
+            a, b = a[apart], b[apart]
+            for k in np.unique(np.concatenate([a, b])).tolist():
+                if k not in counts:
+                    counts[k] = bigrams(texts[k])
+            yes = np.zeros(len(a), bool)
+            for start in range(0, len(a), 4000):
+                x, y = a[start:start + 4000], b[start:start + 4000]
+                shared = np.minimum(np.stack([counts[k] for k in x.tolist()]), np.stack([counts[k] for k in y.tolist()])).sum(axis=1)
+                yes[start:start + 4000] = may_be_similar(shared, np.maximum(size[x], size[y]), least)
+            a, b = a[yes], b[yes]
+            limits = np.floor((1 - least) * np.maximum(size[a], size[b]) + 1e-9).astype(np.int64)
+            yes = few_edits([texts[k] for k in a.tolist()], [texts[k] for k in b.tolist()], limits)
+            return _joined(label, a[yes], b[yes])
+
+        label, a, b, held, most = np.arange(len(rows)), [], [], 0, PENDING[0]
+        for x, y in _pairs(cuts, size, least):
+            apart = label[x] != label[y]
+            x, y = x[apart], y[apart]
+            alike = (np.bitwise_count(h[x] ^ h[y]) <= BLOCK_BITS) | (_agreement(low, high, x, y) >= AGREEING)
+            a.append(x[alike])
+            b.append(y[alike])
+            held += len(a[-1])
+            if held > most:
+                label, a, b, held = decided(label, np.concatenate(a), np.concatenate(b)), [], [], 0
+                most = min(2 * most, PENDING[1])
+        if held:
+            label = decided(label, np.concatenate(a), np.concatenate(b))
+        linked = np.flatnonzero(label != np.arange(len(label)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[label[linked]]), pa.array(nodes[linked])], schema=schema)
+
+
+def _halves(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The upper four bits of the minima, 16 in a 64-bit word."""
+    upper = minima & 0xF0
+    both = np.ascontiguousarray(upper[:, ::2] | upper[:, 1::2] >> 4).view(np.uint64)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
 def _mixed(place: Column) -> Column:
@@ -544,16 +833,23 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     pair = StructType.fromDDL("a long, b long")
     pair_arrow = to_arrow_schema(pair)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, shared = _cells(nodes.select("node", "simhash", "chars")), _groups_of_minima(nodes)
-
     edge = StructType.fromDDL("a long, b long, region binary")
     edge_arrow = to_arrow_schema(edge)
 
-    def edges(cells: DataFrame, columns: list[str]) -> DataFrame:
-        rows_ = cells.repartition(width, "region").sortWithinPartitions("region", "chars").select("region", "node", "chars", *columns)
-        return stored(rows_.mapInArrow(lambda it: _near(it, columns, similarity, edge_arrow), edge).distinct(), "line-near")
+    def edges(found: DataFrame) -> DataFrame:
+        return stored(found.distinct(), "line-near")
+
+    def unpacked(cells: DataFrame, sketches: int) -> DataFrame:
+        cells = cells.repartition(width, "bucket").sortWithinPartitions("bucket")
+        return edges(cells.mapInArrow(lambda it: _near_packed(it, sketches, similarity, edge_arrow), edge))
 
-    near = edges(blocks, ["simhash"]).unionByName(edges(shared, ["low", "high"]))
+    crowded, huge, pieces = _large_cells(nodes, CROWD, PART)
+    near = unpacked(_calm_blocks(nodes, 4 * width, crowded), 1).unionByName(
+        unpacked(_groups_of_minima(nodes, 4 * width, huge, pieces), 2))
+    if len(crowded):
+        cells = _cells(nodes.select("node", "simhash", "chars"), crowded)
+        cells = cells.repartition(width, "region").sortWithinPartitions("region", "chars").select("region", "node", "chars", "simhash")
+        near = near.unionByName(edges(cells.mapInArrow(lambda it: _near(it, ["simhash"], similarity, edge_arrow), edge)))
     candidates = stored(connected_components(near.select("a", "b")), "line-candidates")
     weighed = candidates.select("node", F.unhex(F.hex("root")).alias("root"), F.lit(1).alias("weight"))
     cells = near.select("region", F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -563,7 +859,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     text_schema = StructType.fromDDL("unit binary, node long, simhash long, minima binary, text string")
     text_arrow = to_arrow_schema(text_schema)
     texts = _of(rows, wanted).select("text", "wanted").mapInArrow(
-        lambda it: _texts(it, min_words, text_arrow), text_schema)
+        lambda it: _texts(it, text_arrow), text_schema)
     texts = texts.repartition(width, "unit").sortWithinPartitions("unit", "node")
     links = stored(texts.mapInArrow(lambda it: _confirmed(it, similarity, pair_arrow), pair), "line-links")
     roots = connected_components(links)

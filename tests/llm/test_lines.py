@@ -268,3 +268,83 @@ def test_lists_of_lines_are_never_broadcast(spark, make):
     got = sorted((str(r["doc_id"]), r["dropped"], str(r["text"])) for r in result.collect())
     assert got == [("1", [1], "a"), ("2", [0], ""), ("2", [0], "b"), ("2", [0], "b"), ("3", [], "None"),
                    ("None", [], "None"), ("None", [], line)]
+
+
+def confirmed(texts_of_units):
+    """Links of units of texts, all of them candidates of each other, as sets of texts."""
+    rows = [(f"{u:08d}".encode(), i, x) for u, texts in enumerate(texts_of_units) for i, x in enumerate(texts, 1000 * u)]
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([u for u, _, _ in rows]), pa.array([i for _, i, _ in rows], pa.int64()), pa.array([0] * len(rows), pa.int64()),
+         pa.array([bytes(m.MINIMA)] * len(rows)), pa.array([x for _, _, x in rows])], names=["unit", "node", "simhash", "minima", "text"])
+    text = {i: x for _, i, x in rows}
+    return [{text[a], text[b]} for out in m._confirmed(iter([batch]), 0.8, schema)
+            for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+
+
+def test_pairs_of_small_units_are_decided_together(monkeypatch):
+    """Each unit of two lines took an edit distance of its own."""
+    rng = np.random.default_rng(31)
+    units = []
+    for k in range(300):
+        words = prose(rng, 30).split()
+        other = list(words)
+        for _ in range(3 if k % 3 else 18):
+            at, to = rng.integers(30, size=2)
+            other[at], other[to] = other[to] + "x", other[at]
+        units.append([" ".join(words), " ".join(other)])
+    want = [set(u) for u in units if m.edit_distance(*u) <= 0.2 * max(map(len, u)) + 1e-9]
+    calls, single = [], m.edit_distance
+    monkeypatch.setattr(m, "edit_distance", lambda *a: calls.append(1) or single(*a))
+    got = confirmed(units)
+    assert sorted(map(sorted, got)) == sorted(map(sorted, want)) and 50 < len(want) < 250
+    assert len(calls) < 100
+
+
+def test_many_pairs_at_once_equal_single_ones(monkeypatch):
+    """Texts of all lengths, of few and of thousands of different characters, equal, empty and unequal ones."""
+    rng = np.random.default_rng(32)
+    monkeypatch.setattr(m, "ALONE", 1)
+    cjk = [chr(0x4E00 + k) for k in range(3000)]
+    first, second, limits = [], [], []
+    for k in range(900):
+        letters = [list("ab "), list("abcdefghijklmnopqrstuvwxyz é𝄞"), cjk][k % 3]
+        size = int(rng.integers(0, 1400 if k % 5 == 0 else 330))
+        a = "".join(rng.choice(letters, size)) if size else ""
+        share = rng.random() * 0.35
+        b = "".join(rng.choice(letters) if rng.random() < share else c for c in a)
+        b = changed(rng, b, int(rng.integers(0, 4 + size // 10))) if size else "x" * int(rng.integers(0, 3))
+        first.append(a if k % 2 else b)
+        second.append(b if k % 2 else a)
+        limits.append(int(0.2 * max(len(a), len(b)) + 1e-9) if k % 7 else int(rng.integers(0, 300)))
+    limits = np.array(limits)
+    want = [m.edit_distance(a, b) <= n for a, b, n in zip(first, second, limits)]
+    assert 200 < sum(want) < 700
+    assert m.few_edits(first, second, limits).tolist() == want
+
+
+def test_cells_of_minima_travel_packed(spark):
+    """A line took a row for each of its 12 or 28 cells; of a cell of too many lines every two still meet."""
+    rng = np.random.default_rng(33)
+    one = [m.Lines(pa.array([prose(rng, 20)]), 5).minima()[0].tobytes()] * 12  # all cells of these hold 12 lines
+    rest = [row.tobytes() for row in m.Lines(pa.array([prose(rng, int(rng.integers(8, 30))) for _ in range(60)]), 5).minima()]
+    rows = [(i, 40 + i, 20 if i % 2 else 10, x, int(rng.integers(-2**62, 2**62))) for i, x in enumerate(one + rest)]
+    nodes = spark.createDataFrame(rows, "node long, chars int, words int, minima binary, simhash long").repartition(2)
+    crowded, huge, pieces = m._large_cells(nodes, 10**6, 8)
+    assert not len(crowded) and len(huge) >= len(m.TRIPLES) and set(pieces.tolist()) >= {3}
+    packed = m._groups_of_minima(nodes, 4, huge, pieces).collect()
+    assert len(packed) <= 8
+    cells = {}
+    for r in packed:
+        n = len(r["cells"]) // 32
+        for region, node in zip(np.frombuffer(r["cells"], np.uint32, n), np.frombuffer(r["cells"], np.int64, n, 8 * n)):
+            cells.setdefault(int(region), set()).add(int(node))
+    met = {(a, b) for c in cells.values() for a in c for b in c if a < b}
+    byte = np.array([np.frombuffer(x, np.uint8) for x in one + rest])
+    for a in range(len(rows)):
+        for b in range(a + 1, len(rows)):
+            same = byte[a] == byte[b]
+            both = any(same[list(t)].all() for t in m.TRIPLES) or (
+                rows[a][2] <= m.SHORT and rows[b][2] <= m.SHORT and any(same[list(t)].all() for t in m.PAIRS))
+            assert not both or (a, b) in met
+    assert max(len(c) for c in cells.values()) < 12
