@@ -412,8 +412,20 @@ def within(a: np.ndarray, others: list[np.ndarray], limits: np.ndarray) -> np.nd
 
 def bigrams(text: str) -> np.ndarray:
     """Counts of the text's character pairs in 256 buckets."""
-    x = code_points(text)
-    return np.bincount(((x[:-1] * np.uint32(31) + x[1:]) * np.uint32(0x9E3779B1)) >> np.uint32(24), minlength=256).astype(np.int32)
+    return bigram_counts([text])[0]
+
+
+def bigram_counts(texts: list[str]) -> np.ndarray:
+    """The bigrams of each text, a row a text."""
+    out = np.zeros((len(texts), 256), np.int32)
+    for low in range(0, len(texts), 500):
+        part = texts[low:low + 500]
+        x = code_points("".join(part))
+        owner = np.repeat(np.arange(len(part)), [len(t) for t in part])
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        bucket = ((x[inside] * np.uint32(31) + x[inside + 1]) * np.uint32(0x9E3779B1)) >> np.uint32(24)
+        out[low:low + 500] = np.bincount(owner[inside] * 256 + bucket, minlength=256 * len(part)).reshape(-1, 256)
+    return out
 
 
 def may_be_similar(shared: np.ndarray, longer: np.ndarray, least: float) -> np.ndarray:
@@ -761,19 +773,15 @@ def _confirmed(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schem
         h = flat_array(table["simhash"]).to_numpy(zero_copy_only=False).view(np.uint64)[rows]
         low, high = _halves(np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA)[rows])
         texts = flat_array(table["text"]).take(pa.array(rows)).to_pylist()
-        counts: dict[int, np.ndarray] = {}
+        counts = bigram_counts(texts)
 
         def decided(label: np.ndarray, a: np.ndarray, b: np.ndarray, size=size, texts=texts, counts=counts) -> np.ndarray:
             apart = label[a] != label[b]
             a, b = a[apart], b[apart]
-            for k in np.unique(np.concatenate([a, b])).tolist():
-                if k not in counts:
-                    counts[k] = bigrams(texts[k])
             yes = np.zeros(len(a), bool)
-            for start in range(0, len(a), 4000):
-                x, y = a[start:start + 4000], b[start:start + 4000]
-                shared = np.minimum(np.stack([counts[k] for k in x.tolist()]), np.stack([counts[k] for k in y.tolist()])).sum(axis=1)
-                yes[start:start + 4000] = may_be_similar(shared, np.maximum(size[x], size[y]), least)
+            for start in range(0, len(a), 500):
+                x, y = a[start:start + 500], b[start:start + 500]
+                yes[start:start + 500] = may_be_similar(np.minimum(counts[x], counts[y]).sum(axis=1), np.maximum(size[x], size[y]), least)
             a, b = a[yes], b[yes]
             limits = np.floor((1 - least) * np.maximum(size[a], size[b]) + 1e-9).astype(np.int64)
             yes = few_edits([texts[k] for k in a.tolist()], [texts[k] for k in b.tolist()], limits)
@@ -836,12 +844,9 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     edge = StructType.fromDDL("a long, b long, region binary")
     edge_arrow = to_arrow_schema(edge)
 
-    def edges(found: DataFrame) -> DataFrame:
-        return stored(found.distinct(), "line-near")
-
     def unpacked(cells: DataFrame, sketches: int) -> DataFrame:
         cells = cells.repartition(width, "bucket").sortWithinPartitions("bucket")
-        return edges(cells.mapInArrow(lambda it: _near_packed(it, sketches, similarity, edge_arrow), edge))
+        return stored(cells.mapInArrow(lambda it: _near_packed(it, sketches, similarity, edge_arrow), edge), "line-near")
 
     crowded, huge, pieces = _large_cells(nodes, CROWD, PART)
     near = unpacked(_calm_blocks(nodes, 4 * width, crowded), 1).unionByName(
@@ -849,7 +854,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     if len(crowded):
         cells = _cells(nodes.select("node", "simhash", "chars"), crowded)
         cells = cells.repartition(width, "region").sortWithinPartitions("region", "chars").select("region", "node", "chars", "simhash")
-        near = near.unionByName(edges(cells.mapInArrow(lambda it: _near(it, ["simhash"], similarity, edge_arrow), edge)))
+        near = near.unionByName(stored(cells.mapInArrow(lambda it: _near(it, ["simhash"], similarity, edge_arrow), edge), "line-near"))
     candidates = stored(connected_components(near.select("a", "b")), "line-candidates")
     weighed = candidates.select("node", F.unhex(F.hex("root")).alias("root"), F.lit(1).alias("weight"))
     cells = near.select("region", F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -858,7 +863,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
         F.collect_list(F.struct("unit", "node", "simhash", "minima", F.col("first.line").alias("line"))).alias("wanted")), "wanted")
     text_schema = StructType.fromDDL("unit binary, node long, simhash long, minima binary, text string")
     text_arrow = to_arrow_schema(text_schema)
-    texts = _of(rows, wanted).select("text", "wanted").mapInArrow(
+    texts = rows.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")))
+    texts = texts.select("text", "wanted").mapInArrow(
         lambda it: _texts(it, text_arrow), text_schema)
     texts = texts.repartition(width, "unit").sortWithinPartitions("unit", "node")
     links = stored(texts.mapInArrow(lambda it: _confirmed(it, similarity, pair_arrow), pair), "line-links")
@@ -877,11 +883,6 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: i
     return stored(drops.select("id_r", "hash_r", F.col("d.line").alias("dropped"), F.col("d.kept").alias("kept_in")), "line-drops")
 
 
-def _of(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` (doc_id, text_hash, ...) with the columns of ``other`` for their id and text; neither side is broadcast."""
-    return rows.join(other.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")), how)
-
-
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_lines``, ``dropped`` (line numbers from 0), ``kept_in`` (for each, the id of the document
@@ -905,7 +906,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
                 [batch.column(0), pa.array(number, pa.int32()), batch.column(2).cast(arrow.field(2).type),
                  batch.column(3).cast(arrow.field(3).type), pa.array(texts, pa.string())], schema=arrow)
 
-    found = _of(rows, drops, "left")
+    found = rows.join(drops.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id_r")) & (F.col("text_hash") == F.col("hash_r")), "left")
     return found.select("doc_id", "text", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
                         F.coalesce("kept_in", F.array().cast(f"array<{kind}>")).alias("kept_in")).mapInArrow(cut, schema)
 
