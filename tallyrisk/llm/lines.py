@@ -29,9 +29,10 @@ Of each connected group the first occurrence, by
 (doc_id, line), is kept.
 
 Scale.  Repeats are combined map-side before anything is joined, so a line
-that stands in a third of all documents is one node.  Inside a block, bits
-are compared in whole columns; only nodes with a partner leave it, as spanning
-edges.  Line texts are fetched for those nodes alone, and meet once for each
+that stands in a third of all documents is one node.  Cells travel packed, a
+few rows of many cells each; lines alone in their cell are dropped at once.  Inside
+a cell, bits are compared in whole columns; only nodes with a partner leave it, as
+spanning edges.  Edit distances of many pairs are taken together.  Line texts are fetched for those nodes alone, and meet once for each
 candidate group.  Decisions go back to documents as lists of line numbers.
 The lists of wanted and of dropped lines grow with the documents, so they are
 shuffled with these and never broadcast: one plan at every size, which costs small
